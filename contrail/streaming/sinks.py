@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,9 +34,7 @@ class KeyedTable:
     def write_batch(self, batch_df: DataFrame, batch_id: int) -> None:
         """``foreachBatch`` sink. An empty batch writes nothing."""
         out = batch_df.select(*self.columns) if self.columns else batch_df
-        if out.isEmpty():
-            return
-        out.write.mode("overwrite").parquet(self._batch_path(batch_id))
+        _write_once(out, self._batch_path(batch_id))
 
     def log(self, spark: SparkSession) -> DataFrame:
         """Every written row with its ``batch_id``."""
@@ -57,12 +56,24 @@ class KeyedTable:
 def append_batch(path: str):
     """``foreachBatch`` sink for an append-only archive partitioned by ``batch_id``."""
     def _write(batch_df: DataFrame, batch_id: int) -> None:
-        if batch_df.isEmpty():
-            return
-        batch_df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH_COLUMN}={int(batch_id)}")
+        _write_once(batch_df, f"{path.rstrip('/')}/{BATCH_COLUMN}={int(batch_id)}")
     return _write
 
 
+def _write_once(df: DataFrame, path: str) -> None:
+    """Write a micro-batch unless it is empty, computing it only once.
+
+    The emptiness check and the write are two actions; persisting the batch
+    keeps the source from being read (and a stateful plan from running) twice.
+    """
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if not cached.isEmpty():
+            cached.write.mode("overwrite").parquet(path)
+    finally:
+        cached.unpersist()
+
+
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", path).parquet(path).drop(BATCH_COLUMN)
 
