@@ -56,3 +56,29 @@ def rapid_descent(df: DataFrame, threshold: float = DESCENT_THRESHOLD) -> DataFr
     return df.where((F.col("on_ground") == F.lit(False))
                     & F.col("vertical_rate").isNotNull()
                     & (F.col("vertical_rate") < F.lit(threshold)))
+
+
+def fan_out_by_dimension(df: DataFrame, aircraft: DataFrame, *,
+                         max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                         unique_dimension: bool = False) -> DataFrame:
+    """The report rows exactly as the left join would multiply them, without metadata columns.
+
+    For consumers that use no dimension column (the window aggregate) only a
+    key's multiplicity matters. A broadcastable dimension is joined directly
+    (its build side is pruned to ``icao24``). Otherwise only the keys that
+    repeat are joined, and each matching report is repeated ``m`` times; the
+    repeated-key set is tiny in practice and is itself broadcast behind the
+    same bound, so the big side is never shuffled for the enrichment.
+    """
+    if unique_dimension:
+        return df
+    keys = aircraft.select("icao24")
+    if broadcast_bound_ok(keys, max_broadcast_rows):
+        return df.join(F.broadcast(keys), on="icao24", how="left")
+    repeated = (keys.where(F.col("icao24").isNotNull()).groupBy("icao24")
+                .agg(F.count(F.lit(1)).alias("_m")).where(F.col("_m") > 1))
+    if broadcast_bound_ok(repeated, max_broadcast_rows):
+        repeated = F.broadcast(repeated)
+    joined = df.join(repeated, on="icao24", how="left")
+    copies = F.explode(F.sequence(F.lit(1), F.coalesce(F.col("_m"), F.lit(1)).cast("int")))
+    return joined.select("*", copies.alias("_copy")).drop("_m", "_copy")

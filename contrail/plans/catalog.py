@@ -18,10 +18,11 @@ from contrail.functions.scalars import (
     aircraft_key, clean_callsign, country_key, decode_bool, decode_number, encode_bool,
     encode_number, key_head, reverse_epoch, row_key,
 )
-from contrail.operators.enrich import enrich, rapid_descent, with_event_time
+from contrail.operators.aggregate import country_window_agg
+from contrail.operators.enrich import enrich, fan_out_by_dimension, rapid_descent, with_event_time
 from contrail.plans import panels
-from contrail.plans.tables import agg_table, alerts_table, enriched_table, live_table
-from contrail.schemas import AIRCRAFT_COLUMNS, DIMENSION_COLUMNS, FLIGHT_FIELDS
+from contrail.plans.tables import alerts_table, latest_then_enrich, with_agg_key
+from contrail.schemas import AIRCRAFT_COLUMNS, DIMENSION_COLUMNS, ENRICHED_COLUMNS, FLIGHT_FIELDS, LIVE_COLUMNS
 from contrail.session import ensure_utc, scratch_dir
 from contrail.sources.dimension import read_aircraft_csv, write_aircraft_csv
 from contrail.sources.messages import decode_messages, read_message_files, to_messages
@@ -48,11 +49,13 @@ def enriched(spark, sf) -> DataFrame:
 
 
 def live(spark, sf):
-    return live_table(enriched(spark, sf))
+    return latest_then_enrich(flights(spark, sf), aircraft(spark, sf), LIVE_COLUMNS)
 
 
 def agg(spark, sf):
-    return agg_table(enriched(spark, sf))
+    # the aggregate reads no metadata column: only each key's multiplicity is joined
+    counted = fan_out_by_dimension(flights(spark, sf), aircraft(spark, sf))
+    return with_agg_key(country_window_agg(with_event_time(counted)))
 
 
 def alerts(spark, sf):
@@ -152,7 +155,7 @@ def q_live_snapshot(spark, sf):
 
 
 def q_enriched_latest(spark, sf):
-    return enriched_table(enriched(spark, sf))
+    return latest_then_enrich(flights(spark, sf), aircraft(spark, sf), ENRICHED_COLUMNS)
 
 
 def q_alerts_table(spark, sf):

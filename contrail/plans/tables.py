@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from contrail.functions.scalars import aircraft_key, country_key, row_key
 from contrail.operators.aggregate import country_window_agg
-from contrail.operators.enrich import rapid_descent
+from contrail.operators.enrich import enrich, rapid_descent
 from contrail.operators.rank import latest_by_key
-from contrail.schemas import ALERT_COLUMNS, ENRICHED_COLUMNS, LIVE_COLUMNS
+from contrail.schemas import ALERT_COLUMNS, DIMENSION_COLUMNS, ENRICHED_COLUMNS, LIVE_COLUMNS
 
 # Arrival order of file/table input: poll, then report time. A Kafka source
 # would order by (partition, offset) instead.
@@ -35,6 +35,27 @@ def enriched_table(enriched: DataFrame, order=ARRIVAL_ORDER) -> DataFrame:
     return latest_by_key(live_rows(enriched), ["icao24"], list(order), ENRICHED_COLUMNS)
 
 
+def latest_then_enrich(flights: DataFrame, aircraft: DataFrame, columns=LIVE_COLUMNS,
+                       order=ARRIVAL_ORDER, **enrich_options) -> DataFrame:
+    """Per-aircraft table computed as "latest report, then join" instead of "join, then latest".
+
+    The dimension join then touches one row per aircraft instead of every
+    report, and a dimension too large to broadcast never forces a shuffle of
+    all reports. Equal to ``live_table(enrich(flights, aircraft))``: a key
+    repeated in the dimension fans the surviving report out and the same
+    ordering (order columns, then report columns, then metadata) picks one.
+    """
+    order = list(order)
+    report_cols = [c for c in columns if c not in DIMENSION_COLUMNS and c != "icao24"]
+    carried = report_cols + [o for o in order if o not in report_cols] + ["_raw_icao24"]
+    keyed = flights.withColumn("_raw_icao24", F.col("icao24")).withColumn("icao24", aircraft_key("icao24"))
+    latest = latest_by_key(keyed, ["icao24"], order, carried)
+    probe = latest.withColumnRenamed("icao24", "_key").withColumnRenamed("_raw_icao24", "icao24")
+    joined = enrich(probe, aircraft, **enrich_options).drop("icao24").withColumnRenamed("_key", "icao24")
+    # one row per key again (only a repeated dimension key can break that); K rows, cheap
+    return latest_by_key(joined, ["icao24"], order, [c for c in columns if c != "icao24"]).select(*columns)
+
+
 def alert_rows(enriched: DataFrame) -> DataFrame:
     """Rapid-descent reports in the alerts table's shape, before the keyed overwrite."""
     return rapid_descent(enriched).select(

@@ -205,3 +205,33 @@ def test_latest_is_last_arrival_not_largest_time(spark):
     rows = [dict(icao24="a", last_contact=500, ingestion_ts=10, callsign="old"),
             dict(icao24="a", last_contact=400, ingestion_ts=20, callsign="new")]
     assert live_table(_enriched(spark, rows)).first().callsign == "new"
+
+
+def test_latest_then_enrich_equals_join_then_latest(spark):
+    from contrail.plans.tables import latest_then_enrich
+    from contrail.schemas import ENRICHED_COLUMNS, LIVE_COLUMNS
+    dim = [("a", "R1", "M", "M1", "T", "OpA"), ("a", "R2", "M", "M1", "T", "OpB"), ("b", "R3", "", "M2", "T", None)]
+    rows = [dict(icao24="a", last_contact=5, ingestion_ts=10, callsign="x"),
+            dict(icao24="a", last_contact=5, ingestion_ts=10, callsign="y"),
+            dict(icao24="b", last_contact=3, ingestion_ts=10), dict(icao24="", last_contact=1, ingestion_ts=10),
+            dict(icao24=None, last_contact=2, ingestion_ts=10), dict(icao24="c", last_contact=9, ingestion_ts=20)]
+    f, d = flights_df(spark, rows), aircraft_df(spark, dim)
+    for cols in (LIVE_COLUMNS, ENRICHED_COLUMNS):
+        want = live_table(enrich(f, d)).select(*cols) if cols is LIVE_COLUMNS else \
+            __import__("contrail.plans.tables", fromlist=["x"]).enriched_table(enrich(f, d))
+        got = latest_then_enrich(f, d, cols)
+        assert sorted(got.collect()) == sorted(want.select(*cols).collect())
+        assert got.count() == 4
+
+
+def test_fan_out_by_dimension_matches_join_on_both_paths(spark):
+    from contrail.operators.enrich import fan_out_by_dimension
+    dim = [("a", "R1", "M", "M1", "T", "OpA"), ("a", "R2", "M", "M1", "T", "OpB"), ("b", "R3", "", "M2", "T", None),
+           ("c", "R4", "", "M2", "T", None), ("c", "R5", "", "M2", "T", None), ("c", "R6", "", "M2", "T", None)]
+    rows = [dict(icao24=k, origin_country="US", last_contact=1000 + i, ingestion_ts=1010, velocity=float(i))
+            for i, k in enumerate(["a", "a", "b", "c", "d", None, ""])]
+    f, d = flights_df(spark, rows), aircraft_df(spark, dim)
+    want = sorted(country_window_agg(with_event_time(enrich(f, d))).collect())
+    for bound in (10, 0):  # broadcast path, then the repeated-keys path
+        got = country_window_agg(with_event_time(fan_out_by_dimension(f, d, max_broadcast_rows=bound)))
+        assert sorted(got.collect()) == want
