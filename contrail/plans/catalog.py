@@ -22,7 +22,7 @@ from contrail.operators.aggregate import country_window_agg
 from contrail.operators.enrich import enrich, fan_out_by_dimension, rapid_descent, with_event_time
 from contrail.plans import panels
 from contrail.plans.tables import alerts_table, latest_then_enrich, with_agg_key
-from contrail.schemas import AIRCRAFT_COLUMNS, DIMENSION_COLUMNS, ENRICHED_COLUMNS, FLIGHT_FIELDS, LIVE_COLUMNS
+from contrail.schemas import DIMENSION_COLUMNS, ENRICHED_COLUMNS, FLIGHT_FIELDS, LIVE_COLUMNS
 from contrail.session import ensure_utc, scratch_dir
 from contrail.sources.dimension import read_aircraft_csv, write_aircraft_csv
 from contrail.sources.messages import decode_messages, read_message_files, to_messages
@@ -375,4 +375,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: utc(v) for k, v in QUERIES.items()}
 
 
-_unused = (AIRCRAFT_COLUMNS, country_key, row_key)
