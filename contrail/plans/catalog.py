@@ -131,8 +131,10 @@ def q_cell_codec(spark, sf):
     nums = ["latitude", "longitude", "baro_altitude", "geo_altitude", "velocity", "true_track", "vertical_rate"]
     cells = lv.select("icao24", *[encode_number(c).alias(c) for c in nums],
                       encode_bool("on_ground").alias("on_ground_cell"))
+    rejected = [(F.col(c) != "") & F.col(c).try_cast("double").isNull() for c in nums]
+    bad = sum((r.cast("int") for r in rejected[1:]), rejected[0].cast("int"))
     return cells.select("icao24", *[decode_number(c).alias(c) for c in nums], "on_ground_cell",
-                        decode_bool("on_ground_cell").alias("on_ground"))
+                        decode_bool("on_ground_cell").alias("on_ground"), bad.alias("bad_cells"))
 
 
 # --- enrichment, aggregates, tables -------------------------------------------------

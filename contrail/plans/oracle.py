@@ -132,7 +132,7 @@ ORACLE: dict[str, str] = {
         "COALESCE(velocity, 0.0) AS velocity, COALESCE(true_track, 0.0) AS true_track, "
         "COALESCE(vertical_rate, 0.0) AS vertical_rate, "
         "CASE WHEN on_ground IS NULL THEN 'None' WHEN on_ground THEN 'True' ELSE 'False' END AS on_ground_cell, "
-        "COALESCE(on_ground, false) AS on_ground FROM live"),
+        "COALESCE(on_ground, false) AS on_ground, CAST(0 AS INTEGER) AS bad_cells FROM live"),
     "enrich_left_join": _with(ENRICHED_SELECT),
     "country_window_agg": _with(AGG_SELECT),
     "rapid_descent_alerts": _with(

@@ -56,8 +56,10 @@ def latest_then_enrich(flights: DataFrame, aircraft: DataFrame, columns=LIVE_COL
     return latest_by_key(joined, ["icao24"], order, [c for c in columns if c != "icao24"]).select(*columns)
 
 
-def alert_rows(enriched: DataFrame) -> DataFrame:
-    """Rapid-descent reports in the alerts table's shape, before the keyed overwrite."""
+def alert_rows(enriched: DataFrame, extra=()) -> DataFrame:
+    """Rapid-descent reports in the alerts table's shape, before the keyed overwrite.
+
+    ``extra`` carries further ordering columns (e.g. a Kafka ``offset``)."""
     return rapid_descent(enriched).select(
         aircraft_key("icao24").alias("icao24"),
         F.coalesce(F.col("ingestion_ts"), F.lit(0)).cast("long").alias("ingestion_ts"),
@@ -68,6 +70,7 @@ def alert_rows(enriched: DataFrame) -> DataFrame:
         F.col("origin_country").alias("country"),
         F.coalesce(F.col("ingestion_ts"), F.lit(0)).cast("long").alias("ts"),
         F.col("last_contact"),
+        *[F.col(c) for c in extra],
     )
 
 

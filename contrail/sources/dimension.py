@@ -22,3 +22,8 @@ def pin_dimension(df: DataFrame) -> tuple[DataFrame, int]:
     """Persist the dimension (memory, spill to disk) and count it, filling the cache."""
     pinned = df.persist(StorageLevel.MEMORY_AND_DISK)
     return pinned, pinned.count()
+
+
+def release_dimension(df: DataFrame) -> None:
+    """Drop the pinned dimension from the cache (on pipeline stop)."""
+    df.unpersist()

@@ -50,16 +50,23 @@ class ResultTables:
     enriched: KeyedTable
 
     @classmethod
-    def at(cls, root: str) -> "ResultTables":
+    def at(cls, root: str, order: Sequence[str] = ARRIVAL_ORDER) -> "ResultTables":
+        """Tables under ``root``. ``order`` is the arrival order of one aircraft's reports:
+        (poll, report time) for files, ``("offset",)`` for Kafka (the message key is the
+        address, so one aircraft's reports share a partition and offsets order them)."""
         root = root.rstrip("/")
+        order = tuple(order)
+        alert_order = tuple(o for o in order if o != "ingestion_ts") or ("last_contact",)
+
+        def cols(base, order_cols):
+            return list(base) + [o for o in order_cols if o not in base]
         return cls(
-            live=KeyedTable(f"{root}/flights_live", ["icao24"], ARRIVAL_ORDER, LIVE_COLUMNS),
+            live=KeyedTable(f"{root}/flights_live", ["icao24"], order, cols(LIVE_COLUMNS, order)),
             agg=KeyedTable(f"{root}/flights_agg", ["country", "window_end"], (),
                            AGG_COLUMNS + ["country_key", "row_key"]),
-            alerts=KeyedTable(f"{root}/flights_alerts", ["icao24", "ingestion_ts"], ("last_contact",),
-                              ALERT_COLUMNS + ["last_contact", "row_key"]),
-            enriched=KeyedTable(f"{root}/flights_enriched", ["icao24"], ARRIVAL_ORDER,
-                                ENRICHED_COLUMNS + ["ingestion_ts"]),
+            alerts=KeyedTable(f"{root}/flights_alerts", ["icao24", "ingestion_ts"], alert_order,
+                              cols(ALERT_COLUMNS + ["row_key"], alert_order)),
+            enriched=KeyedTable(f"{root}/flights_enriched", ["icao24"], order, cols(ENRICHED_COLUMNS, order)),
         )
 
 
@@ -71,9 +78,9 @@ def _latest_in_batch(table: KeyedTable):
     return _write
 
 
-def _alerts_frame(enriched: DataFrame) -> DataFrame:
+def _alerts_frame(enriched: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     from contrail.functions.scalars import row_key
-    return alert_rows(enriched).withColumn("row_key", row_key(F.col("icao24"), F.col("ingestion_ts")))
+    return alert_rows(enriched, extra).withColumn("row_key", row_key(F.col("icao24"), F.col("ingestion_ts")))
 
 
 def _agg_frame(enriched: DataFrame) -> DataFrame:
@@ -82,9 +89,18 @@ def _agg_frame(enriched: DataFrame) -> DataFrame:
 
 def start_pipeline(enriched: DataFrame, out_root: str, checkpoint_root: str, *,
                    queries: Sequence[str] = ALL_QUERIES, trigger: dict | None = None,
-                   fan_out: bool = False) -> dict[str, StreamingQuery]:
-    """Start the selected queries; returns them by name."""
-    tables = ResultTables.at(out_root)
+                   fan_out: bool = False, order: Sequence[str] = ARRIVAL_ORDER,
+                   state_store: str | None = None) -> dict[str, StreamingQuery]:
+    """Start the selected queries; returns them by name.
+
+    ``state_store="rocksdb"`` keeps the window state in RocksDB (off-heap, spills
+    to local disk, checkpointed incrementally) instead of the default in-memory map;
+    it must be chosen before the aggregate query first starts on a checkpoint.
+    """
+    if state_store == "rocksdb":
+        use_rocksdb_state(enriched.sparkSession)
+    tables = ResultTables.at(out_root, order)
+    extra = [o for o in order if o not in ARRIVAL_ORDER]
     trig = trigger or DEFAULT_TRIGGER
     ck = checkpoint_root.rstrip("/")
     started: dict[str, StreamingQuery] = {}
@@ -106,7 +122,7 @@ def start_pipeline(enriched: DataFrame, out_root: str, checkpoint_root: str, *,
             cached = batch_df.persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 for q in stateless:
-                    frame = _alerts_frame(cached) if q == "alerts" else live_rows(cached)
+                    frame = _alerts_frame(cached, extra) if q == "alerts" else live_rows(cached)
                     writers[q](frame, batch_id)
             finally:
                 cached.unpersist()
@@ -115,12 +131,19 @@ def start_pipeline(enriched: DataFrame, out_root: str, checkpoint_root: str, *,
         if "live" in queries:
             _start("live", live_df, _latest_in_batch(tables.live))
         if "alerts" in queries:
-            _start("alerts", _alerts_frame(enriched), _latest_in_batch(tables.alerts))
+            _start("alerts", _alerts_frame(enriched, extra), _latest_in_batch(tables.alerts))
         if "enriched" in queries:
             _start("enriched", live_df, _latest_in_batch(tables.enriched))
     return started
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb_state(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+
+
 def start_archive(df: DataFrame, out_path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Append-only archive of every row (e.g. every enriched report)."""
     return (df.writeStream.trigger(**(trigger or DEFAULT_TRIGGER)).option("checkpointLocation", checkpoint)

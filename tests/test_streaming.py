@@ -122,3 +122,38 @@ def test_kafka_reader_is_built_lazily(spark, n):
         read_kafka(spark, "localhost:1", "flights-raw", max_offsets_per_trigger=n)
     except Exception as exc:  # connector jar absent here: the failure must be the missing source
         assert "kafka" in str(exc).lower()
+
+
+def test_four_queries_run_concurrently_with_rocksdb_state(spark, scratch):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    landing = f"{scratch}/landing"
+    _land(landing)
+    src = read_message_files(spark, landing, max_files_per_trigger=1)
+    try:
+        qs = start_pipeline(enriched_stream(src, _dim(spark)), f"{scratch}/out", f"{scratch}/ck",
+                            trigger=AVAILABLE_NOW, state_store="rocksdb")
+        assert sorted(qs) == ["agg", "alerts", "enriched", "live"]
+        await_all(qs)
+    finally:
+        spark.conf.unset(key)
+    t = ResultTables.at(f"{scratch}/out")
+    assert t.live.current(spark).count() == 2 and t.enriched.current(spark).count() == 2
+    assert t.alerts.current(spark).count() == 7
+    assert t.agg.current(spark).where(F.col("window_end") == 1260).first().flight_count == 4
+
+
+def test_kafka_style_offset_order(spark, scratch):
+    from contrail.plans.tables import alert_rows, live_rows
+    from contrail.streaming.pipeline import _latest_in_batch
+    rows = [dict(icao24="a", last_contact=900, ingestion_ts=10, callsign="first"),
+            dict(icao24="a", last_contact=100, ingestion_ts=10, callsign="second")]
+    df = flights_df(spark, rows).withColumn("offset", F.monotonically_increasing_id())
+    t = ResultTables.at(scratch, order=("offset",))
+    _latest_in_batch(t.live)(live_rows(enrich_rows(spark, df)), 0)
+    assert t.live.current(spark).first().callsign == "second"
+    assert "offset" in alert_rows(enrich_rows(spark, df), ["offset"]).columns
+
+
+def enrich_rows(spark, df):
+    from contrail.operators.enrich import enrich
+    return enrich(df, _dim(spark))
