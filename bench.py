@@ -33,6 +33,7 @@ HEADLINE = [
     "json_decode",
     "stream_country_window_agg",
     "stream_live_snapshot",
+    "stream_pipeline_alerts",
 ]
 
 

@@ -316,6 +316,15 @@ def q_stream_live_snapshot(spark, sf):
     return _pipeline_query(spark, sf, "live")
 
 
+def q_stream_pipeline_alerts(spark, sf):
+    """All four queries at once (stateless three fanned out of one persisted batch); the alerts table."""
+    def start(source, dim, out, ck):
+        return start_pipeline(enriched_stream(source, dim), out, ck, trigger=AVAILABLE_NOW, fan_out=True)
+    out = _stream_run(spark, sf, "pipeline", start)
+    cur = ResultTables.at(out).alerts.current(spark)
+    return cur.select("icao24", "ingestion_ts", "vrate", "alt", "callsign", "operator", "country", "ts", "row_key")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_decode": q_json_decode,
     "src_snapshot_decode": q_src_snapshot_decode,
@@ -361,6 +370,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_enrich": q_stream_enrich,
     "stream_country_window_agg": q_stream_country_window_agg,
     "stream_live_snapshot": q_stream_live_snapshot,
+    "stream_pipeline_alerts": q_stream_pipeline_alerts,
 }
 
 

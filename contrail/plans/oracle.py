@@ -210,6 +210,7 @@ FROM alert_frame HAVING count(*) > 0"""),
     "stream_enrich": _with(ENRICHED_SELECT),
     "stream_country_window_agg": _with(AGG_SELECT),
     "stream_live_snapshot": _with(LIVE_SELECT),
+    "stream_pipeline_alerts": _with("SELECT * FROM alerts"),
 }
 
 
