@@ -31,15 +31,19 @@ def broadcast_bound_ok(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROW
     return dim.limit(max_rows + 1).count() <= max_rows
 
 
+DEFAULT_SALTS = 16
+
+
 def enrich(df: DataFrame, aircraft: DataFrame, *, strategy: str = "auto",
            max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-           unique_dimension: bool = False) -> DataFrame:
+           unique_dimension: bool = False, salts: int = DEFAULT_SALTS) -> DataFrame:
     """Left outer equi-join on ``icao24``; unmatched reports keep null metadata.
 
-    strategy: ``broadcast`` always hints the dimension (reference behaviour),
-    ``auto`` hints it only behind the row-count bound and otherwise lets the
-    planner shuffle both sides on ``icao24`` (AQE may still demote to a
-    broadcast at run time), ``shuffle`` never hints.
+    strategy: ``broadcast`` always hints the dimension (reference behaviour);
+    ``auto`` broadcasts it behind the row-count bound and otherwise uses the
+    salted join; ``salted`` spreads every key over ``salts`` tasks (a hot
+    aircraft never lands in one task); ``shuffle`` is a plain shuffle join
+    (leaves skew to AQE's skew-join split).
     A repeated dimension key fans reports out unless ``unique_dimension``.
     """
     dim = aircraft.select("icao24", *DIMENSION_COLUMNS)
@@ -47,10 +51,27 @@ def enrich(df: DataFrame, aircraft: DataFrame, *, strategy: str = "auto",
         # One row per key, chosen deterministically (largest metadata tuple).
         dim = dim.groupBy("icao24").agg(F.max(F.struct(*DIMENSION_COLUMNS)).alias("m")).select("icao24", "m.*")
     if strategy == "broadcast" or (strategy == "auto" and broadcast_bound_ok(dim, max_broadcast_rows)):
-        dim = F.broadcast(dim)
+        return df.join(F.broadcast(dim), on="icao24", how="left")
+    if strategy in ("auto", "salted") and salts > 1:
+        return salted_left_join(df, dim, "icao24", salts)
     return df.join(dim, on="icao24", how="left")
 
 
+def salted_left_join(left: DataFrame, right: DataFrame, key: str, salts: int) -> DataFrame:
+    """Left join that splits every key over ``salts`` partitions.
+
+    Each left row gets a salt from a hash of its own content (deterministic, so a
+    retried task sends each row to the same place); each right row is repeated
+    once per salt. The shuffle key is (key, salt), so a key holding a third of
+    the left side is spread over ``salts`` tasks, at the price of ``salts``
+    copies of the (non-broadcastable, but far smaller) right side.
+    """
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)).cast("int")
+    lhs = left.withColumn("_salt", salt)
+    rhs = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return lhs.join(rhs, on=[key, "_salt"], how="left").drop("_salt")
+
+
 def rapid_descent(df: DataFrame, threshold: float = DESCENT_THRESHOLD) -> DataFrame:
     """Airborne (``on_ground`` is false, null excluded) and descending faster than the threshold."""
     return df.where((F.col("on_ground") == F.lit(False))
@@ -78,7 +99,8 @@ def fan_out_by_dimension(df: DataFrame, aircraft: DataFrame, *,
     repeated = (keys.where(F.col("icao24").isNotNull()).groupBy("icao24")
                 .agg(F.count(F.lit(1)).alias("_m")).where(F.col("_m") > 1))
     if broadcast_bound_ok(repeated, max_broadcast_rows):
-        repeated = F.broadcast(repeated)
-    joined = df.join(repeated, on="icao24", how="left")
+        joined = df.join(F.broadcast(repeated), on="icao24", how="left")
+    else:
+        joined = salted_left_join(df, repeated, "icao24", DEFAULT_SALTS)
     copies = F.explode(F.sequence(F.lit(1), F.coalesce(F.col("_m"), F.lit(1)).cast("int")))
     return joined.select("*", copies.alias("_copy")).drop("_m", "_copy")

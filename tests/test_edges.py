@@ -235,3 +235,27 @@ def test_fan_out_by_dimension_matches_join_on_both_paths(spark):
     for bound in (10, 0):  # broadcast path, then the repeated-keys path
         got = country_window_agg(with_event_time(fan_out_by_dimension(f, d, max_broadcast_rows=bound)))
         assert sorted(got.collect()) == want
+
+
+def test_join_strategies_agree(spark):
+    dim = [("a", "R1", "M", "M1", "T", "OpA"), ("a", "R2", "M", "M1", "T", "OpB"), ("b", "R3", "", "M2", "T", None)]
+    rows = [dict(icao24=k, last_contact=i, ingestion_ts=10, velocity=float(i))
+            for i, k in enumerate(["a"] * 40 + ["b", "c", None, ""])]
+    f, d = flights_df(spark, rows), aircraft_df(spark, dim)
+
+    def rows_of(df):
+        return sorted((tuple(r) for r in df.collect()), key=lambda t: tuple((x is None, str(x)) for x in t))
+    want = rows_of(enrich(f, d, strategy="broadcast"))
+    assert len(want) == 40 * 2 + 4
+    for kw in (dict(strategy="shuffle"), dict(strategy="salted", salts=4), dict(strategy="auto", max_broadcast_rows=1)):
+        got = enrich(f, d, **kw).select(*f.columns, "registration", "manufacturername", "model", "typecode", "operator")
+        assert rows_of(got) == want
+
+
+def test_fan_out_salted_path(spark):
+    from contrail.operators.enrich import fan_out_by_dimension
+    dim = [("a", "R1", "M", "M1", "T", "OpA"), ("a", "R2", "M", "M1", "T", "OpB"), ("b", "R3", "", "M2", "T", None)]
+    rows = [dict(icao24=k, origin_country="US", last_contact=1000 + i, ingestion_ts=1010)
+            for i, k in enumerate(["a"] * 30 + ["b", "z", None])]
+    f, d = flights_df(spark, rows), aircraft_df(spark, dim)
+    assert fan_out_by_dimension(f, d, max_broadcast_rows=0).count() == 30 * 2 + 3
