@@ -27,8 +27,10 @@ from contrail.session import ensure_utc, scratch_dir
 from contrail.sources.dimension import read_aircraft_csv, write_aircraft_csv
 from contrail.sources.messages import decode_messages, read_message_files, to_messages
 from contrail.sources.snapshot import decode_replay, decode_snapshot, snapshot_documents
-from contrail.streaming.pipeline import ResultTables, enriched_stream, replay_in_batches, start_pipeline
-from contrail.streaming.sinks import KeyedTable, append_batch, read_archive
+from contrail.streaming.pipeline import (
+    ResultTables, enriched_stream, replay_in_batches, start_archive, start_pipeline,
+)
+from contrail.streaming.sinks import KeyedTable, read_archive
 
 STREAM_BATCHES = 5
 ENRICHED_FIELDS = FLIGHT_FIELDS + DIMENSION_COLUMNS
@@ -285,17 +287,14 @@ AVAILABLE_NOW = {"availableNow": True}
 
 def q_src_stream_files(spark, sf):
     def start(source, dim, out, ck):
-        return (decode_messages(source).writeStream.trigger(**AVAILABLE_NOW)
-                .option("checkpointLocation", f"{ck}/files").foreachBatch(append_batch(out)).start())
+        return start_archive(decode_messages(source), out, f"{ck}/files", AVAILABLE_NOW)
     out = _stream_run(spark, sf, "files", start)
     return read_archive(spark, out).select(*FLIGHT_FIELDS)
 
 
 def q_stream_enrich(spark, sf):
     def start(source, dim, out, ck):
-        df = enriched_stream(source, dim).select(*ENRICHED_FIELDS)
-        return (df.writeStream.trigger(**AVAILABLE_NOW).option("checkpointLocation", f"{ck}/enrich")
-                .foreachBatch(append_batch(out)).start())
+        return start_archive(enriched_stream(source, dim).select(*ENRICHED_FIELDS), out, f"{ck}/enrich", AVAILABLE_NOW)
     out = _stream_run(spark, sf, "enrich", start)
     return read_archive(spark, out).select(*ENRICHED_FIELDS)
 

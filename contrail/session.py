@@ -56,3 +56,37 @@ def ensure_utc(spark: SparkSession) -> None:
     """Epoch-second columns are UTC; formatted times assume a UTC session."""
     if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+class session_conf:
+    """Temporarily set SQL confs on a session (restored on exit)."""
+
+    def __init__(self, spark: SparkSession, **conf: str):
+        self.spark = spark
+        self.conf = {k.replace("__", "."): str(v) for k, v in conf.items()}
+        self.saved: dict[str, str | None] = {}
+
+    def __enter__(self):
+        for k, v in self.conf.items():
+            self.saved[k] = self.spark.conf.get(k, None)
+            self.spark.conf.set(k, v)
+        return self.spark
+
+    def __exit__(self, *exc):
+        for k, v in self.saved.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)
+        return False
+
+
+def stream_partitions(spark: SparkSession) -> int:
+    """Shuffle/state partitions for micro-batches: the cluster's task slots.
+
+    Micro-batches run without AQE, so the session's shuffle partition count is
+    used as is, and for a stateful query it is fixed in the checkpoint at first
+    start. Sizing it to the available task slots keeps every slot busy without
+    hundreds of near-empty state-store tasks per batch.
+    """
+    return max(1, int(spark.sparkContext.defaultParallelism))

@@ -25,6 +25,7 @@ from contrail.operators.aggregate import country_window_agg
 from contrail.operators.enrich import DEFAULT_WATERMARK, enrich, with_event_time
 from contrail.operators.rank import latest_by_key
 from contrail.plans.tables import ARRIVAL_ORDER, alert_rows, live_rows, with_agg_key
+from contrail.session import session_conf, stream_partitions
 from contrail.schemas import AGG_COLUMNS, ALERT_COLUMNS, ENRICHED_COLUMNS, LIVE_COLUMNS
 from contrail.sources.messages import decode_messages
 from contrail.streaming.sinks import KeyedTable, append_batch
@@ -90,12 +91,15 @@ def _agg_frame(enriched: DataFrame) -> DataFrame:
 def start_pipeline(enriched: DataFrame, out_root: str, checkpoint_root: str, *,
                    queries: Sequence[str] = ALL_QUERIES, trigger: dict | None = None,
                    fan_out: bool = False, order: Sequence[str] = ARRIVAL_ORDER,
-                   state_store: str | None = None) -> dict[str, StreamingQuery]:
+                   state_store: str | None = None,
+                   state_partitions: int | None = None) -> dict[str, StreamingQuery]:
     """Start the selected queries; returns them by name.
 
     ``state_store="rocksdb"`` keeps the window state in RocksDB (off-heap, spills
     to local disk, checkpointed incrementally) instead of the default in-memory map;
     it must be chosen before the aggregate query first starts on a checkpoint.
+    ``state_partitions`` (default: the cluster's task slots) sizes the micro-batch
+    shuffles and the window state; a checkpoint keeps the value it first started with.
     """
     if state_store == "rocksdb":
         use_rocksdb_state(enriched.sparkSession)
@@ -105,10 +109,15 @@ def start_pipeline(enriched: DataFrame, out_root: str, checkpoint_root: str, *,
     ck = checkpoint_root.rstrip("/")
     started: dict[str, StreamingQuery] = {}
 
+    spark = enriched.sparkSession
+    parts = state_partitions or stream_partitions(spark)
+
     def _start(name: str, df: DataFrame, sink, mode: str = "append") -> None:
-        started[name] = (df.writeStream.outputMode(mode).trigger(**trig)
-                         .option("checkpointLocation", f"{ck}/{name}")
-                         .foreachBatch(sink).queryName(f"contrail_{name}_{id(started)}").start())
+        # the stream's session is cloned at start(): the partition count is captured here
+        with session_conf(spark, **{"spark.sql.shuffle.partitions": parts}):
+            started[name] = (df.writeStream.outputMode(mode).trigger(**trig)
+                             .option("checkpointLocation", f"{ck}/{name}")
+                             .foreachBatch(sink).queryName(f"contrail_{name}_{id(started)}").start())
 
     live_df = live_rows(enriched)
     if "agg" in queries:
@@ -144,10 +153,13 @@ def use_rocksdb_state(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
 
 
-def start_archive(df: DataFrame, out_path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+def start_archive(df: DataFrame, out_path: str, checkpoint: str, trigger: dict | None = None,
+                  partitions: int | None = None) -> StreamingQuery:
     """Append-only archive of every row (e.g. every enriched report)."""
-    return (df.writeStream.trigger(**(trigger or DEFAULT_TRIGGER)).option("checkpointLocation", checkpoint)
-            .foreachBatch(append_batch(out_path)).start())
+    spark = df.sparkSession
+    with session_conf(spark, **{"spark.sql.shuffle.partitions": partitions or stream_partitions(spark)}):
+        return (df.writeStream.trigger(**(trigger or DEFAULT_TRIGGER)).option("checkpointLocation", checkpoint)
+                .foreachBatch(append_batch(out_path)).start())
 
 
 def await_all(queries) -> None:
