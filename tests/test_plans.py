@@ -1,0 +1,59 @@
+"""Plan-shape guards: the scale properties the design relies on."""
+
+import contextlib
+import io
+import re
+
+import pytest
+
+import __spark_entry__ as E
+from tests.conftest import SF_SMALL
+
+BATCH = sorted(k for k in E.queries() if not k.startswith(("stream_", "src_stream")))
+FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+             "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF", "CollectLimit (", "Window ("]
+# a global window is allowed only on the few rows left after a top-k
+GLOBAL_WINDOW_OK = {"top_countries", "heatmap_countries", "trend_top_countries", "manufacturer_share"}
+
+
+def plan(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
+
+
+@pytest.mark.parametrize("name", BATCH)
+def test_no_cartesian_no_python_no_unbounded_window(spark, name):
+    text = plan(E.queries()[name](spark, SF_SMALL))
+    for bad in FORBIDDEN:
+        if bad == "Window (" and name in GLOBAL_WINDOW_OK:
+            continue
+        assert bad not in text, f"{name}: {bad}"
+
+
+def _hash_exchanges(text):
+    return len(re.findall(r"Arguments: hashpartitioning", text))
+
+
+def test_window_agg_is_one_shuffle_with_partial_agg_and_pruned_scan(spark):
+    text = plan(E.queries()["country_window_agg"](spark, SF_SMALL))
+    assert _hash_exchanges(text) == 1
+    assert "partial_count" in text and "Expand" in text
+    assert "ReadSchema: struct<event_id:bigint,user_id:bigint,value:double>" in text
+    assert "ReadSchema: struct<c_custkey:bigint>" in text
+    assert "BroadcastHashJoin LeftOuter" in text
+
+
+def test_live_snapshot_reduces_before_the_join_in_one_shuffle(spark):
+    text = plan(E.queries()["live_snapshot"](spark, SF_SMALL))
+    assert _hash_exchanges(text) == 1
+    assert "partial_max" in text
+    # the join sits above the per-aircraft reduction
+    assert text.index("BroadcastHashJoin") < text.index("Exchange")
+
+
+def test_descent_filter_pushed_below_join(spark):
+    text = plan(E.queries()["rapid_descent_alerts"](spark, SF_SMALL))
+    head = text.split("(1) Scan parquet")[0]
+    assert head.index("BroadcastHashJoin") < head.rindex("Filter")
