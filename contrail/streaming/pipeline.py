@@ -51,7 +51,7 @@ class ResultTables:
     enriched: KeyedTable
 
     @classmethod
-    def at(cls, root: str, order: Sequence[str] = ARRIVAL_ORDER) -> "ResultTables":
+    def at(cls, root: str, order: Sequence[str] = ARRIVAL_ORDER, compact_every: int | None = None) -> "ResultTables":
         """Tables under ``root``. ``order`` is the arrival order of one aircraft's reports:
         (poll, report time) for files, ``("offset",)`` for Kafka (the message key is the
         address, so one aircraft's reports share a partition and offsets order them)."""
@@ -61,13 +61,14 @@ class ResultTables:
 
         def cols(base, order_cols):
             return list(base) + [o for o in order_cols if o not in base]
+        k = compact_every
         return cls(
-            live=KeyedTable(f"{root}/flights_live", ["icao24"], order, cols(LIVE_COLUMNS, order)),
+            live=KeyedTable(f"{root}/flights_live", ["icao24"], order, cols(LIVE_COLUMNS, order), k),
             agg=KeyedTable(f"{root}/flights_agg", ["country", "window_end"], (),
-                           AGG_COLUMNS + ["country_key", "row_key"]),
+                           AGG_COLUMNS + ["country_key", "row_key"], k),
             alerts=KeyedTable(f"{root}/flights_alerts", ["icao24", "ingestion_ts"], alert_order,
-                              cols(ALERT_COLUMNS + ["row_key"], alert_order)),
-            enriched=KeyedTable(f"{root}/flights_enriched", ["icao24"], order, cols(ENRICHED_COLUMNS, order)),
+                              cols(ALERT_COLUMNS + ["row_key"], alert_order), k),
+            enriched=KeyedTable(f"{root}/flights_enriched", ["icao24"], order, cols(ENRICHED_COLUMNS, order), k),
         )
 
 
@@ -92,7 +93,8 @@ def start_pipeline(enriched: DataFrame, out_root: str, checkpoint_root: str, *,
                    queries: Sequence[str] = ALL_QUERIES, trigger: dict | None = None,
                    fan_out: bool = False, order: Sequence[str] = ARRIVAL_ORDER,
                    state_store: str | None = None,
-                   state_partitions: int | None = None) -> dict[str, StreamingQuery]:
+                   state_partitions: int | None = None,
+                   compact_every: int | None = None) -> dict[str, StreamingQuery]:
     """Start the selected queries; returns them by name.
 
     ``state_store="rocksdb"`` keeps the window state in RocksDB (off-heap, spills
@@ -100,10 +102,11 @@ def start_pipeline(enriched: DataFrame, out_root: str, checkpoint_root: str, *,
     it must be chosen before the aggregate query first starts on a checkpoint.
     ``state_partitions`` (default: the cluster's task slots) sizes the micro-batch
     shuffles and the window state; a checkpoint keeps the value it first started with.
+    ``compact_every=k`` folds each table's batch log in place every k batches.
     """
     if state_store == "rocksdb":
         use_rocksdb_state(enriched.sparkSession)
-    tables = ResultTables.at(out_root, order)
+    tables = ResultTables.at(out_root, order, compact_every)
     extra = [o for o in order if o not in ARRIVAL_ORDER]
     trig = trigger or DEFAULT_TRIGGER
     ck = checkpoint_root.rstrip("/")

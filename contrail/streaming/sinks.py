@@ -9,6 +9,7 @@ history. ``compact`` folds the log into a new table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -28,13 +29,62 @@ class KeyedTable:
     order: Sequence[str] = field(default_factory=tuple)
     columns: Sequence[str] | None = None
 
+    compact_every: int | None = None
+
     def _batch_path(self, batch_id: int) -> str:
         return f"{self.path.rstrip('/')}/{BATCH_COLUMN}={int(batch_id)}"
 
     def write_batch(self, batch_df: DataFrame, batch_id: int) -> None:
-        """``foreachBatch`` sink. An empty batch writes nothing."""
+        """``foreachBatch`` sink. An empty batch writes nothing.
+
+        With ``compact_every=k``, every k-th batch also folds the log up to the
+        previous batch in place. Only committed batches are folded: the batch
+        being written may still be replayed after a failure, its predecessor
+        never is, so a replay can never overwrite folded rows.
+        """
         out = batch_df.select(*self.columns) if self.columns else batch_df
         _write_once(out, self._batch_path(batch_id))
+        if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
+            self.compact_in_place(batch_df.sparkSession, upto=batch_id - 1)
+
+    def batch_ids(self, spark: SparkSession) -> list[int]:
+        fs, root = _fs(spark, self.path)
+        if not fs.exists(root):
+            return []
+        prefix = f"{BATCH_COLUMN}="
+        names = [st.getPath().getName() for st in fs.listStatus(root)]
+        return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
+
+    def compact_in_place(self, spark: SparkSession, upto: int | None = None) -> int | None:
+        """Fold every batch <= ``upto`` (default: the newest) into that batch and drop the older folders.
+
+        The folded rows are the current view up to ``upto``, so later batches
+        still win and the view is unchanged; reads then scan one folder per
+        compaction instead of the whole history. The result is written to an
+        ignored ``_``-prefixed folder first and swapped in by renames.
+        """
+        ids = [i for i in self.batch_ids(spark) if upto is None or i <= upto]
+        if len(ids) <= 1:
+            return ids[-1] if ids else None
+        n = ids[-1]
+        log = self.log(spark).where(F.col(BATCH_COLUMN) <= n)
+        cols = [c for c in log.columns if c != BATCH_COLUMN]
+        folded = latest_by_key(log, list(self.keys), [BATCH_COLUMN, *self.order], cols)
+        tag = uuid.uuid4().hex[:12]
+        staged = f"{self.path.rstrip('/')}/_compact-{n}-{tag}"
+        folded.write.mode("overwrite").parquet(staged)
+        fs, _ = _fs(spark, self.path)
+        jpath = spark._jvm.org.apache.hadoop.fs.Path
+        retired = jpath(f"{self.path.rstrip('/')}/_retired-{n}-{tag}")
+        if not fs.rename(jpath(self._batch_path(n)), retired):
+            raise RuntimeError(f"could not retire batch {n} of {self.path}")
+        if not fs.rename(jpath(staged), jpath(self._batch_path(n))):
+            fs.rename(retired, jpath(self._batch_path(n)))
+            raise RuntimeError(f"could not install compacted batch {n} of {self.path}")
+        fs.delete(retired, True)
+        for i in ids[:-1]:
+            fs.delete(jpath(self._batch_path(i)), True)
+        return n
 
     def log(self, spark: SparkSession) -> DataFrame:
         """Every written row with its ``batch_id``."""
@@ -53,6 +103,12 @@ class KeyedTable:
         return KeyedTable(out_path, self.keys, self.order, self.columns)
 
 
+def _fs(spark: SparkSession, path: str):
+    """Hadoop file system of ``path`` (works for local, HDFS and object stores)."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
 def append_batch(path: str):
     """``foreachBatch`` sink for an append-only archive partitioned by ``batch_id``."""
     def _write(batch_df: DataFrame, batch_id: int) -> None:
