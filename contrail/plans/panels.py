@@ -218,10 +218,19 @@ def scan_alerts_limit(alerts: DataFrame, n: int = MAX_ALERTS) -> DataFrame:
     return key_ordered_scan(alert_frame(alerts), "row_key", n)
 
 
-def alert_log(alerts: DataFrame) -> DataFrame:
+# The alert table's display headers.
+ALERT_LOG_HEADERS = {
+    "vrate_ms": "V-rate (m/s)",
+    "vrate_fpm": "V-rate (fpm)",
+    "alt_m": "Alt (m)",
+    "alt_ft": "Alt (ft)",
+}
+
+
+def alert_log(alerts: DataFrame, display_headers: bool = False) -> DataFrame:
     """Alert table with severity and unit conversions, newest first, missing times last."""
     a = alert_frame(alerts)
-    return a.select(
+    out = a.select(
         "ts",
         F.date_format(F.timestamp_seconds("ts"), "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
         severity("vrate").alias("severity"),
@@ -231,6 +240,7 @@ def alert_log(alerts: DataFrame) -> DataFrame:
         F.col("altitude").alias("alt_m"),
         to_feet("altitude").alias("alt_ft"),
     ).orderBy(F.desc_nulls_last("ts"), F.asc("icao24"))
+    return out.withColumnsRenamed(ALERT_LOG_HEADERS) if display_headers else out
 
 
 def worst_descent(alerts: DataFrame) -> DataFrame:

@@ -43,6 +43,17 @@ def enriched_stream(source: DataFrame, aircraft: DataFrame, *, value_col: str =
     return enrich(timed, aircraft, strategy=strategy, unique_dimension=unique_dimension)
 
 
+def counted_stream(source: DataFrame, aircraft: DataFrame, *, value_col: str = "value",
+                   watermark: str | None = DEFAULT_WATERMARK, unique_dimension: bool = False) -> DataFrame:
+    """Input of the window aggregate: reports repeated per dimension match, no metadata columns.
+
+    With ``unique_dimension=True`` no join is planned at all (join elimination).
+    """
+    from contrail.operators.enrich import fan_out_by_dimension
+    timed = with_event_time(decode_messages(source, value_col), watermark)
+    return fan_out_by_dimension(timed, aircraft, unique_dimension=unique_dimension)
+
+
 @dataclass
 class ResultTables:
     live: KeyedTable
@@ -94,7 +105,8 @@ def start_pipeline(enriched: DataFrame, out_root: str, checkpoint_root: str, *,
                    fan_out: bool = False, order: Sequence[str] = ARRIVAL_ORDER,
                    state_store: str | None = None,
                    state_partitions: int | None = None,
-                   compact_every: int | None = None) -> dict[str, StreamingQuery]:
+                   compact_every: int | None = None,
+                   agg_input: DataFrame | None = None) -> dict[str, StreamingQuery]:
     """Start the selected queries; returns them by name.
 
     ``state_store="rocksdb"`` keeps the window state in RocksDB (off-heap, spills
@@ -103,6 +115,8 @@ def start_pipeline(enriched: DataFrame, out_root: str, checkpoint_root: str, *,
     ``state_partitions`` (default: the cluster's task slots) sizes the micro-batch
     shuffles and the window state; a checkpoint keeps the value it first started with.
     ``compact_every=k`` folds each table's batch log in place every k batches.
+    ``agg_input`` (see ``counted_stream``) feeds the window aggregate instead of
+    the enriched stream, e.g. to skip the join when dimension keys are unique.
     """
     if state_store == "rocksdb":
         use_rocksdb_state(enriched.sparkSession)
@@ -124,7 +138,7 @@ def start_pipeline(enriched: DataFrame, out_root: str, checkpoint_root: str, *,
 
     live_df = live_rows(enriched)
     if "agg" in queries:
-        _start("agg", _agg_frame(enriched), tables.agg.write_batch, "update")
+        _start("agg", _agg_frame(agg_input if agg_input is not None else enriched), tables.agg.write_batch, "update")
     stateless = [q for q in ("live", "alerts", "enriched") if q in queries]
     if fan_out and stateless:
         writers = {"live": _latest_in_batch(tables.live), "enriched": _latest_in_batch(tables.enriched),

@@ -259,3 +259,11 @@ def test_fan_out_salted_path(spark):
             for i, k in enumerate(["a"] * 30 + ["b", "z", None])]
     f, d = flights_df(spark, rows), aircraft_df(spark, dim)
     assert fan_out_by_dimension(f, d, max_broadcast_rows=0).count() == 30 * 2 + 3
+
+
+def test_alert_log_display_headers(spark):
+    rows = [dict(icao24="a", on_ground=False, vertical_rate=-20.0, baro_altitude=1000.0, last_contact=5, ingestion_ts=9)]
+    log = panels.alert_log(alerts_table(_enriched(spark, rows)), display_headers=True)
+    assert {"V-rate (m/s)", "V-rate (fpm)", "Alt (m)", "Alt (ft)"} <= set(log.columns)
+    r = log.first()
+    assert r["V-rate (fpm)"] == -3937.0 and r["Alt (ft)"] == 3281.0

@@ -192,3 +192,25 @@ def test_pipeline_with_compaction(spark, scratch):
     t = ResultTables.at(f"{scratch}/out")
     assert t.live.batch_ids(spark) == [1, 2]
     assert {r.icao24: r.last_contact for r in t.live.current(spark).collect()} == {"a": 2000, "b": 1990}
+
+
+def test_agg_without_join_when_keys_unique(spark, scratch):
+    from contrail.streaming.pipeline import counted_stream
+    landing = f"{scratch}/landing"
+    _land(landing)
+    src = read_message_files(spark, landing, max_files_per_trigger=1)
+    counted = counted_stream(src, _dim(spark), unique_dimension=True)
+    qs = start_pipeline(enriched_stream(src, _dim(spark)), f"{scratch}/out", f"{scratch}/ck",
+                        queries=("agg",), trigger=AVAILABLE_NOW, agg_input=counted)
+    await_all(qs)
+    cur = {r.window_end: r.flight_count for r in ResultTables.at(f"{scratch}/out").agg.current(spark).collect()}
+    assert cur[1260] == 4
+
+
+def test_published_json_keeps_nulls_and_round_trips(spark):
+    from contrail.sources.messages import to_messages
+    f = flights_df(spark, [dict(icao24="a", callsign="X1", baro_altitude=None, velocity=1.5, on_ground=False)])
+    msg = to_messages(f).first()
+    assert msg.key == "a" and '"baro_altitude":null' in msg.value
+    back = decode_messages(spark.createDataFrame([(msg.value,)], "value string")).first()
+    assert tuple(back) == tuple(f.first())
