@@ -13,8 +13,10 @@ from contrail.functions.scalars import epoch_seconds, round_half
 
 WINDOW_LENGTH = "5 minutes"
 WINDOW_SLIDE = "1 minute"
-# Right-closed altitude bands in metres (above 14000 m is in none).
+# Right-closed altitude bands in metres (above 14000 m is in none)
+# and the dashboard's label of each band, in band order.
 ALTITUDE_EDGES = [0, 3000, 6000, 9000, 10000, 11000, 12000, 14000]
+ALTITUDE_LABELS = ["<3k", "3-6k", "6-9k", "9-10k", "10-11k", "11-12k", ">12k"]
 
 
 def country_window_agg(df: DataFrame, length: str = WINDOW_LENGTH, slide: str = WINDOW_SLIDE) -> DataFrame:
@@ -61,12 +63,14 @@ def altitude_band_counts(df: DataFrame, col: str = "altitude") -> DataFrame:
         .groupBy("band_order").agg(F.count(F.lit(1)).alias("flights"))
     spark = df.sparkSession
     bands = spark.createDataFrame(
-        [(i, band_label(ALTITUDE_EDGES[i], ALTITUDE_EDGES[i + 1]), float(ALTITUDE_EDGES[i]), float(ALTITUDE_EDGES[i + 1]))
+        [(i, band_label(ALTITUDE_EDGES[i], ALTITUDE_EDGES[i + 1]), ALTITUDE_LABELS[i],
+          float(ALTITUDE_EDGES[i]), float(ALTITUDE_EDGES[i + 1]))
          for i in range(len(ALTITUDE_EDGES) - 1)],
-        "band_order int, band string, lo double, hi double")
+        "band_order int, band string, label string, lo double, hi double")
     # Seven fixed rows on the build side: a broadcast of proven size.
     return (bands.join(F.broadcast(counted), "band_order", "left")
-            .select("band_order", "band", "lo", "hi", F.coalesce("flights", F.lit(0)).cast("long").alias("flights")))
+            .select("band_order", "band", "label", "lo", "hi",
+                    F.coalesce("flights", F.lit(0)).cast("long").alias("flights")))
 
 
 def equal_width_histogram(df: DataFrame, col: str, bins: int = 30, count_name: str = "count") -> DataFrame:

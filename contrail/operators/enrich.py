@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DecimalType, MapType, StringType, StructType
 
 from contrail.functions.scalars import DESCENT_THRESHOLD, event_time
 from contrail.schemas import DIMENSION_COLUMNS
 
 DEFAULT_WATERMARK = "2 minutes"
-# Broadcast only a dimension proven to hold at most this many rows
-# (six short strings per row: well under the executors' broadcast budget).
+# Broadcast only a dimension proven to hold at most this many rows and bytes
+# (every executor keeps one copy of the hashed build side).
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 def with_event_time(df: DataFrame, watermark: str | None = DEFAULT_WATERMARK) -> DataFrame:
@@ -22,37 +24,86 @@ def with_event_time(df: DataFrame, watermark: str | None = DEFAULT_WATERMARK) ->
     return out
 
 
-def broadcast_bound_ok(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """True when the dimension has at most ``max_rows`` rows.
+def row_bytes(df: DataFrame) -> Column:
+    """In-memory size of a row: 8-byte slot per field plus the bytes of variable-length values.
 
-    ``limit(max_rows + 1).count()`` stops reading once the bound is exceeded,
-    so the check costs at most ``max_rows + 1`` rows, whatever the table size.
+    Fixed-width values fit their slot; strings and binaries count their bytes,
+    wide decimals 16, nested values the length of their JSON text.
     """
-    return dim.limit(max_rows + 1).count() <= max_rows
+    size = F.lit(8 + 8 * len(df.schema.fields))
+    for f in df.schema.fields:
+        c, t = F.col(f.name), f.dataType
+        if isinstance(t, (StringType, BinaryType)):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(t, DecimalType) and t.precision > 18:
+            size = size + F.lit(16)
+        elif isinstance(t, (ArrayType, MapType, StructType)):
+            size = size + F.coalesce(F.octet_length(F.to_json(c)), F.lit(0))
+    return size
+
+
+def bounded_size(df: DataFrame, max_rows: int) -> tuple[int, int]:
+    """(rows, bytes) of at most ``max_rows + 1`` rows of ``df``, in one job.
+
+    The limit stops every scan task once it has read ``max_rows + 1`` rows, so
+    the check costs the same whatever the table size; only two numbers reach
+    the driver.
+    """
+    limited = df.limit(max_rows + 1)
+    rows, nbytes = limited.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes(limited)), F.lit(0))).first()
+    return int(rows), int(nbytes)
+
+
+def broadcast_bound_ok(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                       max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
+    """True when the dimension has at most ``max_rows`` rows and ``max_bytes`` bytes."""
+    rows, nbytes = bounded_size(dim, max_rows)
+    return rows <= max_rows and nbytes <= max_bytes
 
 
 DEFAULT_SALTS = 16
 
 
+def dimension_rows(aircraft: DataFrame, unique_dimension: bool = False) -> DataFrame:
+    """The six dimension columns; one row per key (chosen deterministically) if ``unique_dimension``."""
+    dim = aircraft.select("icao24", *DIMENSION_COLUMNS)
+    if unique_dimension:
+        # One row per key, chosen deterministically (largest metadata tuple).
+        dim = dim.groupBy("icao24").agg(F.max(F.struct(*DIMENSION_COLUMNS)).alias("m")).select("icao24", "m.*")
+    return dim
+
+
+def join_strategy(aircraft: DataFrame, *, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                  max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+                  unique_dimension: bool = False) -> str:
+    """``broadcast`` if the dimension is within both bounds, else ``salted``.
+
+    Decide once for a static dimension and pass the answer to ``enrich`` when
+    the same plan is built repeatedly (e.g. a stream restarted per chunk).
+    """
+    dim = dimension_rows(aircraft, unique_dimension)
+    return "broadcast" if broadcast_bound_ok(dim, max_broadcast_rows, max_broadcast_bytes) else "salted"
+
+
 def enrich(df: DataFrame, aircraft: DataFrame, *, strategy: str = "auto",
            max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+           max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
            unique_dimension: bool = False, salts: int = DEFAULT_SALTS) -> DataFrame:
     """Left outer equi-join on ``icao24``; unmatched reports keep null metadata.
 
     strategy: ``broadcast`` always hints the dimension (reference behaviour);
-    ``auto`` broadcasts it behind the row-count bound and otherwise uses the
+    ``auto`` broadcasts it behind the row and byte bounds and otherwise uses the
     salted join; ``salted`` spreads every key over ``salts`` tasks (a hot
     aircraft never lands in one task); ``shuffle`` is a plain shuffle join
     (leaves skew to AQE's skew-join split).
     A repeated dimension key fans reports out unless ``unique_dimension``.
     """
-    dim = aircraft.select("icao24", *DIMENSION_COLUMNS)
-    if unique_dimension:
-        # One row per key, chosen deterministically (largest metadata tuple).
-        dim = dim.groupBy("icao24").agg(F.max(F.struct(*DIMENSION_COLUMNS)).alias("m")).select("icao24", "m.*")
-    if strategy == "broadcast" or (strategy == "auto" and broadcast_bound_ok(dim, max_broadcast_rows)):
+    dim = dimension_rows(aircraft, unique_dimension)
+    if strategy == "auto":
+        strategy = "broadcast" if broadcast_bound_ok(dim, max_broadcast_rows, max_broadcast_bytes) else "salted"
+    if strategy == "broadcast":
         return df.join(F.broadcast(dim), on="icao24", how="left")
-    if strategy in ("auto", "salted") and salts > 1:
+    if strategy == "salted" and salts > 1:
         return salted_left_join(df, dim, "icao24", salts)
     return df.join(dim, on="icao24", how="left")
 
@@ -81,6 +132,7 @@ def rapid_descent(df: DataFrame, threshold: float = DESCENT_THRESHOLD) -> DataFr
 
 def fan_out_by_dimension(df: DataFrame, aircraft: DataFrame, *,
                          max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                         max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
                          unique_dimension: bool = False) -> DataFrame:
     """The report rows exactly as the left join would multiply them, without metadata columns.
 
@@ -94,11 +146,11 @@ def fan_out_by_dimension(df: DataFrame, aircraft: DataFrame, *,
     if unique_dimension:
         return df
     keys = aircraft.select("icao24")
-    if broadcast_bound_ok(keys, max_broadcast_rows):
+    if broadcast_bound_ok(keys, max_broadcast_rows, max_broadcast_bytes):
         return df.join(F.broadcast(keys), on="icao24", how="left")
     repeated = (keys.where(F.col("icao24").isNotNull()).groupBy("icao24")
                 .agg(F.count(F.lit(1)).alias("_m")).where(F.col("_m") > 1))
-    if broadcast_bound_ok(repeated, max_broadcast_rows):
+    if broadcast_bound_ok(repeated, max_broadcast_rows, max_broadcast_bytes):
         joined = df.join(F.broadcast(repeated), on="icao24", how="left")
     else:
         joined = salted_left_join(df, repeated, "icao24", DEFAULT_SALTS)

@@ -19,7 +19,7 @@ from contrail.functions.scalars import (
     encode_number, key_head, reverse_epoch, row_key,
 )
 from contrail.operators.aggregate import country_window_agg
-from contrail.operators.enrich import enrich, fan_out_by_dimension, rapid_descent, with_event_time
+from contrail.operators.enrich import enrich, fan_out_by_dimension, join_strategy, rapid_descent, with_event_time
 from contrail.plans import panels
 from contrail.plans.tables import alerts_table, latest_then_enrich, with_agg_key
 from contrail.schemas import DIMENSION_COLUMNS, ENRICHED_COLUMNS, FLIGHT_FIELDS, LIVE_COLUMNS
@@ -269,10 +269,12 @@ def _stream_run(spark, sf, name, build_and_start):
     root = scratch_dir(spark, f"stream_{name}")
     landing, out, ck = f"{root}/landing", f"{root}/out", f"{root}/checkpoints"
     dim = aircraft(spark, sf)
+    # the dimension is static: check its size once, not at every restart
+    strategy = join_strategy(dim)
 
     def run_once():
         source = read_message_files(spark, landing, streaming=True, max_files_per_trigger=None)
-        q = build_and_start(source, dim, out, ck)
+        q = build_and_start(source, dim, out, ck, strategy)
         for query in (q.values() if isinstance(q, dict) else [q]):
             query.awaitTermination()
             if query.exception() is not None:
@@ -286,22 +288,24 @@ AVAILABLE_NOW = {"availableNow": True}
 
 
 def q_src_stream_files(spark, sf):
-    def start(source, dim, out, ck):
+    def start(source, dim, out, ck, strategy):
         return start_archive(decode_messages(source), out, f"{ck}/files", AVAILABLE_NOW)
     out = _stream_run(spark, sf, "files", start)
     return read_archive(spark, out).select(*FLIGHT_FIELDS)
 
 
 def q_stream_enrich(spark, sf):
-    def start(source, dim, out, ck):
-        return start_archive(enriched_stream(source, dim).select(*ENRICHED_FIELDS), out, f"{ck}/enrich", AVAILABLE_NOW)
+    def start(source, dim, out, ck, strategy):
+        enriched_df = enriched_stream(source, dim, strategy=strategy).select(*ENRICHED_FIELDS)
+        return start_archive(enriched_df, out, f"{ck}/enrich", AVAILABLE_NOW)
     out = _stream_run(spark, sf, "enrich", start)
     return read_archive(spark, out).select(*ENRICHED_FIELDS)
 
 
 def _pipeline_query(spark, sf, name):
-    def start(source, dim, out, ck):
-        return start_pipeline(enriched_stream(source, dim), out, ck, queries=(name,), trigger=AVAILABLE_NOW)
+    def start(source, dim, out, ck, strategy):
+        return start_pipeline(enriched_stream(source, dim, strategy=strategy), out, ck, queries=(name,),
+                              trigger=AVAILABLE_NOW)
     out = _stream_run(spark, sf, name, start)
     return getattr(ResultTables.at(out), name).current(spark)
 
@@ -317,8 +321,9 @@ def q_stream_live_snapshot(spark, sf):
 
 def q_stream_pipeline_alerts(spark, sf):
     """All four queries at once (stateless three fanned out of one persisted batch); the alerts table."""
-    def start(source, dim, out, ck):
-        return start_pipeline(enriched_stream(source, dim), out, ck, trigger=AVAILABLE_NOW, fan_out=True)
+    def start(source, dim, out, ck, strategy):
+        return start_pipeline(enriched_stream(source, dim, strategy=strategy), out, ck, trigger=AVAILABLE_NOW,
+                              fan_out=True)
     out = _stream_run(spark, sf, "pipeline", start)
     cur = ResultTables.at(out).alerts.current(spark)
     return cur.select("icao24", "ingestion_ts", "vrate", "alt", "callsign", "operator", "country", "ts", "row_key")

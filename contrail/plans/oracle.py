@@ -159,11 +159,13 @@ FROM k, n"""),
         "COALESCE(NULLIF(callsign, ''), icao24), CAST(round_even(altitude, 0) AS BIGINT), "
         "CAST(round_even(velocity, 0) AS BIGINT), country) AS label FROM airborne"),
     "altitude_bands": _with("""
-, bands AS (SELECT * FROM (VALUES (0, '(0, 3000]', 0.0, 3000.0), (1, '(3000, 6000]', 3000.0, 6000.0),
-    (2, '(6000, 9000]', 6000.0, 9000.0), (3, '(9000, 10000]', 9000.0, 10000.0),
-    (4, '(10000, 11000]', 10000.0, 11000.0), (5, '(11000, 12000]', 11000.0, 12000.0),
-    (6, '(12000, 14000]', 12000.0, 14000.0)) v(band_order, band, lo, hi))
-SELECT CAST(b.band_order AS INTEGER) AS band_order, b.band, CAST(b.lo AS DOUBLE) AS lo, CAST(b.hi AS DOUBLE) AS hi,
+, bands AS (SELECT * FROM (VALUES (0, '(0, 3000]', '<3k', 0.0, 3000.0),
+    (1, '(3000, 6000]', '3-6k', 3000.0, 6000.0), (2, '(6000, 9000]', '6-9k', 6000.0, 9000.0),
+    (3, '(9000, 10000]', '9-10k', 9000.0, 10000.0), (4, '(10000, 11000]', '10-11k', 10000.0, 11000.0),
+    (5, '(11000, 12000]', '11-12k', 11000.0, 12000.0),
+    (6, '(12000, 14000]', '>12k', 12000.0, 14000.0)) v(band_order, band, label, lo, hi))
+SELECT CAST(b.band_order AS INTEGER) AS band_order, b.band, b.label, CAST(b.lo AS DOUBLE) AS lo,
+  CAST(b.hi AS DOUBLE) AS hi,
   CAST((SELECT count(*) FROM airborne a WHERE a.altitude > b.lo AND a.altitude <= b.hi) AS BIGINT) AS flights
 FROM bands b"""),
     "velocity_histogram": _with(_hist("airborne WHERE velocity > 20 AND", "velocity", "flights")

@@ -102,7 +102,11 @@ def test_altitude_bands(spark):
     alts = [0.0, 3000.0, 3000.01, 12000.0, 14000.0, 14000.01]
     rows = [dict(icao24=f"h{i}", latitude=1.0, longitude=1.0, on_ground=False, baro_altitude=a,
                  last_contact=1, ingestion_ts=10) for i, a in enumerate(alts)]
-    bands = {r.band: r.flights for r in panels.altitude_bands(panels.live_airborne(live_table(_enriched(spark, rows)))).collect()}
+    out = panels.altitude_bands(panels.live_airborne(live_table(_enriched(spark, rows)))).orderBy("band_order").collect()
+    assert [r.label for r in out] == ["<3k", "3-6k", "6-9k", "9-10k", "10-11k", "11-12k", ">12k"]
+    assert {r.label: r.flights for r in out} == {"<3k": 1, "3-6k": 1, "6-9k": 0, "9-10k": 0, "10-11k": 0,
+                                                 "11-12k": 1, ">12k": 1}
+    bands = {r.band: r.flights for r in out}
     assert len(bands) == 7
     assert bands["(0, 3000]"] == 1 and bands["(3000, 6000]"] == 1
     assert bands["(11000, 12000]"] == 1 and bands["(12000, 14000]"] == 1
@@ -267,3 +271,25 @@ def test_alert_log_display_headers(spark):
     assert {"V-rate (m/s)", "V-rate (fpm)", "Alt (m)", "Alt (ft)"} <= set(log.columns)
     r = log.first()
     assert r["V-rate (fpm)"] == -3937.0 and r["Alt (ft)"] == 3281.0
+
+
+def test_broadcast_needs_both_row_and_byte_bound(spark):
+    import contextlib
+    import io
+
+    from contrail.operators.enrich import bounded_size, broadcast_bound_ok, join_strategy
+    dim = aircraft_df(spark, [("a", "R" * 1000, "M", "M1", "T", "OpA"), ("b", None, "", "M2", "T", None)])
+    rows, nbytes = bounded_size(dim, 10)
+    # 8 + 8 per field for each row, plus the UTF-8 bytes of every string
+    assert (rows, nbytes) == (2, 2 * (8 + 8 * 6) + (1 + 1000 + 1 + 2 + 1 + 3) + (1 + 2 + 1))
+    assert broadcast_bound_ok(dim, 10, nbytes) and not broadcast_bound_ok(dim, 10, nbytes - 1)
+    assert not broadcast_bound_ok(dim, 1, 10 ** 9)
+    assert join_strategy(dim) == "broadcast" and join_strategy(dim, max_broadcast_bytes=100) == "salted"
+    f = flights_df(spark, [dict(icao24="a", last_contact=1), dict(icao24="c", last_contact=2)])
+    big = enrich(f, dim, max_broadcast_bytes=100)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        big.explain()
+    assert "BroadcastHashJoin" not in buf.getvalue()
+    key = ["icao24", "last_contact", "registration", "operator"]
+    assert sorted(big.select(*key).collect()) == sorted(enrich(f, dim).select(*key).collect())
