@@ -64,6 +64,17 @@ def alerts(spark, sf):
     return alerts_table(enriched(spark, sf))
 
 
+def stored(spark, df, name):
+    """Write a derived table once to the shared scratch folder and read it back.
+
+    For panels that read their input more than once (as the dashboard reads a
+    stored result table), so the upstream aggregate is not computed per read.
+    """
+    path = scratch_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def airborne(spark, sf):
     return panels.live_airborne(live(spark, sf))
 
@@ -207,7 +218,7 @@ def q_heatmap_countries(spark, sf):
 
 
 def q_trend_top_countries(spark, sf):
-    return panels.trend_top_countries(agg(spark, sf))
+    return panels.trend_top_countries(stored(spark, agg(spark, sf), "flights_agg"))
 
 
 def q_scan_agg_limit(spark, sf):

@@ -142,6 +142,7 @@ def trend_top_countries(agg: DataFrame, countries: list[str] | None = None,
     else:
         picked = rows.sparkSession.createDataFrame([(c,) for c in countries], "country string")
     # At most ``choices`` countries on the build side: a broadcast of proven size.
+    # ``agg`` is read twice (ranking, then rows), so pass a stored table, not a plan.
     return rows.join(F.broadcast(picked), "country", "left_semi").orderBy("window_end", "country")
 
 

@@ -57,3 +57,11 @@ def test_descent_filter_pushed_below_join(spark):
     text = plan(E.queries()["rapid_descent_alerts"](spark, SF_SMALL))
     head = text.split("(1) Scan parquet")[0]
     assert head.index("BroadcastHashJoin") < head.rindex("Filter")
+
+
+def test_trend_ranks_and_filters_one_stored_aggregate(spark):
+    # the panel reads its input twice; the query stores the window aggregate once, so
+    # neither read re-runs it over the reports
+    text = plan(E.queries()["trend_top_countries"](spark, SF_SMALL))
+    assert "events.parquet" not in text and "Expand" not in text
+    assert text.count("flights_agg") >= 2
