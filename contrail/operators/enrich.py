@@ -47,11 +47,43 @@ def bounded_size(df: DataFrame, max_rows: int) -> tuple[int, int]:
 
     The limit stops every scan task once it has read ``max_rows + 1`` rows, so
     the check costs the same whatever the table size; only two numbers reach
-    the driver.
+    the driver. A file-backed input is measured once per version of its files
+    (see ``_file_versions``); every plan built over it afterwards reuses that.
     """
+    versions = _file_versions(df)
+    key = (df.semanticHash(), max_rows, versions) if versions else None
+    if key in _MEASURED:
+        return _MEASURED[key]
     limited = df.limit(max_rows + 1)
     rows, nbytes = limited.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes(limited)), F.lit(0))).first()
-    return int(rows), int(nbytes)
+    size = (int(rows), int(nbytes))
+    if key is not None:
+        _MEASURED[key] = size
+    return size
+
+
+# (plan hash, row bound, file versions) -> measured (rows, bytes)
+_MEASURED: dict[tuple, tuple[int, int]] = {}
+MAX_VERSIONED_FILES = 1000
+
+
+def _file_versions(df: DataFrame) -> tuple | None:
+    """(path, length, modification time) of every input file, or None if not file-backed.
+
+    Any rewritten, added or removed file changes this, so a remembered size is
+    only reused while the files it was measured on are unchanged.
+    """
+    files = df.inputFiles()
+    if not files or len(files) > MAX_VERSIONED_FILES:
+        return None
+    spark = df.sparkSession
+    conf = spark._jsc.hadoopConfiguration()
+    out = []
+    for f in sorted(files):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f)
+        st = path.getFileSystem(conf).getFileStatus(path)
+        out.append((f, int(st.getLen()), int(st.getModificationTime())))
+    return tuple(out)
 
 
 def broadcast_bound_ok(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,

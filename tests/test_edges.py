@@ -293,3 +293,17 @@ def test_broadcast_needs_both_row_and_byte_bound(spark):
     assert "BroadcastHashJoin" not in buf.getvalue()
     key = ["icao24", "last_contact", "registration", "operator"]
     assert sorted(big.select(*key).collect()) == sorted(enrich(f, dim).select(*key).collect())
+
+
+def test_size_check_remembered_per_file_version(spark, scratch):
+    from contrail.operators.enrich import _MEASURED, bounded_size
+    path = f"{scratch}/dim"
+    aircraft_df(spark, [("a", "R", "M", "M1", "T", "OpA")]).write.parquet(path)
+    first = bounded_size(spark.read.parquet(path), 10)
+    known = len(_MEASURED)
+    assert bounded_size(spark.read.parquet(path), 10) == first and len(_MEASURED) == known
+    aircraft_df(spark, [("b", "R", "M", "M1", "T", "OpB")]).write.mode("append").parquet(path)
+    assert bounded_size(spark.read.parquet(path), 10)[0] == 2 and len(_MEASURED) == known + 1
+    # in-memory rows have no files to version: measured every time, never remembered
+    bounded_size(aircraft_df(spark, [("c", "R", "M", "M1", "T", "OpC")]), 10)
+    assert len(_MEASURED) == known + 1
