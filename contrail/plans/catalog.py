@@ -308,7 +308,7 @@ def q_src_stream_files(spark, sf):
 def q_stream_enrich(spark, sf):
     def start(source, dim, out, ck, strategy):
         enriched_df = enriched_stream(source, dim, strategy=strategy).select(*ENRICHED_FIELDS)
-        return start_archive(enriched_df, out, f"{ck}/enrich", AVAILABLE_NOW)
+        return start_archive(enriched_df, out, f"{ck}/enrich", AVAILABLE_NOW, date_from="last_contact")
     out = _stream_run(spark, sf, "enrich", start)
     return read_archive(spark, out).select(*ENRICHED_FIELDS)
 

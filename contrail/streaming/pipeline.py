@@ -171,12 +171,16 @@ def use_rocksdb_state(spark: SparkSession) -> None:
 
 
 def start_archive(df: DataFrame, out_path: str, checkpoint: str, trigger: dict | None = None,
-                  partitions: int | None = None) -> StreamingQuery:
-    """Append-only archive of every row (e.g. every enriched report)."""
+                  partitions: int | None = None, date_from: str | None = None) -> StreamingQuery:
+    """Append-only archive of every row (e.g. every enriched report).
+
+    ``date_from="last_contact"`` partitions it by report date (then batch) for
+    partition pruning on time ranges.
+    """
     spark = df.sparkSession
     with session_conf(spark, **{"spark.sql.shuffle.partitions": partitions or stream_partitions(spark)}):
         return (df.writeStream.trigger(**(trigger or DEFAULT_TRIGGER)).option("checkpointLocation", checkpoint)
-                .foreachBatch(append_batch(out_path)).start())
+                .foreachBatch(append_batch(out_path, date_from)).start())
 
 
 def await_all(queries) -> None:

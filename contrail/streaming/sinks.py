@@ -109,23 +109,39 @@ def _fs(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
 
-def append_batch(path: str):
-    """``foreachBatch`` sink for an append-only archive partitioned by ``batch_id``."""
+def append_batch(path: str, date_from: str | None = None):
+    """``foreachBatch`` sink for an append-only archive.
+
+    Partitioned by ``batch_id``; with ``date_from`` (an epoch-second column) by
+    ``date`` and then ``batch_id``, so a time-range read opens only the folders
+    of its dates. Either way a replayed batch overwrites exactly the folders it
+    wrote before (dynamic partition overwrite), never another batch's rows.
+    """
+    root = path.rstrip("/")
+
     def _write(batch_df: DataFrame, batch_id: int) -> None:
-        _write_once(batch_df, f"{path.rstrip('/')}/{BATCH_COLUMN}={int(batch_id)}")
+        if date_from is None:
+            _write_once(batch_df, f"{root}/{BATCH_COLUMN}={int(batch_id)}")
+        else:
+            dated = with_date_partition(batch_df, date_from).withColumn(BATCH_COLUMN, F.lit(int(batch_id)))
+            _write_once(dated, root, partition_by=("date", BATCH_COLUMN))
     return _write
 
 
-def _write_once(df: DataFrame, path: str) -> None:
+def _write_once(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Write a micro-batch unless it is empty, computing it only once.
 
     The emptiness check and the write are two actions; persisting the batch
     keeps the source from being read (and a stateful plan from running) twice.
+    With ``partition_by`` only the partitions present in this batch are replaced.
     """
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if not cached.isEmpty():
-            cached.write.mode("overwrite").parquet(path)
+            writer = cached.write.mode("overwrite")
+            if partition_by:
+                writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+            writer.parquet(path)
     finally:
         cached.unpersist()
 

@@ -214,3 +214,25 @@ def test_published_json_keeps_nulls_and_round_trips(spark):
     assert msg.key == "a" and '"baro_altitude":null' in msg.value
     back = decode_messages(spark.createDataFrame([(msg.value,)], "value string")).first()
     assert tuple(back) == tuple(f.first())
+
+
+def test_date_archive_prunes_by_date_and_replays_idempotently(spark, scratch):
+    import contextlib
+    import io
+    rows = [dict(icao24="a", last_contact=10), dict(icao24="b", last_contact=2 * 86400 + 5),
+            dict(icao24="c", last_contact=None)]
+    batch = flights_df(spark, rows)
+    sink = append_batch(f"{scratch}/arch", date_from="last_contact")
+    sink(batch, 0)
+    sink(batch.where(F.col("icao24") == "b"), 1)
+    sink(batch, 0)  # a replayed batch rewrites its own folders only
+    sink(batch.where(F.lit(False)), 2)  # an empty batch writes nothing
+    arch = read_archive(spark, f"{scratch}/arch")
+    assert sorted(r.icao24 for r in arch.collect()) == ["a", "b", "b", "c"]
+    assert not any("batch_id=2" in d for _, dirs, _ in os.walk(f"{scratch}/arch") for d in dirs)
+    day = arch.where(F.col("date") == F.lit("1970-01-03").cast("date"))
+    assert sorted(r.icao24 for r in day.collect()) == ["b", "b"]
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        day.explain()
+    assert "PartitionFilters: [isnotnull(date" in buf.getvalue()
