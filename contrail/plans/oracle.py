@@ -106,6 +106,13 @@ ENRICHED_SELECT = f"SELECT {FLIGHT_COLS}, {DIM_COLS} FROM enriched"
 AGG_SELECT = "SELECT country, window_start, window_end, flight_count, avg_alt, max_alt, avg_velocity FROM agg"
 LIVE_SELECT = "SELECT * FROM live"
 
+# Keyed publish: the message as JSON text, fields in schema order, nulls kept.
+# DuckDB and Spark write the same text for this data's numbers; they would
+# differ for doubles printed in exponent form (Spark 1.0E7, DuckDB 10000000.0).
+KEYED_JSON = (
+    "SELECT icao24 AS key, CAST(to_json({" + ", ".join(f"'{c}': {c}" for c in FLIGHT_COLS.split(", "))
+    + f"}}) AS VARCHAR) AS value FROM ({FLIGHTS_SQL})")
+
 ORACLE: dict[str, str] = {
     "json_decode": f"SELECT {FLIGHT_COLS} FROM ({FLIGHTS_SQL})",
     "src_snapshot_decode": f"SELECT {FLIGHT_COLS} FROM ({FLIGHTS_SQL})",
@@ -119,6 +126,7 @@ ORACLE: dict[str, str] = {
         f"SELECT icao24, last_contact, last_contact AS event_epoch, "
         f"strftime(epoch_ms(last_contact * 1000), '%Y-%m-%d %H:%M:%S') AS event_text FROM ({FLIGHTS_SQL})"),
     "messages_per_poll": f"SELECT ingestion_ts, count(*) AS sent FROM ({FLIGHTS_SQL}) GROUP BY ingestion_ts",
+    "sink_keyed_json": KEYED_JSON,
     "scalar_clean": (
         "SELECT COALESCE(NULLIF(icao24, ''), 'unknown') AS key, "
         "' ' || chr(9) || callsign || '  ' || chr(10) AS callsign_raw, "
