@@ -133,11 +133,13 @@ def _write_once(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
 
     The emptiness check and the write are two actions; persisting the batch
     keeps the source from being read (and a stateful plan from running) twice.
+    The check is a ``count``: one parallel job that fills the cache the write
+    then reads (``isEmpty`` would probe partitions in growing serial rounds).
     With ``partition_by`` only the partitions present in this batch are replaced.
     """
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if not cached.isEmpty():
+        if cached.count() > 0:
             writer = cached.write.mode("overwrite")
             if partition_by:
                 writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
