@@ -141,16 +141,28 @@ def start_pipeline(enriched: DataFrame, out_root: str, checkpoint_root: str, *,
         _start("agg", _agg_frame(agg_input if agg_input is not None else enriched), tables.agg.write_batch, "update")
     stateless = [q for q in ("live", "alerts", "enriched") if q in queries]
     if fan_out and stateless:
-        writers = {"live": _latest_in_batch(tables.live), "enriched": _latest_in_batch(tables.enriched),
-                   "alerts": _latest_in_batch(tables.alerts)}
+        per_aircraft = [q for q in ("live", "enriched") if q in stateless]
+        write_alerts = _latest_in_batch(tables.alerts)
 
         def _fan(batch_df: DataFrame, batch_id: int) -> None:
             cached = batch_df.persist(StorageLevel.MEMORY_AND_DISK)
+            latest = None
             try:
-                for q in stateless:
-                    frame = _alerts_frame(cached, extra) if q == "alerts" else live_rows(cached)
-                    writers[q](frame, batch_id)
+                if per_aircraft:
+                    # One latest-per-aircraft reduction serves both per-aircraft tables:
+                    # the enriched record is a projection of the live row, so both show
+                    # the same last report.
+                    t = tables.live
+                    latest = latest_by_key(live_rows(cached), t.keys, list(t.order),
+                                           [c for c in t.columns if c not in t.keys])
+                    latest = latest.persist(StorageLevel.MEMORY_AND_DISK)
+                    for q in per_aircraft:
+                        getattr(tables, q).write_batch(latest, batch_id)
+                if "alerts" in stateless:
+                    write_alerts(_alerts_frame(cached, extra), batch_id)
             finally:
+                if latest is not None:
+                    latest.unpersist()
                 cached.unpersist()
         _start("fanout", enriched, _fan)
     else:
