@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from contrail.functions.scalars import clean_callsign
 from contrail.schemas import FLIGHT_SCHEMA, STATE_SLOTS, STATE_WIDTH
@@ -20,19 +21,32 @@ REPLAY_SCHEMA = "array<array<string>>"
 DEFAULT_CHUNK_ROWS = 5000
 
 
-def _json_text(c: Column) -> Column:
-    """JSON text of one scalar (``"abc"``, ``1.5``, ``false``, ``null``)."""
-    return F.regexp_extract(F.to_json(F.array(c)), r"^\[(.*)\]$", 1)
+def _json_text(c: Column, quoted: bool) -> Column:
+    """JSON text of one scalar (``"abc"``, ``1.5``, ``false``, ``null``).
+
+    Only strings need JSON quoting and escaping (``to_json`` of a one-element
+    array, brackets cut off); numbers and booleans print as Spark casts them,
+    which parses back to the same value.
+    """
+    if quoted:
+        arr = F.to_json(F.array(c))
+        return arr.substr(F.lit(2), F.length(arr) - 2)
+    return F.coalesce(c.cast("string"), F.lit("null"))
 
 
 def state_vectors(df: DataFrame) -> DataFrame:
     """Flight rows -> one positional state array (JSON text) per row."""
     slot_of = {v: k for k, v in STATE_SLOTS.items()}
-    filler = {12: F.lit(None).cast("string"), 15: F.lit(False), 16: F.lit(0)}
+    types = {f.name: f.dataType for f in FLIGHT_SCHEMA.fields}
+    filler = {12: (F.lit(None).cast("string"), True), 15: (F.lit(False), False), 16: (F.lit(0), False)}
     elems = []
     for i in range(STATE_WIDTH):
-        c = F.col(slot_of[i]) if i in slot_of else filler[i]
-        elems.append(_json_text(c))
+        if i in slot_of:
+            name = slot_of[i]
+            c, quoted = F.col(name), isinstance(types[name], StringType)
+        else:
+            c, quoted = filler[i]
+        elems.append(_json_text(c, quoted))
     return df.select("*", F.concat(F.lit("["), F.concat_ws(",", *elems), F.lit("]")).alias("state_json"))
 
 

@@ -307,3 +307,23 @@ def test_size_check_remembered_per_file_version(spark, scratch):
     # in-memory rows have no files to version: measured every time, never remembered
     bounded_size(aircraft_df(spark, [("c", "R", "M", "M1", "T", "OpC")]), 10)
     assert len(_MEASURED) == known + 1
+
+
+def test_state_vector_round_trip_of_awkward_values(spark):
+    from contrail.sources.snapshot import snapshot_documents
+    rnd = random.Random(11)
+    texts = ['say "hi"', "back\\slash", " tab\tand\nline ", "ünïcødé", "", None, "x" * 40]
+    nums = [0.0, -0.0, 1e-5, 1.5e20, -123.456, 1e7, 2.0 / 3, None]
+    longs = [None, 0, 1, 2 ** 40]
+    rows = [dict(icao24=f"k{i}", callsign=rnd.choice(texts), origin_country=rnd.choice(texts),
+                 time_position=rnd.choice(longs), last_contact=rnd.choice(longs), longitude=rnd.choice(nums),
+                 latitude=rnd.choice(nums), baro_altitude=rnd.choice(nums), on_ground=rnd.choice([True, False, None]),
+                 velocity=rnd.choice(nums), true_track=rnd.choice(nums), vertical_rate=rnd.choice(nums),
+                 geo_altitude=rnd.choice(nums), squawk=rnd.choice(texts), ingestion_ts=rnd.choice([10, 20]))
+            for i in range(300)]
+    back = {r.icao24: r.asDict() for r in decode_snapshot(snapshot_documents(flights_df(spark, rows))).collect()}
+    assert len(back) == len(rows)
+    for want in rows:
+        got = back[want["icao24"]]
+        want = dict(want, callsign=(want["callsign"] or "").strip(" \t\n"))
+        assert got == want
