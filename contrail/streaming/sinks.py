@@ -60,8 +60,12 @@ class KeyedTable:
 
         The folded rows are the current view up to ``upto``, so later batches
         still win and the view is unchanged; reads then scan one folder per
-        compaction instead of the whole history. The result is written to an
-        ignored ``_``-prefixed folder first and swapped in by renames.
+        compaction instead of the whole history. The fold is written to an
+        ignored ``_``-prefixed folder, its files are moved into batch ``upto``,
+        and only then are the older folders deleted. The folded rows repeat rows
+        the log already holds, so the view is the same after every single step:
+        a driver lost midway leaves a correct table (with some old folders left,
+        which the next compaction folds again).
         """
         ids = [i for i in self.batch_ids(spark) if upto is None or i <= upto]
         if len(ids) <= 1:
@@ -75,13 +79,14 @@ class KeyedTable:
         folded.write.mode("overwrite").parquet(staged)
         fs, _ = _fs(spark, self.path)
         jpath = spark._jvm.org.apache.hadoop.fs.Path
-        retired = jpath(f"{self.path.rstrip('/')}/_retired-{n}-{tag}")
-        if not fs.rename(jpath(self._batch_path(n)), retired):
-            raise RuntimeError(f"could not retire batch {n} of {self.path}")
-        if not fs.rename(jpath(staged), jpath(self._batch_path(n))):
-            fs.rename(retired, jpath(self._batch_path(n)))
-            raise RuntimeError(f"could not install compacted batch {n} of {self.path}")
-        fs.delete(retired, True)
+        target = self._batch_path(n)
+        for st in fs.listStatus(jpath(staged)):
+            name = st.getPath().getName()
+            if name.startswith(("_", ".")):
+                continue
+            if not fs.rename(st.getPath(), jpath(f"{target}/compact-{tag}-{name}")):
+                raise RuntimeError(f"could not move {name} into batch {n} of {self.path}")
+        fs.delete(jpath(staged), True)
         for i in ids[:-1]:
             fs.delete(jpath(self._batch_path(i)), True)
         return n

@@ -255,3 +255,42 @@ def test_fan_out_per_aircraft_tables_show_the_same_report(spark, scratch):
     live, enr = t.live.current(spark).collect(), t.enriched.current(spark).collect()
     assert len(live) == len(enr) == 1
     assert (live[0].geo_altitude, live[0].velocity) == (2.0, 1.0) and enr[0].velocity == 1.0
+
+
+class _CrashingFs:
+    """A file system that fails (as a lost driver would stop) at one kind of step."""
+
+    def __init__(self, fs, step):
+        self.fs, self.step = fs, step
+
+    def __getattr__(self, name):
+        return getattr(self.fs, name)
+
+    def rename(self, src, dst):
+        if self.step == "rename":
+            raise RuntimeError("lost while moving the fold")
+        return self.fs.rename(src, dst)
+
+    def delete(self, path, recursive):
+        if self.step == "delete" and "batch_id=" in path.toString():
+            raise RuntimeError("lost while dropping old batches")
+        return self.fs.delete(path, recursive)
+
+
+@pytest.mark.parametrize("step", ["rename", "delete"])
+def test_compaction_interrupted_at_any_step_keeps_the_view(spark, scratch, monkeypatch, step):
+    import contrail.streaming.sinks as sinks
+    t = KeyedTable(f"{scratch}/t", ["icao24"], ("last_contact",))
+    for b in range(4):
+        rows = [dict(icao24=k, last_contact=b * 10 + j) for j, k in enumerate(["a", "b", f"k{b}"])]
+        t.write_batch(flights_df(spark, rows), b)
+    before = sorted(t.current(spark).collect())
+    real = sinks._fs
+    monkeypatch.setattr(sinks, "_fs", lambda s, p: (_CrashingFs(real(s, p)[0], step), real(s, p)[1]))
+    with pytest.raises(RuntimeError):
+        t.compact_in_place(spark, upto=2)
+    monkeypatch.undo()
+    assert sorted(t.current(spark).collect()) == before
+    assert t.compact_in_place(spark, upto=2) == 2  # the next compaction completes the job
+    assert t.batch_ids(spark) == [2, 3]
+    assert sorted(t.current(spark).collect()) == before
