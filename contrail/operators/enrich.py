@@ -74,9 +74,9 @@ def _file_versions(df: DataFrame) -> tuple | None:
     only reused while the files it was measured on are unchanged.
     """
     files = df.inputFiles()
-    if not files or len(files) > MAX_VERSIONED_FILES:
-        return None
     spark = df.sparkSession
+    if not files or len(files) > MAX_VERSIONED_FILES or getattr(spark, "_jsc", None) is None:
+        return None  # nothing to version (or no JVM gateway, e.g. Spark Connect): always measure
     conf = spark._jsc.hadoopConfiguration()
     out = []
     for f in sorted(files):
