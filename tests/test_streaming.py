@@ -294,3 +294,18 @@ def test_compaction_interrupted_at_any_step_keeps_the_view(spark, scratch, monke
     assert t.compact_in_place(spark, upto=2) == 2  # the next compaction completes the job
     assert t.batch_ids(spark) == [2, 3]
     assert sorted(t.current(spark).collect()) == before
+
+
+def test_dashboard_refresh_equals_panels_over_the_tables(spark, scratch):
+    from contrail.plans import panels
+    from contrail.plans.dashboard import PANELS, panel_frames, refresh
+    t, _ = _run(spark, scratch, queries=("live", "agg", "alerts", "enriched"), fan_out=True)
+    direct = panel_frames(t.live.current(spark), t.agg.current(spark), t.alerts.current(spark))
+    with refresh(spark, t) as p:
+        assert sorted(p) == sorted(PANELS)
+        for name in PANELS:
+            assert sorted(p[name].collect()) == sorted(direct[name].collect()), name
+        kpi = p["kpi_summary"].first()
+        assert kpi.airborne == p["live_airborne"].count() and kpi.alerts_total == p["alert_log"].count() > 0
+    assert panels.top_countries(t.agg.current(spark)).count() == 1
+    assert not spark.sparkContext._jsc.getPersistentRDDs()  # released
