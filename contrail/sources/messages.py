@@ -13,14 +13,19 @@ from pyspark.sql.types import StringType, StructField, StructType
 from contrail.schemas import FLIGHT_FIELDS, FLIGHT_SCHEMA
 
 CORRUPT_COLUMN = "_corrupt_record"
+# Fixed value: the original deployment's cap on records read per trigger.
+SMALL_DEPLOYMENT_MAX_OFFSETS = 5000
 
 
 def read_kafka(spark: SparkSession, bootstrap_servers: str, topic: str, *,
                starting_offsets: str = "latest", fail_on_data_loss: bool = False,
-               max_offsets_per_trigger: int | None = 5000, streaming: bool = True) -> DataFrame:
+               max_offsets_per_trigger: int | None = None, streaming: bool = True) -> DataFrame:
     """Subscribe to one topic (needs the spark-sql-kafka connector on the classpath).
 
     Keeps ``partition``/``offset`` so arrival order can order the latest-state table.
+    ``max_offsets_per_trigger`` caps a micro-batch (``SMALL_DEPLOYMENT_MAX_OFFSETS``
+    reproduces the original setting); uncapped by default, since a fixed cap
+    below the arrival rate makes the stream fall further behind every trigger.
     """
     reader = (spark.readStream if streaming else spark.read).format("kafka")
     reader = (reader.option("kafka.bootstrap.servers", bootstrap_servers)
