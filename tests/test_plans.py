@@ -65,3 +65,13 @@ def test_trend_ranks_and_filters_one_stored_aggregate(spark):
     text = plan(E.queries()["trend_top_countries"](spark, SF_SMALL))
     assert "events.parquet" not in text and "Expand" not in text
     assert text.count("flights_agg") >= 2
+
+
+@pytest.mark.parametrize("name", ["events", "customer"])
+def test_declared_table_columns_match_the_files(spark, name):
+    from pyspark.sql.types import _parse_datatype_string
+
+    from contrail.fixtures import TABLE_COLUMNS
+    inferred = {f.name: f.dataType for f in spark.read.parquet(f"{SF_SMALL}/{name}.parquet").schema.fields}
+    for field in _parse_datatype_string(TABLE_COLUMNS[name]).fields:
+        assert inferred[field.name] == field.dataType, field.name
