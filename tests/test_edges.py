@@ -327,3 +327,89 @@ def test_state_vector_round_trip_of_awkward_values(spark):
         got = back[want["icao24"]]
         want = dict(want, callsign=(want["callsign"] or "").strip(" \t\n"))
         assert got == want
+
+
+def _random_reports(seed, n=400):
+    rnd = random.Random(seed)
+    keys = ["a", "b", "c", "d", "", None]
+    rows = []
+    for i in range(n):
+        rows.append(dict(
+            icao24=rnd.choice(keys), callsign=f"C{i}", origin_country=rnd.choice(["US", "FR", "", None]),
+            last_contact=rnd.choice([None] + list(range(0, 900, 7))), ingestion_ts=rnd.choice([None, 10, 20, 30]),
+            baro_altitude=rnd.choice([None, 0.0, 1500.5, 9000.0, 12500.25]), velocity=rnd.choice([None, 0.0, 180.0, 250.5]),
+            vertical_rate=rnd.choice([None, -40.0, -30.0, -15.0, -15.5, 3.0]), on_ground=rnd.choice([True, False, None]),
+            latitude=1.0, longitude=2.0))
+    dim = [("a", "R1", "M", "M1", "T", "OpA"), ("a", "R2", "M", "M2", "T", "OpB"), ("b", "R3", "", "M3", "T", None),
+           ("", "R4", "X", "M4", "T", "OpE")]
+    return rows, dim
+
+
+def _joined(rows, dim):
+    """Left join on icao24 (null matches nothing; a repeated key fans out)."""
+    out = []
+    for r in rows:
+        hits = [d for d in dim if r["icao24"] is not None and d[0] == r["icao24"]]
+        for d in hits or [(None,) * 6]:
+            out.append(dict(r, registration=d[1], manufacturername=d[2], model=d[3], typecode=d[4], operator=d[5]))
+    return out
+
+
+def test_window_aggregate_matches_brute_force(spark):
+    rows, dim = _random_reports(3)
+    groups = {}
+    for r in _joined(rows, dim):
+        if r["origin_country"] is None or r["last_contact"] is None:
+            continue
+        for k in range(5):
+            start = r["last_contact"] // 60 * 60 - 60 * k
+            groups.setdefault((r["origin_country"], start), []).append(r)
+
+    def mean(xs):
+        xs = [x for x in xs if x is not None]
+        return sum(xs) / len(xs) if xs else 0.0
+    want = {}
+    for (c, start), g in groups.items():
+        alts = [x["baro_altitude"] for x in g if x["baro_altitude"] is not None]
+        want[(c, start)] = (len(g), mean(alts), max(alts) if alts else 0.0, mean([x["velocity"] for x in g]))
+    got = {(r.country, r.window_start): (r.flight_count, r.avg_alt, r.max_alt, r.avg_velocity)
+           for r in country_window_agg(_enriched(spark, rows, dim)).collect()}
+    assert set(got) == set(want)
+    for key, (n, avg_alt, max_alt, avg_vel) in want.items():
+        g = got[key]
+        assert g[0] == n and abs(g[1] - avg_alt) < 0.006 and g[2] == round(max_alt, 2) and abs(g[3] - avg_vel) < 0.006
+
+
+def test_live_and_alert_tables_match_brute_force(spark):
+    from contrail.plans.tables import latest_then_enrich
+    from contrail.schemas import LIVE_COLUMNS
+    rows, dim = _random_reports(5)
+    joined = _joined(rows, dim)
+
+    def order(r):  # arrival: poll, then report time (missing values first)
+        return tuple((v is not None, v or 0) for v in (r["ingestion_ts"], r["last_contact"]))
+    by_key = {}
+    for r in joined:
+        by_key.setdefault(r["icao24"] or "unknown", []).append(r)
+    f, d = flights_df(spark, rows), aircraft_df(spark, dim)
+    live = {r.icao24: r for r in latest_then_enrich(f, d, LIVE_COLUMNS).collect()}
+    assert set(live) == set(by_key)
+    for k, g in by_key.items():
+        # the latest arrival; on an exact tie (or a repeated dimension key) any tied row may win
+        top = max(order(r) for r in g)
+        tied = [r for r in g if order(r) == top]
+        assert (live[k].ingestion_ts, live[k].last_contact) == (tied[0]["ingestion_ts"], tied[0]["last_contact"])
+        assert (live[k].callsign, live[k].operator) in {(r["callsign"], r["operator"]) for r in tied}
+
+    alerts = {}
+    for r in joined:
+        if r["on_ground"] is False and r["vertical_rate"] is not None and r["vertical_rate"] < -15:
+            k = (r["icao24"] or "unknown", r["ingestion_ts"] or 0)
+            alerts.setdefault(k, []).append(r)
+    got = {(r.icao24, r.ingestion_ts): r for r in alerts_table(_enriched(spark, rows, dim)).collect()}
+    assert set(got) == set(alerts)
+    for k, g in alerts.items():
+        latest = max((x["last_contact"] is not None, x["last_contact"] or 0) for x in g)
+        assert (got[k].ts, got[k].row_key) == (k[1], f"{k[0]}|{9999999999 - k[1]}")
+        assert any((x["last_contact"] is not None, x["last_contact"] or 0) == latest
+                   and x["vertical_rate"] == got[k].vrate for x in g)
