@@ -67,12 +67,15 @@ def decode_messages(df: DataFrame, value_col: str = "value", *, keep: tuple[str,
     return parsed.select(*keep, "d.*")
 
 
-def to_messages(df: DataFrame) -> DataFrame:
-    """Keyed JSON publish form: ``key`` = icao24, ``value`` = the message with nulls kept."""
+def to_messages(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Keyed JSON publish form: ``key`` = icao24, ``value`` = the message with nulls kept.
+
+    ``keep`` carries further columns alongside (they are not part of the message)."""
     fields = [c for c in FLIGHT_FIELDS if c in df.columns]
     return df.select(
         F.col("icao24").alias("key"),
         F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"),
+        *[F.col(c) for c in keep],
     )
 
 

@@ -226,14 +226,34 @@ def time_chunks(df: DataFrame, n: int, col: str = "last_contact") -> list[tuple[
 def replay_in_batches(spark: SparkSession, flights: DataFrame, landing: str, n_batches: int, run_once) -> None:
     """Land ``flights`` as JSON messages in time-ordered chunks and run the stream after each.
 
-    Every chunk is written in parallel; ``run_once()`` runs the query with an
-    ``availableNow`` trigger from its checkpoint, so chunk k is micro-batch k
-    and the watermark advances exactly as a live feed of the same data would.
+    All chunks are written in one parallel pass, partitioned by chunk number,
+    to a staging folder beside ``landing``; before each run the next chunk's
+    files are moved into ``landing`` (renames only), so the reports are read
+    once however many chunks there are. ``run_once()`` runs the query with an
+    ``availableNow`` trigger from its checkpoint, so chunk k is micro-batch k and
+    the watermark advances exactly as a live feed of the same data would.
     """
     from contrail.sources.messages import to_messages
-    for i, (lo, hi) in enumerate(time_chunks(flights, n_batches)):
-        in_range = (F.col("last_contact") >= lo) & (F.col("last_contact") < hi)
-        # reports without a time ride along with the first chunk
-        chunk = flights.where(in_range | F.col("last_contact").isNull() if i == 0 else in_range)
-        land_messages(to_messages(chunk), landing)
+    from contrail.streaming.sinks import _fs
+    bounds = time_chunks(flights, n_batches)
+    if not bounds:
+        return
+    lo, step = bounds[0][0], bounds[0][1] - bounds[0][0]
+    lc = F.col("last_contact")
+    # reports without a time ride along with the first chunk
+    chunk = F.when(lc.isNull(), F.lit(0)).otherwise(F.floor((lc - F.lit(lo)) / F.lit(step))).cast("int")
+    staged = f"{landing.rstrip('/')}-staged"
+    (to_messages(flights.withColumn("chunk", chunk), keep=("chunk",)).select("value", "chunk")
+     .write.mode("overwrite").partitionBy("chunk").text(staged))
+    fs, _ = _fs(spark, staged)
+    jpath = spark._jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(jpath(landing))
+    for i in range(len(bounds)):
+        src = jpath(f"{staged}/chunk={i}")
+        for st in (fs.listStatus(src) if fs.exists(src) else []):
+            name = st.getPath().getName()
+            if name.startswith(("_", ".")):
+                continue
+            if not fs.rename(st.getPath(), jpath(f"{landing.rstrip('/')}/chunk{i}-{name}")):
+                raise RuntimeError(f"could not land {name} of chunk {i}")
         run_once()
