@@ -76,13 +76,14 @@ def altitude_band_counts(df: DataFrame, col: str = "altitude") -> DataFrame:
 def equal_width_histogram(df: DataFrame, col: str, bins: int = 30, count_name: str = "count") -> DataFrame:
     """``bins`` equal-width bins between min and max of ``col`` (non-empty bins only).
 
-    min and max come from a scalar subquery (``DataFrame.scalar``), so the whole
-    thing is one lazy plan: two aggregates, no driver round trip, no join.
+    min and max come from one scalar subquery (``DataFrame.scalar``, run once
+    however often it is referenced), so the whole thing is one lazy plan: two
+    aggregates, no driver round trip, no join.
     """
     x = F.col(col)
     vals = df.where(x.isNotNull()).select(x.alias("x"))
-    lo = vals.select(F.min("x")).scalar()
-    hi = vals.select(F.max("x")).scalar()
+    bounds = vals.select(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
+    lo, hi = bounds.getField("lo"), bounds.getField("hi")
     width = (hi - lo) / F.lit(float(bins))
     raw = F.floor(F.try_divide(F.col("x") - lo, width))
     b = F.when(hi == lo, F.lit(0)).otherwise(F.least(raw, F.lit(bins - 1))).cast("int")
