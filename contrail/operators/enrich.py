@@ -79,10 +79,13 @@ def _file_versions(df: DataFrame) -> tuple | None:
         return None  # nothing to version (or no JVM gateway, e.g. Spark Connect): always measure
     conf = spark._jsc.hadoopConfiguration()
     out = []
-    for f in sorted(files):
-        path = spark._jvm.org.apache.hadoop.fs.Path(f)
-        st = path.getFileSystem(conf).getFileStatus(path)
-        out.append((f, int(st.getLen()), int(st.getModificationTime())))
+    try:
+        for f in sorted(files):
+            path = spark._jvm.org.apache.hadoop.fs.Path(f)
+            st = path.getFileSystem(conf).getFileStatus(path)
+            out.append((f, int(st.getLen()), int(st.getModificationTime())))
+    except Exception:  # noqa: BLE001 - a file gone or unreadable: measure afresh, remember nothing
+        return None
     return tuple(out)
 
 
