@@ -413,3 +413,18 @@ def test_live_and_alert_tables_match_brute_force(spark):
         assert (got[k].ts, got[k].row_key) == (k[1], f"{k[0]}|{9999999999 - k[1]}")
         assert any((x["last_contact"] is not None, x["last_contact"] or 0) == latest
                    and x["vertical_rate"] == got[k].vrate for x in g)
+
+
+def test_salted_join_spreads_a_hot_aircraft_over_tasks(spark):
+    from contrail.operators.enrich import salted_left_join
+    from contrail.session import session_conf
+    dim = aircraft_df(spark, [("a", "R1", "M", "M1", "T", "OpA"), ("b", "R2", "M", "M2", "T", "OpB")])
+    rows = [dict(icao24="a" if i % 3 else "b", last_contact=i, ingestion_ts=10) for i in range(600)]
+    with session_conf(spark, spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions="16",
+                      spark__sql__autoBroadcastJoinThreshold="-1"):
+        out = salted_left_join(flights_df(spark, rows), dim.select("icao24", "operator"), "icao24", 16)
+        parts = (out.where(F.col("icao24") == "a").select(F.spark_partition_id().alias("p"))
+                 .distinct().count())
+        assert out.count() == 600 and out.where(F.col("operator").isNull()).count() == 0
+    # the hot key (two thirds of all reports) is read by many reduce tasks, not one
+    assert parts >= 8
