@@ -8,8 +8,7 @@ columns used and the views scale with their tables.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # Epoch of the first report, poll length in seconds.
 EPOCH0 = 1704067200
@@ -32,49 +31,45 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def hex_key(c: Column) -> Column:
-    """Six-digit lower-case hex aircraft address from an integer id."""
-    return F.lpad(F.lower(F.hex(c)), 6, "0")
+# The two views as Spark SQL expressions: the text of FIXTURES.md §2-3 with the
+# Spark forms of {HEX} and {DIV10}.
+FLIGHT_EXPRS = [
+    "lpad(lower(hex(user_id)), 6, '0') AS icao24",
+    "trim(concat('C', CAST(event_id % 1000 AS STRING), '  ')) AS callsign",
+    "concat('NATION_', CAST(user_id % 25 AS STRING)) AS origin_country",
+    f"{EPOCH0} + event_id AS time_position",
+    f"{EPOCH0} + event_id AS last_contact",
+    "CASE WHEN event_id % 97 = 0 THEN NULL ELSE CAST(event_id % 360 - 180 AS DOUBLE) END AS longitude",
+    "CASE WHEN event_id % 97 = 0 THEN NULL ELSE CAST(event_id % 181 - 90 AS DOUBLE) END AS latitude",
+    "CASE WHEN event_id % 50 = 0 THEN NULL ELSE value * 100 END AS baro_altitude",
+    "CASE WHEN event_id % 101 = 0 THEN NULL ELSE event_type = 'signup' END AS on_ground",
+    "value * 3 AS velocity",
+    "CAST(event_id % 360 AS DOUBLE) AS true_track",
+    "CASE WHEN event_id % 37 = 0 THEN NULL ELSE 10 - value / 2 END AS vertical_rate",
+    "CASE WHEN event_id % 50 = 0 THEN NULL ELSE value * 100 END + 50 AS geo_altitude",
+    "lpad(CAST(event_id % 7778 AS STRING), 4, '0') AS squawk",
+    f"(({EPOCH0} + event_id) div {POLL_SECONDS}) * {POLL_SECONDS} + {POLL_SECONDS} AS ingestion_ts",
+]
+
+AIRCRAFT_FILTER = "c_custkey % 7 <> 3"
+AIRCRAFT_EXPRS = [
+    "lpad(lower(hex(c_custkey)), 6, '0') AS icao24",
+    "c_name AS registration",
+    "CASE WHEN c_custkey % 5 = 0 THEN '' ELSE concat('MFR_', CAST(c_custkey % 9 AS STRING)) END AS manufacturername",
+    "concat('M', CAST(c_custkey % 40 AS STRING)) AS model",
+    "concat('T', CAST(c_custkey % 20 AS STRING)) AS typecode",
+    "CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_mktsegment END AS operator",
+]
 
 
 def flights_from_events(events: DataFrame) -> DataFrame:
     """Flight messages (the 15 message fields) derived from ``events``."""
-    eid = F.col("event_id")
-    uid = F.col("user_id")
-    val = F.col("value")
-    last_contact = F.lit(EPOCH0) + eid
-    baro = F.when(eid % 50 == 0, F.lit(None).cast("double")).otherwise(val * 100)
-    no_pos = eid % 97 == 0
-    return events.select(
-        hex_key(uid).alias("icao24"),
-        F.trim(F.concat(F.lit("C"), (eid % 1000).cast("string"), F.lit("  "))).alias("callsign"),
-        F.concat(F.lit("NATION_"), (uid % 25).cast("string")).alias("origin_country"),
-        last_contact.alias("time_position"),
-        last_contact.alias("last_contact"),
-        F.when(no_pos, F.lit(None).cast("double")).otherwise((eid % 360 - 180).cast("double")).alias("longitude"),
-        F.when(no_pos, F.lit(None).cast("double")).otherwise((eid % 181 - 90).cast("double")).alias("latitude"),
-        baro.alias("baro_altitude"),
-        F.when(eid % 101 == 0, F.lit(None).cast("boolean")).otherwise(F.col("event_type") == "signup").alias("on_ground"),
-        (val * 3).alias("velocity"),
-        (eid % 360).cast("double").alias("true_track"),
-        F.when(eid % 37 == 0, F.lit(None).cast("double")).otherwise(10 - val / 2).alias("vertical_rate"),
-        (baro + 50).alias("geo_altitude"),
-        F.lpad((eid % 7778).cast("string"), 4, "0").alias("squawk"),
-        (F.floor(last_contact / POLL_SECONDS) * POLL_SECONDS + POLL_SECONDS).cast("long").alias("ingestion_ts"),
-    )
+    return events.selectExpr(*FLIGHT_EXPRS)
 
 
 def aircraft_from_customer(customer: DataFrame) -> DataFrame:
     """Aircraft dimension (six string columns) derived from ``customer``."""
-    k = F.col("c_custkey")
-    return customer.where(k % 7 != 3).select(
-        hex_key(k).alias("icao24"),
-        F.col("c_name").alias("registration"),
-        F.when(k % 5 == 0, F.lit("")).otherwise(F.concat(F.lit("MFR_"), (k % 9).cast("string"))).alias("manufacturername"),
-        F.concat(F.lit("M"), (k % 40).cast("string")).alias("model"),
-        F.concat(F.lit("T"), (k % 20).cast("string")).alias("typecode"),
-        F.when(k % 11 == 0, F.lit(None).cast("string")).otherwise(F.col("c_mktsegment")).alias("operator"),
-    )
+    return customer.where(AIRCRAFT_FILTER).selectExpr(*AIRCRAFT_EXPRS)
 
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
