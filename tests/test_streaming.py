@@ -301,6 +301,7 @@ def test_dashboard_refresh_equals_panels_over_the_tables(spark, scratch):
     from contrail.plans.dashboard import PANELS, panel_frames, refresh
     t, _ = _run(spark, scratch, queries=("live", "agg", "alerts", "enriched"), fan_out=True)
     direct = panel_frames(t.live.current(spark), t.agg.current(spark), t.alerts.current(spark))
+    cached_before = spark.sparkContext._jsc.getPersistentRDDs().size()
     with refresh(spark, t) as p:
         assert sorted(p) == sorted(PANELS)
         for name in PANELS:
@@ -308,4 +309,4 @@ def test_dashboard_refresh_equals_panels_over_the_tables(spark, scratch):
         kpi = p["kpi_summary"].first()
         assert kpi.airborne == p["live_airborne"].count() and kpi.alerts_total == p["alert_log"].count() > 0
     assert panels.top_countries(t.agg.current(spark)).count() == 1
-    assert not spark.sparkContext._jsc.getPersistentRDDs()  # released
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == cached_before  # released
