@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 
 from contrail import fixtures
 from contrail.functions.scalars import (
-    aircraft_key, clean_callsign, country_key, decode_bool, decode_number, encode_bool,
-    encode_number, key_head, reverse_epoch, row_key,
+    aircraft_key, clean_callsign, decode_bool, decode_number, encode_bool, encode_number, key_head, reverse_epoch,
 )
 from contrail.operators.aggregate import country_window_agg
 from contrail.operators.enrich import enrich, fan_out_by_dimension, join_strategy, rapid_descent, with_event_time
