@@ -3,6 +3,7 @@
 from pyspark.sql.types import (
     BooleanType,
     DoubleType,
+    IntegerType,
     LongType,
     StringType,
     StructField,
@@ -58,3 +59,17 @@ ENRICHED_COLUMNS = [
 ]
 AGG_COLUMNS = ["country", "window_start", "window_end", "flight_count", "avg_alt", "max_alt", "avg_velocity"]
 ALERT_COLUMNS = ["icao24", "ingestion_ts", "vrate", "alt", "callsign", "operator", "country", "ts"]
+
+# Type of every result-table column: message and dimension fields keep theirs.
+RESULT_TYPES = {f.name: f.dataType for f in FLIGHT_SCHEMA.fields + AIRCRAFT_SCHEMA.fields}
+RESULT_TYPES.update({
+    "country": StringType(), "window_start": LongType(), "window_end": LongType(), "flight_count": LongType(),
+    "avg_alt": DoubleType(), "max_alt": DoubleType(), "avg_velocity": DoubleType(), "country_key": StringType(),
+    "row_key": StringType(), "vrate": DoubleType(), "alt": DoubleType(), "ts": LongType(),
+    "partition": IntegerType(), "offset": LongType(),
+})
+
+
+def table_schema(columns) -> StructType:
+    """Schema of a result table with these columns (all nullable)."""
+    return StructType([StructField(c, RESULT_TYPES[c], True) for c in columns])

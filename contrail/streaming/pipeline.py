@@ -26,7 +26,7 @@ from contrail.operators.enrich import DEFAULT_WATERMARK, enrich, with_event_time
 from contrail.operators.rank import latest_by_key
 from contrail.plans.tables import ARRIVAL_ORDER, alert_rows, live_rows, with_agg_key
 from contrail.session import session_conf, stream_partitions
-from contrail.schemas import AGG_COLUMNS, ALERT_COLUMNS, ENRICHED_COLUMNS, LIVE_COLUMNS
+from contrail.schemas import AGG_COLUMNS, ALERT_COLUMNS, ENRICHED_COLUMNS, LIVE_COLUMNS, table_schema
 from contrail.sources.messages import decode_messages
 from contrail.streaming.sinks import KeyedTable, append_batch
 
@@ -73,13 +73,15 @@ class ResultTables:
         def cols(base, order_cols):
             return list(base) + [o for o in order_cols if o not in base]
         k = compact_every
+
+        def table(name, keys, order_cols, columns):
+            return KeyedTable(f"{root}/{name}", keys, order_cols, columns, k, schema=table_schema(columns))
         return cls(
-            live=KeyedTable(f"{root}/flights_live", ["icao24"], order, cols(LIVE_COLUMNS, order), k),
-            agg=KeyedTable(f"{root}/flights_agg", ["country", "window_end"], (),
-                           AGG_COLUMNS + ["country_key", "row_key"], k),
-            alerts=KeyedTable(f"{root}/flights_alerts", ["icao24", "ingestion_ts"], alert_order,
-                              cols(ALERT_COLUMNS + ["row_key"], alert_order), k),
-            enriched=KeyedTable(f"{root}/flights_enriched", ["icao24"], order, cols(ENRICHED_COLUMNS, order), k),
+            live=table("flights_live", ["icao24"], order, cols(LIVE_COLUMNS, order)),
+            agg=table("flights_agg", ["country", "window_end"], (), AGG_COLUMNS + ["country_key", "row_key"]),
+            alerts=table("flights_alerts", ["icao24", "ingestion_ts"], alert_order,
+                         cols(ALERT_COLUMNS + ["row_key"], alert_order)),
+            enriched=table("flights_enriched", ["icao24"], order, cols(ENRICHED_COLUMNS, order)),
         )
 
 

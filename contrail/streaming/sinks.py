@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from contrail.operators.rank import latest_by_key
 
@@ -30,6 +31,8 @@ class KeyedTable:
     columns: Sequence[str] | None = None
 
     compact_every: int | None = None
+    # column types, so a table with no batch yet reads as empty instead of failing
+    schema: StructType | None = None
 
     def _batch_path(self, batch_id: int) -> str:
         return f"{self.path.rstrip('/')}/{BATCH_COLUMN}={int(batch_id)}"
@@ -92,7 +95,10 @@ class KeyedTable:
         return n
 
     def log(self, spark: SparkSession) -> DataFrame:
-        """Every written row with its ``batch_id``."""
+        """Every written row with its ``batch_id`` (no rows yet: empty, if the schema is known)."""
+        if self.schema is not None and not self.batch_ids(spark):
+            fields = list(self.schema.fields) + [StructField(BATCH_COLUMN, IntegerType(), True)]
+            return spark.createDataFrame([], StructType(fields))
         return spark.read.option("basePath", self.path).parquet(self.path)
 
     def current(self, spark: SparkSession) -> DataFrame:
@@ -105,7 +111,7 @@ class KeyedTable:
         """Write the current view as one new table (batch 0 of a fresh log)."""
         cur = self.current(spark)
         cur.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/{BATCH_COLUMN}=0")
-        return KeyedTable(out_path, self.keys, self.order, self.columns)
+        return KeyedTable(out_path, self.keys, self.order, self.columns, schema=self.schema)
 
 
 def _fs(spark: SparkSession, path: str):

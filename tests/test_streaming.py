@@ -310,3 +310,23 @@ def test_dashboard_refresh_equals_panels_over_the_tables(spark, scratch):
         assert kpi.airborne == p["live_airborne"].count() and kpi.alerts_total == p["alert_log"].count() > 0
     assert panels.top_countries(t.agg.current(spark)).count() == 1
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == cached_before  # released
+
+
+def test_refresh_before_any_batch_gives_empty_panels_and_zero_kpis(spark, scratch):
+    from contrail.plans.dashboard import refresh
+    with refresh(spark, ResultTables.at(f"{scratch}/nothing-yet")) as p:
+        kpi = p["kpi_summary"].first()
+        assert (kpi.airborne, kpi.countries, kpi.avg_altitude, kpi.avg_velocity, kpi.enriched, kpi.alerts) == \
+            (0, 0, 0.0, 0.0, 0, 0)
+        assert kpi.alert_status == "all clear"
+        assert [r.flights for r in p["altitude_bands"].orderBy("band_order").collect()] == [0] * 7
+        for name in ("top_countries", "alert_log", "worst_descent", "velocity_histogram", "trend_top_countries"):
+            assert p[name].count() == 0, name
+
+
+def test_typed_empty_table_matches_written_types(spark, scratch):
+    t, _ = _run(spark, scratch, queries=("live", "agg", "alerts", "enriched"), fan_out=True)
+    for name in ("live", "agg", "alerts", "enriched"):
+        written = {f.name: f.dataType for f in getattr(t, name).current(spark).schema.fields}
+        declared = {f.name: f.dataType for f in getattr(t, name).schema.fields}
+        assert written == declared, name
