@@ -4,7 +4,8 @@ Each micro-batch is written by the executors to ``<table>/batch_id=N/``
 (overwrite, so replaying batch N after a failure rewrites the same rows). The
 current row of a key is the one with the largest ``(batch_id, order...)``:
 a partial-aggregating ``max``, so no task and not the driver ever holds a key's
-history. ``compact`` folds the log into a new table.
+history. ``compact_in_place`` folds old batches into one (safe if interrupted);
+``compact`` writes the current view as a new table.
 """
 
 from __future__ import annotations
