@@ -330,3 +330,15 @@ def test_typed_empty_table_matches_written_types(spark, scratch):
         written = {f.name: f.dataType for f in getattr(t, name).current(spark).schema.fields}
         declared = {f.name: f.dataType for f in getattr(t, name).schema.fields}
         assert written == declared, name
+
+
+def test_refresh_with_picked_countries(spark, scratch):
+    from contrail.plans.dashboard import refresh
+    t, _ = _run(spark, scratch, queries=("agg",))
+    windows = t.agg.current(spark).count()
+    with refresh(spark, t, countries=["US"]) as p:
+        rows = p["trend_top_countries"].collect()
+        assert len(rows) == windows > 0 and {r.country for r in rows} == {"US"}
+        assert [r.window_end for r in rows] == sorted(r.window_end for r in rows)
+    with refresh(spark, t, countries=["XX"]) as p:
+        assert p["trend_top_countries"].count() == 0
