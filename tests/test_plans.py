@@ -75,3 +75,10 @@ def test_declared_table_columns_match_the_files(spark, name):
     inferred = {f.name: f.dataType for f in spark.read.parquet(f"{SF_SMALL}/{name}.parquet").schema.fields}
     for field in _parse_datatype_string(TABLE_COLUMNS[name]).fields:
         assert inferred[field.name] == field.dataType, field.name
+
+
+def test_enrichment_broadcasts_a_pruned_dimension(spark):
+    text = plan(E.queries()["enrich_left_join"](spark, SF_SMALL))
+    assert "BroadcastHashJoin" in text and "LeftOuter" in text and _hash_exchanges(text) == 0
+    assert "ReadSchema: struct<c_custkey:bigint,c_name:string,c_mktsegment:string>" in text
+    assert "ReadSchema: struct<event_id:bigint,user_id:bigint,event_type:string,value:double>" in text
