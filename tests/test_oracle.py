@@ -6,9 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from contrail.plans import catalog
 from tests.conftest import SF_SMALL
 
-NAMES = sorted(E.queries())
+NAMES = sorted(catalog.queries())
 SQL = E.oracle_sql()
 
 

@@ -7,9 +7,10 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from contrail.plans import catalog
 from tests.conftest import SF_SMALL
 
-BATCH = sorted(k for k in E.queries() if not k.startswith(("stream_", "src_stream")))
+BATCH = sorted(k for k in catalog.queries() if not k.startswith(("stream_", "src_stream")))
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF", "CollectLimit (", "Window ("]
 # a global window is allowed only on the few rows left after a top-k
