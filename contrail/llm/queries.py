@@ -7,8 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import simhash, toxicity
+from contrail.llm import secrets, simhash, toxicity
 from contrail.llm.common import read_table
+from contrail.session import scratch_dir
+
+
+def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scan every document as the one version of its path, with a ledger of its own."""
+    ledger = scratch_dir(spark, "secret-ledger")
+    index = secrets.scan(read_table(spark, sf_dir, "documents"), ["doc_id"], ledger)
+    found = secrets.by_path(index, secrets.findings(spark, ledger))
+
+    def of(*rules: secrets.Rule):
+        return F.filter("spans", lambda s: s["rule"].isin(*[r.id for r in rules]))
+    counts = [F.size(of(r)).cast("bigint").alias(f"n_{r.kind}") for r in secrets.BASE_RULES]
+    return found.select("doc_id", *counts, F.sha2(secrets.as_text(of(*secrets.BASE_RULES)), 256).alias("base_sha256"),
+                        secrets.as_text(F.col("spans")).alias("spans"), F.col("blob").alias("blob_sha256"))
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,7 +40,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_simhash_near_dedup, op10_toxicity)
+    f.__name__: f for f in (op1_secret_scans, op3_simhash_near_dedup, op10_toxicity)
 }
 
 #: No operator so far can be expressed in SQL; each is tested against a brute-force version.
