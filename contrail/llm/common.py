@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,11 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once for each row, also where body's lambdas use it often."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def words_of(text: Column) -> Column:
     """array<string> of the words of a text; a null text has none."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(_GAP_CHARS))

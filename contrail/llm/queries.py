@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import secrets, simhash, toxicity
-from contrail.llm.common import read_table
+from contrail.llm import langid, packing, quality, secrets, simhash, toxicity
+from contrail.llm.common import read_table, stash
 from contrail.session import scratch_dir
 
 
@@ -25,11 +25,38 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.as_text(F.col("spans")).alias("spans"), F.col("blob").alias("blob_sha256"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics of every document, and the verdict of the base rules and the learned list."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    rules = quality.fit(docs, read_table(spark, sf_dir, "labels"))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    marked = quality.statistics(docs, ["doc_id"]).select("doc_id", *counts, quality.base_failed().alias("base_failed"),
+                                                         quality.deciding_rule(rules).alias("rule"))
+    return marked.withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_components(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pack every document into sequences of 512 to 8192 words."""
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page, with a text model fitted on documents of known language."""
+    model = langid.fit_text(read_table(spark, sf_dir, "documents"))
+    html, url = F.col("html"), F.col("url")
+    records = read_table(spark, sf_dir, "pages").select(
+        "page_id", langid.text_scores(html, model, markup=True).alias("text_ll"), langid.declared_of(html).alias("declared"),
+        langid.suffix_of(url).alias("suffix"), langid.host_of(url).alias("host"))
+    records = stash(records.withColumn("domain", langid.domain_of(F.col("host"))), "page-evidence")
+    found = langid.identify(records, model.langs)
+    return found.select("page_id", "lang", F.round("confidence", 6).alias("confidence"), "declared", "suffix", "host")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels.filter(~toxicity.held_out(F.col("doc_id"))))
@@ -40,7 +67,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scans, op3_simhash_near_dedup, op10_toxicity)
+    f.__name__: f for f in (op1_secret_scans, op2_quality_rules, op3_simhash_near_dedup, op8_best_fit_packing, op9_language_id, op10_toxicity)
 }
 
 #: No operator so far can be expressed in SQL; each is tested against a brute-force version.

@@ -17,7 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm.common import stash
+from contrail.llm.common import let, stash
 
 LEDGER_SCHEMA = "blob string, scanned array<string>, spans array<struct<start:int,rank:int,end:int,rule:string>>"
 _BLOCK = 256
@@ -64,27 +64,32 @@ def blob_of(text: Column) -> Column:
 
 def _found(text: Column, rule: Rule, rank: int) -> Column:
     pattern = F.lit(rule.pattern)
-    hits, gaps = F.regexp_extract_all(text, pattern, F.lit(0)), F.split(text, rule.pattern, -1)
-    values = F.regexp_extract_all(text, pattern, F.lit(rule.group))
-    hit = F.transform(F.arrays_zip(hits.alias("h"), values.alias("v"), F.slice(gaps, F.lit(1), F.size(hits)).alias("g")),
-                      lambda x: F.struct(F.length(x["g"]).alias("g"), F.length(x["h"]).alias("h"), F.length(x["v"]).alias("v")))
+    hits, values = F.regexp_extract_all(text, pattern, F.lit(0)), F.regexp_extract_all(text, pattern, F.lit(rule.group))
+    none_yet = F.array().cast("array<struct<start:int,rank:int,end:int,ok:boolean>>")
+
+    def lengths(h: Column) -> Column:
+        gaps = F.slice(F.split(text, rule.pattern, -1), F.lit(1), F.size(h))
+        return F.transform(F.arrays_zip(h.alias("h"), values.alias("v"), gaps.alias("g")), lambda x: F.struct(
+            F.length(x["g"]).alias("g"), F.length(x["h"]).alias("h"), F.length(x["v"]).alias("v")))
+
+    def step(acc: Column, x: Column) -> Column:
+        start, end = acc["at"] + x["g"], acc["at"] + x["g"] + x["h"]
+        one = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), (x["v"] >= rule.least).alias("ok"))
+        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
 
     # running sums in blocks, so that a text with very many matches is not copied once for each
-    def spans(all_hits: Column) -> Column:
-        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(all_hits) - 1) / _BLOCK).cast("int")),
-                             lambda b: F.slice(all_hits, b * _BLOCK + 1, F.lit(_BLOCK)))
+    def blocks(all_hits: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(all_hits) - 1) / _BLOCK).cast("int")),
+                           lambda b: F.slice(all_hits, b * _BLOCK + 1, F.lit(_BLOCK)))
+
+    def spans(blocks: Column) -> Column:
         sums = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda n, x: n + x["g"] + x["h"]))
         begin = F.aggregate(sums, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
-        empty = F.array().cast("array<struct<start:int,rank:int,end:int,ok:boolean>>")
-
-        def step(acc: Column, x: Column) -> Column:
-            start, end = acc["at"] + x["g"], acc["at"] + x["g"] + x["h"]
-            one = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), (x["v"] >= rule.least).alias("ok"))
-            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
         return F.flatten(F.transform(F.arrays_zip(blocks.alias("b"), F.slice(begin, F.lit(1), F.size(blocks)).alias("s")),
-                                     lambda z: F.aggregate(z["b"], F.struct(z["s"].alias("at"), empty.alias("out")), step)["out"]))
+                                     lambda z: F.aggregate(z["b"], F.struct(z["s"].alias("at"), none_yet.alias("out")), step)["out"]))
 
-    kept = F.transform(F.filter(spans(hit), lambda s: s["ok"]),
+    hit = let(hits, lengths)
+    kept = F.transform(F.filter(let(let(hit, blocks), spans), lambda s: s["ok"]),
                        lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), F.lit(rule.id).alias("rule")))
     none = F.array().cast("array<struct<start:int,rank:int,end:int,rule:string>>")
     seen = text.rlike(rule.pattern)
@@ -168,5 +173,4 @@ def redact(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
         return F.when(s["end"] <= acc["at"], acc).otherwise(
             F.struct(s["end"].alias("at"), F.concat(acc["out"], before).alias("out")))
     walked = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step)
-    rest = F.transform(F.array(walked), lambda w: F.concat(w["out"], F.substring(text, w["at"] + 1, F.length(text))))
-    return F.get(rest, 0)
+    return let(walked, lambda w: F.concat(w["out"], F.substring(text, w["at"] + 1, F.length(text))))

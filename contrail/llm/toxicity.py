@@ -28,7 +28,6 @@ WORD = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"[^.!?\n]+")
 STEMS = (4, 5, 6)
 MAX_LABELLED = 20_000
-MEMO = 200_000
 
 
 def features_of(word: str) -> list[str]:
@@ -40,40 +39,37 @@ def document_features(text: str | None) -> set[str]:
     return {f for w in set(WORD.findall((text or "").lower())) for f in features_of(w)}
 
 
-class _Memo(dict):
-    """Weight of a word, computed once; emptied when full so that memory stays bounded."""
-
-    def __init__(self, weights: dict[str, float]):
-        super().__init__()
-        self.weights = weights
-
-    def __missing__(self, word: str) -> float:
-        if len(self) >= MEMO:
-            self.clear()
-        self[word] = value = sum(self.weights.get(f, 0.0) for f in features_of(word))
-        return value
-
-
 @dataclass
 class Model:
     bias: float = -20.0
     weights: dict[str, float] = field(default_factory=dict)
 
-    def memo(self) -> _Memo:
-        return _Memo(self.weights)
+    def __post_init__(self) -> None:
+        self.whole = {f for f in self.weights if not f.endswith("*")}
+        self.roots = {f[:STEMS[0]] for f in self.weights if f.endswith("*")}
+
+    def suspects(self, words: set[str]) -> set[str]:
+        """The words that can have a feature with a weight."""
+        out = words & self.whole
+        if not self.roots.isdisjoint(beginnings := {w[:STEMS[0]] for w in words}):
+            near = self.roots & beginnings
+            out |= {w for w in words if w[:STEMS[0]] in near}
+        return out
+
+    def weigh(self, words: set[str]) -> float:
+        return sum(self.weights.get(f, 0.0) for w in self.suspects(words) for f in features_of(w))
 
-    def score(self, text: str | None, memo: _Memo, threshold: float = 0.5) -> tuple[float, list[tuple[int, int, float]]]:
+    def score(self, text: str | None, threshold: float = 0.5) -> tuple[float, list[tuple[int, int, float]]]:
         """(document score, offending sentences as (start, end, score), in code points, end exclusive)."""
         text = text or ""
-        words = set(WORD.findall(text.lower()))
-        if not any(map(memo.__getitem__, words)):
+        if not self.suspects(set(WORD.findall(text.lower()))):
             n = sum(not s.isspace() for s in SENTENCE.findall(text))
             return float(-np.expm1(-n * np.logaddexp(0.0, self.bias))), []
         clear, found = 0.0, []
         for m in SENTENCE.finditer(text):
             if m.group().isspace():
                 continue
-            z = self.bias + sum(map(memo.__getitem__, set(WORD.findall(m.group().lower()))))
+            z = self.bias + self.weigh(set(WORD.findall(m.group().lower())))
             clear += np.logaddexp(0.0, z)
             p = float(1.0 / (1.0 + np.exp(-z)))
             if p >= threshold:
@@ -171,8 +167,7 @@ def scored(text: Column, model: Model, threshold: float = 0.5) -> Column:
     """
     @F.pandas_udf("score double, offending array<struct<start:int,end:int,score:double>>")
     def run(texts: pd.Series) -> pd.DataFrame:
-        memo = model.memo()
-        return pd.DataFrame([model.score(t, memo, threshold) for t in texts], columns=["score", "offending"])
+        return pd.DataFrame([model.score(t, threshold) for t in texts], columns=["score", "offending"])
     return run(F.coalesce(text, F.lit("")))
 
 
