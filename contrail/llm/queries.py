@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import langid, packing, quality, secrets, simhash, toxicity
+from contrail.llm import bpe, langid, packing, quality, secrets, simhash, toxicity
 from contrail.llm.common import read_table, stash
 from contrail.session import scratch_dir
 
@@ -40,6 +41,16 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_multi_50k.tiktoken") -> DataFrame:
+    """Encode every document with a public vocabulary, then decode the ids again."""
+    tokens = bpe.load_ranks(public_tokenizers.path(vocabulary))
+    tokenizer = bpe.Tokenizer(spark, tokens, public_tokenizers.PATTERN)
+    ids = read_table(spark, sf_dir, "documents").select("doc_id", tokenizer.encode(F.col("text")).alias("ids"))
+    both = ids.select("doc_id", "ids", tokenizer.decode(F.col("ids")).alias("decoded"))
+    return both.select("doc_id", bpe.n_tokens(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack every document into sequences of 512 to 8192 words."""
     return packing.pack(read_table(spark, sf_dir, "documents"))
@@ -67,7 +78,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scans, op2_quality_rules, op3_simhash_near_dedup, op8_best_fit_packing, op9_language_id, op10_toxicity)
+    f.__name__: f for f in (op1_secret_scans, op2_quality_rules, op3_simhash_near_dedup, op4_byte_bpe, op8_best_fit_packing, op9_language_id, op10_toxicity)
 }
 
 #: No operator so far can be expressed in SQL; each is tested against a brute-force version.
