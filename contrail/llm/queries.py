@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import bpe, langid, packing, quality, secrets, simhash, toxicity
+from contrail.llm import bpe, langid, packing, quality, secrets, simhash, toxicity, warc
 from contrail.llm.common import read_table, stash
 from contrail.session import scratch_dir
 
@@ -51,6 +51,13 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_m
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write every page to archives and read them all back through the index."""
+    root = scratch_dir(spark, "warc")
+    index = warc.write(read_table(spark, sf_dir, "pages"), root)
+    return warc.read(index, root, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack every document into sequences of 512 to 8192 words."""
     return packing.pack(read_table(spark, sf_dir, "documents"))
@@ -78,8 +85,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scans, op2_quality_rules, op3_simhash_near_dedup, op4_byte_bpe, op8_best_fit_packing, op9_language_id, op10_toxicity)
+    f.__name__: f for f in (op1_secret_scans, op2_quality_rules, op3_simhash_near_dedup, op4_byte_bpe, op5_warc, op8_best_fit_packing, op9_language_id, op10_toxicity)
 }
 
-#: No operator so far can be expressed in SQL; each is tested against a brute-force version.
-ORACLE_SQL: dict[str, str] = {}
+#: Operators that learn from data or compute hashes SQL lacks are tested against brute-force versions instead.
+ORACLE_SQL: dict[str, str] = {
+    "op5_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS h, strlen(coalesce(html, '')) AS n FROM pages),
+        d AS (SELECT page_id, n, sha256(h) AS digest FROM p),
+        f AS (SELECT digest, min(page_id) AS first FROM d WHERE n >= 100 GROUP BY digest HAVING count(*) > 1),
+        r AS (SELECT d.page_id, d.n, d.digest, CASE WHEN f.first <> d.page_id THEN f.first END AS refers_to
+              FROM d LEFT JOIN f ON d.digest = f.digest)
+        SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+               CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
+        FROM r""",
+}

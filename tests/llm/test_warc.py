@@ -1,0 +1,76 @@
+"""WARC archives: round trip, revisits, selected reads, and the coalescing of ranges."""
+
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from contrail.llm import queries, warc
+from tests.llm.helpers import write_table
+
+LONG = "<p>é😀 the same payload</p>" * 8
+PAGES = [
+    (5, "http://a/1", LONG), (3, "http://a/2\r\nX: y", LONG), (9, None, LONG), (3, "http://a/2", LONG), (None, "http://n", LONG),
+    (1, "http://s", "short"), (2, "http://s", "short"), (7, "http://e", None), (8, "http://e", ""), (10, "http://x", "\r\n\r\nx" * 9),
+    (11, "http://big", "z" * 300_000), *[(100 + i, f"http://m/{i}", f"<html>{i}</html>" * 20) for i in range(50)],
+]
+
+
+def pages(spark, rows):
+    return spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumn("digest", F.lit("clash")).withColumn("d", F.lit(1))
+
+
+def expected(rows):
+    first = {}
+    for i, _, h in rows:
+        if i is not None:
+            first[h or ""] = min(i, first.get(h or "", i))
+    out = []
+    for i, _, h in rows:
+        h = h or ""
+        raw = h.encode()
+        again = len(raw) >= 100 and sum((x[2] or "") == h for x in rows) > 1 and h in first and i != first[h]
+        out.append((i, len(raw), hashlib.sha256(raw).hexdigest(), "revisit" if again else "response", first[h] if again else None))
+    return sorted(out, key=str)
+
+
+def test_query_round_trip(spark, tmp_path):
+    write_table(pages(spark, PAGES).repartition(3), tmp_path, "pages")
+    got = queries.op5_warc(spark, str(tmp_path))
+    assert got.columns == ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    assert sorted((tuple(r) for r in got.collect()), key=str) == expected(PAGES)
+
+
+def test_selected_records_and_payloads(spark, tmp_path):
+    root = str(tmp_path / "archives")
+    index = warc.write(pages(spark, PAGES), root, roll=2000)
+    assert index.select("file").distinct().count() > 1
+    some = warc.read(index.filter("page_id % 7 = 0 and record_type = 'response'"), root).collect()
+    html = {i: h for i, _, h in PAGES}
+    assert {r.page_id: r.payload.decode() for r in some} == {i: h or "" for i, h in html.items() if i is not None and i % 7 == 0}
+    assert {r.url for r in warc.read(index.filter("page_id = 3"), root).collect()} == {"http://a/2%0D%0AX:%20y", "http://a/2"}
+    assert warc.read(index.filter("page_id = -1"), root).count() == 0
+
+
+def test_archive_is_plain_gzip_members(spark, tmp_path):
+    import gzip
+    root = tmp_path / "archives"
+    warc.write(pages(spark, PAGES[:1]), str(root))
+    (file,) = root.iterdir()
+    text = gzip.decompress(file.read_bytes())
+    assert text.startswith(b"WARC/1.1\r\nWARC-Type: response\r\n") and text.endswith(LONG.encode() + b"\r\n\r\n")
+    assert warc.parse(text)["payload"] == LONG.encode()
+    with pytest.raises(ValueError, match="digest"):
+        warc.parse(text.replace(b"same", b"sane"))
+
+
+def test_coalescing():
+    rows = [("a", 0, 10), ("a", 10, 5), ("a", 40, 5), ("a", 46, 100), ("b", 0, 10), ("b", 0, 10)]
+    assert list(warc.coalesced(rows, gap=10, most=60)) == [
+        ("a", 0, 15, [(0, 10), (10, 5)]), ("a", 40, 45, [(40, 5)]), ("a", 46, 146, [(46, 100)]), ("b", 0, 10, [(0, 10), (0, 10)])]
+    assert list(warc.coalesced([], 1, 1)) == []
+
+
+def test_empty_table(spark, tmp_path):
+    write_table(pages(spark, []), tmp_path, "pages")
+    assert queries.op5_warc(spark, str(tmp_path)).count() == 0
