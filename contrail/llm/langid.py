@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contrail.llm.common import sample_by_hash, stash
+from contrail.llm.urlfilter import host_of
 
 BUCKETS = 1 << 16
 MAX_LABELLED = 8_000
@@ -109,10 +110,6 @@ def text_scores(text: Column, model: TextModel, markup: bool = False) -> Column:
     return run(F.coalesce(text, F.lit("")))
 
 
-def host_of(url: Column) -> Column:
-    return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
-
-
 def domain_of(host: Column) -> Column:
     """The last two labels of a host."""
     return F.substring_index(host, ".", -2)
