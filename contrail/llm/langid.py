@@ -153,10 +153,8 @@ def fuse(records: DataFrame, langs: list[str], host_weight: float = 10.0, domain
     for c in ("declared", "suffix", "host", "domain"):
         records = records.withColumn(c, F.coalesce(c, F.lit("")))
     own = records.withColumn("p", _softmax(F.col("text_ll")))
-    whole = own.agg(*_sums("p", k)).select(_array(k).alias("all"))
-    share = whole.select(F.transform("all", lambda x: (x + 1.0) / (F.aggregate("all", F.lit(0.0), lambda a, y: a + y) + k)).alias("share"))
-    total = share.first()["share"] if own.limit(1).count() else [1.0 / k] * k
-    prior = F.array(*map(F.lit, total))
+    mass = [x or 0.0 for x in own.agg(*_sums("p", k)).first()]  # of each language, over the whole table
+    prior = F.array(*[F.lit((x + 1.0) / (sum(mass) + k)) for x in mass])
 
     def smoothed(counts: Column, above: Column, weight: float) -> Column:
         n = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
@@ -170,9 +168,8 @@ def fuse(records: DataFrame, langs: list[str], host_weight: float = 10.0, domain
     def channel(name: str) -> DataFrame:
         """log P(value | language): weighted counts, so many as the column has values."""
         counts = own.groupBy(name).agg(*_sums("p", k)).select(name, _array(k).alias("c"))
-        mass = [n * 1.0 for n in (own.agg(*_sums("p", k)).first() if total else [])]
         values = counts.count()
-        base = F.array(*[F.lit((m or 0.0) + smoothing * values) for m in mass])
+        base = F.array(*[F.lit(m + smoothing * values) for m in mass])
         return stash(counts.select(name, F.zip_with("c", base, lambda c, m: F.log((c + smoothing) / m)).alias(f"{name}_ll")), f"{name}-likelihood")
 
     out = records

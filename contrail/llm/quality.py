@@ -3,8 +3,8 @@
 The list is a sequence of conjunctions of thresholds on the statistics ("rejected if symbols per word > a
 and words per line <= b"), the first that holds decides, and a document that none holds for is kept. It is
 grown and pruned on labelled documents: on the growing part, conditions are added while they gain the most
-information; on the pruning part, the conjunction is cut back to the prefix that separates best; rules
-that reject too many good documents there end the list. Documents a rule covers leave before the next.
+information; on the pruning part, the conjunction is cut back to the prefix that covers the most bad documents
+less good ones, of those precise enough; if none is, the list ends. Documents a rule covers leave before the next.
 
 Every step is one grouped count over binned statistics, so at most features x bins rows reach the driver,
 however many documents are labelled. The result is an ordered Spark conditional expression. Only
@@ -152,7 +152,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ma
 
     At most about ``max_labelled`` labelled documents are used, chosen by hash; those that the base rules
     reject anyway, and null ids, labels and texts, are left out. A rule joins the list if at least
-    ``min_precision`` of the pruning documents it covers are bad and they are ``min_covered`` or more.
+    ``min_precision`` of the pruning documents it covers are bad and it covers ``min_covered`` or more.
     Without labelled documents of both kinds the list is empty and keeps everything.
     """
     chosen = sample_by_hash(one_label(labels, "quality"), "doc_id", max_labelled)
@@ -180,9 +180,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ma
             F.coalesce(F.sum(F.when(_all(rule[:i]), F.col("bad"))), F.lit(0)), F.count(F.when(_all(rule[:i]), 1)))]
         got = rows.filter("part = 0").agg(*sums).first()
         bad, covered = list(got[0::2]), list(got[1::2])
-        keep = max(range(len(rule)), key=lambda i: ((2 * bad[i] - covered[i]) / covered[i] if covered[i] else -1.0, -i))
-        if covered[keep] < min_covered or bad[keep] < min_precision * covered[keep]:
+        good_enough = [i for i in range(len(rule)) if covered[i] >= min_covered and bad[i] >= min_precision * covered[i]]
+        if not good_enough:
             break
+        keep = max(good_enough, key=lambda i: (2 * bad[i] - covered[i], -i))  # bad less good ones covered
         rules.append(_widened(rule[:keep + 1], marked))
         rows = rows.filter(~_all(rule[:keep + 1]))
     return rules

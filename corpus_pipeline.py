@@ -53,8 +53,9 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     held = docs.withColumn("__blob", secrets.blob_of(F.col("text"))).join(
         found.select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans")), "__blob", "left")
     clean = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(secrets.redact(F.col("text"), F.col("__spans")))
-    n = F.when(F.col("__spans").isNull(), F.col("n_chars")).otherwise(F.length(clean).cast("bigint"))
-    return held.select(*[clean.alias("text") if c == "text" else n.alias("n_chars") if c == "n_chars" else F.col(c)
+    held = held.withColumn("__clean", clean)
+    n = F.when(F.col("__spans").isNull(), F.col("n_chars")).otherwise(F.length("__clean").cast("bigint"))
+    return held.select(*[F.col("__clean").alias("text") if c == "text" else n.alias("n_chars") if c == "n_chars" else F.col(c)
                          for c in docs.columns])
 
 

@@ -1,0 +1,75 @@
+"""The pipeline's stages: what each rejects, changes and keeps, and the whole run."""
+
+import pytest
+
+import corpus_pipeline as cp
+from contrail.llm import langid, packing, simhash, toxicity
+from tests.llm.helpers import documents, write_table
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_stages_in_order():
+    assert [n for n, _ in cp.STAGES] == ["toxicity", "language ID", "SimHash near-dedup", "secret scans", "best-fit packing"]
+
+
+@pytest.fixture(scope="module")
+def outputs(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("pipeline")
+    docs, out = spark.read.parquet(f"{SF}/documents.parquet"), []
+    for k, (_, stage) in enumerate(cp.STAGES):
+        out.append(docs)
+        stage(spark, docs, SF).write.parquet(f"{folder}/{k}")
+        docs = spark.read.parquet(f"{folder}/{k}")
+    return [*out, docs]
+
+
+def test_each_stage_against_its_operator(spark, outputs):
+    rows = [df.collect() for df in outputs]
+    for df in outputs[:-1]:
+        assert df.dtypes == outputs[0].dtypes
+    ids = [{r.doc_id for r in part} for part in rows]
+    model = toxicity.fit(outputs[0], spark.read.parquet(f"{SF}/labels.parquet"))
+    assert ids[1] == {r.doc_id for r in rows[0] if model.score(r.text)[0] < 0.5} and ids[1] < ids[0]
+    text = langid.fit_text(outputs[1])
+    assert ids[2] <= ids[1] and len(ids[1] - ids[2]) < 0.01 * len(ids[1])
+    assert {r.doc_id for r in rows[2] if text.log_likelihood(r.text).any()} == ids[2]
+    kept = {}
+    for r in sorted(rows[2], key=lambda r: r.doc_id):
+        f = simhash.simhash64(r.text)
+        if not any((f ^ g).bit_count() <= 2 for g in kept):
+            kept.setdefault(f, r.doc_id)
+    assert set(kept.values()) >= ids[3] and len(rows[3]) == len(ids[3])
+    assert ids[4] == ids[3]
+    before = {r.doc_id: r for r in rows[3]}
+    for r in rows[4]:
+        assert ("[SECRET]" in r.text) == (r.text != before[r.doc_id].text)
+        assert r.n_chars == len(r.text) if r.text != before[r.doc_id].text else r == before[r.doc_id]
+        assert 'token = "' not in r.text.replace("[SECRET]", "")
+    packed = {}
+    for r in rows[5]:
+        packed[r.doc_id] = packed.get(r.doc_id, 0) + r.n_words
+    assert packed == {r.doc_id: len(r.text.split()) for r in rows[4]}
+
+
+def test_run_returns_the_last_stage(spark, outputs):
+    got = {(r.doc_id, r.piece, r.n_words) for r in cp.run(spark, SF).collect()}
+    assert got == {(r.doc_id, r.piece, r.n_words) for r in outputs[-1].collect()}
+
+
+def test_odd_rows_pass_every_stage(spark, tmp_path):
+    write_table(spark.createDataFrame([], "doc_id bigint, quality int, toxic int"), tmp_path, "labels")
+    secret = "my token = abcdefghijklmnopqrst is here and it is safe with me"
+    rows = [(1, None), (2, ""), (3, secret), (3, secret), (None, "nobody owns this small text about a dog"), (4, "nobody owns this small text about a dog and a cat " * 3000), (5, "### 123")]
+    docs = documents(spark, rows, spans="clash", blob="clash", fp=1, key=2, score=0.5)
+    for k, (_, stage) in enumerate(cp.STAGES[:-1]):
+        docs.limit(0).write.parquet(str(tmp_path / f"empty{k}"))
+        assert stage(spark, spark.read.parquet(str(tmp_path / f"empty{k}")), str(tmp_path)).count() == 0
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        out.write.parquet(str(tmp_path / f"odd{k}"))
+        docs = spark.read.parquet(str(tmp_path / f"odd{k}"))
+    left = {r.doc_id: r for r in docs.collect()}
+    assert set(left) == {3, None, 4} and docs.count() == 3
+    assert left[3].text == "my [SECRET] is here and it is safe with me" and left[3].n_chars == len(left[3].text)
+    assert {r.doc_id for r in packing.pack(docs).collect()} == {3, None, 4}

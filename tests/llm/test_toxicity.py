@@ -1,0 +1,76 @@
+"""Toxicity: noisy-or by hand, held-out accuracy, offending sentences, and that the label folds hold."""
+
+import math
+import zlib
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from contrail.llm import queries, toxicity
+from tests.llm.helpers import documents, write_table
+
+SF = "/root/testdata/sf0.1"
+
+
+def test_noisy_or_and_spans():
+    model = toxicity.Model(-4.0, {"idiot": 6.0, "vequ*": 5.0})
+    text = "Hello there. You idiot!\nDas vequno ist 😀 gut. \n . Fine."
+    score, found = model.score(text)
+    z = [-4.0, 2.0, 1.0, -4.0]
+    assert score == pytest.approx(1 - math.prod(1 - 1 / (1 + math.exp(-x)) for x in z))
+    assert [text[a:b].strip() for a, b, _ in found] == ["You idiot", "Das vequno ist 😀 gut"]
+    assert model.score("vequ")[0] < 0.1  # a stem is the beginning of a longer word
+    assert model.score("") == (0.0, []) and model.score(None) == (0.0, []) and model.score(" \n.!")[0] == 0.0
+    clean = "One. Two. Three."
+    assert model.score(clean)[0] == pytest.approx(1 - (1 - 1 / (1 + math.exp(4.0))) ** 3)
+
+
+@pytest.fixture(scope="module")
+def scored(spark):
+    return {r.doc_id: r for r in queries.op10_toxicity(spark, SF).collect()}
+
+
+def test_held_out_accuracy(scored):
+    labels = duckdb.sql(f"select doc_id, toxic from '{SF}/labels.parquet'").fetchall()
+    for i, r in scored.items():
+        assert r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0)
+        assert 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5)
+    held = [(t, scored[i].predicted) for i, t in labels if scored[i].held_out]
+    caught = [p for t, p in held if t]
+    false = [p for t, p in held if not t]
+    assert sum(caught) / len(caught) > 0.8 and sum(false) / len(false) < 0.02
+
+
+def test_offending_sentences_hold_the_word(scored):
+    texts = dict(duckdb.sql(f"select doc_id, text from '{SF}/documents.parquet'").fetchall())
+    marked = [(texts[i], s) for i, r in scored.items() for s in r.offending if " idiot " in texts[i]]
+    assert marked and any("idiot" in t[s.start:s.end] for t, s in marked)
+
+
+def test_labels_of_the_held_out_fold_are_not_used(spark, tmp_path):
+    """Turning every held-out label round changes nothing."""
+    texts = [f"word{i} plain sentence. {'you moron. ' if i % 3 == 0 else 'you friend. '}" for i in range(120)]
+    df = documents(spark, texts + [(0, texts[0]), (None, texts[0]), (900, None), (901, "")], score=1, y=2, s=3)
+    got = []
+    for k in (0, 1):
+        folder = str(tmp_path / str(k))
+        write_table(df, folder, "documents")
+        flip = (F.crc32(F.col("doc_id").cast("string")) % 5 == 0) & F.lit(k == 1)
+        toxic = F.when(flip, 1 - (F.col("doc_id") % 3 == 0).cast("int")).otherwise((F.col("doc_id") % 3 == 0).cast("int"))
+        labels = df.filter("doc_id < 120").select("doc_id", F.lit(1).alias("quality"), toxic.alias("toxic"))
+        odd = spark.createDataFrame([(None, 1, 1), (5, None, None)], "doc_id bigint, quality int, toxic int")
+        write_table(labels.unionByName(odd), folder, "labels")
+        got.append(sorted((str(r.doc_id), r.score, r.predicted) for r in queries.op10_toxicity(spark, folder).collect()))
+    assert got[0] == got[1] and len(got[0]) == len(texts) + 4
+    by_id = {i: (s, p) for i, s, p in got[0]}
+    assert all(by_id[str(i)][1] == (i % 3 == 0) for i in range(120))
+    assert by_id["900"][0] == by_id["901"][0] == 0.0
+
+
+def test_empty_tables_and_no_toxic_labels(spark):
+    docs, none = documents(spark, ["a b", "c"]), spark.createDataFrame([], "doc_id bigint, toxic int")
+    for labels in (none, spark.createDataFrame([(0, 0), (1, 0)], "doc_id bigint, toxic int")):
+        model = toxicity.fit(docs, labels)
+        assert model.weights == {} and model.score("anything at all.")[0] < 1e-6
+    assert toxicity.fit(documents(spark, []), none).weights == {}
