@@ -2,7 +2,7 @@
 
 ``events`` becomes a stream of flight messages (``event_id`` is the clock,
 one report per second) and ``customer`` becomes the aircraft dimension.
-Both are pure projections/filters, so Catalyst prunes the scans to the few
+Both are pure projections, so Catalyst prunes the scans to the few
 columns used and the views scale with their tables.
 """
 
@@ -51,9 +51,17 @@ FLIGHT_EXPRS = [
     f"(({EPOCH0} + event_id) div {POLL_SECONDS}) * {POLL_SECONDS} + {POLL_SECONDS} AS ingestion_ts",
 ]
 
-AIRCRAFT_FILTER = "c_custkey % 7 <> 3"
+# The three fields that are published and archived but that the stream consumer does not read.
+EXTRA_EXPRS = [
+    "CASE WHEN event_id % 13 = 0 THEN array(event_id % 5, 7L) END AS sensors",
+    "event_id % 41 = 0 AS spi",
+    "event_id % 4 AS position_source",
+]
+
 AIRCRAFT_EXPRS = [
-    "lpad(lower(hex(c_custkey)), 6, '0') AS icao24",
+    # one aircraft in seven has an address that no report carries ('z' is not a hex digit)
+    "CASE WHEN c_custkey % 7 = 3 THEN concat('z', lpad(lower(hex(c_custkey)), 5, '0')) "
+    "ELSE lpad(lower(hex(c_custkey)), 6, '0') END AS icao24",
     "c_name AS registration",
     "CASE WHEN c_custkey % 5 = 0 THEN '' ELSE concat('MFR_', CAST(c_custkey % 9 AS STRING)) END AS manufacturername",
     "concat('M', CAST(c_custkey % 40 AS STRING)) AS model",
@@ -67,9 +75,14 @@ def flights_from_events(events: DataFrame) -> DataFrame:
     return events.selectExpr(*FLIGHT_EXPRS)
 
 
+def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``flights`` with all 18 published fields."""
+    return table(spark, sf_dir, "events").selectExpr(*FLIGHT_EXPRS, *EXTRA_EXPRS)
+
+
 def aircraft_from_customer(customer: DataFrame) -> DataFrame:
     """Aircraft dimension (six string columns) derived from ``customer``."""
-    return customer.where(AIRCRAFT_FILTER).selectExpr(*AIRCRAFT_EXPRS)
+    return customer.selectExpr(*AIRCRAFT_EXPRS)
 
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,11 +113,17 @@ SELECT printf('%06x', user_id) AS icao24,
 FROM events
 """
 
+REPORTS_SQL = FLIGHTS_SQL.replace("AS ingestion_ts\n", """AS ingestion_ts,
+  CASE WHEN event_id % 13 = 0 THEN [event_id % 5, 7] END AS sensors,
+  event_id % 41 = 0 AS spi, event_id % 4 AS position_source
+""")
+
 AIRCRAFT_SQL = """
-SELECT printf('%06x', c_custkey) AS icao24, c_name AS registration,
+SELECT CASE WHEN c_custkey % 7 = 3 THEN printf('z%05x', c_custkey) ELSE printf('%06x', c_custkey) END AS icao24,
+  c_name AS registration,
   CASE WHEN c_custkey % 5 = 0 THEN '' ELSE concat('MFR_', CAST(c_custkey % 9 AS VARCHAR)) END AS manufacturername,
   concat('M', CAST(c_custkey % 40 AS VARCHAR)) AS model,
   concat('T', CAST(c_custkey % 20 AS VARCHAR)) AS typecode,
   CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_mktsegment END AS operator
-FROM customer WHERE c_custkey % 7 <> 3
+FROM customer
 """

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 __all__ = [
     "REVERSE_EPOCH_BASE", "DESCENT_THRESHOLD", "CRITICAL_THRESHOLD", "KNOTS_PER_MS",
     "FPM_PER_MS", "FEET_PER_M", "clean_callsign", "aircraft_key", "country_key",
-    "reverse_epoch", "row_key", "key_head", "event_time", "epoch_seconds", "round_half",
+    "reverse_epoch", "row_key", "key_head", "event_time", "epoch_seconds", "fixed_units", "half_up",
     "severity", "gauge_band", "encode_number", "encode_bool", "decode_number",
-    "decode_bool", "point_label", "to_knots", "to_fpm", "to_feet", "blank",
+    "decode_int", "decode_bool", "rejected", "point_label", "to_knots", "to_fpm", "to_feet", "blank",
 ]
 
 # Fixed values used by the result keys and the alert panels.
@@ -26,7 +26,7 @@ FPM_PER_MS = 196.85
 FEET_PER_M = 3.281
 GAUGE_STEPS = [(0, 20, "low"), (20, 35, "elevated"), (35, 60, "severe")]
 GAUGE_MARKER = 30.0
-ROUND_NUDGE = 1e-7
+UNITS = 100_000_000
 
 
 def _c(c) -> Column:
@@ -76,9 +76,16 @@ def epoch_seconds(ts) -> Column:
     return F.unix_timestamp(_c(ts))
 
 
-def round_half(c, scale: int) -> Column:
-    """Round half-up with a tiny nudge so engines agree on averages near .5 ulps."""
-    return F.round(_c(c) + F.lit(ROUND_NUDGE), scale)
+def fixed_units(c) -> Column:
+    """A double as a whole number of 1e-8 units: sums of these do not depend on their order."""
+    return F.floor(_c(c) * float(UNITS) + 0.5).cast("decimal(28,0)")
+
+
+def half_up(units: str, n: str) -> Column:
+    """``units`` (column of 1e-8 units) / ``n``, rounded half-up to 2 dp in whole numbers; 0 if n is 0 or null."""
+    step = UNITS // 100
+    return F.expr(f"CASE WHEN {n} > 0 THEN sign({units}) * CAST((2 * abs({units}) + {n} * {step}BD) div (2 * {n} * {step}BD) AS DOUBLE)"
+                  f" / 100D + 0D ELSE 0D END")
 
 
 def severity(vrate) -> Column:
@@ -121,21 +128,31 @@ def encode_bool(c) -> Column:
 
 def decode_number(c) -> Column:
     """Missing, empty or unparsable cell -> 0.0."""
-    return F.coalesce(F.expr(f"try_cast(nullif({_sql(c)}, '') AS double)"), F.lit(0.0))
+    return F.coalesce(F.nullif(_c(c), F.lit("")).try_cast("double"), F.lit(0.0))
+
+
+def decode_int(c) -> Column:
+    """Missing, empty or unparsable cell -> 0; a fraction does not parse as a whole number."""
+    return F.coalesce(_whole(c).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def decode_bool(c) -> Column:
-    return F.coalesce(_c(c) == "True", F.lit(False))
+    """A missing or empty flag cell reads as ``True``; otherwise only the text ``True`` does."""
+    return F.coalesce(F.nullif(_c(c), F.lit("")), F.lit("True")) == "True"
+
+
+def rejected(c, kind: str = "double") -> Column:
+    """Whether a cell holds text that does not decode as ``double`` or ``bigint``."""
+    x = _whole(c) if kind == "bigint" else _c(c)
+    return (F.coalesce(_c(c), F.lit("")) != "") & x.try_cast(kind).isNull()
 
 
-def _sql(c) -> str:
-    if isinstance(c, str):
-        return f"`{c}`"
-    raise TypeError("decode_number takes a column name")
+def _whole(c) -> Column:
+    return F.when(_c(c).rlike(r"^\s*[+-]?[0-9]+\s*$"), F.trim(_c(c)))
 
 
 def point_label(callsign, icao24, altitude, velocity, country) -> Column:
-    """Map hover text: callsign (else address), altitude and speed (0 dp), country."""
+    """Map hover text (a fixed template): callsign (else address), altitude and speed (0 dp), country."""
     def whole(x):
         return F.bround(_c(x), 0).cast("long")
     return F.format_string(

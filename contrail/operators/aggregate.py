@@ -6,10 +6,10 @@ hot group costs one buffer per map task rather than one task holding its rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.functions.scalars import epoch_seconds, round_half
+from contrail.functions.scalars import epoch_seconds, fixed_units, half_up
 
 WINDOW_LENGTH = "5 minutes"
 WINDOW_SLIDE = "1 minute"
@@ -23,22 +23,24 @@ def country_window_agg(df: DataFrame, length: str = WINDOW_LENGTH, slide: str =
     """Per (sliding window, origin_country): messages, avg/max altitude, avg velocity.
 
     Rows with a null country or null ``event_time`` are in no window. Averages
-    and maxima of all-null groups read as 0, rounded to 2 dp.
+    and maxima of all-null groups read as 0. Averages are exact: values are summed
+    in whole 1e-8 units and rounded half-up to 2 dp, whatever order rows come in.
     """
     agg = (df.where(F.col("origin_country").isNotNull())
            .groupBy(F.window("event_time", length, slide).alias("w"), F.col("origin_country"))
            .agg(F.count(F.lit(1)).alias("flight_count"),
-                F.avg("baro_altitude").alias("_avg_alt"),
+                F.sum(fixed_units("baro_altitude")).alias("_alt"), F.count("baro_altitude").alias("_n_alt"),
                 F.max("baro_altitude").alias("_max_alt"),
-                F.avg("velocity").alias("_avg_vel")))
+                F.sum(fixed_units("velocity")).alias("_vel"), F.count("velocity").alias("_n_vel")))
+    agg = agg.withColumns({"_max": fixed_units("_max_alt"), "_one": F.least("_n_alt", F.lit(1))})
     return agg.select(
         F.col("origin_country").alias("country"),
         epoch_seconds(F.col("w.start")).alias("window_start"),
         epoch_seconds(F.col("w.end")).alias("window_end"),
         "flight_count",
-        round_half(F.coalesce("_avg_alt", F.lit(0.0)), 2).alias("avg_alt"),
-        round_half(F.coalesce("_max_alt", F.lit(0.0)), 2).alias("max_alt"),
-        round_half(F.coalesce("_avg_vel", F.lit(0.0)), 2).alias("avg_velocity"),
+        half_up("_alt", "_n_alt").alias("avg_alt"),
+        half_up("_max", "_one").alias("max_alt"),
+        half_up("_vel", "_n_vel").alias("avg_velocity"),
     )
 
 
@@ -94,7 +96,3 @@ def equal_width_histogram(df: DataFrame, col: str, bins: int = 30, count_name: s
         (lo + (F.col("bin") + 1) * width).alias("bin_hi"),
         count_name,
     )
-
-
-def ratio(num: Column, den: Column) -> Column:
-    return F.when(den == 0, F.lit(0.0)).otherwise(num / den)

@@ -42,60 +42,41 @@ def row_bytes(df: DataFrame) -> Column:
     return size
 
 
-def bounded_size(df: DataFrame, max_rows: int) -> tuple[int, int]:
-    """(rows, bytes) of at most ``max_rows + 1`` rows of ``df``, in one job.
-
-    The limit stops every scan task once it has read ``max_rows + 1`` rows, so
-    the check costs the same whatever the table size; only two numbers reach
-    the driver. A file-backed input is measured once per version of its files
-    (see ``_file_versions``); every plan built over it afterwards reuses that.
-    """
-    versions = _file_versions(df)
-    key = (df.semanticHash(), max_rows, versions) if versions else None
-    if key in _MEASURED:
-        return _MEASURED[key]
-    limited = df.limit(max_rows + 1)
-    rows, nbytes = limited.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes(limited)), F.lit(0))).first()
-    size = (int(rows), int(nbytes))
-    if key is not None:
-        _MEASURED[key] = size
-    return size
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's estimate of the size of ``df`` (for files: their bytes on disk), or None if it has none."""
+    if getattr(df, "_jdf", None) is None:
+        return None  # no JVM gateway (Spark Connect)
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 1 << 62 else None  # Spark's stand-in for an unknown size is larger
 
 
-# (plan hash, row bound, file versions) -> measured (rows, bytes)
-_MEASURED: dict[tuple, tuple[int, int]] = {}
-MAX_VERSIONED_FILES = 1000
+def measured_size(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of ``df`` by one two-phase aggregate: each task shuffles one row."""
+    rows, nbytes = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes(df)), F.lit(0))).first()
+    return int(rows), int(nbytes)
 
 
-def _file_versions(df: DataFrame) -> tuple | None:
-    """(path, length, modification time) of every input file, or None if not file-backed.
+def broadcast_bound_ok(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                       max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, derived: bool = False) -> bool:
+    """True when the dimension has at most ``max_rows`` rows and ``max_bytes`` bytes.
 
-    Any rewritten, added or removed file changes this, so a remembered size is
-    only reused while the files it was measured on are unchanged.
+    A table whose files alone are several times larger than the bound is turned
+    down without reading it, so what is measured, and what the check can cost,
+    is bounded by ``max_bytes``. ``derived`` marks an aggregate of a large table,
+    whose estimate is that of its input: it is always measured.
     """
-    files = df.inputFiles()
-    spark = df.sparkSession
-    if not files or len(files) > MAX_VERSIONED_FILES or getattr(spark, "_jsc", None) is None:
-        return None  # nothing to version (or no JVM gateway, e.g. Spark Connect): always measure
-    conf = spark._jsc.hadoopConfiguration()
-    out = []
-    try:
-        for f in sorted(files):
-            path = spark._jvm.org.apache.hadoop.fs.Path(f)
-            st = path.getFileSystem(conf).getFileStatus(path)
-            out.append((f, int(st.getLen()), int(st.getModificationTime())))
-    except Exception:  # noqa: BLE001 - a file gone or unreadable: measure afresh, remember nothing
-        return None
-    return tuple(out)
-
-
-def broadcast_bound_ok(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                       max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
-    """True when the dimension has at most ``max_rows`` rows and ``max_bytes`` bytes."""
-    rows, nbytes = bounded_size(dim, max_rows)
+    if not derived:
+        estimate = estimated_bytes(dim)
+        if estimate is not None and estimate > HOPELESS * max_bytes:
+            return False
+    rows, nbytes = measured_size(dim)
     return rows <= max_rows and nbytes <= max_bytes
 
 
+# Files can be larger than the rows in memory (text formats); beyond this factor they are not measured.
+HOPELESS = 4
+
+# Salts for every key where hot keys cannot be counted first (a stream).
 DEFAULT_SALTS = 16
 
 
@@ -123,14 +104,14 @@ def join_strategy(aircraft: DataFrame, *, max_broadcast_rows: int = DEFAULT_MAX_
 def enrich(df: DataFrame, aircraft: DataFrame, *, strategy: str = "auto",
            max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
            max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
-           unique_dimension: bool = False, salts: int = DEFAULT_SALTS) -> DataFrame:
+           unique_dimension: bool = False) -> DataFrame:
     """Left outer equi-join on ``icao24``; unmatched reports keep null metadata.
 
     strategy: ``broadcast`` always hints the dimension (reference behaviour);
     ``auto`` broadcasts it behind the row and byte bounds and otherwise uses the
-    salted join; ``salted`` spreads every key over ``salts`` tasks (a hot
-    aircraft never lands in one task); ``shuffle`` is a plain shuffle join
-    (leaves skew to AQE's skew-join split).
+    salted join; ``salted`` splits hot keys and spreads null ones (see
+    ``salted_left_join``); ``shuffle`` is a plain shuffle join (leaves skew to
+    AQE's skew-join split), right where every key occurs once.
     A repeated dimension key fans reports out unless ``unique_dimension``.
     """
     dim = dimension_rows(aircraft, unique_dimension)
@@ -138,24 +119,56 @@ def enrich(df: DataFrame, aircraft: DataFrame, *, strategy: str = "auto",
         strategy = "broadcast" if broadcast_bound_ok(dim, max_broadcast_rows, max_broadcast_bytes) else "salted"
     if strategy == "broadcast":
         return df.join(F.broadcast(dim), on="icao24", how="left")
-    if strategy == "salted" and salts > 1:
-        return salted_left_join(df, dim, "icao24", salts)
+    if strategy == "salted":
+        return salted_left_join(df, dim, "icao24")
     return df.join(dim, on="icao24", how="left")
 
 
-def salted_left_join(left: DataFrame, right: DataFrame, key: str, salts: int) -> DataFrame:
-    """Left join that splits every key over ``salts`` partitions.
+def hot_keys(df: DataFrame, key: str, tasks: int, min_rows: int = 10_000) -> DataFrame:
+    """(key, salts) of the keys with over twice a task's fair share of ``df``; at most ``tasks`` / 2 rows.
 
-    Each left row gets a salt from a hash of its own content (deterministic, so a
-    retried task sends each row to the same place); each right row is repeated
-    once per salt. The shuffle key is (key, salt), so a key holding a third of
-    the left side is spread over ``salts`` tasks, at the price of ``salts``
-    copies of the (non-broadcastable, but far smaller) right side.
+    One counting pass over the key column, combined map-side. A key gets as many
+    salts as fair shares it holds, so its rows end up in parts of a fair share.
     """
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)).cast("int")
-    lhs = left.withColumn("_salt", salt)
-    rhs = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return lhs.join(rhs, on=[key, "_salt"], how="left").drop("_salt")
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = df.count()
+    share = max(min_rows, -(-total // max(1, tasks)))
+    return (counts.where(F.col("_n") > 2 * share)
+            .select(key, F.ceil(F.col("_n") / F.lit(float(share))).cast("int").alias("_salts")))
+
+
+def salted_left_join(left: DataFrame, right: DataFrame, key: str, tasks: int | None = None,
+                     min_rows: int = 10_000) -> DataFrame:
+    """Left join on ``key`` in which neither a hot key nor null keys load one task.
+
+    Only keys with over twice a task's share of ``left`` are salted (counted
+    first; ``tasks`` defaults to the shuffle partitions): their rows are dealt
+    over (key, salt) and their ``right`` rows repeated once a salt; all other
+    right rows are there once. Rows with a null key match nothing and are dealt
+    over made-up keys. The salt is a row's number within its input partition, so
+    identical rows part too; files, Kafka offsets and written tables give the
+    same numbers on a retry. In a stream, where keys cannot be counted first,
+    every key gets ``DEFAULT_SALTS``.
+    """
+    spark = left.sparkSession
+    number = F.monotonically_increasing_id()
+    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    if left.isStreaming:
+        salts = F.lit(DEFAULT_SALTS)
+        lhs, rhs = left, right
+    else:
+        # at most tasks / 2 rows by construction
+        hot = F.broadcast(hot_keys(left, key, tasks, min_rows))
+        salts = F.coalesce(F.col("_salts"), F.lit(1))
+        lhs, rhs = left.join(hot, key, "left"), right.join(hot, key, "left")
+    lhs = lhs.withColumn("_number", number)
+    joined_key = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("\0null "), F.pmod(F.col("_number"), F.lit(16 * tasks))))
+    lhs = lhs.select(*[F.col(c) for c in left.columns], joined_key.alias("_key"),
+                     F.pmod(F.col("_number"), salts).cast("int").alias("_salt"))
+    rhs = (rhs.where(F.col(key).isNotNull())
+           .select(*[F.col(c) for c in right.columns if c != key], F.col(key).cast("string").alias("_key"),
+                   F.explode(F.sequence(F.lit(0), salts - 1)).alias("_salt")))
+    return lhs.join(rhs, on=["_key", "_salt"], how="left").drop("_key", "_salt")
 
 
 def rapid_descent(df: DataFrame, threshold: float = DESCENT_THRESHOLD) -> DataFrame:
@@ -185,9 +198,9 @@ def fan_out_by_dimension(df: DataFrame, aircraft: DataFrame, *,
         return df.join(F.broadcast(keys), on="icao24", how="left")
     repeated = (keys.where(F.col("icao24").isNotNull()).groupBy("icao24")
                 .agg(F.count(F.lit(1)).alias("_m")).where(F.col("_m") > 1))
-    if broadcast_bound_ok(repeated, max_broadcast_rows, max_broadcast_bytes):
+    if broadcast_bound_ok(repeated, max_broadcast_rows, max_broadcast_bytes, derived=True):
         joined = df.join(F.broadcast(repeated), on="icao24", how="left")
     else:
-        joined = salted_left_join(df, repeated, "icao24", DEFAULT_SALTS)
+        joined = salted_left_join(df, repeated, "icao24")
     copies = F.explode(F.sequence(F.lit(1), F.coalesce(F.col("_m"), F.lit(1)).cast("int")))
     return joined.select("*", copies.alias("_copy")).drop("_m", "_copy")

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from contrail import fixtures
 from contrail.functions.scalars import (
-    aircraft_key, clean_callsign, decode_bool, decode_number, encode_bool, encode_number, key_head, reverse_epoch,
+    aircraft_key, clean_callsign, decode_bool, decode_int, decode_number, encode_bool, encode_number, key_head, rejected,
+    reverse_epoch,
 )
 from contrail.operators.aggregate import country_window_agg
 from contrail.operators.enrich import enrich, fan_out_by_dimension, join_strategy, rapid_descent, with_event_time
@@ -90,8 +91,9 @@ def q_json_decode(spark, sf):
 
 
 def q_src_snapshot_decode(spark, sf):
-    docs = snapshot_documents(flights(spark, sf))
-    return decode_snapshot(docs)
+    docs = snapshot_documents(fixtures.reports(spark, sf))
+    rows = decode_snapshot(docs, ingestion_ts=F.col("ingestion_ts"), all_fields=True)
+    return rows.withColumn("sensors", F.to_json("sensors"))
 
 
 def q_src_replay(spark, sf):
@@ -121,7 +123,7 @@ def q_messages_per_poll(spark, sf):
 
 
 def q_sink_keyed_json(spark, sf):
-    return to_messages(flights(spark, sf))
+    return to_messages(fixtures.reports(spark, sf))
 
 
 def q_scalar_clean(spark, sf):
@@ -139,14 +141,21 @@ def q_reverse_epoch_key(spark, sf):
 
 
 def q_cell_codec(spark, sf):
-    lv = live(spark, sf)
+    """Encode the live rows as cells, damage some, decode all and count what does not decode."""
     nums = ["latitude", "longitude", "baro_altitude", "geo_altitude", "velocity", "true_track", "vertical_rate"]
-    cells = lv.select("icao24", *[encode_number(c).alias(c) for c in nums],
-                      encode_bool("on_ground").alias("on_ground_cell"))
-    rejected = [(F.col(c) != "") & F.col(c).try_cast("double").isNull() for c in nums]
-    bad = sum((r.cast("int") for r in rejected[1:]), rejected[0].cast("int"))
-    return cells.select("icao24", *[decode_number(c).alias(c) for c in nums], "on_ground_cell",
-                        decode_bool("on_ground_cell").alias("on_ground"), bad.alias("bad_cells"))
+    t = F.col("last_contact")
+    time_cell = (F.when(t % 8 == 0, "12.5").when(t % 8 == 1, "n/a").when(t % 8 == 2, "").when(t % 8 == 3, F.lit(None))
+                 .otherwise(encode_number("last_contact")))
+    flag_cell = F.when(t % 5 == 0, F.lit(None)).when(t % 5 == 1, "").otherwise(encode_bool("on_ground"))
+    cells = {c: encode_number(c) for c in nums} | {"time_cell": time_cell, "on_ground_cell": flag_cell}
+    cells["velocity"] = F.when(t % 11 == 0, "fast").otherwise(cells["velocity"])
+    stored_cells = live(spark, sf).select("icao24", *[v.alias(k) for k, v in cells.items()])
+    bad = rejected("time_cell", "bigint").cast("int")
+    for c in nums:
+        bad = bad + rejected(c).cast("int")
+    return stored_cells.select("icao24", *[decode_number(c).alias(c) for c in nums], F.col("true_track").alias("true_track_cell"),
+                               "time_cell", decode_int("time_cell").alias("time"), "on_ground_cell",
+                               decode_bool("on_ground_cell").alias("on_ground"), bad.alias("bad_cells"))
 
 
 # --- enrichment, aggregates, tables -------------------------------------------------

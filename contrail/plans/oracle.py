@@ -5,12 +5,21 @@ Written independently of the Spark plans, over the same driver tables.
 
 from __future__ import annotations
 
-from contrail.fixtures import AIRCRAFT_SQL, FLIGHTS_SQL
+from contrail.schemas import MESSAGE_FIELDS
+from contrail.fixtures import AIRCRAFT_SQL, FLIGHTS_SQL, REPORTS_SQL
 
 FLIGHT_COLS = ("icao24, callsign, origin_country, time_position, last_contact, longitude, latitude, "
                "baro_altitude, on_ground, velocity, true_track, vertical_rate, geo_altitude, squawk, ingestion_ts")
 DIM_COLS = "registration, manufacturername, model, typecode, operator"
 
+
+
+def _half_up(units: str, n: str) -> str:
+    """``units`` / 1e8 / ``n`` rounded half-up to 2 dp in integers; 0 if there is nothing."""
+    d = f"(CAST({n} AS HUGEINT) * 1000000)"
+    return f"CASE WHEN {n} > 0 THEN sign({units}) * CAST((2 * abs({units}) + {d}) // (2 * {d}) AS DOUBLE) / 100 + 0.0 ELSE 0.0 END"
+
+
 BASE = f"""
 flights AS ({FLIGHTS_SQL}),
 aircraft AS ({AIRCRAFT_SQL}),
@@ -27,9 +36,9 @@ live AS (
 agg0 AS (
   SELECT origin_country AS country, ws AS window_start, ws + 300 AS window_end,
     count(*) AS flight_count,
-    round(COALESCE(avg(baro_altitude), 0) + 1e-7, 2) AS avg_alt,
-    round(COALESCE(max(baro_altitude), 0) + 1e-7, 2) AS max_alt,
-    round(COALESCE(avg(velocity), 0) + 1e-7, 2) AS avg_velocity
+    {_half_up("sum(CAST(floor(baro_altitude * 1e8 + 0.5) AS HUGEINT))", "count(baro_altitude)")} AS avg_alt,
+    {_half_up("CAST(floor(max(baro_altitude) * 1e8 + 0.5) AS HUGEINT)", "least(count(baro_altitude), 1)")} AS max_alt,
+    {_half_up("sum(CAST(floor(velocity * 1e8 + 0.5) AS HUGEINT))", "count(velocity)")} AS avg_velocity
   FROM (SELECT e.*, (last_contact // 60) * 60 - k * 60 AS ws
         FROM enriched e, range(0, 5) t(k)
         WHERE origin_country IS NOT NULL AND last_contact IS NOT NULL)
@@ -110,12 +119,13 @@ LIVE_SELECT = "SELECT * FROM live"
 # DuckDB and Spark write the same text for this data's numbers; they would
 # differ for doubles printed in exponent form (Spark 1.0E7, DuckDB 10000000.0).
 KEYED_JSON = (
-    "SELECT icao24 AS key, CAST(to_json({" + ", ".join(f"'{c}': {c}" for c in FLIGHT_COLS.split(", "))
-    + f"}}) AS VARCHAR) AS value FROM ({FLIGHTS_SQL})")
+    "SELECT icao24 AS key, CAST(to_json({" + ", ".join(f"'{c}': {c}" for c in MESSAGE_FIELDS)
+    + f"}}) AS VARCHAR) AS value FROM ({REPORTS_SQL})")
 
 ORACLE: dict[str, str] = {
     "json_decode": f"SELECT {FLIGHT_COLS} FROM ({FLIGHTS_SQL})",
-    "src_snapshot_decode": f"SELECT {FLIGHT_COLS} FROM ({FLIGHTS_SQL})",
+    "src_snapshot_decode": (
+        f"SELECT {FLIGHT_COLS}, CAST(to_json(sensors) AS VARCHAR) AS sensors, spi, position_source FROM ({REPORTS_SQL})"),
     "src_replay": f"SELECT {FLIGHT_COLS} FROM ({FLIGHTS_SQL})",
     "src_csv_dimension": (
         "SELECT NULLIF(icao24, '') AS icao24, NULLIF(registration, '') AS registration, "
@@ -134,13 +144,22 @@ ORACLE: dict[str, str] = {
     "reverse_epoch_key": _with(
         "SELECT country, window_end, country_key, 9999999999 - window_end AS reverse_epoch, row_key, "
         "split_part(row_key, '|', 1) AS key_head FROM agg"),
-    "cell_codec": _with(
-        "SELECT icao24, COALESCE(latitude, 0.0) AS latitude, COALESCE(longitude, 0.0) AS longitude, "
-        "COALESCE(baro_altitude, 0.0) AS baro_altitude, COALESCE(geo_altitude, 0.0) AS geo_altitude, "
-        "COALESCE(velocity, 0.0) AS velocity, COALESCE(true_track, 0.0) AS true_track, "
-        "COALESCE(vertical_rate, 0.0) AS vertical_rate, "
-        "CASE WHEN on_ground IS NULL THEN 'None' WHEN on_ground THEN 'True' ELSE 'False' END AS on_ground_cell, "
-        "COALESCE(on_ground, false) AS on_ground, CAST(0 AS INTEGER) AS bad_cells FROM live"),
+    "cell_codec": _with("""
+, c AS (SELECT *, CASE last_contact % 8 WHEN 0 THEN '12.5' WHEN 1 THEN 'n/a' WHEN 2 THEN '' WHEN 3 THEN NULL
+                  ELSE CAST(last_contact AS VARCHAR) END AS time_cell,
+          CASE WHEN last_contact % 11 = 0 THEN 'fast' END AS bad_velocity,
+          CASE last_contact % 5 WHEN 0 THEN NULL WHEN 1 THEN ''
+               ELSE CASE WHEN on_ground IS NULL THEN 'None' WHEN on_ground THEN 'True' ELSE 'False' END END AS on_ground_cell
+        FROM live)
+SELECT icao24, COALESCE(latitude, 0.0) AS latitude, COALESCE(longitude, 0.0) AS longitude,
+  COALESCE(baro_altitude, 0.0) AS baro_altitude, COALESCE(geo_altitude, 0.0) AS geo_altitude,
+  CASE WHEN bad_velocity IS NULL THEN COALESCE(velocity, 0.0) ELSE 0.0 END AS velocity,
+  COALESCE(true_track, 0.0) AS true_track, COALESCE(vertical_rate, 0.0) AS vertical_rate,
+  CASE WHEN COALESCE(true_track, 0.0) = 0 THEN '' ELSE CAST(true_track AS VARCHAR) END AS true_track_cell,
+  time_cell, CASE WHEN last_contact % 8 < 4 THEN 0 ELSE last_contact END AS time, on_ground_cell,
+  COALESCE(NULLIF(on_ground_cell, ''), 'True') = 'True' AS on_ground,
+  CAST(CASE WHEN bad_velocity IS NULL THEN 0 ELSE 1 END + CASE WHEN last_contact % 8 < 2 THEN 1 ELSE 0 END AS INTEGER) AS bad_cells
+FROM c"""),
     "enrich_left_join": _with(ENRICHED_SELECT),
     "country_window_agg": _with(AGG_SELECT),
     "rapid_descent_alerts": _with(
@@ -159,8 +178,8 @@ ORACLE: dict[str, str] = {
           CAST(count(*) FILTER (WHERE operator <> '') AS BIGINT) AS enriched FROM airborne),
   n AS (SELECT count(*) AS alerts_total FROM alerts)
 SELECT airborne, countries, avg_altitude, avg_velocity, round_even(avg_velocity * 1.944, 0) AS avg_velocity_kt,
-  enriched, CAST(least(alerts_total, 200) AS BIGINT) AS alerts, alerts_total,
-  CASE WHEN least(alerts_total, 200) > 0 THEN 'rapid descents' ELSE 'all clear' END AS alert_status
+  enriched, CAST(alerts_total AS BIGINT) AS alerts, alerts_total,
+  CASE WHEN alerts_total > 0 THEN 'rapid descents' ELSE 'all clear' END AS alert_status
 FROM k, n"""),
     "map_points": _with(
         "SELECT icao24, lat, lon, altitude, printf('%s<br>Alt: %d m<br>Speed: %d m/s<br>%s', "

@@ -1,6 +1,7 @@
 """Schemas of the message stream, the aircraft dimension and the result tables."""
 
 from pyspark.sql.types import (
+    ArrayType,
     BooleanType,
     DoubleType,
     IntegerType,
@@ -10,7 +11,8 @@ from pyspark.sql.types import (
     StructType,
 )
 
-# The flight message: one JSON object per aircraft per poll (all nullable).
+# The flight message, one JSON object per aircraft per poll (all nullable),
+# as the stream consumer reads it.
 FLIGHT_SCHEMA = StructType([
     StructField("icao24", StringType(), True),
     StructField("callsign", StringType(), True),
@@ -31,13 +33,24 @@ FLIGHT_SCHEMA = StructType([
 
 FLIGHT_FIELDS = [f.name for f in FLIGHT_SCHEMA.fields]
 
-# Position of each field in a snapshot state vector
-# (slot 12 sensors, 15 spi and 16 position_source are produced but not read).
+# The published message has three more fields, and this order.
+EXTRA_SCHEMA = StructType([
+    StructField("sensors", ArrayType(LongType()), True),
+    StructField("spi", BooleanType(), True),
+    StructField("position_source", LongType(), True),
+])
+MESSAGE_FIELDS = [
+    "icao24", "callsign", "origin_country", "time_position", "last_contact", "longitude", "latitude", "baro_altitude",
+    "on_ground", "velocity", "true_track", "vertical_rate", "sensors", "geo_altitude", "squawk", "spi",
+    "position_source", "ingestion_ts",
+]
+
+# Position of each field in a snapshot state vector.
 STATE_SLOTS = {
     "icao24": 0, "callsign": 1, "origin_country": 2, "time_position": 3,
     "last_contact": 4, "longitude": 5, "latitude": 6, "baro_altitude": 7,
     "on_ground": 8, "velocity": 9, "true_track": 10, "vertical_rate": 11,
-    "geo_altitude": 13, "squawk": 14,
+    "sensors": 12, "geo_altitude": 13, "squawk": 14, "spi": 15, "position_source": 16,
 }
 STATE_WIDTH = 17
 
@@ -46,7 +59,7 @@ AIRCRAFT_COLUMNS = ["icao24", "registration", "manufacturername", "model", "type
 AIRCRAFT_SCHEMA = StructType([StructField(c, StringType(), True) for c in AIRCRAFT_COLUMNS])
 DIMENSION_COLUMNS = AIRCRAFT_COLUMNS[1:]
 
-# Result tables: key columns and the columns each keeps.
+# Key columns of the result tables and the columns each keeps.
 LIVE_COLUMNS = [
     "icao24", "callsign", "origin_country", "latitude", "longitude", "baro_altitude",
     "geo_altitude", "velocity", "true_track", "vertical_rate", "on_ground", "last_contact",

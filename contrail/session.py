@@ -8,6 +8,7 @@ local temporary folder and register it as the checkpoint dir.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -34,12 +35,23 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, app: str = "
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether everything runs in this process (``local-cluster`` does not)."""
+    return re.match(r"local(\[|$)", spark.sparkContext.master) is not None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of this session; set a local one only if unset."""
+    """The shared checkpoint folder of this session.
+
+    In local mode an unset one becomes a temporary folder (scratch tables stay there until the
+    system clears it). On a cluster that would be another disk for each executor, so it is an error.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="contrail-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root
@@ -82,11 +94,11 @@ class session_conf:
 
 
 def stream_partitions(spark: SparkSession) -> int:
-    """Shuffle/state partitions for micro-batches: the cluster's task slots.
+    """Shuffle/state partitions for micro-batches, fixed in a stateful query's checkpoint at its first start.
 
-    Micro-batches run without AQE, so the session's shuffle partition count is
-    used as is, and for a stateful query it is fixed in the checkpoint at first
-    start. Sizing it to the available task slots keeps every slot busy without
-    hundreds of near-empty state-store tasks per batch.
+    Micro-batches run without AQE, so the count is used as is. In local mode it is the number of
+    task slots, known from the start. On a cluster executors may still be registering, so the
+    session's ``spark.sql.shuffle.partitions`` decides, with the slots seen so far as the least.
     """
-    return max(1, int(spark.sparkContext.defaultParallelism))
+    slots = max(1, int(spark.sparkContext.defaultParallelism))
+    return slots if is_local(spark) else max(slots, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))

@@ -10,11 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from contrail.schemas import FLIGHT_FIELDS, FLIGHT_SCHEMA
+from contrail.schemas import FLIGHT_SCHEMA, MESSAGE_FIELDS
 
 CORRUPT_COLUMN = "_corrupt_record"
-# Fixed value: the original deployment's cap on records read per trigger.
-SMALL_DEPLOYMENT_MAX_OFFSETS = 5000
 
 
 def read_kafka(spark: SparkSession, bootstrap_servers: str, topic: str, *,
@@ -23,9 +21,9 @@ def read_kafka(spark: SparkSession, bootstrap_servers: str, topic: str, *,
     """Subscribe to one topic (needs the spark-sql-kafka connector on the classpath).
 
     Keeps ``partition``/``offset`` so arrival order can order the latest-state table.
-    ``max_offsets_per_trigger`` caps a micro-batch (``SMALL_DEPLOYMENT_MAX_OFFSETS``
-    reproduces the original setting); uncapped by default, since a fixed cap
-    below the arrival rate makes the stream fall further behind every trigger.
+    ``max_offsets_per_trigger`` caps a micro-batch (5000 reproduces the original
+    setting); uncapped by default, since a fixed cap below the arrival rate
+    makes the stream fall further behind every trigger.
     """
     reader = (spark.readStream if streaming else spark.read).format("kafka")
     reader = (reader.option("kafka.bootstrap.servers", bootstrap_servers)
@@ -39,13 +37,20 @@ def read_kafka(spark: SparkSession, bootstrap_servers: str, topic: str, *,
 
 
 def read_message_files(spark: SparkSession, path: str, *, streaming: bool = True,
-                       max_files_per_trigger: int | None = 1) -> DataFrame:
-    """JSON-lines landing folder as a ``value`` column (one message per line)."""
+                       max_files_per_trigger: int | None = None,
+                       max_bytes_per_trigger: str | None = None) -> DataFrame:
+    """JSON-lines landing folder as a ``value`` column (one message per line).
+
+    A trigger takes all that has landed; ``max_bytes_per_trigger`` (such as
+    ``"64g"``) bounds a catch-up batch by size, ``max_files_per_trigger`` by files.
+    """
     if not streaming:
         return spark.read.text(path)
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return reader.load(path)
 
 
@@ -70,8 +75,9 @@ def decode_messages(df: DataFrame, value_col: str = "value", *, keep: tuple[str,
 def to_messages(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Keyed JSON publish form: ``key`` = icao24, ``value`` = the message with nulls kept.
 
+    The message has the published fields that ``df`` has, in their fixed order.
     ``keep`` carries further columns alongside (they are not part of the message)."""
-    fields = [c for c in FLIGHT_FIELDS if c in df.columns]
+    fields = [c for c in MESSAGE_FIELDS if c in df.columns]
     return df.select(
         F.col("icao24").alias("key"),
         F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"),

@@ -9,12 +9,13 @@ states without an address are dropped.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 from contrail.functions.scalars import clean_callsign
-from contrail.schemas import FLIGHT_SCHEMA, STATE_SLOTS, STATE_WIDTH
+from contrail.schemas import EXTRA_SCHEMA, FLIGHT_SCHEMA, STATE_SLOTS, STATE_WIDTH
 
 SNAPSHOT_SCHEMA = "struct<time: bigint, states: array<array<string>>>"
 REPLAY_SCHEMA = "array<array<string>>"
@@ -35,18 +36,22 @@ def _json_text(c: Column, quoted: bool) -> Column:
 
 
 def state_vectors(df: DataFrame) -> DataFrame:
-    """Flight rows -> one positional state array (JSON text) per row."""
+    """Flight rows -> one positional state array (JSON text) per row.
+
+    Fields beyond the 15 of a flight row (sensors, spi, position_source) are taken where ``df`` has them.
+    """
     slot_of = {v: k for k, v in STATE_SLOTS.items()}
-    types = {f.name: f.dataType for f in FLIGHT_SCHEMA.fields}
-    filler = {12: (F.lit(None).cast("string"), True), 15: (F.lit(False), False), 16: (F.lit(0), False)}
+    types = {f.name: f.dataType for f in FLIGHT_SCHEMA.fields + EXTRA_SCHEMA.fields}
+    absent = {"sensors": "null", "spi": "false", "position_source": "0"}
     elems = []
     for i in range(STATE_WIDTH):
-        if i in slot_of:
-            name = slot_of[i]
-            c, quoted = F.col(name), isinstance(types[name], StringType)
+        name = slot_of[i]
+        if name in absent and name not in df.columns:
+            elems.append(F.lit(absent[name]))
+        elif isinstance(types[name], ArrayType):
+            elems.append(F.coalesce(F.to_json(F.col(name)), F.lit("null")))
         else:
-            c, quoted = filler[i]
-        elems.append(_json_text(c, quoted))
+            elems.append(_json_text(F.col(name), isinstance(types[name], StringType)))
     return df.select("*", F.concat(F.lit("["), F.concat_ws(",", *elems), F.lit("]")).alias("state_json"))
 
 
@@ -70,40 +75,50 @@ def snapshot_documents(df: DataFrame, *, chunk_rows: int = DEFAULT_CHUNK_ROWS, b
     return grouped.select("ingestion_ts", "chunk", doc.alias("doc"))
 
 
-def _states_to_rows(exploded: DataFrame, ingestion_ts: Column) -> DataFrame:
+def _states_to_rows(exploded: DataFrame, all_fields: bool) -> DataFrame:
     s = F.col("s")
     valid = exploded.where((F.size(s) > 0) & F.get(s, 0).isNotNull())
     cols = []
-    for field in FLIGHT_SCHEMA.fields:
+    for field in FLIGHT_SCHEMA.fields + (EXTRA_SCHEMA.fields if all_fields else []):
         if field.name == "ingestion_ts":
-            cols.append(ingestion_ts.cast("long").alias("ingestion_ts"))
+            cols.append(F.col("t").cast("long").alias("ingestion_ts"))
         elif field.name == "callsign":
             cols.append(clean_callsign(F.get(s, STATE_SLOTS["callsign"])).alias("callsign"))
+        elif isinstance(field.dataType, ArrayType):
+            cols.append(F.from_json(F.get(s, STATE_SLOTS[field.name]), field.dataType).alias(field.name))
         else:
-            raw = F.get(s, STATE_SLOTS[field.name])
-            cols.append(raw.try_cast(field.dataType).alias(field.name))
+            cols.append(F.get(s, STATE_SLOTS[field.name]).try_cast(field.dataType).alias(field.name))
     return valid.select(*cols)
 
 
-def decode_snapshot(df: DataFrame, doc_col: str = "doc", ingestion_ts: Column | None = None) -> DataFrame:
-    """Snapshot documents -> flight rows. ``ingestion_ts`` defaults to the document's ``time``."""
-    parsed = df.select(F.from_json(F.col(doc_col), SNAPSHOT_SCHEMA).alias("d"))
-    ts = ingestion_ts if ingestion_ts is not None else F.col("t")
-    exploded = parsed.select(F.col("d.time").alias("t"), F.explode(F.col("d.states")).alias("s"))
-    return _states_to_rows(exploded, ts)
+def _poll_stamp(ingestion_ts: Column | None) -> Column:
+    """The given stamp, else the time of this read: one value for all rows of a poll."""
+    return ingestion_ts if ingestion_ts is not None else F.unix_timestamp(F.current_timestamp())
+
+
+def decode_snapshot(df: DataFrame, doc_col: str = "doc", ingestion_ts: Column | None = None,
+                    all_fields: bool = False) -> DataFrame:
+    """Snapshot documents -> flight rows; ``all_fields`` adds sensors, spi and position_source.
+
+    ``ingestion_ts`` may be any column of ``df``; it defaults to the time of the read, as a poll stamps it.
+    """
+    states = F.from_json(F.col(doc_col), SNAPSHOT_SCHEMA).getField("states")
+    return _states_to_rows(df.select(_poll_stamp(ingestion_ts).alias("t"), F.explode(states).alias("s")), all_fields)
 
 
-def decode_replay(df: DataFrame, doc_col: str = "doc", ingestion_ts: Column | None = None) -> DataFrame:
+def decode_replay(df: DataFrame, doc_col: str = "doc", ingestion_ts: Column | None = None,
+                  all_fields: bool = False) -> DataFrame:
     """Replay documents (bare lists) -> flight rows; bad or missing documents give none."""
-    ts = ingestion_ts if ingestion_ts is not None else F.unix_timestamp(F.current_timestamp())
-    exploded = df.select(ts.alias("t"), F.explode(F.from_json(F.col(doc_col), REPLAY_SCHEMA)).alias("s"))
-    return _states_to_rows(exploded, F.col("t"))
+    states = F.from_json(F.col(doc_col), REPLAY_SCHEMA)
+    return _states_to_rows(df.select(_poll_stamp(ingestion_ts).alias("t"), F.explode(states).alias("s")), all_fields)
 
 
 def read_replay(spark: SparkSession, path: str, ingestion_ts: Column | None = None) -> DataFrame:
-    """Replay files (one bare list per file) -> flight rows; a missing path gives no rows."""
+    """Replay files (one bare list per file) -> flight rows; a missing path gives no rows, other errors are raised."""
     try:
         docs = spark.read.text(path, wholetext=True).withColumnRenamed("value", "doc")
-    except Exception:  # noqa: BLE001 - a missing replay source means "no states this poll"
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], FLIGHT_SCHEMA)
     return decode_replay(docs, "doc", ingestion_ts)

@@ -32,6 +32,7 @@ from contrail.streaming.sinks import KeyedTable, append_batch
 
 ALL_QUERIES = ("live", "agg", "alerts", "enriched")
 DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def enriched_stream(source: DataFrame, aircraft: DataFrame, *, value_col: str = "value",
@@ -120,8 +121,6 @@ def start_pipeline(enriched: DataFrame, out_root: str, checkpoint_root: str, *,
     ``agg_input`` (see ``counted_stream``) feeds the window aggregate instead of
     the enriched stream, e.g. to skip the join when dimension keys are unique.
     """
-    if state_store == "rocksdb":
-        use_rocksdb_state(enriched.sparkSession)
     tables = ResultTables.at(out_root, order, compact_every)
     extra = [o for o in order if o not in ARRIVAL_ORDER]
     trig = trigger or DEFAULT_TRIGGER
@@ -129,11 +128,13 @@ def start_pipeline(enriched: DataFrame, out_root: str, checkpoint_root: str, *,
     started: dict[str, StreamingQuery] = {}
 
     spark = enriched.sparkSession
-    parts = state_partitions or stream_partitions(spark)
+    conf = {"spark.sql.shuffle.partitions": state_partitions or stream_partitions(spark)}
+    if state_store == "rocksdb":
+        conf["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
 
     def _start(name: str, df: DataFrame, sink, mode: str = "append") -> None:
         # the stream's session is cloned at start(): the partition count is captured here
-        with session_conf(spark, **{"spark.sql.shuffle.partitions": parts}):
+        with session_conf(spark, **conf):
             started[name] = (df.writeStream.outputMode(mode).trigger(**trig)
                              .option("checkpointLocation", f"{ck}/{name}")
                              .foreachBatch(sink).queryName(f"contrail_{name}_{id(started)}").start())
@@ -177,13 +178,6 @@ def start_pipeline(enriched: DataFrame, out_root: str, checkpoint_root: str, *,
     return started
 
 
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def use_rocksdb_state(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-
-
 def start_archive(df: DataFrame, out_path: str, checkpoint: str, trigger: dict | None = None,
                   partitions: int | None = None, date_from: str | None = None) -> StreamingQuery:
     """Append-only archive of every row (e.g. every enriched report).
@@ -211,11 +205,6 @@ def run_forever(spark: SparkSession) -> None:
 
 # --- landing folders for file-driven runs and tests ---------------------------
 
-def land_messages(messages: DataFrame, landing: str) -> None:
-    """Append JSON lines (column ``value``) to a landing folder, written by all tasks."""
-    messages.select("value").write.mode("append").text(landing)
-
-
 def time_chunks(df: DataFrame, n: int, col: str = "last_contact") -> list[tuple[int, int]]:
     """``n`` contiguous, non-overlapping ranges of ``col`` covering all rows (two scalars fetched)."""
     lo, hi = df.agg(F.min(col), F.max(col)).first()

@@ -3,6 +3,8 @@
 import json
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from contrail.functions.scalars import (
@@ -145,7 +147,7 @@ def test_alert_without_time(spark):
 def test_snapshot_sample(spark):
     doc = ('{"time":1,"states":[["abc123","AAL1 ","United States",100,101,-1.5,2.25,null,false,0.0,0,-16.1,'
            '[1,2],3.0,null,false,0],null]}')
-    rows = decode_snapshot(spark.createDataFrame([(doc,)], "doc string")).collect()
+    rows = decode_snapshot(spark.createDataFrame([(doc,)], "doc string"), ingestion_ts=F.lit(1)).collect()
     assert len(rows) == 1
     r = rows[0]
     assert (r.callsign, r.longitude, r.latitude, r.baro_altitude, r.on_ground, r.velocity) == \
@@ -183,7 +185,7 @@ def test_cell_codec_round_trip(spark):
         .select("x", "b", "cb", decode_number("cx").alias("dx"), decode_bool("cb").alias("db")).collect()
     for r in out:
         assert r.dx == (r.x or 0.0)
-        assert r.db == bool(r.b)
+        assert r.db == bool(r.b)  # a null flag is stored as None and reads as not True
         assert r.cb == {None: "None", True: "True", False: "False"}[r.b]
     bad = spark.createDataFrame([("x1",), ("",), (None,)], "c string").select(decode_number("c")).collect()
     assert [r[0] for r in bad] == [0.0, 0.0, 0.0]
@@ -201,7 +203,9 @@ def test_alert_cap_in_kpi(spark):
             for i in range(250)]
     e = _enriched(spark, rows)
     k = panels.kpi_summary(panels.live_airborne(live_table(e)), alerts_table(e)).first()
-    assert (k.alerts, k.alerts_total) == (200, 250)
+    assert (k.alerts, k.alerts_total) == (250, 250)
+    capped = panels.kpi_summary(panels.live_airborne(live_table(e)), alerts_table(e), alert_cap=200).first()
+    assert (capped.alerts, capped.alerts_total) == (200, 250)
     assert panels.scan_alerts_limit(alerts_table(e)).count() == 200
 
 
@@ -251,7 +255,7 @@ def test_join_strategies_agree(spark):
         return sorted((tuple(r) for r in df.collect()), key=lambda t: tuple((x is None, str(x)) for x in t))
     want = rows_of(enrich(f, d, strategy="broadcast"))
     assert len(want) == 40 * 2 + 4
-    for kw in (dict(strategy="shuffle"), dict(strategy="salted", salts=4), dict(strategy="auto", max_broadcast_rows=1)):
+    for kw in (dict(strategy="shuffle"), dict(strategy="salted"), dict(strategy="auto", max_broadcast_rows=1)):
         got = enrich(f, d, **kw).select(*f.columns, "registration", "manufacturername", "model", "typecode", "operator")
         assert rows_of(got) == want
 
@@ -277,9 +281,9 @@ def test_broadcast_needs_both_row_and_byte_bound(spark):
     import contextlib
     import io
 
-    from contrail.operators.enrich import bounded_size, broadcast_bound_ok, join_strategy
+    from contrail.operators.enrich import broadcast_bound_ok, join_strategy, measured_size
     dim = aircraft_df(spark, [("a", "R" * 1000, "M", "M1", "T", "OpA"), ("b", None, "", "M2", "T", None)])
-    rows, nbytes = bounded_size(dim, 10)
+    rows, nbytes = measured_size(dim)
     # 8 + 8 per field for each row, plus the UTF-8 bytes of every string
     assert (rows, nbytes) == (2, 2 * (8 + 8 * 6) + (1 + 1000 + 1 + 2 + 1 + 3) + (1 + 2 + 1))
     assert broadcast_bound_ok(dim, 10, nbytes) and not broadcast_bound_ok(dim, 10, nbytes - 1)
@@ -290,23 +294,126 @@ def test_broadcast_needs_both_row_and_byte_bound(spark):
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         big.explain()
-    assert "BroadcastHashJoin" not in buf.getvalue()
+    # the dimension is shuffled; only the bounded table of hot keys is broadcast
+    assert "SortMergeJoin [_key" in buf.getvalue() and "BroadcastHashJoin [_key" not in buf.getvalue()
     key = ["icao24", "last_contact", "registration", "operator"]
     assert sorted(big.select(*key).collect()) == sorted(enrich(f, dim).select(*key).collect())
 
 
-def test_size_check_remembered_per_file_version(spark, scratch):
-    from contrail.operators.enrich import _MEASURED, bounded_size
+def test_size_check_shuffles_one_row_a_task_and_skips_hopeless_tables(spark, scratch, monkeypatch):
+    import importlib
+    E = importlib.import_module("contrail.operators.enrich")
     path = f"{scratch}/dim"
-    aircraft_df(spark, [("a", "R", "M", "M1", "T", "OpA")]).write.parquet(path)
-    first = bounded_size(spark.read.parquet(path), 10)
-    known = len(_MEASURED)
-    assert bounded_size(spark.read.parquet(path), 10) == first and len(_MEASURED) == known
-    aircraft_df(spark, [("b", "R", "M", "M1", "T", "OpB")]).write.mode("append").parquet(path)
-    assert bounded_size(spark.read.parquet(path), 10)[0] == 2 and len(_MEASURED) == known + 1
-    # in-memory rows have no files to version: measured every time, never remembered
-    bounded_size(aircraft_df(spark, [("c", "R", "M", "M1", "T", "OpC")]), 10)
-    assert len(_MEASURED) == known + 1
+    spark.range(200_000).selectExpr("hex(id) AS icao24", *[f"uuid() AS {c}" for c in
+                                    ("registration", "manufacturername", "model", "typecode", "operator")]) \
+        .repartition(16).write.parquet(path)
+    dim = spark.read.parquet(path)
+    assert E.measured_size(dim)[0] == 200_000
+    plan = dim.agg(F.count(F.lit(1)), F.sum(E.row_bytes(dim)))._jdf.queryExecution().executedPlan().toString()
+    assert "Limit" not in plan and plan.count("HashAggregate") == 2  # the exchange is fed by partial aggregates only
+    monkeypatch.setattr(E, "measured_size", lambda df: pytest.fail("a hopeless table was read"))
+    assert not E.broadcast_bound_ok(dim, max_bytes=100_000)
+    monkeypatch.undo()
+    assert E.broadcast_bound_ok(dim) and not E.broadcast_bound_ok(dim, max_rows=199_999)
+
+
+def test_salted_join_splits_measured_hot_keys_and_spreads_null_ones(spark):
+    from contrail.operators.enrich import hot_keys, salted_left_join
+    rows = [dict(icao24="hot", velocity=1.0)] * 3000 + [dict()] * 1000 + [dict(icao24=f"k{i}") for i in range(500)]
+    left = flights_df(spark, rows)
+    right = aircraft_df(spark, [("hot", "R", "M", "M1", "T", "OpA")] + [(f"k{i}", "R", "M", "M1", "T", f"Op{i}") for i in range(0, 500, 2)])
+    assert [(r.icao24, r._salts) for r in hot_keys(left, "icao24", 32, min_rows=1).collect()] == [("hot", 22)]
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = salted_left_join(left, right, "icao24", min_rows=1).withColumn("p", F.spark_partition_id())
+        per = {r["k"]: (r["n"], r["parts"], r["most"]) for r in out.groupBy("icao24", "p").count().groupBy("icao24")
+               .agg(F.sum("count").alias("n"), F.count("*").alias("parts"), F.max("count").alias("most"))
+               .select(F.coalesce("icao24", F.lit("null")).alias("k"), "n", "parts", "most").collect()}
+        assert per["hot"][0] == 3000 and per["hot"][1] >= 10 and per["hot"][2] < 800
+        assert per["null"][0] == 1000 and per["null"][1] >= 24  # identical malformed messages part as well
+        assert out.count() == 4500 and out.where("operator = 'OpA'").count() == 3000
+        assert out.where("icao24 like 'k%' and operator is not null").count() == 250
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+
+
+def test_rounding_is_exact_and_has_no_nudge(spark):
+    rows = [dict(icao24="a", origin_country=c, last_contact=1000, ingestion_ts=1, baro_altitude=v, velocity=w)
+            for c, v, w in [("x", 0.00499995, None), ("y", 0.005, -0.005), ("y", 0.005, -0.015), ("z", -0.001, 1e9), ("z", None, 2e9)]]
+    got = {r.country: (r.avg_alt, r.max_alt, r.avg_velocity) for r in agg_table(_enriched(spark, rows)).collect()}
+    assert got == {"x": (0.0, 0.0, 0.0), "y": (0.01, 0.01, -0.01), "z": (0.0, 0.0, 1.5e9)}
+    assert not any(str(v).startswith("-0.0") and v == 0 for t in got.values() for v in t)
+
+
+def test_cells_that_do_not_decode(spark):
+    from contrail.functions.scalars import decode_int, rejected
+    cells = ["12", " -7 ", "12.5", "x", "", None, "99999999999999999999", "1e3"]
+    df = spark.createDataFrame([(c,) for c in cells], "c string")
+    got = df.select(decode_int("c").alias("i"), rejected("c", "bigint").alias("ri"), decode_number("c").alias("d"), rejected("c").alias("rd")).collect()
+    assert [r.i for r in got] == [12, -7, 0, 0, 0, 0, 0, 0]
+    assert [r.ri for r in got] == [False, False, True, True, False, False, True, True]
+    assert [r.rd for r in got] == [False, False, False, True, False, False, False, False]
+    flags = spark.createDataFrame([(c,) for c in ("True", "False", "None", "", None, "true")], "c string")
+    assert [r[0] for r in flags.select(decode_bool("c")).collect()] == [True, False, False, True, True, False]
+    longs = spark.createDataFrame([(0,), (None,), (1704067200,)], "x bigint").select(encode_number("x")).collect()
+    assert [r[0] for r in longs] == ["", "", "1704067200"]
+
+
+def test_all_eighteen_fields_survive_a_snapshot_and_a_message(spark):
+    from contrail.schemas import MESSAGE_FIELDS
+    from contrail.sources.messages import decode_messages, to_messages
+    from contrail.sources.snapshot import snapshot_documents
+    f = (flights_df(spark, [dict(icao24="a", callsign="X", ingestion_ts=10), dict(icao24="b", callsign="", ingestion_ts=10)])
+         .withColumn("sensors", F.when(F.col("icao24") == "a", F.array(F.lit(3).cast("bigint"), F.lit(9).cast("bigint"))))
+         .withColumn("spi", F.col("icao24") == "b").withColumn("position_source", F.lit(2).cast("bigint")))
+    back = decode_snapshot(snapshot_documents(f), ingestion_ts=F.col("ingestion_ts"), all_fields=True)
+    assert sorted(back.select(*f.columns).collect(), key=str) == sorted(f.collect(), key=str)
+    value = to_messages(back.where("icao24 = 'a'")).first().value
+    assert list(json.loads(value)) == MESSAGE_FIELDS and json.loads(value)["sensors"] == [3, 9]
+    assert len(decode_messages(spark.createDataFrame([(value,)], "value string")).columns) == 15
+    now = decode_snapshot(snapshot_documents(f)).select("ingestion_ts").distinct().collect()
+    assert len(now) == 1 and now[0][0] > 1_700_000_000
+
+
+def test_replay_errors_other_than_a_missing_path_are_raised(spark, scratch):
+    from pyspark.errors import AnalysisException
+    with pytest.raises((AnalysisException, Exception), match="(?i)scheme|filesystem"):
+        read_replay(spark, "nosuchscheme://x/y")
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    from contrail import session
+    monkeypatch.setattr(session, "is_local", lambda s: False)
+    monkeypatch.setattr(session, "tempfile", None)
+
+    class NoFolder:
+        conf = type("C", (), {"get": staticmethod(lambda k, d=None: d)})
+        sparkContext = type("S", (), {"getCheckpointDir": staticmethod(lambda: None), "defaultParallelism": 2})
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(NoFolder)
+    assert session.stream_partitions(NoFolder) == 200  # not the two slots registered so far
+    monkeypatch.undo()
+    assert session.is_local(spark) and session.stream_partitions(spark) == spark.sparkContext.defaultParallelism
+
+
+def test_pinned_dimension_is_cached_and_released(spark):
+    from contrail.sources.dimension import pin_dimension, release_dimension
+    pinned, n = pin_dimension(aircraft_df(spark, [("a", "R", "M", "M1", "T", "OpA"), ("b", None, None, None, None, None)]))
+    assert n == 2 and pinned.storageLevel.useMemory
+    release_dimension(pinned)
+    assert not pinned.storageLevel.useMemory
+
+
+def test_aggregate_scan_limit_bites(spark):
+    rows = [dict(icao24="a", origin_country=f"c{i:05d}", last_contact=1000, ingestion_ts=1) for i in range(1200)]
+    agg = agg_table(_enriched(spark, rows))
+    assert agg.count() == 6000
+    scanned = panels.scan_agg_limit(agg)
+    assert scanned.count() == 5000 and scanned.agg(F.max("country")).first()[0] == "c00999"
 
 
 def test_state_vector_round_trip_of_awkward_values(spark):
@@ -321,7 +428,8 @@ def test_state_vector_round_trip_of_awkward_values(spark):
                  velocity=rnd.choice(nums), true_track=rnd.choice(nums), vertical_rate=rnd.choice(nums),
                  geo_altitude=rnd.choice(nums), squawk=rnd.choice(texts), ingestion_ts=rnd.choice([10, 20]))
             for i in range(300)]
-    back = {r.icao24: r.asDict() for r in decode_snapshot(snapshot_documents(flights_df(spark, rows))).collect()}
+    back = {r.icao24: r.asDict() for r in decode_snapshot(
+        snapshot_documents(flights_df(spark, rows)), ingestion_ts=F.col("ingestion_ts")).collect()}
     assert len(back) == len(rows)
     for want in rows:
         got = back[want["icao24"]]
@@ -422,7 +530,7 @@ def test_salted_join_spreads_a_hot_aircraft_over_tasks(spark):
     rows = [dict(icao24="a" if i % 3 else "b", last_contact=i, ingestion_ts=10) for i in range(600)]
     with session_conf(spark, spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions="16",
                       spark__sql__autoBroadcastJoinThreshold="-1"):
-        out = salted_left_join(flights_df(spark, rows), dim.select("icao24", "operator"), "icao24", 16)
+        out = salted_left_join(flights_df(spark, rows), dim.select("icao24", "operator"), "icao24", min_rows=1)
         parts = (out.where(F.col("icao24") == "a").select(F.spark_partition_id().alias("p"))
                  .distinct().count())
         assert out.count() == 600 and out.where(F.col("operator").isNull()).count() == 0
