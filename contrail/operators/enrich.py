@@ -171,11 +171,15 @@ def salted_left_join(left: DataFrame, right: DataFrame, key: str, tasks: int | N
     return lhs.join(rhs, on=["_key", "_salt"], how="left").drop("_key", "_salt")
 
 
-def rapid_descent(df: DataFrame, threshold: float = DESCENT_THRESHOLD) -> DataFrame:
+def descending_fast(threshold: float = DESCENT_THRESHOLD) -> Column:
     """Airborne (``on_ground`` is false, null excluded) and descending faster than the threshold."""
-    return df.where((F.col("on_ground") == F.lit(False))
-                    & F.col("vertical_rate").isNotNull()
-                    & (F.col("vertical_rate") < F.lit(threshold)))
+    return ((F.col("on_ground") == F.lit(False)) & F.col("vertical_rate").isNotNull()
+            & (F.col("vertical_rate") < F.lit(threshold)))
+
+
+def rapid_descent(df: DataFrame, threshold: float = DESCENT_THRESHOLD) -> DataFrame:
+    """The reports that ``descending_fast`` holds for."""
+    return df.where(descending_fast(threshold))
 
 
 def fan_out_by_dimension(df: DataFrame, aircraft: DataFrame, *,

@@ -28,7 +28,7 @@ from contrail.sources.dimension import read_aircraft_csv, write_aircraft_csv
 from contrail.sources.messages import decode_messages, read_message_files, to_messages
 from contrail.sources.snapshot import decode_replay, decode_snapshot, snapshot_documents
 from contrail.streaming.pipeline import (
-    ResultTables, enriched_stream, replay_in_batches, start_archive, start_pipeline,
+    ResultTables, enriched_stream, replay_in_batches, report_stream, start_archive, start_pipeline,
 )
 from contrail.streaming.sinks import KeyedTable, read_archive
 
@@ -292,7 +292,7 @@ def _stream_run(spark, sf, name, build_and_start):
     strategy = join_strategy(dim)
 
     def run_once():
-        source = read_message_files(spark, landing, streaming=True, max_files_per_trigger=None)
+        source = read_message_files(spark, landing, recursive=True)
         q = build_and_start(source, dim, out, ck, strategy)
         for query in (q.values() if isinstance(q, dict) else [q]):
             query.awaitTermination()
@@ -323,7 +323,7 @@ def q_stream_enrich(spark, sf):
 
 def _pipeline_query(spark, sf, name):
     def start(source, dim, out, ck, strategy):
-        return start_pipeline(enriched_stream(source, dim, strategy=strategy), out, ck, queries=(name,),
+        return start_pipeline(report_stream(source), out, ck, aircraft=dim, strategy=strategy, queries=(name,),
                               trigger=AVAILABLE_NOW)
     out = _stream_run(spark, sf, name, start)
     return getattr(ResultTables.at(out), name).current(spark)
@@ -341,8 +341,7 @@ def q_stream_live_snapshot(spark, sf):
 def q_stream_pipeline_alerts(spark, sf):
     """All four queries at once (stateless three fanned out of one persisted batch); the alerts table."""
     def start(source, dim, out, ck, strategy):
-        return start_pipeline(enriched_stream(source, dim, strategy=strategy), out, ck, trigger=AVAILABLE_NOW,
-                              fan_out=True)
+        return start_pipeline(report_stream(source), out, ck, aircraft=dim, strategy=strategy, trigger=AVAILABLE_NOW)
     out = _stream_run(spark, sf, "pipeline", start)
     cur = ResultTables.at(out).alerts.current(spark)
     return cur.select("icao24", "ingestion_ts", "vrate", "alt", "callsign", "operator", "country", "ts", "row_key")

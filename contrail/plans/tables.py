@@ -74,6 +74,24 @@ def alert_rows(enriched: DataFrame, extra=()) -> DataFrame:
     )
 
 
+def alerts_then_enrich(flights: DataFrame, aircraft: DataFrame, order=("last_contact",), extra=(), **enrich_options) -> DataFrame:
+    """``alerts_table`` computed as "one report per pair, then join": the join sees only the alerts.
+
+    Equal to the reduction of joined alerts: the same order picks the report, then the metadata.
+    """
+    order = list(order)
+    keys = ["icao24", "ingestion_ts"]
+    bare = flights.withColumn("operator", F.lit(None).cast("string")).withColumn("_raw_icao24", F.col("icao24"))
+    rows = alert_rows(bare, [*extra, "_raw_icao24"]).drop("operator")
+    carried = [c for c in rows.columns if c not in keys]
+    first = latest_by_key(rows, keys, order, carried)
+    probe = first.withColumnRenamed("icao24", "_key").withColumnRenamed("_raw_icao24", "icao24")
+    joined = enrich(probe, aircraft, **enrich_options).drop("icao24").withColumnRenamed("_key", "icao24")
+    columns = [c for c in ALERT_COLUMNS if c not in keys] + [o for o in order if o not in ALERT_COLUMNS]
+    latest = latest_by_key(joined, keys, order, columns)
+    return latest.withColumn("row_key", row_key(F.col("icao24"), F.col("ingestion_ts")))
+
+
 def alerts_table(enriched: DataFrame) -> DataFrame:
     """One alert per (icao24, ingestion_ts); a repeat of the pair overwrites (last arrival wins)."""
     rows = alert_rows(enriched)

@@ -38,15 +38,18 @@ def read_kafka(spark: SparkSession, bootstrap_servers: str, topic: str, *,
 
 def read_message_files(spark: SparkSession, path: str, *, streaming: bool = True,
                        max_files_per_trigger: int | None = None,
-                       max_bytes_per_trigger: str | None = None) -> DataFrame:
+                       max_bytes_per_trigger: str | None = None, recursive: bool = False) -> DataFrame:
     """JSON-lines landing folder as a ``value`` column (one message per line).
 
     A trigger takes all that has landed; ``max_bytes_per_trigger`` (such as
     ``"64g"``) bounds a catch-up batch by size, ``max_files_per_trigger`` by files.
+    ``recursive`` also reads folders that land inside ``path``.
     """
+    reader = (spark.readStream if streaming else spark.read).format("text")
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
     if not streaming:
-        return spark.read.text(path)
-    reader = spark.readStream.format("text")
+        return reader.load(path)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     if max_bytes_per_trigger:

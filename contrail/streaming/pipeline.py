@@ -6,9 +6,9 @@ Q3 alerts   rapid descents                    -> KeyedTable on (icao24, ingestio
 Q4 enriched full enriched record per aircraft -> KeyedTable on icao24
 
 Every sink is a distributed ``foreachBatch`` upsert (see ``sinks``); nothing is
-collected to the driver. ``fan_out=True`` runs Q1/Q3/Q4 as one query that
-persists each micro-batch once instead of reading and joining the source three
-times; Q2 stays separate because it is stateful.
+collected to the driver. Q1/Q3/Q4 run as one query that reads each micro-batch
+once, reduces it to one report per key and joins only those (``fan_out=False``
+runs three); Q2 stays separate because it is stateful.
 """
 
 from __future__ import annotations
@@ -21,14 +21,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from contrail.functions.scalars import row_key
 from contrail.operators.aggregate import country_window_agg
-from contrail.operators.enrich import DEFAULT_WATERMARK, enrich, with_event_time
+from contrail.operators.enrich import (
+    DEFAULT_WATERMARK, descending_fast, enrich, fan_out_by_dimension, join_strategy, with_event_time,
+)
 from contrail.operators.rank import latest_by_key
-from contrail.plans.tables import ARRIVAL_ORDER, alert_rows, live_rows, with_agg_key
+from contrail.plans.tables import (
+    ARRIVAL_ORDER, alert_rows, alerts_then_enrich, latest_then_enrich, live_rows, with_agg_key,
+)
 from contrail.session import session_conf, stream_partitions
 from contrail.schemas import AGG_COLUMNS, ALERT_COLUMNS, ENRICHED_COLUMNS, LIVE_COLUMNS, table_schema
-from contrail.sources.messages import decode_messages
-from contrail.streaming.sinks import KeyedTable, append_batch
+from contrail.sources.messages import decode_messages, to_messages
+from contrail.streaming.sinks import KeyedTable, append_batch, file_system
 
 ALL_QUERIES = ("live", "agg", "alerts", "enriched")
 DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
@@ -44,13 +49,18 @@ def enriched_stream(source: DataFrame, aircraft: DataFrame, *, value_col: str =
     return enrich(timed, aircraft, strategy=strategy, unique_dimension=unique_dimension)
 
 
+def report_stream(source: DataFrame, *, value_col: str = "value", keep: Sequence[str] = (),
+                  watermark: str | None = DEFAULT_WATERMARK) -> DataFrame:
+    """Source rows with a JSON payload -> watermarked flight rows without metadata, for ``start_pipeline``."""
+    return with_event_time(decode_messages(source, value_col, keep=tuple(keep)), watermark)
+
+
 def counted_stream(source: DataFrame, aircraft: DataFrame, *, value_col: str = "value",
                    watermark: str | None = DEFAULT_WATERMARK, unique_dimension: bool = False) -> DataFrame:
     """Input of the window aggregate: reports repeated per dimension match, no metadata columns.
 
     With ``unique_dimension=True`` no join is planned at all (join elimination).
     """
-    from contrail.operators.enrich import fan_out_by_dimension
     timed = with_event_time(decode_messages(source, value_col), watermark)
     return fan_out_by_dimension(timed, aircraft, unique_dimension=unique_dimension)
 
@@ -94,87 +104,102 @@ def _latest_in_batch(table: KeyedTable):
     return _write
 
 
-def _alerts_frame(enriched: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
-    from contrail.functions.scalars import row_key
-    return alert_rows(enriched, extra).withColumn("row_key", row_key(F.col("icao24"), F.col("ingestion_ts")))
+def _stateless_sink(tables: ResultTables, names: Sequence[str], order: Sequence[str],
+                    aircraft: DataFrame | None, strategy: str):
+    """``foreachBatch`` sink of the live, alerts and enriched tables (any of them).
 
+    With ``aircraft`` the batch holds bare reports: they are reduced to one per key first and only those
+    are joined. One counting job reads the source into the cache and tells which tables get rows.
+    """
+    extra = [o for o in order if o not in ARRIVAL_ORDER]
+    per_aircraft = [q for q in ("live", "enriched") if q in names]
 
-def _agg_frame(enriched: DataFrame) -> DataFrame:
-    return with_agg_key(country_window_agg(enriched))
+    def latest(batch: DataFrame) -> DataFrame:
+        t = tables.live
+        if aircraft is not None:
+            return latest_then_enrich(batch, aircraft, list(t.columns), order, strategy=strategy)
+        return latest_by_key(live_rows(batch), t.keys, list(t.order), [c for c in t.columns if c not in t.keys])
 
+    def alerts(batch: DataFrame) -> DataFrame:
+        t = tables.alerts
+        if aircraft is not None:
+            return alerts_then_enrich(batch, aircraft, list(t.order), extra, strategy=strategy)
+        rows = alert_rows(batch, extra).withColumn("row_key", row_key(F.col("icao24"), F.col("ingestion_ts")))
+        return latest_by_key(rows, t.keys, list(t.order), [c for c in t.columns if c not in t.keys])
+
+    def _write(batch_df: DataFrame, batch_id: int) -> None:
+        cached = batch_df.persist(StorageLevel.MEMORY_AND_DISK)
+        last = None
+        try:
+            n, descending = cached.agg(F.count(F.lit(1)), F.count_if(descending_fast())).first()
+            if n and per_aircraft:
+                # one reduction serves both tables, so both show the same last report
+                last = latest(cached)
+                if len(per_aircraft) > 1:
+                    last = last.persist(StorageLevel.MEMORY_AND_DISK)
+                for q in per_aircraft:
+                    getattr(tables, q).write_batch(last, batch_id, known_rows=True)
+            if descending and "alerts" in names:
+                tables.alerts.write_batch(alerts(cached), batch_id, known_rows=True)
+        finally:
+            if last is not None:
+                last.unpersist()
+            cached.unpersist()
+    return _write
 
-def start_pipeline(enriched: DataFrame, out_root: str, checkpoint_root: str, *,
+
+def start_pipeline(reports: DataFrame, out_root: str, checkpoint_root: str, *,
+                   aircraft: DataFrame | None = None, strategy: str = "auto",
                    queries: Sequence[str] = ALL_QUERIES, trigger: dict | None = None,
-                   fan_out: bool = False, order: Sequence[str] = ARRIVAL_ORDER,
+                   fan_out: bool = True, order: Sequence[str] = ARRIVAL_ORDER,
                    state_store: str | None = None,
                    state_partitions: int | None = None,
                    compact_every: int | None = None,
                    agg_input: DataFrame | None = None) -> dict[str, StreamingQuery]:
     """Start the selected queries; returns them by name.
 
+    ``reports`` with ``aircraft``: bare reports (see ``report_stream``); each micro-batch is reduced before
+    it meets the dimension, and the window aggregate joins key multiplicity only. Without ``aircraft``,
+    ``reports`` is an enriched stream. ``fan_out`` writes the three stateless tables from one reading of the
+    source; otherwise each is a query of its own.
+
     ``state_store="rocksdb"`` keeps the window state in RocksDB (off-heap, spills
     to local disk, checkpointed incrementally) instead of the default in-memory map;
     it must be chosen before the aggregate query first starts on a checkpoint.
-    ``state_partitions`` (default: the cluster's task slots) sizes the micro-batch
+    ``state_partitions`` (see ``session.stream_partitions``) sizes the micro-batch
     shuffles and the window state; a checkpoint keeps the value it first started with.
     ``compact_every=k`` folds each table's batch log in place every k batches.
-    ``agg_input`` (see ``counted_stream``) feeds the window aggregate instead of
-    the enriched stream, e.g. to skip the join when dimension keys are unique.
+    ``agg_input`` (see ``counted_stream``) feeds the window aggregate instead.
     """
     tables = ResultTables.at(out_root, order, compact_every)
-    extra = [o for o in order if o not in ARRIVAL_ORDER]
     trig = trigger or DEFAULT_TRIGGER
     ck = checkpoint_root.rstrip("/")
     started: dict[str, StreamingQuery] = {}
-
-    spark = enriched.sparkSession
+    spark = reports.sparkSession
     conf = {"spark.sql.shuffle.partitions": state_partitions or stream_partitions(spark)}
     if state_store == "rocksdb":
         conf["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
+    if aircraft is not None and strategy == "auto" and set(queries) - {"agg"}:
+        strategy = join_strategy(aircraft)  # the dimension is static: measured once
+    if strategy == "salted":
+        strategy = "shuffle"  # a reduced batch has each key once
 
     def _start(name: str, df: DataFrame, sink, mode: str = "append") -> None:
-        # the stream's session is cloned at start(): the partition count is captured here
+        # the stream's session is cloned at start(): the settings are captured here
         with session_conf(spark, **conf):
             started[name] = (df.writeStream.outputMode(mode).trigger(**trig)
                              .option("checkpointLocation", f"{ck}/{name}")
                              .foreachBatch(sink).queryName(f"contrail_{name}_{id(started)}").start())
 
-    live_df = live_rows(enriched)
     if "agg" in queries:
-        _start("agg", _agg_frame(agg_input if agg_input is not None else enriched), tables.agg.write_batch, "update")
+        if agg_input is None:
+            agg_input = reports if aircraft is None else fan_out_by_dimension(reports, aircraft)
+        _start("agg", with_agg_key(country_window_agg(agg_input)), tables.agg.write_batch, "update")
     stateless = [q for q in ("live", "alerts", "enriched") if q in queries]
-    if fan_out and stateless:
-        per_aircraft = [q for q in ("live", "enriched") if q in stateless]
-        write_alerts = _latest_in_batch(tables.alerts)
-
-        def _fan(batch_df: DataFrame, batch_id: int) -> None:
-            cached = batch_df.persist(StorageLevel.MEMORY_AND_DISK)
-            latest = None
-            try:
-                if per_aircraft:
-                    # One latest-per-aircraft reduction serves both per-aircraft tables:
-                    # the enriched record is a projection of the live row, so both show
-                    # the same last report.
-                    t = tables.live
-                    latest = latest_by_key(live_rows(cached), t.keys, list(t.order),
-                                           [c for c in t.columns if c not in t.keys])
-                    latest = latest.persist(StorageLevel.MEMORY_AND_DISK)
-                    for q in per_aircraft:
-                        getattr(tables, q).write_batch(latest, batch_id)
-                if "alerts" in stateless:
-                    write_alerts(_alerts_frame(cached, extra), batch_id)
-            finally:
-                if latest is not None:
-                    latest.unpersist()
-                cached.unpersist()
-        _start("fanout", enriched, _fan)
-    else:
-        if "live" in queries:
-            _start("live", live_df, _latest_in_batch(tables.live))
-        if "alerts" in queries:
-            _start("alerts", _alerts_frame(enriched, extra), _latest_in_batch(tables.alerts))
-        if "enriched" in queries:
-            _start("enriched", live_df, _latest_in_batch(tables.enriched))
+    groups = {"fanout": stateless} if fan_out and len(stateless) > 1 else {q: [q] for q in stateless}
+    for name, members in groups.items():
+        if members:
+            _start(name, reports, _stateless_sink(tables, members, order, aircraft, strategy))
     return started
 
 
@@ -205,11 +230,15 @@ def run_forever(spark: SparkSession) -> None:
 
 # --- landing folders for file-driven runs and tests ---------------------------
 
-def time_chunks(df: DataFrame, n: int, col: str = "last_contact") -> list[tuple[int, int]]:
-    """``n`` contiguous, non-overlapping ranges of ``col`` covering all rows (two scalars fetched)."""
-    lo, hi = df.agg(F.min(col), F.max(col)).first()
+def time_chunks(df: DataFrame, n: int, col: str = "last_contact", rows_per_chunk: int = 5_000_000) -> list[tuple[int, int]]:
+    """Contiguous, non-overlapping ranges of ``col`` covering all rows: ``n``, or more for a large table.
+
+    Three scalars are fetched. A chunk has about ``rows_per_chunk`` rows at most if rows are spread evenly.
+    """
+    lo, hi, rows = df.agg(F.min(col), F.max(col), F.count(F.lit(1))).first()
     if lo is None:
         return []
+    n = max(n, -(-rows // rows_per_chunk))
     step = max(1, -(-(hi - lo + 1) // n))
     return [(lo + i * step, min(hi + 1, lo + (i + 1) * step)) for i in range(n) if lo + i * step <= hi]
 
@@ -219,13 +248,12 @@ def replay_in_batches(spark: SparkSession, flights: DataFrame, landing: str, n_b
 
     All chunks are written in one parallel pass, partitioned by chunk number,
     to a staging folder beside ``landing``; before each run the next chunk's
-    files are moved into ``landing`` (renames only), so the reports are read
-    once however many chunks there are. ``run_once()`` runs the query with an
+    folder is moved into ``landing`` as a whole (one rename), so the reports are
+    read once however many chunks there are. Read ``landing`` with
+    ``read_message_files(..., recursive=True)``. ``run_once()`` runs the query with an
     ``availableNow`` trigger from its checkpoint, so chunk k is micro-batch k and
     the watermark advances exactly as a live feed of the same data would.
     """
-    from contrail.sources.messages import to_messages
-    from contrail.streaming.sinks import _fs
     bounds = time_chunks(flights, n_batches)
     if not bounds:
         return
@@ -236,15 +264,11 @@ def replay_in_batches(spark: SparkSession, flights: DataFrame, landing: str, n_b
     staged = f"{landing.rstrip('/')}-staged"
     (to_messages(flights.withColumn("chunk", chunk), keep=("chunk",)).select("value", "chunk")
      .write.mode("overwrite").partitionBy("chunk").text(staged))
-    fs, _ = _fs(spark, staged)
+    fs, _ = file_system(spark, staged)
     jpath = spark._jvm.org.apache.hadoop.fs.Path
     fs.mkdirs(jpath(landing))
     for i in range(len(bounds)):
         src = jpath(f"{staged}/chunk={i}")
-        for st in (fs.listStatus(src) if fs.exists(src) else []):
-            name = st.getPath().getName()
-            if name.startswith(("_", ".")):
-                continue
-            if not fs.rename(st.getPath(), jpath(f"{landing.rstrip('/')}/chunk{i}-{name}")):
-                raise RuntimeError(f"could not land {name} of chunk {i}")
+        if fs.exists(src) and not fs.rename(src, jpath(f"{landing.rstrip('/')}/part-{i}")):
+            raise RuntimeError(f"could not land chunk {i}")
         run_once()

@@ -38,8 +38,8 @@ class KeyedTable:
     def _batch_path(self, batch_id: int) -> str:
         return f"{self.path.rstrip('/')}/{BATCH_COLUMN}={int(batch_id)}"
 
-    def write_batch(self, batch_df: DataFrame, batch_id: int) -> None:
-        """``foreachBatch`` sink. An empty batch writes nothing.
+    def write_batch(self, batch_df: DataFrame, batch_id: int, known_rows: bool = False) -> None:
+        """``foreachBatch`` sink. An empty batch writes nothing; ``known_rows`` skips the check for one.
 
         With ``compact_every=k``, every k-th batch also folds the log up to the
         previous batch in place. Only committed batches are folded: the batch
@@ -47,12 +47,15 @@ class KeyedTable:
         never is, so a replay can never overwrite folded rows.
         """
         out = batch_df.select(*self.columns) if self.columns else batch_df
-        _write_once(out, self._batch_path(batch_id))
+        if known_rows:
+            out.write.mode("overwrite").parquet(self._batch_path(batch_id))
+        else:
+            _write_once(out, self._batch_path(batch_id))
         if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
             self.compact_in_place(batch_df.sparkSession, upto=batch_id - 1)
 
     def batch_ids(self, spark: SparkSession) -> list[int]:
-        fs, root = _fs(spark, self.path)
+        fs, root = file_system(spark, self.path)
         if not fs.exists(root):
             return []
         prefix = f"{BATCH_COLUMN}="
@@ -81,7 +84,7 @@ class KeyedTable:
         tag = uuid.uuid4().hex[:12]
         staged = f"{self.path.rstrip('/')}/_compact-{n}-{tag}"
         folded.write.mode("overwrite").parquet(staged)
-        fs, _ = _fs(spark, self.path)
+        fs, _ = file_system(spark, self.path)
         jpath = spark._jvm.org.apache.hadoop.fs.Path
         target = self._batch_path(n)
         for st in fs.listStatus(jpath(staged)):
@@ -115,7 +118,7 @@ class KeyedTable:
         return KeyedTable(out_path, self.keys, self.order, self.columns, schema=self.schema)
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     """Hadoop file system of ``path`` (works for local, HDFS and object stores)."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
