@@ -20,6 +20,8 @@ bin. All of it is array functions on one row; nothing is exploded and no text is
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,9 +33,23 @@ EMPTY = "----"
 _ONE = float(1 << 32)
 
 
-def _uniform(h: Column, shift: int) -> Column:
-    """32 bits of a hash as a number in (0, 1)."""
-    return (F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(0xFFFFFFFF)) + 0.5) / _ONE
+def _low(h: Column) -> Column:
+    """The lower 32 bits of a hash, and a half: over 2**32, a number in (0, 1)."""
+    return h.bitwiseAND(F.lit(0xFFFFFFFF)) + 0.5
+
+
+def _gamma(h: Column) -> Column:
+    """Gamma(2, 1) from one hash: minus the logarithm of the product of two uniforms."""
+    return 64 * math.log(2) - F.ln(_low(h) * (F.shiftrightunsigned(h, 32) + 0.5))
+
+
+def _packed(x: Column, piece: Column, weight: Column | int) -> Column:
+    """Bin and ln a of a piece in one bigint that sorts by both; ``weight`` 1 has t = 0."""
+    r, c, h = (F.xxhash64(F.lit(n), x, piece) for n in (1, 2, 3))
+    b = _low(h) / _ONE
+    t = 0 if isinstance(weight, int) else F.floor(F.ln(weight) / _gamma(r) + b)
+    ln_a = F.ln(_gamma(c)) - _gamma(r) * (t + 1 - b)
+    return F.shiftleft(F.shiftrightunsigned(h, 57), 42).bitwiseOR(((ln_a + 512) * _ONE).cast("bigint"))
 
 
 def with_fingerprints(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -63,22 +79,15 @@ def with_fingerprints(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
     def draws(i: int, *_: str) -> Column:
         s, b = F.col(f"__s{i}"), F.col(f"__b{i}")
 
-        def draw(x: Column, piece: Column, weight: Column) -> Column:
-            h1, h2, h3 = (F.xxhash64(F.lit(n), x, piece) for n in (1, 2, 3))
-            return F.struct(F.when(weight == 1, 0.0).otherwise(F.ln(weight)).alias("w"), (-F.ln(_uniform(h1, 0) * _uniform(h1, 32))).alias("r"),
-                            F.ln(-F.ln(_uniform(h2, 0) * _uniform(h2, 32))).alias("c"), h3.alias("h"))
-
         def term(k: Column, j: Column) -> Column:
-            x, weight = F.get(s, k), F.coalesce(F.get(b, j + 1), F.size(s)) - k
-            pieces = F.transform(F.sequence(F.lit(0), F.floor((weight - 1) / PIECE).cast("int")),
-                                 lambda p: draw(x, p, F.least(F.lit(PIECE), weight - p * PIECE)))
-            return F.when(weight <= PIECE, F.array(draw(x, F.lit(0), weight))).otherwise(pieces)
-
-        def packed(d: Column) -> Column:
-            u = _uniform(d["h"], 0)
-            ln_a = d["c"] - d["r"] * (F.floor(d["w"] / d["r"] + u) + 1 - u)
-            return F.shiftleft(F.shiftrightunsigned(d["h"], 57), 42).bitwiseOR(((ln_a + 512) * _ONE).cast("bigint"))
-        return F.sort_array(F.transform(F.flatten(F.transform(b, term)), packed)).alias(f"__p{i}")
+            return F.struct(F.get(s, k).alias("x"), (F.coalesce(F.get(b, j + 1), F.size(s)) - k).alias("w"))
+
+        def pieces(t: Column) -> Column:
+            x, w = t["x"], t["w"]
+            cut = F.transform(F.sequence(F.lit(0), F.floor((w - 1) / PIECE).cast("int")),
+                              lambda p: _packed(x, p, F.least(F.lit(PIECE), w - p * PIECE)))
+            return F.when(w == 1, F.array(_packed(x, F.lit(0), 1))).otherwise(cut)
+        return F.sort_array(F.flatten(F.transform(F.transform(b, term), pieces))).alias(f"__p{i}")
     df = step(df, per(draws))
 
     def least(i: int, *_: str) -> Column:
@@ -98,11 +107,17 @@ def with_fingerprints(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 def likeness(a: Column, b: Column) -> Column:
     """Estimated generalised Jaccard similarity of two fingerprints, 0 to 1; two without any term are alike."""
-    def same(slots: Column) -> Column:
-        used = F.filter(slots, lambda k: (F.substring(a, k, 4) != EMPTY) | (F.substring(b, k, 4) != EMPTY))
-        return let(used, lambda u: F.when(F.size(u) == 0, 1.0).otherwise(
-            F.size(F.filter(u, lambda k: F.substring(a, k, 4) == F.substring(b, k, 4))) / F.size(u)))
-    return same(F.sequence(F.lit(1), F.lit(4 * SLOTS - 3), F.lit(4)))
+    def slot(f: Column, k: Column) -> Column:
+        return F.substring(f, k, F.lit(4))  # of bytes: no counting of characters from the start
+
+    def verdict(k: Column, x: Column, y: Column) -> Column:
+        return F.when(slot(x, k) != slot(y, k), 2).when(slot(x, k) == F.lit(EMPTY.encode()), 0).otherwise(1)
+
+    def share(v: Column) -> Column:
+        same, used = F.size(F.filter(v, lambda i: i == 1)), F.size(F.filter(v, lambda i: i > 0))
+        return F.when(used == 0, 1.0).otherwise(same / used)
+    x, y = a.cast("binary"), b.cast("binary")
+    return let(F.transform(F.sequence(F.lit(1), F.lit(4 * SLOTS - 3), F.lit(4)), lambda k: verdict(k, x, y)), share)
 
 
 def successors(ids: DataFrame, per_range: int = 1_000_000) -> DataFrame:
