@@ -85,13 +85,14 @@ class ResultTables:
             return list(base) + [o for o in order_cols if o not in base]
         k = compact_every
 
-        def table(name, keys, order_cols, columns):
-            return KeyedTable(f"{root}/{name}", keys, order_cols, columns, k, schema=table_schema(columns))
+        def table(name, keys, order_cols, columns, date_from=None):
+            return KeyedTable(f"{root}/{name}", keys, order_cols, columns, k, schema=table_schema(columns), date_from=date_from)
         return cls(
             live=table("flights_live", ["icao24"], order, cols(LIVE_COLUMNS, order)),
-            agg=table("flights_agg", ["country", "window_end"], (), AGG_COLUMNS + ["country_key", "row_key"]),
+            agg=table("flights_agg", ["country", "window_end"], (), AGG_COLUMNS + ["country_key", "row_key"],
+                      date_from="window_end"),
             alerts=table("flights_alerts", ["icao24", "ingestion_ts"], alert_order,
-                         cols(ALERT_COLUMNS + ["row_key"], alert_order)),
+                         cols(ALERT_COLUMNS + ["row_key"], alert_order), date_from="ingestion_ts"),
             enriched=table("flights_enriched", ["icao24"], order, cols(ENRICHED_COLUMNS, order)),
         )
 

@@ -1,15 +1,18 @@
 """Keyed result tables with idempotent, distributed upserts.
 
-Each micro-batch is written by the executors to ``<table>/batch_id=N/``
-(overwrite, so replaying batch N after a failure rewrites the same rows). The
-current row of a key is the one with the largest ``(batch_id, order...)``:
-a partial-aggregating ``max``, so no task and not the driver ever holds a key's
-history. ``compact_in_place`` folds old batches into one (safe if interrupted);
-``compact`` writes the current view as a new table.
+Each micro-batch is written by the executors to a folder of its own, and becomes visible when a small
+manifest naming the table's folders is committed after it. A reader is pinned to the manifest it started
+from: a replayed batch replaces the folder of its first attempt at once, and folders that a compaction
+replaced stay until a later one clears them away. The current row of a key is the one with the largest
+``(batch_id, order...)``: a partial-aggregating ``max``, so no task and not the driver ever holds a key's
+history. Tables keyed by time are also partitioned by date: reads prune to their dates, and only dates
+that are closed are folded.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -17,15 +20,23 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import DateType, IntegerType, StructField, StructType
 
 from contrail.operators.rank import latest_by_key
 
 BATCH_COLUMN = "batch_id"
+DATE_COLUMN = "date"
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 
 
 @dataclass
 class KeyedTable:
+    """A table of rows by ``keys`` under ``path``; one writer at a time.
+
+    ``date_from``: an epoch-second column that the keys determine; partitions the table by its date.
+    ``keep_versions``: how many manifests back a reader may have started and still find its files.
+    """
+
     path: str
     keys: Sequence[str]
     order: Sequence[str] = field(default_factory=tuple)
@@ -34,88 +45,167 @@ class KeyedTable:
     compact_every: int | None = None
     # column types, so a table with no batch yet reads as empty instead of failing
     schema: StructType | None = None
+    date_from: str | None = None
+    keep_versions: int = 5
+    open_days: int = 1
+
+    @property
+    def _data(self) -> str:
+        return f"{self.path.rstrip('/')}/data"
+
+    @property
+    def _manifests(self) -> str:
+        return f"{self.path.rstrip('/')}/_manifest"
+
+    # --- versions: each a JSON list of folders [batch_id, date or null, path below data] ---
+
+    def versions(self, spark: SparkSession) -> list[int]:
+        fs, root = file_system(spark, self._manifests)
+        if not fs.exists(root):
+            return []
+        names = [st.getPath().getName() for st in fs.listStatus(root)]
+        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json") and not n.startswith("."))
+
+    def entries(self, spark: SparkSession, version: int | None = None) -> list[list]:
+        """The folders of a version (default: the newest; none yet: empty)."""
+        if version is None:
+            known = self.versions(spark)
+            if not known:
+                return []
+            version = known[-1]
+        fs, path = file_system(spark, f"{self._manifests}/{version:012d}.json")
+        stream = fs.open(path)
+        try:
+            return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def _commit(self, spark: SparkSession, entries: list[list]) -> None:
+        known = self.versions(spark)
+        version = known[-1] + 1 if known else 0
+        fs, staged = file_system(spark, f"{self._manifests}/.{uuid.uuid4().hex}")
+        out = fs.create(staged, False)
+        out.write(bytearray(json.dumps(entries).encode()))
+        out.close()
+        if not fs.rename(staged, spark._jvm.org.apache.hadoop.fs.Path(f"{self._manifests}/{version:012d}.json")):
+            raise RuntimeError(f"could not commit version {version} of {self.path}")
+
+    def _write(self, df: DataFrame, batch_id: int, known_rows: bool) -> list[list]:
+        """Write rows to a new folder; its entries (one for each date of a dated table)."""
+        spark = df.sparkSession
+        folder = f"{BATCH_COLUMN}={int(batch_id)}/attempt=a-{uuid.uuid4().hex[:12]}"
+        partition_by = ()
+        if self.date_from:
+            df, partition_by = with_date_partition(df, self.date_from), (DATE_COLUMN,)
+        if not _write_once(df, f"{self._data}/{folder}", partition_by, known_rows):
+            return []
+        if not self.date_from:
+            return [[int(batch_id), None, folder]]
+        fs, root = file_system(spark, f"{self._data}/{folder}")
+        names = [st.getPath().getName() for st in fs.listStatus(root)]
+        return [[int(batch_id), n.split("=", 1)[1], f"{folder}/{n}"] for n in names if n.startswith(f"{DATE_COLUMN}=")]
 
-    def _batch_path(self, batch_id: int) -> str:
-        return f"{self.path.rstrip('/')}/{BATCH_COLUMN}={int(batch_id)}"
+    # --- writing ---
 
     def write_batch(self, batch_df: DataFrame, batch_id: int, known_rows: bool = False) -> None:
         """``foreachBatch`` sink. An empty batch writes nothing; ``known_rows`` skips the check for one.
 
         With ``compact_every=k``, every k-th batch also folds the log up to the
-        previous batch in place. Only committed batches are folded: the batch
-        being written may still be replayed after a failure, its predecessor
-        never is, so a replay can never overwrite folded rows.
+        previous batch. Only committed batches are folded: the batch being
+        written may still be replayed after a failure, its predecessor never
+        is, so a replay can never replace folded rows.
         """
+        spark = batch_df.sparkSession
         out = batch_df.select(*self.columns) if self.columns else batch_df
-        if known_rows:
-            out.write.mode("overwrite").parquet(self._batch_path(batch_id))
-        else:
-            _write_once(out, self._batch_path(batch_id))
+        new = self._write(out, batch_id, known_rows)
+        before = self.entries(spark)
+        kept = [e for e in before if e[0] != int(batch_id)]
+        if new or len(kept) < len(before):
+            self._commit(spark, kept + new)
         if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
-            self.compact_in_place(batch_df.sparkSession, upto=batch_id - 1)
+            self.compact_in_place(spark, upto=batch_id - 1)
 
     def batch_ids(self, spark: SparkSession) -> list[int]:
-        fs, root = file_system(spark, self.path)
-        if not fs.exists(root):
-            return []
-        prefix = f"{BATCH_COLUMN}="
-        names = [st.getPath().getName() for st in fs.listStatus(root)]
-        return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
+        return sorted({e[0] for e in self.entries(spark)})
 
     def compact_in_place(self, spark: SparkSession, upto: int | None = None) -> int | None:
-        """Fold every batch <= ``upto`` (default: the newest) into that batch and drop the older folders.
+        """Fold the batches <= ``upto`` (default: the newest) into one folder; returns the newest folded batch.
 
         The folded rows are the current view up to ``upto``, so later batches
-        still win and the view is unchanged; reads then scan one folder per
-        compaction instead of the whole history. The fold is written to an
-        ignored ``_``-prefixed folder, its files are moved into batch ``upto``,
-        and only then are the older folders deleted. The folded rows repeat rows
-        the log already holds, so the view is the same after every single step:
-        a driver lost midway leaves a correct table (with some old folders left,
-        which the next compaction folds again).
+        still win and the view is unchanged. A dated table folds each closed
+        date (``open_days`` before its newest date, or older) that has several
+        folders, and leaves the others alone, so old dates are folded once. The
+        fold is visible when its manifest is committed; a driver lost before
+        that leaves an unused folder. Replaced folders stay for readers that
+        started from one of the last ``keep_versions`` manifests.
         """
-        ids = [i for i in self.batch_ids(spark) if upto is None or i <= upto]
-        if len(ids) <= 1:
-            return ids[-1] if ids else None
-        n = ids[-1]
-        log = self.log(spark).where(F.col(BATCH_COLUMN) <= n)
-        cols = [c for c in log.columns if c != BATCH_COLUMN]
-        folded = latest_by_key(log, list(self.keys), [BATCH_COLUMN, *self.order], cols)
-        tag = uuid.uuid4().hex[:12]
-        staged = f"{self.path.rstrip('/')}/_compact-{n}-{tag}"
-        folded.write.mode("overwrite").parquet(staged)
-        fs, _ = file_system(spark, self.path)
-        jpath = spark._jvm.org.apache.hadoop.fs.Path
-        target = self._batch_path(n)
-        for st in fs.listStatus(jpath(staged)):
-            name = st.getPath().getName()
-            if name.startswith(("_", ".")):
-                continue
-            if not fs.rename(st.getPath(), jpath(f"{target}/compact-{tag}-{name}")):
-                raise RuntimeError(f"could not move {name} into batch {n} of {self.path}")
-        fs.delete(jpath(staged), True)
-        for i in ids[:-1]:
-            fs.delete(jpath(self._batch_path(i)), True)
+        entries = self.entries(spark)
+        old = [e for e in entries if upto is None or e[0] <= upto]
+        if self.date_from:
+            dates = [e[1] for e in entries if e[1] != NO_DATE]
+            last = str(dt.date.fromisoformat(max(dates)) - dt.timedelta(days=self.open_days)) if dates else ""
+            closed = [e for e in old if e[1] == NO_DATE or e[1] <= last]
+            several = {e[1] for e in closed if sum(x[1] == e[1] for x in closed) > 1}
+            old = [e for e in closed if e[1] in several]
+        if len(old) <= 1:
+            return max((e[0] for e in entries if upto is None or e[0] <= upto), default=None)
+        n = max(e[0] for e in old)
+        log = self._read(spark, old)
+        cols = [c for c in log.columns if c not in (BATCH_COLUMN, DATE_COLUMN)]
+        folded = latest_by_key(log, list(self.keys), [BATCH_COLUMN, *self.order], [c for c in cols if c not in self.keys])
+        new = self._write(folded.select(*cols), n, known_rows=True)
+        self._commit(spark, [e for e in entries if e not in old] + new)
+        self.clear_old(spark)
         return n
 
-    def log(self, spark: SparkSession) -> DataFrame:
-        """Every written row with its ``batch_id`` (no rows yet: empty, if the schema is known)."""
-        if self.schema is not None and not self.batch_ids(spark):
-            fields = list(self.schema.fields) + [StructField(BATCH_COLUMN, IntegerType(), True)]
+    def clear_old(self, spark: SparkSession) -> None:
+        """Delete manifests beyond the last ``keep_versions`` and the folders that only those name."""
+        known = self.versions(spark)
+        gone, kept = known[:-self.keep_versions], known[-self.keep_versions:]
+        used = {e[2] for v in kept for e in self.entries(spark, v)}
+        jpath = spark._jvm.org.apache.hadoop.fs.Path
+        fs, _ = file_system(spark, self.path)
+        for v in gone:
+            for folder in {e[2] for e in self.entries(spark, v)} - used:
+                fs.delete(jpath(f"{self._data}/{folder}"), True)
+            fs.delete(jpath(f"{self._manifests}/{v:012d}.json"), False)
+
+    # --- reading ---
+
+    def _read(self, spark: SparkSession, entries: list[list]) -> DataFrame:
+        paths = [f"{self._data}/{e[2]}" for e in entries]
+        return spark.read.option("basePath", self._data).parquet(*paths).drop("attempt")
+
+    def log(self, spark: SparkSession, since: dt.date | None = None, until: dt.date | None = None) -> DataFrame:
+        """Every visible row with its ``batch_id`` (no rows yet: empty, if the schema is known).
+
+        ``since`` and ``until`` (inclusive) bound the dates of a dated table.
+        """
+        entries = [e for e in self.entries(spark) if e[1] is None or (
+            (since is None or e[1] != NO_DATE and e[1] >= str(since)) and (until is None or e[1] != NO_DATE and e[1] <= str(until)))]
+        if self.schema is not None and not entries:
+            fields = [*self.schema.fields, StructField(BATCH_COLUMN, IntegerType(), True)]
+            if self.date_from:
+                fields.append(StructField(DATE_COLUMN, DateType(), True))
             return spark.createDataFrame([], StructType(fields))
-        return spark.read.option("basePath", self.path).parquet(self.path)
+        log = self._read(spark, entries)
+        if since is not None and self.date_from:
+            log = log.where(F.col(DATE_COLUMN) >= F.lit(since))
+        if until is not None and self.date_from:
+            log = log.where(F.col(DATE_COLUMN) <= F.lit(until))
+        return log
 
-    def current(self, spark: SparkSession) -> DataFrame:
+    def current(self, spark: SparkSession, since: dt.date | None = None, until: dt.date | None = None) -> DataFrame:
         """Current row per key: the latest batch wins, then the largest order tuple."""
-        log = self.log(spark)
-        cols = [c for c in log.columns if c != BATCH_COLUMN]
+        log = self.log(spark, since, until)
+        cols = [c for c in log.columns if c not in (BATCH_COLUMN, DATE_COLUMN)]
         return latest_by_key(log, list(self.keys), [BATCH_COLUMN, *self.order], cols)
 
     def compact(self, spark: SparkSession, out_path: str) -> "KeyedTable":
         """Write the current view as one new table (batch 0 of a fresh log)."""
-        cur = self.current(spark)
-        cur.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/{BATCH_COLUMN}=0")
-        return KeyedTable(out_path, self.keys, self.order, self.columns, schema=self.schema)
+        table = KeyedTable(out_path, self.keys, self.order, self.columns, schema=self.schema, date_from=self.date_from)
+        table.write_batch(self.current(spark), 0)
+        return table
 
 
 def file_system(spark: SparkSession, path: str):
@@ -143,22 +233,31 @@ def append_batch(path: str, date_from: str | None = None):
     return _write
 
 
-def _write_once(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Write a micro-batch unless it is empty, computing it only once.
+def _write_once(df: DataFrame, path: str, partition_by: Sequence[str] = (), known_rows: bool = False) -> bool:
+    """Write a micro-batch unless it is empty, computing it only once; whether anything was written.
 
     The emptiness check and the write are two actions; persisting the batch
     keeps the source from being read (and a stateful plan from running) twice.
     The check is a ``count``: one parallel job that fills the cache the write
     then reads (``isEmpty`` would probe partitions in growing serial rounds).
-    With ``partition_by`` only the partitions present in this batch are replaced.
+    ``known_rows`` says there are some and skips it. With ``partition_by`` only
+    the partitions present in this batch are replaced.
     """
+    def write(rows: DataFrame) -> None:
+        writer = rows.write.mode("overwrite")
+        if partition_by:
+            writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+        writer.parquet(path)
+
+    if known_rows:
+        write(df)
+        return True
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if cached.count() > 0:
-            writer = cached.write.mode("overwrite")
-            if partition_by:
-                writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
-            writer.parquet(path)
+        if cached.count() == 0:
+            return False
+        write(cached)
+        return True
     finally:
         cached.unpersist()
 

@@ -107,7 +107,7 @@ def test_replayed_batch_is_idempotent_and_empty_batch_writes_nothing(spark, scra
     t.write_batch(df, 0)
     assert t.log(spark).count() == 2
     t.write_batch(df.limit(0), 1)
-    assert not os.path.exists(f"{scratch}/t/batch_id=1")
+    assert t.batch_ids(spark) == [0] and not os.path.exists(f"{scratch}/t/data/batch_id=1")
     t.write_batch(flights_df(spark, [dict(icao24="a", last_contact=0)]), 2)
     cur = {r.icao24: r.last_contact for r in t.current(spark).collect()}
     assert cur == {"a": 0, "b": 2}  # later batch wins even with an older time
@@ -291,6 +291,12 @@ def test_periodic_compaction_from_the_sink(spark, scratch):
         t.write_batch(flights_df(spark, [dict(icao24=f"k{b}", last_contact=b)]), b)
     assert t.batch_ids(spark) == [3, 4]
     assert t.current(spark).count() == 5
+    # folders that a fold replaced go once no kept manifest names them
+    for b in range(5, 12):
+        t.write_batch(flights_df(spark, [dict(icao24=f"k{b}", last_contact=b)]), b)
+    held = {d for d in os.listdir(f"{scratch}/t/data") if os.listdir(f"{scratch}/t/data/{d}")}
+    assert "batch_id=0" not in held and t.current(spark).count() == 12
+    assert len(t.versions(spark)) <= t.keep_versions + 2
 
 
 def test_pipeline_with_compaction(spark, scratch):
@@ -378,20 +384,20 @@ class _CrashingFs:
         return getattr(self.fs, name)
 
     def rename(self, src, dst):
-        if self.step == "rename":
-            raise RuntimeError("lost while moving the fold")
+        if self.step == "commit":
+            raise RuntimeError("lost before the commit")
         return self.fs.rename(src, dst)
 
     def delete(self, path, recursive):
-        if self.step == "delete" and "batch_id=" in path.toString():
-            raise RuntimeError("lost while dropping old batches")
+        if self.step == "clear":
+            raise RuntimeError("lost while clearing old folders")
         return self.fs.delete(path, recursive)
 
 
-@pytest.mark.parametrize("step", ["rename", "delete"])
+@pytest.mark.parametrize("step", ["commit", "clear"])
 def test_compaction_interrupted_at_any_step_keeps_the_view(spark, scratch, monkeypatch, step):
     import contrail.streaming.sinks as sinks
-    t = KeyedTable(f"{scratch}/t", ["icao24"], ("last_contact",))
+    t = KeyedTable(f"{scratch}/t", ["icao24"], ("last_contact",), keep_versions=1)
     for b in range(4):
         rows = [dict(icao24=k, last_contact=b * 10 + j) for j, k in enumerate(["a", "b", f"k{b}"])]
         t.write_batch(flights_df(spark, rows), b)
@@ -407,6 +413,58 @@ def test_compaction_interrupted_at_any_step_keeps_the_view(spark, scratch, monke
     assert sorted(t.current(spark).collect()) == before
 
 
+def test_a_reader_opened_before_a_compaction_or_replay_still_answers(spark, scratch):
+    t = KeyedTable(f"{scratch}/t", ["icao24"], ("last_contact",))
+    for b in range(4):
+        t.write_batch(flights_df(spark, [dict(icao24="a", last_contact=b), dict(icao24=f"k{b}", last_contact=b)]), b)
+    opened = t.current(spark)
+    t.compact_in_place(spark)
+    t.write_batch(flights_df(spark, [dict(icao24="z", last_contact=9)]), 3)  # a replay with other rows
+    assert sorted((r.icao24, r.last_contact) for r in opened.collect()) == [("a", 3), ("k0", 0), ("k1", 1), ("k2", 2), ("k3", 3)]
+
+
+def test_a_batch_is_visible_only_once_committed(spark, scratch, monkeypatch):
+    """A write lost half way, at its first attempt or in a replay, shows nothing of itself."""
+    t = KeyedTable(f"{scratch}/t", ["icao24"], ("last_contact",))
+    t.write_batch(flights_df(spark, [dict(icao24="a", last_contact=1)]), 0)
+    monkeypatch.setattr(t, "_commit", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    for b in (0, 1):
+        with pytest.raises(RuntimeError):
+            t.write_batch(flights_df(spark, [dict(icao24="b", last_contact=2)]), b)
+    monkeypatch.undo()
+    assert [(r.icao24, r.last_contact) for r in t.current(spark).collect()] == [("a", 1)]
+
+
+def test_dated_tables_prune_reads_and_fold_closed_dates_only(spark, scratch):
+    import contextlib
+    import datetime as dt
+    import io
+    day = 86400
+    t = ResultTables.at(scratch).agg
+    shape = spark.createDataFrame([], t.schema)
+
+    def rows(*pairs):
+        return spark.createDataFrame([("c", e - 300, e, n, 0.0, 0.0, 0.0, "c", "k") for e, n in pairs], shape.schema)
+    for b in range(4):
+        t.write_batch(rows((600, b), (day + 600, b), (5 * day + 60 * b, b)), b)
+    opened = t.current(spark)
+    view = sorted(opened.collect())
+    assert t.compact_in_place(spark) == 3
+    folded = {(e[1], e[0]) for e in t.entries(spark)}
+    assert folded == {("1970-01-01", 3), ("1970-01-02", 3), *(("1970-01-06", b) for b in range(4))}
+    assert sorted(t.current(spark).collect()) == sorted(opened.collect()) == view
+    before = t.entries(spark)
+    t.compact_in_place(spark)
+    assert t.entries(spark) == before  # closed dates are folded once
+    day2 = t.current(spark, since=dt.date(1970, 1, 2), until=dt.date(1970, 1, 2))
+    assert [(r.window_end, r.flight_count) for r in day2.collect()] == [(day + 600, 3)]
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        day2.explain()
+    assert "PartitionFilters: [isnotnull(date" in buf.getvalue()
+    assert t.current(spark, since=dt.date(1980, 1, 1)).count() == 0
+
+
 def test_dashboard_refresh_equals_panels_over_the_tables(spark, scratch):
     from contrail.plans import panels
     from contrail.plans.dashboard import PANELS, panel_frames, refresh
