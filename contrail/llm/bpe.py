@@ -12,17 +12,19 @@ from __future__ import annotations
 
 import base64
 import struct
+from collections.abc import Callable
 from heapq import heapify, heappop, heappush
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-MEMO = 200_000
+MEMO = 100_000
+SLICE = 256
 
 
 def load_ranks(path: str) -> list[bytes]:
@@ -128,7 +130,7 @@ class Codec(dict):
         return b"".join(self[m.group()] for m in self.pieces.finditer(text))
 
     def decode(self, packed: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(packed, dtype="<u4").tolist()))
+        return unpack(packed, self.tokens)
 
 
 class Tokenizer:
@@ -147,21 +149,32 @@ class Tokenizer:
         """binary: the ids as little-endian unsigned 32-bit integers."""
         shared, pattern = self.shared, self.pattern
 
-        @F.pandas_udf("binary")
-        def run(texts: pd.Series) -> pd.Series:
-            return texts.map(_codec(shared, pattern).encode)
+        @F.arrow_udf("binary")
+        def run(texts: pa.Array) -> pa.Array:
+            return _sliced(_codec(shared, pattern).encode, texts)
         return run(F.coalesce(text, F.lit("")))
 
     def decode(self, ids: Column) -> Column:
         """binary: the bytes that packed ids stand for."""
-        shared, pattern = self.shared, self.pattern
+        shared = self.shared
 
-        @F.pandas_udf("binary")
-        def run(packed: pd.Series) -> pd.Series:
-            return packed.map(_codec(shared, pattern).decode)
+        @F.arrow_udf("binary")
+        def run(packed: pa.Array) -> pa.Array:
+            tokens = shared.value
+            return _sliced(lambda ids: unpack(ids, tokens), packed)
         return run(F.coalesce(ids, F.lit(b"")))
 
 
+def unpack(packed: bytes, tokens: list[bytes]) -> bytes:
+    return b"".join(map(tokens.__getitem__, np.frombuffer(packed, dtype="<u4").tolist()))
+
+
+def _sliced(convert: Callable, values: pa.Array) -> pa.Array:
+    """Convert a batch few values at a time, so that only so many are Python objects at once."""
+    parts = [pa.array(map(convert, values.slice(i, SLICE).to_pylist()), pa.binary()) for i in range(0, len(values), SLICE)]
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
+
+
 def n_tokens(ids: Column) -> Column:
     return (F.octet_length(ids) / 4).cast("bigint")
 
