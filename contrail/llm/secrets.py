@@ -155,7 +155,11 @@ def findings(spark: SparkSession, ledger: str, rules: tuple[Rule, ...] = RULES)
 
 
 def by_path(index: DataFrame, found: DataFrame) -> DataFrame:
-    """The path index with ``spans`` joined back to all paths of a blob; empty where nothing was found."""
+    """The path index with ``spans`` joined back to all paths of a blob; empty where nothing was found.
+
+    The findings are written first: the join then stands alone, and Spark can split a blob with very many paths.
+    """
+    found = stash(found, "findings")
     none = F.array().cast("array<struct<start:int,rank:int,end:int,rule:string>>")
     return index.join(found, "blob", "left").withColumn("spans", F.coalesce("spans", none))
 
