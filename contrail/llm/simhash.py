@@ -117,7 +117,8 @@ def near_components(docs: DataFrame, shingle: int = 3, max_bits: int = 2, bucket
     linked = roots.join(reps, roots.node == reps.fp).select("fp", "root", "least")
     moved = (linked.join(linked.groupBy("root").agg(F.min("least").alias("component_id")), "root")
              .select("fp", "component_id"))
-    whole = reps.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
+    # written first: the join below then stands alone, and Spark can split a fingerprint with very many documents
+    whole = stash(reps.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id")), "whole")
     return marked.join(whole, "fp").select("doc_id", "fp", "component_id")
 
 
