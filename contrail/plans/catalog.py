@@ -21,7 +21,7 @@ from contrail.functions.scalars import (
 from contrail.operators.aggregate import country_window_agg
 from contrail.operators.enrich import enrich, fan_out_by_dimension, join_strategy, rapid_descent, with_event_time
 from contrail.plans import panels
-from contrail.plans.tables import alerts_table, latest_then_enrich, with_agg_key
+from contrail.plans.tables import alert_pairs, alerts_then_enrich, latest_then_enrich, with_agg_key
 from contrail.schemas import DIMENSION_COLUMNS, ENRICHED_COLUMNS, FLIGHT_FIELDS, LIVE_COLUMNS
 from contrail.session import ensure_utc, scratch_dir
 from contrail.sources.dimension import read_aircraft_csv, write_aircraft_csv
@@ -61,7 +61,8 @@ def agg(spark, sf):
 
 
 def alerts(spark, sf):
-    return alerts_table(enriched(spark, sf))
+    # one report per alert first; the join sees only those
+    return alerts_then_enrich(flights(spark, sf), aircraft(spark, sf)).drop("last_contact")
 
 
 def stored(spark, df, name):
@@ -198,7 +199,7 @@ def q_live_airborne(spark, sf):
 
 
 def q_kpi_summary(spark, sf):
-    return panels.kpi_summary(airborne(spark, sf), alerts(spark, sf))
+    return panels.kpi_summary(airborne(spark, sf), alert_pairs(flights(spark, sf)))
 
 
 def q_map_points(spark, sf):

@@ -92,6 +92,12 @@ def alerts_then_enrich(flights: DataFrame, aircraft: DataFrame, order=("last_con
     return latest.withColumn("row_key", row_key(F.col("icao24"), F.col("ingestion_ts")))
 
 
+def alert_pairs(flights: DataFrame) -> DataFrame:
+    """The keys of the alerts table, for those who only count them: no join, no report column."""
+    return rapid_descent(flights).select(
+        aircraft_key("icao24").alias("icao24"), F.coalesce(F.col("ingestion_ts"), F.lit(0)).cast("long").alias("ingestion_ts")).distinct()
+
+
 def alerts_table(enriched: DataFrame) -> DataFrame:
     """One alert per (icao24, ingestion_ts); a repeat of the pair overwrites (last arrival wins)."""
     rows = alert_rows(enriched)

@@ -209,6 +209,20 @@ def test_alert_cap_in_kpi(spark):
     assert panels.scan_alerts_limit(alerts_table(e)).count() == 200
 
 
+def test_alerts_reduced_before_the_join_equal_those_after(spark):
+    from contrail.plans.tables import alert_pairs, alerts_then_enrich
+    dim = [("a", "R1", "M", "M1", "T", "OpA"), ("a", "R2", "M", "M1", "T", "OpB"), ("b", "R3", "", "M2", "T", None)]
+    rnd = random.Random(5)
+    rows = [dict(icao24=rnd.choice(["a", "b", "c", "", None]), on_ground=rnd.choice([False, False, True, None]),
+                 vertical_rate=rnd.choice([-20.0, -40.0, -10.0, None]), last_contact=rnd.choice([None, 1, 2]), callsign=rnd.choice(["x", "y"]),
+                 ingestion_ts=rnd.choice([None, 10, 20]), origin_country=rnd.choice(["US", None])) for _ in range(200)]
+    f, d = flights_df(spark, rows), aircraft_df(spark, dim)
+    want = alerts_table(enrich(f, d))
+    got = alerts_then_enrich(f, d)
+    assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    assert alert_pairs(f).count() == want.count()
+
+
 def test_latest_is_last_arrival_not_largest_time(spark):
     rows = [dict(icao24="a", last_contact=500, ingestion_ts=10, callsign="old"),
             dict(icao24="a", last_contact=400, ingestion_ts=20, callsign="new")]
