@@ -1,0 +1,101 @@
+"""The prefix trie against a plain one built node by node."""
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+from pyspark.sql import functions as F
+
+from contrail.llm import queries, trie
+from tests.llm.helpers import write_table
+
+SCHEMA = "conv_id bigint, turn bigint, role string, text string"
+
+
+def plain(rows):
+    """{(conv_id, depth): the other columns} by the contract's words; rows without a conv_id are left out."""
+    own = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            sha = hashlib.sha256(f"{len(role)}:{role}{text}".encode()).digest()
+            own[c].append(((turn is not None, turn or 0, role, sha), (role, text)))
+    own = {c: [t for _, t in sorted(x)] for c, x in own.items()}
+    made = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        made[c] = tuple(own.get(c - int(c - 5 * int(c / 5)), [])[:h] + turns[h:])
+    members, ends = defaultdict(list), defaultdict(list)
+    for c, turns in made.items():
+        ends[turns].append(c)
+        for d in range(len(turns) + 1):
+            members[turns[:d]].append(c)
+    children = defaultdict(list)
+    for node in members:
+        if node:
+            children[node[:-1]].append(node)
+    leaves, saved = {}, {}
+    for node in sorted(members, key=len, reverse=True):
+        kids = children[node]
+        leaves[node] = sum(leaves[k] for k in kids) if kids else 1
+        saved[node] = sum(saved[k] for k in kids) + ((len(members[node]) - 1) * len(node[-1][1].encode()) if node else 0)
+    out = []
+    for node, m in members.items():
+        listed = ",".join(map(str, sorted(ends.get(node, []))))
+        out.append((min(m), len(node), min(members[node[:-1]]) if node else None, len(m), len(children[node]), leaves[node], saved[node],
+                    hashlib.sha256(listed.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+
+
+def run(spark, rows, folder):
+    write_table(spark.createDataFrame(rows, SCHEMA).withColumns({"k1": F.lit(1), "depth": F.lit("x"), "pos": F.lit(None).cast("int"), "part": F.lit(7)}),
+                folder, "conversations")
+    return sorted([tuple(r) for r in queries.op11_conversation_prefix_trie(spark, folder).select(*COLUMNS).collect()], key=str)
+
+
+def random_rows(seed, n, texts=("a", "b", "", None, "ü")):
+    r = random.Random(seed)
+    rows = []
+    for c in r.sample(range(-20, 4 * n), n):
+        turns = [r.choice([None, *range(8)]) if r.random() < 0.1 else i for i in range(r.choice([1, 2, 3, 6, 12]))]
+        rows += [(c, t, r.choice(["user", "assistant", None]), r.choice(texts)) for t in turns]
+    return rows + [(None, 1, "user", "a"), (None, None, None, None)] + r.sample(rows, 5)
+
+
+def test_against_plain_trie(spark, tmp_path):
+    for seed in range(3):
+        rows = random_rows(seed, 60)
+        assert run(spark, rows, str(tmp_path / str(seed))) == plain(rows)
+
+
+def test_copies_and_one_very_long_conversation(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(trie, "STRETCH", 16)
+    rows = [(5 * c, t, "user", f"t{t}") for c in range(40) for t in range(12)]  # one sequence, a third of all rows
+    rows += [(1, t, "user", f"t{t}" if t < 30 else f"x{t}") for t in range(500)] + [(2, t, "user", f"t{t}") for t in range(300)]
+    rows += [(7, 1, "user", "last of its family")]
+    assert run(spark, rows, str(tmp_path / "a")) == plain(rows)
+
+
+def test_long_end_lists_are_hashed_in_order(spark, tmp_path):
+    rows = [(c, 0, "user", "same") for c in range(-700, 700)]
+    found = run(spark, rows, str(tmp_path / "a"))
+    assert found == plain(rows) and len(found) <= 3
+
+
+def test_empty_and_turnless(spark, tmp_path):
+    assert run(spark, [], str(tmp_path / "none")) == []
+    rows = [(c, 0, "user", None) for c in (11, 12, 13, 14)]  # no head: those with h > 0 keep no turn
+    found = run(spark, rows, str(tmp_path / "few"))
+    assert found == plain(rows) and any(r[1] == 0 for r in found)
+
+
+def test_texts_of_nodes(spark):
+    rows = spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, None, None), (2, 0, "user", "hi")], SCHEMA)
+    turns = trie.in_order(rows)
+    found = trie.build(turns.select("conv_id").distinct(), turns)
+    got = {(r["depth"], r["role"], r["text"], r["n_convs"]) for r in trie.with_turns(found.nodes, rows).collect()}
+    assert got == {(0, None, None, 2), (1, "user", "hi", 2), (2, "", "", 1)}
