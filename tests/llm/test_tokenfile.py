@@ -1,0 +1,136 @@
+"""Token files against the tokenizers library, and their bytes read at any place."""
+
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import public_tokenizers
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from contrail.llm import queries, tokenfile
+from tests.llm.helpers import documents, scribble, write_table
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def library():
+    t = Tokenizer.from_file(PATH)
+    t.encode_special_tokens = True
+    return lambda text: t.encode(text or "", add_special_tokens=False).ids
+
+
+def plain(rows, library):
+    """Rows by (doc_id, text) in order -> (doc_id, start, n_tokens, crc) with the end id."""
+    out, at = [], 0
+    for doc_id, text in rows:
+        ids = [*library(text), 1]
+        out.append((doc_id, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    return out
+
+
+def test_query_against_library(spark, tmp_path, library):
+    texts = ["The cat's hat, it's 12!", None, "", " \n\t ", "Étion ça ŒUVRE ΑΣ ΣΑΣ İI", "a\x1cb c\x1f \x85x y z", "e ́ ẃ ͅ", "中文 字 ไทย", "<|endoftext|> x<|startoftext|>",
+             "x" * 3000, scribble(1, 5000, "ab c\n'd,."), "'s 'LL 'Ve don'T"]
+    rows = [(i * 3 % 50, t) for i, t in enumerate(texts)]
+    df = documents(spark, rows, at="x", part=3, file=None, start="s", ids=1).repartition(3)
+    write_table(df, str(tmp_path), "documents")
+    got = sorted(tuple(r) for r in queries.op12_token_files(spark, str(tmp_path)).select("doc_id", "start", "n_tokens", "ids_crc32").collect())
+    assert got == sorted(plain(sorted(rows), library))
+
+
+def test_repeated_and_null_ids_follow_each_other(spark, tmp_path, library):
+    rows = [(None, "none"), (None, None)] + [(5, "same text")] * 40 + [(5, "other"), (4, "before"), (9, None)]
+    write_table(documents(spark, rows), str(tmp_path), "documents")
+    got = queries.op12_token_files(spark, str(tmp_path)).orderBy("start").collect()
+    at = 0
+    for r in got:
+        assert r["start"] == at
+        at += r["n_tokens"]
+    assert [r["doc_id"] for r in got] == sorted((r[0] for r in rows), key=lambda x: (x is not None, x))
+    assert sorted((r["n_tokens"], r["ids_crc32"]) for r in got) == sorted(x[2:] for x in plain(rows, library))
+
+
+def test_no_documents(spark, tmp_path):
+    write_table(documents(spark, []), str(tmp_path), "documents")
+    assert queries.op12_token_files(spark, str(tmp_path)).count() == 0
+
+
+def test_every_low_character_cuts_as_the_library_does(library):
+    encoder = tokenfile.Encoder(PATH)
+    for i in range(1, 0x320):
+        text = f"a{chr(i)}b{chr(i)}'s1{chr(i)}{chr(i)} {chr(i)}A"
+        assert np.frombuffer(b"".join(encoder.pieces(text)), "<u2").tolist() == library(text), hex(i)
+
+
+def test_random_texts_and_full_memory(library):
+    r = random.Random(3)
+    encoder = tokenfile.Encoder(PATH, remember=5)
+    for _ in range(300):
+        text = "".join(r.choice(" \n\t\x1d  'sStT.,09éÉßΣ́ı中ﬁ") for _ in range(r.randrange(40)))
+        assert np.frombuffer(b"".join(encoder.pieces(text)), "<u2").tolist() == library(text), repr(text)
+    assert len(encoder._words) <= 5 and len(encoder._parts) <= 5
+
+
+def test_long_text_is_cut_at_gaps_only(monkeypatch, library):
+    monkeypatch.setattr(tokenfile, "SLICE", 50)
+    encoder, text = tokenfile.Encoder(PATH), scribble(4, 2000, "abc de\n") + "y" * 500
+    assert np.frombuffer(b"".join(encoder.pieces(text)), "<u2").tolist() == library(text)
+
+
+def test_other_vocabularies_go_through_the_library_whole():
+    encoder = tokenfile.Encoder(PATH)
+    list(encoder.pieces("x"))
+    encoder._cut = None
+    encoder._words.clear()
+    want = Tokenizer.from_file(PATH).encode("The cat's hat", add_special_tokens=False).ids
+    assert np.frombuffer(b"".join(encoder.pieces("The cat's hat")), "<u2").tolist() == want
+
+
+def test_files_are_read_at_any_place_without_copies(spark, tmp_path, library):
+    texts = [scribble(i, 300, "abcdefg  ") for i in range(30)]
+    root = str(tmp_path / "files")
+    index = tokenfile.write(documents(spark, texts).coalesce(1), root, tokenfile.Encoder(PATH), end_id=1, width=16, rows=4, roll=900)
+    rows = tokenfile.starts(index).orderBy("start").collect()
+    want = [x for t in texts for x in (*library(t), 1)]
+    seen = []
+    for name in dict.fromkeys(r["file"] for r in rows):
+        with pa.memory_map(f"{root}/{name}") as source:
+            before = pa.total_allocated_bytes()
+            file = tokenfile.TokenFile(source)
+            stream = pa.ipc.open_stream(pa.memory_map(f"{root}/{name}")).read_all()  # any Arrow reader takes it
+            assert len(file) == len(stream) and file.schema.equals(tokenfile.schema_of(16, 2))
+            for i in random.Random(1).sample(range(len(file)), len(file)):
+                ids, mask = file[i]
+                assert len(ids) == len(mask) == 16 and not ids.flags.owndata
+                assert ids.tolist() == stream["ids"][i].as_py() and mask.to_pylist() == stream["mask"][i].as_py()
+            assert pa.total_allocated_bytes() - before < 4096
+            kept = [x for row, marks in zip(stream["ids"].to_pylist(), stream["mask"].to_pylist()) for x, m in zip(row, marks) if m]
+            assert len(kept) == sum(r["n_tokens"] for r in rows if r["file"] == name)
+            assert list(np.concatenate(list(file.ids(5, 150)))) == kept[5:155]
+            seen += kept
+            with pytest.raises(IndexError):
+                file[len(file)]
+    assert seen == want and len({r["file"] for r in rows}) > 3
+
+
+def test_file_without_sequences(tmp_path):
+    import pyarrow.fs
+    store = pyarrow.fs.LocalFileSystem()
+    tokenfile._Writer(store, str(tmp_path / "x"), 8, 2, 2).close()
+    with pa.memory_map(str(tmp_path / "x")) as source:
+        assert len(tokenfile.TokenFile(source)) == 0
+
+
+def test_files_of_lost_tasks_are_in_no_index_row(spark, tmp_path, library):
+    df, root = documents(spark, ["one two", "three"]), str(tmp_path / "files")
+    first = tokenfile.write(df, root, tokenfile.Encoder(PATH), end_id=1)
+    second = tokenfile.write(df, root, tokenfile.Encoder(PATH), end_id=1)
+    for index in (first, second):
+        got = sorted((r["doc_id"], r["start"], len(r["ids"]) // 4, zlib.crc32(r["ids"])) for r in tokenfile.read(index, root).collect())
+        assert got == plain([(0, "one two"), (1, "three")], library)
+    assert {r["file"] for r in first.collect()}.isdisjoint({r["file"] for r in second.collect()})
