@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import bpe, cws, langid, packing, quality, secrets, simhash, toxicity, urlfilter, warc
+from contrail.llm import bpe, cws, langid, packing, quality, repair, secrets, simhash, tokenfile, toxicity, trie, urlfilter, warc
 from contrail.llm.common import read_table, stash
 from contrail.session import scratch_dir
 
@@ -119,8 +119,33 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("s.offending").alias("offending"))
 
 
+def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, each rebuilt to branch off the head of its family."""
+    found = trie.build(*trie.rebuilt(stash(trie.in_order(read_table(spark, sf_dir, "conversations")), "trie-ordered")))
+    hashed = stash(trie.ends_sha256(found.ends), "trie-end-hashes")
+    nodes = found.nodes.join(hashed, ["depth", "k1", "k2"], "left")
+    return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+                        F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str, vocabulary: str = "word_bpe_49k.json") -> DataFrame:
+    """Write the ids of every document to token files, and read them all back through the index."""
+    root = scratch_dir(spark, "token-files")
+    encoder = tokenfile.Encoder(public_tokenizers.path(vocabulary))
+    index = tokenfile.write(read_table(spark, sf_dir, "documents"), root, encoder, end_id=1)
+    found = tokenfile.read(index, root)
+    return found.select("doc_id", "start", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damage all conversations by a fixed rule and repair them."""
+    conversations = read_table(spark, sf_dir, "conversations")
+    return repair.repair(conversations.select("conv_id").distinct(), repair.damaged(conversations))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scans, op2_quality_rules, op3_simhash_near_dedup, op4_byte_bpe, op5_warc, op6_url_filters, op7_document_fingerprints, op8_best_fit_packing, op9_language_id, op10_toxicity)
+    f.__name__: f for f in (op1_secret_scans, op2_quality_rules, op3_simhash_near_dedup, op4_byte_bpe, op5_warc, op6_url_filters, op7_document_fingerprints, op8_best_fit_packing, op9_language_id, op10_toxicity,
+                            op11_conversation_prefix_trie, op12_token_files, op13_conversation_repair)
 }
 
 #: Operators that learn from data or compute hashes SQL lacks are tested against brute-force versions instead.
