@@ -18,6 +18,7 @@ the sums of the files before.
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 from collections.abc import Iterable, Iterator
@@ -54,7 +55,7 @@ class Encoder:
     """Ids of a text by a vocabulary file of the tokenizers library that drops white space, without special tokens.
 
     As white space parts pre-tokens and is dropped, a text's ids are those of its words, one after the other. A worker
-    remembers the ids of up to ``remember`` words, and of as many pre-tokens, of at most ``LONG_WORD`` characters;
+    remembers the ids of up to ``remember`` words, and of twice as many pre-tokens, of at most ``LONG_WORD`` characters;
     a full memory is emptied. A new word of characters below U+0300, which no normal form changes, is lower-cased and
     cut into pre-tokens here and each new one goes through the library's model; any other word goes through the library whole.
     """
@@ -87,7 +88,7 @@ class Encoder:
             spelled = part.encode().decode("latin-1").translate(self._shown)
             found = np.array([t.id for t in self._tokenizer.model.tokenize(spelled)], self.dtype).tobytes()
             if len(part) <= LONG_WORD:
-                if len(self._parts) >= self.remember:
+                if len(self._parts) >= 2 * self.remember:
                     self._parts.clear()
                 self._parts[part] = found
         return found
@@ -125,7 +126,6 @@ class Encoder:
 
 def _pattern_of(tokenizer: Tokenizer) -> str | None:
     """The pre-token pattern of a vocabulary of words that are normalised by NFC, blanks and lower case; else None."""
-    import json
     told = json.loads(tokenizer.to_str())
     steps = [x["type"] for x in (told.get("normalizer") or {}).get("normalizers", [])]
     cuts = (told.get("pre_tokenizer") or {}).get("pretokenizers", [])
