@@ -31,10 +31,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _hex(x: str, digits: int) -> str:
+    """Lower-case hex of a column, padded to ``digits`` and never cut: ids beyond 16 ** digits stay distinct."""
+    return f"lpad(lower(hex({x})), greatest({digits}, length(hex({x}))), '0')"
+
+
 # The two views as Spark SQL expressions: the text of FIXTURES.md §2-3 with the
 # Spark forms of {HEX} and {DIV10}.
 FLIGHT_EXPRS = [
-    "lpad(lower(hex(user_id)), 6, '0') AS icao24",
+    f"{_hex('user_id', 6)} AS icao24",
     "trim(concat('C', CAST(event_id % 1000 AS STRING), '  ')) AS callsign",
     "concat('NATION_', CAST(user_id % 25 AS STRING)) AS origin_country",
     f"{EPOCH0} + event_id AS time_position",
@@ -47,7 +52,7 @@ FLIGHT_EXPRS = [
     "CAST(event_id % 360 AS DOUBLE) AS true_track",
     "CASE WHEN event_id % 37 = 0 THEN NULL ELSE 10 - value / 2 END AS vertical_rate",
     "CASE WHEN event_id % 50 = 0 THEN NULL ELSE value * 100 END + 50 AS geo_altitude",
-    "lpad(CAST(event_id % 7778 AS STRING), 4, '0') AS squawk",
+    "lpad(CAST(event_id % 7778 AS STRING), 4, '0') AS squawk",  # four digits at most
     f"(({EPOCH0} + event_id) div {POLL_SECONDS}) * {POLL_SECONDS} + {POLL_SECONDS} AS ingestion_ts",
 ]
 
@@ -60,8 +65,7 @@ EXTRA_EXPRS = [
 
 AIRCRAFT_EXPRS = [
     # one aircraft in seven has an address that no report carries ('z' is not a hex digit)
-    "CASE WHEN c_custkey % 7 = 3 THEN concat('z', lpad(lower(hex(c_custkey)), 5, '0')) "
-    "ELSE lpad(lower(hex(c_custkey)), 6, '0') END AS icao24",
+    f"CASE WHEN c_custkey % 7 = 3 THEN concat('z', {_hex('c_custkey', 5)}) ELSE {_hex('c_custkey', 6)} END AS icao24",
     "c_name AS registration",
     "CASE WHEN c_custkey % 5 = 0 THEN '' ELSE concat('MFR_', CAST(c_custkey % 9 AS STRING)) END AS manufacturername",
     "concat('M', CAST(c_custkey % 40 AS STRING)) AS model",

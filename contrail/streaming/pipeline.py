@@ -37,6 +37,8 @@ from contrail.streaming.sinks import KeyedTable, append_batch, file_system
 
 ALL_QUERIES = ("live", "agg", "alerts", "enriched")
 DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
+#: Batches from one fold of a result table to the next.
+COMPACT_EVERY = 100
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -73,7 +75,7 @@ class ResultTables:
     enriched: KeyedTable
 
     @classmethod
-    def at(cls, root: str, order: Sequence[str] = ARRIVAL_ORDER, compact_every: int | None = None) -> "ResultTables":
+    def at(cls, root: str, order: Sequence[str] = ARRIVAL_ORDER, compact_every: int | None = COMPACT_EVERY) -> "ResultTables":
         """Tables under ``root``. ``order`` is the arrival order of one aircraft's reports:
         (poll, report time) for files, ``("offset",)`` for Kafka (the message key is the
         address, so one aircraft's reports share a partition and offsets order them)."""
@@ -155,7 +157,7 @@ def start_pipeline(reports: DataFrame, out_root: str, checkpoint_root: str, *,
                    fan_out: bool = True, order: Sequence[str] = ARRIVAL_ORDER,
                    state_store: str | None = None,
                    state_partitions: int | None = None,
-                   compact_every: int | None = None,
+                   compact_every: int | None = COMPACT_EVERY,
                    agg_input: DataFrame | None = None) -> dict[str, StreamingQuery]:
     """Start the selected queries; returns them by name.
 
@@ -169,7 +171,7 @@ def start_pipeline(reports: DataFrame, out_root: str, checkpoint_root: str, *,
     it must be chosen before the aggregate query first starts on a checkpoint.
     ``state_partitions`` (see ``session.stream_partitions``) sizes the micro-batch
     shuffles and the window state; a checkpoint keeps the value it first started with.
-    ``compact_every=k`` folds each table's batch log in place every k batches.
+    ``compact_every=k`` folds each table's batch log in place every k batches (None: never).
     ``agg_input`` (see ``counted_stream``) feeds the window aggregate instead.
     """
     tables = ResultTables.at(out_root, order, compact_every)

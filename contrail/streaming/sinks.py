@@ -1,12 +1,13 @@
 """Keyed result tables with idempotent, distributed upserts.
 
-Each micro-batch is written by the executors to a folder of its own, and becomes visible when a small
-manifest naming the table's folders is committed after it. A reader is pinned to the manifest it started
-from: a replayed batch replaces the folder of its first attempt at once, and folders that a compaction
-replaced stay until a later one clears them away. The current row of a key is the one with the largest
-``(batch_id, order...)``: a partial-aggregating ``max``, so no task and not the driver ever holds a key's
-history. Tables keyed by time are also partitioned by date: reads prune to their dates, and only dates
-that are closed are folded.
+Each micro-batch is written by the executors to a folder of its own, and becomes visible when a small commit
+naming the folders it adds and those it replaces is appended to the table's log. Every few commits the whole
+list is written beside them, so that a reader needs that list and the commits after it, and what no kept version
+needs any more is cleared. A reader is pinned to the version it started from: a replayed batch replaces the
+folder of its first attempt at once, and replaced folders stay for ``keep_versions`` commits. The
+current row of a key is the one with the largest ``(batch_id, order...)``: a partial-aggregating ``max``, so no
+task and not the driver ever holds a key's history. Tables keyed by time are also partitioned by date: reads prune
+to their dates, and only dates that are closed are folded.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -27,6 +29,8 @@ from contrail.operators.rank import latest_by_key
 BATCH_COLUMN = "batch_id"
 DATE_COLUMN = "date"
 NO_DATE = "__HIVE_DEFAULT_PARTITION__"
+#: Commits from one whole list of a table's folders to the next.
+LIST_EVERY = 16
 
 
 @dataclass
@@ -34,7 +38,7 @@ class KeyedTable:
     """A table of rows by ``keys`` under ``path``; one writer at a time.
 
     ``date_from``: an epoch-second column that the keys determine; partitions the table by its date.
-    ``keep_versions``: how many manifests back a reader may have started and still find its files.
+    ``keep_versions``: how many versions back a reader may have started and still find its files.
     """
 
     path: str
@@ -54,43 +58,62 @@ class KeyedTable:
         return f"{self.path.rstrip('/')}/data"
 
     @property
-    def _manifests(self) -> str:
-        return f"{self.path.rstrip('/')}/_manifest"
+    def _log(self) -> str:
+        return f"{self.path.rstrip('/')}/_log"
 
-    # --- versions: each a JSON list of folders [batch_id, date or null, path below data] ---
+    # --- versions: folders [kind, batch_id, date or null, path below data]; a fold is never taken for a batch ---
 
-    def versions(self, spark: SparkSession) -> list[int]:
-        fs, root = file_system(spark, self._manifests)
-        if not fs.exists(root):
-            return []
-        names = [st.getPath().getName() for st in fs.listStatus(root)]
-        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json") and not n.startswith("."))
+    def _logged(self, spark: SparkSession) -> tuple[list[int], list[int]]:
+        """Versions with a commit and versions with a whole list in the log, ascending."""
+        fs, root = file_system(spark, self._log)
+        names = [st.getPath().getName() for st in fs.listStatus(root)] if fs.exists(root) else []
+        return tuple(sorted(int(n.split(".")[0]) for n in names if n[0] != "." and n.endswith(end)) for end in (".commit", ".list"))
 
-    def entries(self, spark: SparkSession, version: int | None = None) -> list[list]:
-        """The folders of a version (default: the newest; none yet: empty)."""
-        if version is None:
-            known = self.versions(spark)
-            if not known:
-                return []
-            version = known[-1]
-        fs, path = file_system(spark, f"{self._manifests}/{version:012d}.json")
+    def _load(self, spark: SparkSession, name: str) -> dict | list:
+        fs, path = file_system(spark, f"{self._log}/{name}")
         stream = fs.open(path)
         try:
             return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
 
-    def _commit(self, spark: SparkSession, entries: list[list]) -> None:
-        known = self.versions(spark)
-        version = known[-1] + 1 if known else 0
-        fs, staged = file_system(spark, f"{self._manifests}/.{uuid.uuid4().hex}")
+    def _store(self, spark: SparkSession, name: str, what: dict | list) -> None:
+        fs, staged = file_system(spark, f"{self._log}/.{uuid.uuid4().hex}")
         out = fs.create(staged, False)
-        out.write(bytearray(json.dumps(entries).encode()))
+        out.write(bytearray(json.dumps(what).encode()))
         out.close()
-        if not fs.rename(staged, spark._jvm.org.apache.hadoop.fs.Path(f"{self._manifests}/{version:012d}.json")):
-            raise RuntimeError(f"could not commit version {version} of {self.path}")
+        if not fs.rename(staged, spark._jvm.org.apache.hadoop.fs.Path(f"{self._log}/{name}")):
+            raise RuntimeError(f"could not write {name} of {self.path}")
 
-    def _write(self, df: DataFrame, batch_id: int, known_rows: bool) -> list[list]:
+    def versions(self, spark: SparkSession) -> list[int]:
+        """The versions whose files are all kept."""
+        return self._logged(spark)[0][-self.keep_versions:]
+
+    def entries(self, spark: SparkSession, version: int | None = None) -> list[list]:
+        """The folders of a version (default: the newest; none yet: empty)."""
+        commits, lists = self._logged(spark)
+        if not commits:
+            return []
+        version = commits[-1] if version is None else version
+        base = max((v for v in lists if v <= version), default=-1)
+        now = self._load(spark, f"{base:012d}.list") if base >= 0 else []
+        for v in commits:
+            if base < v <= version:
+                commit = self._load(spark, f"{v:012d}.commit")
+                gone = set(commit["remove"])
+                now = [e for e in now if e[3] not in gone] + commit["add"]
+        return now
+
+    def _commit(self, spark: SparkSession, add: list[list], remove: list[list], tidy: bool = False) -> None:
+        """Append one commit; every ``LIST_EVERY`` commits, or to ``tidy``, list the version and clear what no kept one needs."""
+        commits, lists = self._logged(spark)
+        version = commits[-1] + 1 if commits else 0
+        self._store(spark, f"{version:012d}.commit", {"add": add, "remove": [e[3] for e in remove]})
+        if tidy or version - (lists[-1] if lists else -1) >= LIST_EVERY:
+            self._store(spark, f"{version:012d}.list", self.entries(spark, version))
+            self.clear_old(spark)
+
+    def _write(self, df: DataFrame, batch_id: int, known_rows: bool, kind: str = "batch") -> list[list]:
         """Write rows to a new folder; its entries (one for each date of a dated table)."""
         spark = df.sparkSession
         folder = f"{BATCH_COLUMN}={int(batch_id)}/attempt=a-{uuid.uuid4().hex[:12]}"
@@ -100,10 +123,10 @@ class KeyedTable:
         if not _write_once(df, f"{self._data}/{folder}", partition_by, known_rows):
             return []
         if not self.date_from:
-            return [[int(batch_id), None, folder]]
+            return [[kind, int(batch_id), None, folder]]
         fs, root = file_system(spark, f"{self._data}/{folder}")
         names = [st.getPath().getName() for st in fs.listStatus(root)]
-        return [[int(batch_id), n.split("=", 1)[1], f"{folder}/{n}"] for n in names if n.startswith(f"{DATE_COLUMN}=")]
+        return [[kind, int(batch_id), n.split("=", 1)[1], f"{folder}/{n}"] for n in names if n.startswith(f"{DATE_COLUMN}=")]
 
     # --- writing ---
 
@@ -118,62 +141,65 @@ class KeyedTable:
         spark = batch_df.sparkSession
         out = batch_df.select(*self.columns) if self.columns else batch_df
         new = self._write(out, batch_id, known_rows)
-        before = self.entries(spark)
-        kept = [e for e in before if e[0] != int(batch_id)]
-        if new or len(kept) < len(before):
-            self._commit(spark, kept + new)
+        first = [e for e in self.entries(spark) if e[:2] == ["batch", int(batch_id)]]
+        if new or first:
+            self._commit(spark, new, first)
         if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
             self.compact_in_place(spark, upto=batch_id - 1)
 
     def batch_ids(self, spark: SparkSession) -> list[int]:
-        return sorted({e[0] for e in self.entries(spark)})
+        return sorted({e[1] for e in self.entries(spark)})
 
     def compact_in_place(self, spark: SparkSession, upto: int | None = None) -> int | None:
-        """Fold the batches <= ``upto`` (default: the newest) into one folder; returns the newest folded batch.
-
-        The folded rows are the current view up to ``upto``, so later batches
-        still win and the view is unchanged. A dated table folds each closed
-        date (``open_days`` before its newest date, or older) that has several
-        folders, and leaves the others alone, so old dates are folded once. The
-        fold is visible when its manifest is committed; a driver lost before
-        that leaves an unused folder. Replaced folders stay for readers that
-        started from one of the last ``keep_versions`` manifests.
+        """Fold the batches <= ``upto`` into one folder; returns the newest folded batch.
+
+        By default all but the newest batch, which may still be replayed. The folded rows are the current
+        view up to ``upto``, so later batches still win and the view is unchanged. A fold is no batch: a
+        replay of a batch in it, should one come, is added to it and takes nothing away. A dated table folds each
+        closed date (``open_days`` before its newest date, or older) that has several folders, and leaves the others
+        alone, so old dates are folded once. The fold is visible when it is committed; a driver lost before that
+        leaves an unused folder. Replaced folders stay for readers that started from a kept version.
         """
         entries = self.entries(spark)
-        old = [e for e in entries if upto is None or e[0] <= upto]
+        if upto is None:
+            upto = max((e[1] for e in entries), default=0) - 1
+        old = [e for e in entries if e[1] <= upto]
+        newest = max((e[1] for e in old), default=None)
         if self.date_from:
-            dates = [e[1] for e in entries if e[1] != NO_DATE]
+            dates = [e[2] for e in entries if e[2] != NO_DATE]
             last = str(dt.date.fromisoformat(max(dates)) - dt.timedelta(days=self.open_days)) if dates else ""
-            closed = [e for e in old if e[1] == NO_DATE or e[1] <= last]
-            several = {e[1] for e in closed if sum(x[1] == e[1] for x in closed) > 1}
-            old = [e for e in closed if e[1] in several]
+            closed = [e for e in old if e[2] == NO_DATE or e[2] <= last]
+            count = Counter(e[2] for e in closed)
+            old = [e for e in closed if count[e[2]] > 1]
         if len(old) <= 1:
-            return max((e[0] for e in entries if upto is None or e[0] <= upto), default=None)
-        n = max(e[0] for e in old)
+            return newest
+        n = max(e[1] for e in old)
         log = self._read(spark, old)
         cols = [c for c in log.columns if c not in (BATCH_COLUMN, DATE_COLUMN)]
         folded = latest_by_key(log, list(self.keys), [BATCH_COLUMN, *self.order], [c for c in cols if c not in self.keys])
-        new = self._write(folded.select(*cols), n, known_rows=True)
-        self._commit(spark, [e for e in entries if e not in old] + new)
-        self.clear_old(spark)
+        self._commit(spark, self._write(folded.select(*cols), n, known_rows=True, kind="fold"), old, tidy=True)
         return n
 
     def clear_old(self, spark: SparkSession) -> None:
-        """Delete manifests beyond the last ``keep_versions`` and the folders that only those name."""
-        known = self.versions(spark)
-        gone, kept = known[:-self.keep_versions], known[-self.keep_versions:]
-        used = {e[2] for v in kept for e in self.entries(spark, v)}
+        """Delete the folders and the part of the log that only versions before the last ``keep_versions`` need."""
+        commits, lists = self._logged(spark)
+        base = max((v for v in lists if v <= commits[max(0, len(commits) - self.keep_versions)]), default=-1)
         jpath = spark._jvm.org.apache.hadoop.fs.Path
         fs, _ = file_system(spark, self.path)
-        for v in gone:
-            for folder in {e[2] for e in self.entries(spark, v)} - used:
-                fs.delete(jpath(f"{self._data}/{folder}"), True)
-            fs.delete(jpath(f"{self._manifests}/{v:012d}.json"), False)
+        for v in commits:
+            if v <= base:
+                for folder in self._load(spark, f"{v:012d}.commit")["remove"]:
+                    fs.delete(jpath(f"{self._data}/{folder}"), True)
+                if v < base:
+                    fs.delete(jpath(f"{self._log}/{v:012d}.commit"), False)
+        for v in lists:
+            if v < base:
+                fs.delete(jpath(f"{self._log}/{v:012d}.list"), False)
 
     # --- reading ---
 
     def _read(self, spark: SparkSession, entries: list[list]) -> DataFrame:
-        paths = [f"{self._data}/{e[2]}" for e in entries]
+        paths = [f"{self._data}/{e[3]}" for e in entries]
         return spark.read.option("basePath", self._data).parquet(*paths).drop("attempt")
 
     def log(self, spark: SparkSession, since: dt.date | None = None, until: dt.date | None = None) -> DataFrame:
@@ -181,8 +207,8 @@ class KeyedTable:
 
         ``since`` and ``until`` (inclusive) bound the dates of a dated table.
         """
-        entries = [e for e in self.entries(spark) if e[1] is None or (
-            (since is None or e[1] != NO_DATE and e[1] >= str(since)) and (until is None or e[1] != NO_DATE and e[1] <= str(until)))]
+        entries = [e for e in self.entries(spark) if e[2] is None or (
+            (since is None or e[2] != NO_DATE and e[2] >= str(since)) and (until is None or e[2] != NO_DATE and e[2] <= str(until)))]
         if self.schema is not None and not entries:
             fields = [*self.schema.fields, StructField(BATCH_COLUMN, IntegerType(), True)]
             if self.date_from:

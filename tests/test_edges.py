@@ -550,3 +550,18 @@ def test_salted_join_spreads_a_hot_aircraft_over_tasks(spark):
         assert out.count() == 600 and out.where(F.col("operator").isNull()).count() == 0
     # the hot key (two thirds of all reports) is read by many reduce tasks, not one
     assert parts >= 8
+
+
+def test_addresses_beyond_six_digits_stay_distinct_in_both_engines(spark):
+    import duckdb
+    from contrail import fixtures
+    ids = [0, 1, 10, 16**5 - 1, 16**5, 16**5 + 3, 16**6 - 1, 16**6, 16**6 + 1, 16**7 + 5, 2**40 + 3, 3]
+    events = spark.createDataFrame([(i, u, "signup", 1.5) for i, u in enumerate(ids)], fixtures.TABLE_COLUMNS["events"])
+    customers = spark.createDataFrame([(u, "n", "m") for u in ids], fixtures.TABLE_COLUMNS["customer"])
+    own = [sorted(r.icao24 for r in df.select("icao24").collect())
+           for df in (fixtures.flights_from_events(events), fixtures.aircraft_from_customer(customers))]
+    db = duckdb.connect()
+    db.register("events", events.toPandas())
+    db.register("customer", customers.toPandas())
+    other = [sorted(r[0] for r in db.sql(f"SELECT icao24 FROM ({q})").fetchall()) for q in (fixtures.FLIGHTS_SQL, fixtures.AIRCRAFT_SQL)]
+    assert own == other and all(len(set(x)) == len(ids) for x in own)

@@ -423,6 +423,45 @@ def test_a_reader_opened_before_a_compaction_or_replay_still_answers(spark, scra
     assert sorted((r.icao24, r.last_contact) for r in opened.collect()) == [("a", 3), ("k0", 0), ("k1", 1), ("k2", 2), ("k3", 3)]
 
 
+@pytest.mark.parametrize("upto", [None, 3])
+def test_a_replay_of_any_batch_after_a_compaction_keeps_all_keys(spark, scratch, upto):
+    t = KeyedTable(f"{scratch}/t", ["icao24"], ("last_contact",))
+
+    def batch(b):
+        return flights_df(spark, [dict(icao24="a", last_contact=b), dict(icao24=f"k{b}", last_contact=b)])
+    for b in range(4):
+        t.write_batch(batch(b), b)
+    want = sorted(t.current(spark).collect())
+    assert t.compact_in_place(spark, upto) == (2 if upto is None else upto)
+    for b in (3, 3, 0, 2):
+        t.write_batch(batch(b), b)
+        assert sorted(t.current(spark).collect()) == want
+    assert t.compact_in_place(spark) == 2
+    assert sorted(t.current(spark).collect()) == want
+
+
+def test_the_log_grows_in_proportion_and_clears_itself(spark, scratch, monkeypatch):
+    """Without a compaction the log lists what there is; with one it stays as long as the versions kept."""
+    from contrail.streaming import sinks
+    t = KeyedTable(f"{scratch}/t", ["icao24"], ("last_contact",))
+    fake = {"n": 0}
+
+    def write(df, batch_id, known_rows, kind="batch"):
+        fake["n"] += 1
+        return [[kind, batch_id, None, f"batch_id={batch_id}/attempt={fake['n']}"]]
+    monkeypatch.setattr(t, "_write", write)
+    rows, sizes = flights_df(spark, [dict(icao24="a")]), []
+    for b in range(160):
+        t.write_batch(rows, b)
+        if b % 40 == 39:
+            sizes.append(sum(os.path.getsize(f"{scratch}/t/_log/{f}") for f in os.listdir(f"{scratch}/t/_log") if not f.startswith(".")))
+    assert len(t.entries(spark)) == 160 and sizes[-1] < 5 * sizes[0]
+    assert len(os.listdir(f"{scratch}/t/_log")) <= 4 * (sinks.LIST_EVERY + t.keep_versions)  # with the checksum files
+    assert [e[1] for e in t.entries(spark, t.versions(spark)[0])] == list(range(156))
+    t.write_batch(rows, 159)  # a replay
+    assert len(t.entries(spark)) == 160 and t.entries(spark)[-1][3].endswith("attempt=161")
+
+
 def test_a_batch_is_visible_only_once_committed(spark, scratch, monkeypatch):
     """A write lost half way, at its first attempt or in a replay, shows nothing of itself."""
     t = KeyedTable(f"{scratch}/t", ["icao24"], ("last_contact",))
@@ -449,8 +488,11 @@ def test_dated_tables_prune_reads_and_fold_closed_dates_only(spark, scratch):
         t.write_batch(rows((600, b), (day + 600, b), (5 * day + 60 * b, b)), b)
     opened = t.current(spark)
     view = sorted(opened.collect())
-    assert t.compact_in_place(spark) == 3
-    folded = {(e[1], e[0]) for e in t.entries(spark)}
+    assert t.compact_in_place(spark) == 2  # the newest batch may still be replayed
+    folded = {(e[2], e[1]) for e in t.entries(spark)}
+    assert folded == {*((d, b) for d in ("1970-01-01", "1970-01-02") for b in (2, 3)), *(("1970-01-06", b) for b in range(4))}
+    assert t.compact_in_place(spark, upto=3) == 3
+    folded = {(e[2], e[1]) for e in t.entries(spark)}
     assert folded == {("1970-01-01", 3), ("1970-01-02", 3), *(("1970-01-06", b) for b in range(4))}
     assert sorted(t.current(spark).collect()) == sorted(opened.collect()) == view
     before = t.entries(spark)
