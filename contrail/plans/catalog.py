@@ -19,6 +19,7 @@ from contrail.functions.scalars import (
     reverse_epoch,
 )
 from contrail.operators.aggregate import country_window_agg
+from contrail.operators.clustered import ClusteredTable
 from contrail.operators.enrich import enrich, fan_out_by_dimension, join_strategy, rapid_descent, with_event_time
 from contrail.plans import panels
 from contrail.plans.tables import alert_pairs, alerts_then_enrich, latest_then_enrich, with_agg_key
@@ -282,6 +283,18 @@ def q_scan_alerts_limit(spark, sf):
     return panels.scan_alerts_limit(alerts(spark, sf))
 
 
+def q_clustered_first_alerts(spark, sf):
+    """The first 200 alerts in key order, read from a clustered table by a bounded scan."""
+    table = ClusteredTable(scratch_dir(spark, "alerts-by-key"), "row_key").write(alerts(spark, sf))
+    return panels.alert_frame(table.first(spark, panels.MAX_ALERTS))
+
+
+def q_clustered_country_windows(spark, sf):
+    """The newest 100 windows of one country: a prefix of the key, newest first by its construction."""
+    table = ClusteredTable(scratch_dir(spark, "windows-by-key"), "row_key").write(agg(spark, sf))
+    return table.prefix(spark, "NATION_3|", 100)
+
+
 # --- streaming ---------------------------------------------------------------------
 
 def _stream_run(spark, sf, name, build_and_start):
@@ -389,6 +402,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "descent_histogram": q_descent_histogram,
     "alerts_by_country": q_alerts_by_country,
     "scan_alerts_limit": q_scan_alerts_limit,
+    "clustered_first_alerts": q_clustered_first_alerts,
+    "clustered_country_windows": q_clustered_country_windows,
     "src_stream_files": q_src_stream_files,
     "stream_enrich": q_stream_enrich,
     "stream_country_window_agg": q_stream_country_window_agg,

@@ -235,6 +235,8 @@ FROM alert_frame HAVING count(*) > 0"""),
                                      ", lo + (bin + 1) * ((hi - lo) / 30.0) <= -15.0 AS below_threshold")),
     "alerts_by_country": _top("alert_frame", "country", 10, "alerts"),
     "scan_alerts_limit": _with("SELECT * FROM alert_frame ORDER BY row_key LIMIT 200"),
+    "clustered_first_alerts": _with("SELECT * FROM alert_frame ORDER BY row_key LIMIT 200"),
+    "clustered_country_windows": _with("SELECT * FROM agg WHERE starts_with(row_key, 'NATION_3|') ORDER BY row_key LIMIT 100"),
     "src_stream_files": f"SELECT {FLIGHT_COLS} FROM ({FLIGHTS_SQL})",
     "stream_enrich": _with(ENRICHED_SELECT),
     "stream_country_window_agg": _with(AGG_SELECT),

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, StructField, StructType
 
+from contrail.operators.clustered import ClusteredTable
 from contrail.operators.rank import latest_by_key
 
 BATCH_COLUMN = "batch_id"
@@ -227,6 +228,10 @@ class KeyedTable:
         cols = [c for c in log.columns if c not in (BATCH_COLUMN, DATE_COLUMN)]
         return latest_by_key(log, list(self.keys), [BATCH_COLUMN, *self.order], cols)
 
+    def publish(self, spark: SparkSession, path: str, key: str = "row_key") -> ClusteredTable:
+        """The current view as a table clustered by ``key``, for scans of the first rows or of a key prefix."""
+        return ClusteredTable(path, key).write(self.current(spark))
+
     def compact(self, spark: SparkSession, out_path: str) -> "KeyedTable":
         """Write the current view as one new table (batch 0 of a fresh log)."""
         table = KeyedTable(out_path, self.keys, self.order, self.columns, schema=self.schema, date_from=self.date_from)
