@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "REVERSE_EPOCH_BASE", "DESCENT_THRESHOLD", "CRITICAL_THRESHOLD", "KNOTS_PER_MS",
     "FPM_PER_MS", "FEET_PER_M", "clean_callsign", "aircraft_key", "country_key",
-    "reverse_epoch", "row_key", "key_head", "event_time", "epoch_seconds", "fixed_units", "half_up",
+    "reverse_epoch", "row_key", "key_head", "event_time", "epoch_seconds", "in_units", "out_of_units", "unit_sums", "units_of", "half_up",
     "severity", "gauge_band", "encode_number", "encode_bool", "decode_number",
     "decode_int", "decode_bool", "rejected", "point_label", "to_knots", "to_fpm", "to_feet", "blank",
 ]
@@ -27,6 +27,8 @@ FEET_PER_M = 3.281
 GAUGE_STEPS = [(0, 20, "low"), (20, 35, "elevated"), (35, 60, "severe")]
 GAUGE_MARKER = 30.0
 UNITS = 100_000_000
+UNITS_LIMIT = 9.0e10  # beyond, a value in units does not fit a bigint
+UNIT_BITS = 24
 
 
 def _c(c) -> Column:
@@ -76,13 +78,33 @@ def epoch_seconds(ts) -> Column:
     return F.unix_timestamp(_c(ts))
 
 
-def fixed_units(c) -> Column:
-    """A double as a whole number of 1e-8 units: sums of these do not depend on their order."""
-    return F.floor(_c(c) * float(UNITS) + 0.5).cast("decimal(28,0)")
+def in_units(c) -> Column:
+    """A double as a whole number (bigint) of 1e-8 units; null if there is no such number (NaN, or from 9e10 on)."""
+    return F.when(F.abs(_c(c)) < UNITS_LIMIT, F.floor(_c(c) * float(UNITS) + 0.5))
+
+
+def out_of_units(c) -> Column:
+    """Whether a value is there but has no whole number of units, so that no sum counts it."""
+    return _c(c).isNotNull() & in_units(c).isNull()
+
+
+def unit_sums(c, name: str) -> list[Column]:
+    """Sum of a double in two bigints (``name_hi`` of 2**24 units, ``name_lo``) and ``name_n``, the count of values summed.
+
+    Exact whatever order rows come in, without an object a row; hi and lo add up over partial results. Together they
+    hold the sum of 5e11 values of any size up to 18,000 (m or m/s), of fewer larger ones in proportion.
+    """
+    u = in_units(c)
+    return [F.sum(F.shiftright(u, UNIT_BITS)).alias(f"{name}_hi"), F.sum(u.bitwiseAND(F.lit((1 << UNIT_BITS) - 1))).alias(f"{name}_lo"), F.count(u).alias(f"{name}_n")]
+
+
+def units_of(name: str) -> Column:
+    """The sum held by ``name_hi`` and ``name_lo``, as a decimal."""
+    return (F.col(f"{name}_hi").cast("decimal(28,0)") * F.lit(1 << UNIT_BITS) + F.col(f"{name}_lo")).cast("decimal(38,0)")
 
 
 def half_up(units: str, n: str) -> Column:
-    """``units`` (column of 1e-8 units) / ``n``, rounded half-up to 2 dp in whole numbers; 0 if n is 0 or null."""
+    """``units`` (decimal column of 1e-8 units) / ``n``, rounded half-up to 2 dp in whole numbers; 0 if n is 0 or null."""
     step = UNITS // 100
     return F.expr(f"CASE WHEN {n} > 0 THEN sign({units}) * CAST((2 * abs({units}) + {n} * {step}BD) div (2 * {n} * {step}BD) AS DOUBLE)"
                   f" / 100D + 0D ELSE 0D END")

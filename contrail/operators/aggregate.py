@@ -6,10 +6,12 @@ hot group costs one buffer per map task rather than one task holding its rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contrail.functions.scalars import epoch_seconds, fixed_units, half_up
+from contrail.functions.scalars import epoch_seconds, half_up, in_units, unit_sums, units_of
 
 WINDOW_LENGTH = "5 minutes"
 WINDOW_SLIDE = "1 minute"
@@ -19,29 +21,69 @@ ALTITUDE_EDGES = [0, 3000, 6000, 9000, 10000, 11000, 12000, 14000]
 ALTITUDE_LABELS = ["<3k", "3-6k", "6-9k", "9-10k", "10-11k", "11-12k", ">12k"]
 
 
+#: Partial sums of a group of reports, in the order of ``_sums``; every one adds up or is a maximum.
+PANE_SUMS = ["n", "alt_hi", "alt_lo", "alt_n", "alt_max", "vel_hi", "vel_lo", "vel_n"]
+
+
+def _sums() -> list[Column]:
+    return [F.count(F.lit(1)).alias("n"), *unit_sums("baro_altitude", "alt"), F.max(in_units("baro_altitude")).alias("alt_max"),
+            *unit_sums("velocity", "vel")]
+
+
+def merge_sums() -> list[Column]:
+    """Aggregates that put partial sums together."""
+    return [(F.max if c == "alt_max" else F.sum)(c).alias(c) for c in PANE_SUMS]
+
+
+def _shown(agg: DataFrame, start: Column, end: Column) -> DataFrame:
+    """Sums by (window, ``country``) as the aggregate table shows them."""
+    agg = agg.withColumns({"_alt": units_of("alt"), "_vel": units_of("vel"), "_max": F.col("alt_max").cast("decimal(28,0)"), "_one": F.least("alt_n", F.lit(1))})
+    return agg.select("country", start.alias("window_start"), end.alias("window_end"), F.col("n").alias("flight_count"),
+                      half_up("_alt", "alt_n").alias("avg_alt"), half_up("_max", "_one").alias("max_alt"), half_up("_vel", "vel_n").alias("avg_velocity"))
+
+
+def seconds_of(interval: str) -> int:
+    """Whole seconds of an interval in minutes or seconds, such as ``5 minutes``."""
+    n, unit = interval.split()
+    return int(n) * {"second": 1, "minute": 60}[unit.rstrip("s")]
+
+
+def country_panes(df: DataFrame, slide: str = WINDOW_SLIDE, extra: Sequence[Column] = (), nameless: bool = False) -> DataFrame:
+    """Partial sums by (country, ``pane_start``): the stretches of one slide that sliding windows are made of.
+
+    ``extra``: further aggregates; ``nameless``: keep reports without a country, which no window counts.
+    """
+    rows = df if nameless else df.where(F.col("origin_country").isNotNull())
+    agg = rows.groupBy(F.window("event_time", slide).alias("w"), F.col("origin_country").alias("country")).agg(*extra, *_sums())
+    return agg.withColumn("pane_start", epoch_seconds(F.col("w.start"))).drop("w")
+
+
+def windows_of_panes(panes: DataFrame, length: str = WINDOW_LENGTH, slide: str = WINDOW_SLIDE, closed: str | None = None) -> DataFrame:
+    """The window aggregate, each pane being added to every window that it lies in.
+
+    ``closed``: a column with a time; the windows that end by then do not take the pane (null: all do).
+    """
+    size, step = seconds_of(length), seconds_of(slide)
+    starts = panes.where(F.col("country").isNotNull()).withColumn("start", F.explode(F.sequence(F.col("pane_start") - (size - step), F.col("pane_start"), F.lit(step))))
+    if closed is not None:
+        starts = starts.where(F.col(closed).isNull() | (F.col("start") + size > F.col(closed)))
+    return _shown(starts.groupBy("country", "start").agg(*merge_sums()), F.col("start"), F.col("start") + size)
+
+
 def country_window_agg(df: DataFrame, length: str = WINDOW_LENGTH, slide: str = WINDOW_SLIDE) -> DataFrame:
     """Per (sliding window, origin_country): messages, avg/max altitude, avg velocity.
 
-    Rows with a null country or null ``event_time`` are in no window. Averages
-    and maxima of all-null groups read as 0. Averages are exact: values are summed
-    in whole 1e-8 units and rounded half-up to 2 dp, whatever order rows come in.
+    Rows with a null country or null ``event_time`` are in no window. Averages and maxima of groups without a value read
+    as 0; values without a whole number of units (NaN, or from 9e10 on) count as missing. Averages are exact: values are
+    summed in whole 1e-8 units and rounded half-up to 2 dp, whatever order rows come in. A batch is reduced to
+    panes of one slide first, so a report is looked at once, and only panes are repeated for their windows; a stream keeps
+    the sums of its windows as state.
     """
+    if not df.isStreaming and seconds_of(length) % seconds_of(slide) == 0:
+        return windows_of_panes(country_panes(df, slide), length, slide)
     agg = (df.where(F.col("origin_country").isNotNull())
-           .groupBy(F.window("event_time", length, slide).alias("w"), F.col("origin_country"))
-           .agg(F.count(F.lit(1)).alias("flight_count"),
-                F.sum(fixed_units("baro_altitude")).alias("_alt"), F.count("baro_altitude").alias("_n_alt"),
-                F.max("baro_altitude").alias("_max_alt"),
-                F.sum(fixed_units("velocity")).alias("_vel"), F.count("velocity").alias("_n_vel")))
-    agg = agg.withColumns({"_max": fixed_units("_max_alt"), "_one": F.least("_n_alt", F.lit(1))})
-    return agg.select(
-        F.col("origin_country").alias("country"),
-        epoch_seconds(F.col("w.start")).alias("window_start"),
-        epoch_seconds(F.col("w.end")).alias("window_end"),
-        "flight_count",
-        half_up("_alt", "_n_alt").alias("avg_alt"),
-        half_up("_max", "_one").alias("max_alt"),
-        half_up("_vel", "_n_vel").alias("avg_velocity"),
-    )
+           .groupBy(F.window("event_time", length, slide).alias("w"), F.col("origin_country").alias("country")).agg(*_sums()))
+    return _shown(agg, epoch_seconds(F.col("w.start")), epoch_seconds(F.col("w.end")))
 
 
 def value_counts(df: DataFrame, col: str, n: int, count_name: str = "count") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DecimalType, MapType, StringType, StructType
@@ -197,14 +199,21 @@ def fan_out_by_dimension(df: DataFrame, aircraft: DataFrame, *,
     """
     if unique_dimension:
         return df
+    return fan_out_plan(aircraft, max_broadcast_rows=max_broadcast_rows, max_broadcast_bytes=max_broadcast_bytes)(df)
+
+
+def fan_out_plan(aircraft: DataFrame, *, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                 max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> Callable[[DataFrame], DataFrame]:
+    """``fan_out_by_dimension`` with the dimension measured now, once, for callers that use it for every micro-batch."""
     keys = aircraft.select("icao24")
     if broadcast_bound_ok(keys, max_broadcast_rows, max_broadcast_bytes):
-        return df.join(F.broadcast(keys), on="icao24", how="left")
+        return lambda df: df.join(F.broadcast(keys), on="icao24", how="left")
     repeated = (keys.where(F.col("icao24").isNotNull()).groupBy("icao24")
                 .agg(F.count(F.lit(1)).alias("_m")).where(F.col("_m") > 1))
-    if broadcast_bound_ok(repeated, max_broadcast_rows, max_broadcast_bytes, derived=True):
-        joined = df.join(F.broadcast(repeated), on="icao24", how="left")
-    else:
-        joined = salted_left_join(df, repeated, "icao24")
-    copies = F.explode(F.sequence(F.lit(1), F.coalesce(F.col("_m"), F.lit(1)).cast("int")))
-    return joined.select("*", copies.alias("_copy")).drop("_m", "_copy")
+    small = broadcast_bound_ok(repeated, max_broadcast_rows, max_broadcast_bytes, derived=True)
+
+    def repeat(df: DataFrame) -> DataFrame:
+        joined = df.join(F.broadcast(repeated), on="icao24", how="left") if small else salted_left_join(df, repeated, "icao24")
+        copies = F.explode(F.sequence(F.lit(1), F.coalesce(F.col("_m"), F.lit(1)).cast("int")))
+        return joined.select("*", copies.alias("_copy")).drop("_m", "_copy")
+    return repeat

@@ -361,6 +361,14 @@ def q_stream_pipeline_alerts(spark, sf):
     return cur.select("icao24", "ingestion_ts", "vrate", "alt", "callsign", "operator", "country", "ts", "row_key")
 
 
+def q_stream_pane_windows(spark, sf):
+    """All four queries from one reading of the source, the window aggregate kept as panes; its windows."""
+    def start(source, dim, out, ck, strategy):
+        return start_pipeline(report_stream(source), out, ck, aircraft=dim, strategy=strategy, trigger=AVAILABLE_NOW, panes=True)
+    out = _stream_run(spark, sf, "panes", start)
+    return ResultTables.at(out).windows(spark).drop("country_key", "row_key")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_decode": q_json_decode,
     "src_snapshot_decode": q_src_snapshot_decode,
@@ -407,6 +415,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "src_stream_files": q_src_stream_files,
     "stream_enrich": q_stream_enrich,
     "stream_country_window_agg": q_stream_country_window_agg,
+    "stream_pane_windows": q_stream_pane_windows,
     "stream_live_snapshot": q_stream_live_snapshot,
     "stream_pipeline_alerts": q_stream_pipeline_alerts,
 }

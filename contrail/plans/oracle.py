@@ -36,10 +36,11 @@ live AS (
 agg0 AS (
   SELECT origin_country AS country, ws AS window_start, ws + 300 AS window_end,
     count(*) AS flight_count,
-    {_half_up("sum(CAST(floor(baro_altitude * 1e8 + 0.5) AS HUGEINT))", "count(baro_altitude)")} AS avg_alt,
-    {_half_up("CAST(floor(max(baro_altitude) * 1e8 + 0.5) AS HUGEINT)", "least(count(baro_altitude), 1)")} AS max_alt,
-    {_half_up("sum(CAST(floor(velocity * 1e8 + 0.5) AS HUGEINT))", "count(velocity)")} AS avg_velocity
-  FROM (SELECT e.*, (last_contact // 60) * 60 - k * 60 AS ws
+    {_half_up("sum(CAST(floor(alt * 1e8 + 0.5) AS HUGEINT))", "count(alt)")} AS avg_alt,
+    {_half_up("CAST(floor(max(alt) * 1e8 + 0.5) AS HUGEINT)", "least(count(alt), 1)")} AS max_alt,
+    {_half_up("sum(CAST(floor(vel * 1e8 + 0.5) AS HUGEINT))", "count(vel)")} AS avg_velocity
+  FROM (SELECT origin_country, (last_contact // 60) * 60 - k * 60 AS ws,
+          CASE WHEN abs(baro_altitude) < 9e10 THEN baro_altitude END AS alt, CASE WHEN abs(velocity) < 9e10 THEN velocity END AS vel
         FROM enriched e, range(0, 5) t(k)
         WHERE origin_country IS NOT NULL AND last_contact IS NOT NULL)
   GROUP BY origin_country, ws),
@@ -240,6 +241,7 @@ FROM alert_frame HAVING count(*) > 0"""),
     "src_stream_files": f"SELECT {FLIGHT_COLS} FROM ({FLIGHTS_SQL})",
     "stream_enrich": _with(ENRICHED_SELECT),
     "stream_country_window_agg": _with(AGG_SELECT),
+    "stream_pane_windows": _with(AGG_SELECT),
     "stream_live_snapshot": _with(LIVE_SELECT),
     "stream_pipeline_alerts": _with("SELECT * FROM alerts"),
 }

@@ -24,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from contrail.functions.scalars import row_key
 from contrail.operators.aggregate import country_window_agg
 from contrail.operators.enrich import (
-    DEFAULT_WATERMARK, descending_fast, enrich, fan_out_by_dimension, join_strategy, with_event_time,
+    DEFAULT_WATERMARK, descending_fast, enrich, fan_out_by_dimension, fan_out_plan, join_strategy, with_event_time,
 )
 from contrail.operators.rank import latest_by_key
 from contrail.plans.tables import (
@@ -33,6 +33,7 @@ from contrail.plans.tables import (
 from contrail.session import session_conf, stream_partitions
 from contrail.schemas import AGG_COLUMNS, ALERT_COLUMNS, ENRICHED_COLUMNS, LIVE_COLUMNS, table_schema
 from contrail.sources.messages import decode_messages, to_messages
+from contrail.streaming.panes import pane_table, windows as pane_windows, write_panes
 from contrail.streaming.sinks import KeyedTable, append_batch, file_system
 
 ALL_QUERIES = ("live", "agg", "alerts", "enriched")
@@ -73,6 +74,12 @@ class ResultTables:
     agg: KeyedTable
     alerts: KeyedTable
     enriched: KeyedTable
+    panes: KeyedTable
+
+    def windows(self, spark: SparkSession) -> DataFrame:
+        """The window aggregate with its keys, from the panes if the pipeline keeps those."""
+        found = with_agg_key(pane_windows(spark, self.panes)) if self.panes.versions(spark) else self.agg.current(spark)
+        return found.select(*self.agg.columns)
 
     @classmethod
     def at(cls, root: str, order: Sequence[str] = ARRIVAL_ORDER, compact_every: int | None = COMPACT_EVERY) -> "ResultTables":
@@ -96,6 +103,7 @@ class ResultTables:
             alerts=table("flights_alerts", ["icao24", "ingestion_ts"], alert_order,
                          cols(ALERT_COLUMNS + ["row_key"], alert_order), date_from="ingestion_ts"),
             enriched=table("flights_enriched", ["icao24"], order, cols(ENRICHED_COLUMNS, order)),
+            panes=pane_table(f"{root}/flights_panes", k),
         )
 
 
@@ -108,14 +116,15 @@ def _latest_in_batch(table: KeyedTable):
 
 
 def _stateless_sink(tables: ResultTables, names: Sequence[str], order: Sequence[str],
-                    aircraft: DataFrame | None, strategy: str):
-    """``foreachBatch`` sink of the live, alerts and enriched tables (any of them).
+                    aircraft: DataFrame | None, strategy: str, panes: bool = False):
+    """``foreachBatch`` sink of the live, alerts and enriched tables (any of them), and with ``panes`` of the panes.
 
     With ``aircraft`` the batch holds bare reports: they are reduced to one per key first and only those
     are joined. One counting job reads the source into the cache and tells which tables get rows.
     """
     extra = [o for o in order if o not in ARRIVAL_ORDER]
     per_aircraft = [q for q in ("live", "enriched") if q in names]
+    counted = fan_out_plan(aircraft) if panes and aircraft is not None else None  # the dimension is static: measured once
 
     def latest(batch: DataFrame) -> DataFrame:
         t = tables.live
@@ -144,6 +153,8 @@ def _stateless_sink(tables: ResultTables, names: Sequence[str], order: Sequence[
                     getattr(tables, q).write_batch(last, batch_id, known_rows=True)
             if descending and "alerts" in names:
                 tables.alerts.write_batch(alerts(cached), batch_id, known_rows=True)
+            if n and panes:
+                write_panes(tables.panes, counted(cached) if counted else cached, batch_id)
         finally:
             if last is not None:
                 last.unpersist()
@@ -158,7 +169,8 @@ def start_pipeline(reports: DataFrame, out_root: str, checkpoint_root: str, *,
                    state_store: str | None = None,
                    state_partitions: int | None = None,
                    compact_every: int | None = COMPACT_EVERY,
-                   agg_input: DataFrame | None = None) -> dict[str, StreamingQuery]:
+                   agg_input: DataFrame | None = None,
+                   panes: bool = False) -> dict[str, StreamingQuery]:
     """Start the selected queries; returns them by name.
 
     ``reports`` with ``aircraft``: bare reports (see ``report_stream``); each micro-batch is reduced before
@@ -173,6 +185,8 @@ def start_pipeline(reports: DataFrame, out_root: str, checkpoint_root: str, *,
     shuffles and the window state; a checkpoint keeps the value it first started with.
     ``compact_every=k`` folds each table's batch log in place every k batches (None: never).
     ``agg_input`` (see ``counted_stream``) feeds the window aggregate instead.
+    ``panes`` keeps the window aggregate as panes (see ``streaming.panes``; read it by ``ResultTables.windows``):
+    the fan-out writes them too, so that all four queries read the source once and none has state.
     """
     tables = ResultTables.at(out_root, order, compact_every)
     trig = trigger or DEFAULT_TRIGGER
@@ -194,15 +208,17 @@ def start_pipeline(reports: DataFrame, out_root: str, checkpoint_root: str, *,
                              .option("checkpointLocation", f"{ck}/{name}")
                              .foreachBatch(sink).queryName(f"contrail_{name}_{id(started)}").start())
 
-    if "agg" in queries:
+    if "agg" in queries and not panes:
         if agg_input is None:
             agg_input = reports if aircraft is None else fan_out_by_dimension(reports, aircraft)
         _start("agg", with_agg_key(country_window_agg(agg_input)), tables.agg.write_batch, "update")
     stateless = [q for q in ("live", "alerts", "enriched") if q in queries]
+    if panes and "agg" in queries:
+        stateless.append("panes")
     groups = {"fanout": stateless} if fan_out and len(stateless) > 1 else {q: [q] for q in stateless}
     for name, members in groups.items():
         if members:
-            _start(name, reports, _stateless_sink(tables, members, order, aircraft, strategy))
+            _start(name, reports, _stateless_sink(tables, members, order, aircraft, strategy, "panes" in members))
     return started
 
 

@@ -16,11 +16,11 @@ import datetime as dt
 import json
 import uuid
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, StructField, StructType
 
@@ -53,6 +53,8 @@ class KeyedTable:
     date_from: str | None = None
     keep_versions: int = 5
     open_days: int = 1
+    # for tables whose rows add up: aggregates that merge rows of one key, in place of "the latest wins"
+    merge: Callable[[], list[Column]] | None = None
 
     @property
     def _data(self) -> str:
@@ -142,7 +144,11 @@ class KeyedTable:
         spark = batch_df.sparkSession
         out = batch_df.select(*self.columns) if self.columns else batch_df
         new = self._write(out, batch_id, known_rows)
-        first = [e for e in self.entries(spark) if e[:2] == ["batch", int(batch_id)]]
+        entries = self.entries(spark)
+        first = [e for e in entries if e[:2] == ["batch", int(batch_id)]]
+        if self.merge:  # what a fold already holds must not be added again
+            folds = {e[2]: e[1] for e in entries if e[0] == "fold"}
+            new = [e for e in new if folds.get(e[2], -1) < int(batch_id)]
         if new or first:
             self._commit(spark, new, first)
         if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
@@ -177,8 +183,7 @@ class KeyedTable:
         n = max(e[1] for e in old)
         log = self._read(spark, old)
         cols = [c for c in log.columns if c not in (BATCH_COLUMN, DATE_COLUMN)]
-        folded = latest_by_key(log, list(self.keys), [BATCH_COLUMN, *self.order], [c for c in cols if c not in self.keys])
-        self._commit(spark, self._write(folded.select(*cols), n, known_rows=True, kind="fold"), old, tidy=True)
+        self._commit(spark, self._write(self._reduced(log).select(*cols), n, known_rows=True, kind="fold"), old, tidy=True)
         return n
 
     def clear_old(self, spark: SparkSession) -> None:
@@ -223,8 +228,12 @@ class KeyedTable:
         return log
 
     def current(self, spark: SparkSession, since: dt.date | None = None, until: dt.date | None = None) -> DataFrame:
-        """Current row per key: the latest batch wins, then the largest order tuple."""
-        log = self.log(spark, since, until)
+        """Current row per key: the latest batch wins, then the largest order tuple (or all rows are merged)."""
+        return self._reduced(self.log(spark, since, until))
+
+    def _reduced(self, log: DataFrame) -> DataFrame:
+        if self.merge:
+            return log.groupBy(*self.keys).agg(*self.merge())
         cols = [c for c in log.columns if c not in (BATCH_COLUMN, DATE_COLUMN)]
         return latest_by_key(log, list(self.keys), [BATCH_COLUMN, *self.order], cols)
 

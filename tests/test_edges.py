@@ -565,3 +565,28 @@ def test_addresses_beyond_six_digits_stay_distinct_in_both_engines(spark):
     db.register("customer", customers.toPandas())
     other = [sorted(r[0] for r in db.sql(f"SELECT icao24 FROM ({q})").fetchall()) for q in (fixtures.FLIGHTS_SQL, fixtures.AIRCRAFT_SQL)]
     assert own == other and all(len(set(x)) == len(ids) for x in own)
+
+
+def test_window_sums_of_extreme_values(spark):
+    nan, inf = float("nan"), float("inf")
+    values = [8.9e10, -8.9e10, 9.0e10, 1e12, inf, -inf, nan, None, 0.005, -0.005, 1e-9]
+    rows = [dict(icao24=f"a{i}", origin_country="X", last_contact=600, baro_altitude=v, velocity=v) for i, v in enumerate(values)]
+    rows += [dict(icao24="b", origin_country="Y", last_contact=600, baro_altitude=inf, velocity=nan)]
+    got = {r.country: r for r in country_window_agg(with_event_time(flights_df(spark, rows))).where("window_start = 600").collect()}
+    # 5 of the 11 have a number of units: they sum to 1e-9, which is none
+    assert (got["X"].flight_count, got["X"].avg_alt, got["X"].max_alt, got["X"].avg_velocity) == (11, 0.0, 8.9e10, 0.0)
+    assert (got["Y"].flight_count, got["Y"].avg_alt, got["Y"].max_alt, got["Y"].avg_velocity) == (1, 0.0, 0.0, 0.0)
+    from contrail.functions.scalars import out_of_units
+    assert flights_df(spark, rows).where(out_of_units("baro_altitude")).count() == 6
+
+
+def test_unit_sums_are_exact_and_signed(spark):
+    import random
+    from decimal import Decimal
+    from contrail.functions.scalars import unit_sums, units_of
+    r = random.Random(2)
+    xs = [round(r.uniform(-1, 1) * 10 ** r.randrange(-6, 10), 8) for _ in range(3000)]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    row = df.agg(*unit_sums("x", "v")).select(units_of("v").alias("u"), "v_n").first()
+    import math
+    assert (row.u, row.v_n) == (Decimal(sum(math.floor(x * 1e8 + 0.5) for x in xs)), 3000)

@@ -37,10 +37,13 @@ def _hash_exchanges(text):
     return len(re.findall(r"Arguments: hashpartitioning", text))
 
 
-def test_window_agg_is_one_shuffle_with_partial_agg_and_pruned_scan(spark):
+def test_window_agg_reduces_reports_to_panes_before_anything_is_repeated(spark):
     text = plan(E.queries()["country_window_agg"](spark, SF_SMALL))
-    assert _hash_exchanges(text) == 1
-    assert "partial_count" in text and "Expand" in text
+    # panes, then their windows: both exchanges carry partial sums, and no report is expanded
+    assert _hash_exchanges(text) == 2
+    assert "partial_count" in text and "Expand" not in text and "decimal(28,0)), true" not in text
+    head = text.split("(1) Scan parquet")[0]
+    assert head.index("Generate") < head.rindex("Exchange")
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint,value:double>" in text
     assert "ReadSchema: struct<c_custkey:bigint>" in text
     assert "BroadcastHashJoin LeftOuter" in text
