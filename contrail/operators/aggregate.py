@@ -48,13 +48,13 @@ def seconds_of(interval: str) -> int:
     return int(n) * {"second": 1, "minute": 60}[unit.rstrip("s")]
 
 
-def country_panes(df: DataFrame, slide: str = WINDOW_SLIDE, extra: Sequence[Column] = (), nameless: bool = False) -> DataFrame:
+def country_panes(df: DataFrame, slide: str = WINDOW_SLIDE, extra: Sequence[Column] = ()) -> DataFrame:
     """Partial sums by (country, ``pane_start``): the stretches of one slide that sliding windows are made of.
 
-    ``extra``: further aggregates; ``nameless``: keep reports without a country, which no window counts.
+    ``extra``: further aggregates.
     """
-    rows = df if nameless else df.where(F.col("origin_country").isNotNull())
-    agg = rows.groupBy(F.window("event_time", slide).alias("w"), F.col("origin_country").alias("country")).agg(*extra, *_sums())
+    agg = (df.where(F.col("origin_country").isNotNull())
+           .groupBy(F.window("event_time", slide).alias("w"), F.col("origin_country").alias("country")).agg(*extra, *_sums()))
     return agg.withColumn("pane_start", epoch_seconds(F.col("w.start"))).drop("w")
 
 
@@ -64,7 +64,7 @@ def windows_of_panes(panes: DataFrame, length: str = WINDOW_LENGTH, slide: str =
     ``closed``: a column with a time; the windows that end by then do not take the pane (null: all do).
     """
     size, step = seconds_of(length), seconds_of(slide)
-    starts = panes.where(F.col("country").isNotNull()).withColumn("start", F.explode(F.sequence(F.col("pane_start") - (size - step), F.col("pane_start"), F.lit(step))))
+    starts = panes.withColumn("start", F.explode(F.sequence(F.col("pane_start") - (size - step), F.col("pane_start"), F.lit(step))))
     if closed is not None:
         starts = starts.where(F.col(closed).isNull() | (F.col("start") + size > F.col(closed)))
     return _shown(starts.groupBy("country", "start").agg(*merge_sums()), F.col("start"), F.col("start") + size)

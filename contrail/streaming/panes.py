@@ -51,8 +51,8 @@ def seen_before(spark: SparkSession, table: KeyedTable, batch_id: int) -> int |
 def write_panes(table: KeyedTable, batch: DataFrame, batch_id: int, delay: str = DEFAULT_WATERMARK) -> None:
     """Append the panes of a micro-batch of reports with ``event_time`` (a sink for ``foreachBatch``)."""
     size, step = seconds_of(WINDOW_LENGTH), seconds_of(WINDOW_SLIDE)
-    # a report without a country is in no window, but its time counts for what is late
-    panes = country_panes(batch, extra=[F.max(F.unix_timestamp("event_time")).alias("seen")], nameless=True)
+    # reports without a country are in no window, and as in the stateful stream their time does not count
+    panes = country_panes(batch, extra=[F.max(F.unix_timestamp("event_time")).alias("seen")])
     seen = seen_before(batch.sparkSession, table, batch_id)
     closed = F.lit(None).cast("bigint")
     if seen is not None:
