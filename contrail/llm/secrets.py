@@ -51,8 +51,10 @@ BASE_RULES = (
 #: Formats that announce themselves, beside the base rules.
 VENDOR_RULES = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}", least=40, needle="gh"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", needle="eyJ"),
-    Rule("pem", r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----", needle="PRIVATE KEY"),
+    # starts where a run of its characters does, and takes runs whole: a long text is read once
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+", needle="eyJ", version=2),
+    # the matcher goes one call deeper for each repetition of a group, so their number is bounded
+    Rule("pem", r"-----BEGIN (?:[A-Z0-9]{1,16} ){0,4}PRIVATE KEY-----", needle="PRIVATE KEY", version=2),
 )
 RULES = BASE_RULES + VENDOR_RULES
 

@@ -49,7 +49,7 @@ def test_base_spans_match_python(result):
 def test_vendor_formats(spark):
     text = "x ghp_" + "a" * 36 + " -----BEGIN RSA PRIVATE KEY----- eyJhbGciOiJI.eyJzdWIiOiIx.c2lnbmF0dXJl"
     got = spark.createDataFrame([(text,)], "t string").select(secrets.spans_of(F.col("t")).alias("s")).first().s
-    assert [s.rule for s in got if not s.rule.startswith("hex")] == ["github@1", "jwt@1", "pem@1"]
+    assert [s.rule for s in got if not s.rule.startswith("hex")] == ["github@1", "jwt@2", "pem@2"]
 
 
 def test_ledger_scans_only_what_is_unseen(spark, tmp_path):
@@ -84,3 +84,22 @@ def test_redaction_covers_overlapping_spans(spark):
     df = spark.createDataFrame([(text,), ("clean",)], "t string")
     got = df.select(secrets.redact(F.col("t"), F.array_sort(secrets.spans_of(F.col("t")))).alias("r")).collect()
     assert [r.r for r in got] == ['a😀 [SECRET]" b [SECRET]', "clean"]
+
+
+def test_hostile_texts_of_a_megabyte_end_in_time(spark):
+    """Starts of every rule, repeated: no rule may recurse with the text or read it again from each start."""
+    import time
+    n = 1_000_000
+    texts = ["-----BEGIN " + "A " * (n // 2) + "x PRIVATE KEY", "-----BEGIN " * (n // 11) + "PRIVATE KEY", "eyJ" * (n // 3), "eyJaaaaaaaa." * (n // 12),
+             "ghp_" * (n // 4), "gh" * (n // 2), "AKIA" * (n // 4), "0123456789abcde " * (n // 16), "password" * (n // 8), "password" + " " * n,
+             "token = " * (n // 8), "api_key" + "'" * n]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").repartition(len(texts), "i")
+    began = time.time()
+    got = {r.i: r.n for r in df.select("i", F.size(secrets.spans_of(F.col("t"))).alias("n")).collect()}
+    assert time.time() - began < 60 and got[0] == got[2] == got[4] == got[7] == 0 and got[6] == 1
+
+
+def test_private_key_headers_and_tokens_inside_text(spark):
+    whole = "-----BEGIN PRIVATE KEY----- -----BEGIN ENCRYPTED PRIVATE KEY----- -----BEGIN A B C D PRIVATE KEY----- key=eyJhbGciOiJI.eyJzdWIiOiIx.c2lnbmF0dXJl xeyJhbGciOiJI.eyJzdWIiOiIx.c2lnbmF0dXJl"
+    got = spark.createDataFrame([(whole,)], "t string").select(secrets.spans_of(F.col("t")).alias("s")).first().s
+    assert [s.rule for s in got] == ["jwt@2", "pem@2", "pem@2", "pem@2"]
