@@ -9,10 +9,12 @@ Over a set of terms the one with the least a, with its t, is a consistent weight
 the same one with the probability of their generalised Jaccard similarity, sum(min w) / sum(max w).
 
 Terms are dealt into SLOTS bins by hash and each bin keeps its sample, so one draw a term yields all
-slots. For bins to weigh alike, a term heavier than PIECE is first cut into pieces (x, 0), (x, 1), ... of
-weight PIECE and a last of the rest, each a term of its own: pieces fill in order, so the sums of minima and
-maxima, and with them the similarity, stay the same. The share of equal slots, among those where either
-text has a term, estimates the similarity.
+slots. Every bin has one vote, so terms must weigh alike for the votes to: a term of weight w is first cut into the
+pieces (x, 0), (x, 1), ... (x, w - 1) of weight 1 (for which t is 0), each a term of its own. Pieces fill in order, so
+the sums of minima and maxima, and with them the similarity, stay the same. Of the pieces that either text has in a
+bin each is as likely to be the sample, so a bin in use is equal with the probability of the similarity, however few
+terms there are. The share of equal slots, among those where either text has a term, estimates it; its variance
+is at most s (1 - s) / n, n being the slots in use.
 
 A fingerprint is SLOTS groups of four hex digits, the low bits of ln a of the sample; ``----`` is an empty
 bin. All of it is array functions on one row; nothing is exploded and no text is sampled or cut.
@@ -28,7 +30,6 @@ from pyspark.sql import functions as F
 from contrail.llm.common import let, stash, words_of
 
 SLOTS = 128  # a bin is the top seven bits of a hash
-PIECE = 2
 EMPTY = "----"
 _ONE = float(1 << 32)
 
@@ -43,12 +44,11 @@ def _gamma(h: Column) -> Column:
     return 64 * math.log(2) - F.ln(_low(h) * (F.shiftrightunsigned(h, 32) + 0.5))
 
 
-def _packed(x: Column, piece: Column, weight: Column | int) -> Column:
-    """Bin and ln a of a piece in one bigint that sorts by both; ``weight`` 1 has t = 0."""
+def _packed(x: Column, piece: Column) -> Column:
+    """Bin and ln a of a piece in one bigint that sorts by both."""
     r, c, h = (F.xxhash64(F.lit(n), x, piece) for n in (1, 2, 3))
     b = _low(h) / _ONE
-    t = 0 if isinstance(weight, int) else F.floor(F.ln(weight) / _gamma(r) + b)
-    ln_a = F.ln(_gamma(c)) - _gamma(r) * (t + 1 - b)
+    ln_a = F.ln(_gamma(c)) - _gamma(r) * (1 - b)
     return F.shiftleft(F.shiftrightunsigned(h, 57), 42).bitwiseOR(((ln_a + 512) * _ONE).cast("bigint"))
 
 
@@ -84,9 +84,8 @@ def with_fingerprints(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
 
         def pieces(t: Column) -> Column:
             x, w = t["x"], t["w"]
-            cut = F.transform(F.sequence(F.lit(0), F.floor((w - 1) / PIECE).cast("int")),
-                              lambda p: _packed(x, p, F.least(F.lit(PIECE), w - p * PIECE)))
-            return F.when(w == 1, F.array(_packed(x, F.lit(0), 1))).otherwise(cut)
+            cut = F.transform(F.sequence(F.lit(0), w - 1), lambda p: _packed(x, p))
+            return F.when(w == 1, F.array(_packed(x, F.lit(0)))).otherwise(cut)
         return F.sort_array(F.flatten(F.transform(F.transform(b, term), pieces))).alias(f"__p{i}")
     df = step(df, per(draws))
 

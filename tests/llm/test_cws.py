@@ -71,7 +71,7 @@ def test_equal_texts_and_empty_ones(rows):
 def test_slots_equal_brute_force(spark):
     """Each slot against the definition, computed from the same hashes in Python."""
     text = prose(5, 300)
-    pieces = [(w, p, min(cws.PIECE, n - p * cws.PIECE)) for w, n in Counter(text.split()).items() for p in range(-(-n // cws.PIECE))]
+    pieces = [(w, p, 1) for w, n in Counter(text.split()).items() for p in range(n)]
     df = spark.createDataFrame(pieces, "w string, p int, n int").select("p", "n", F.xxhash64("w").alias("x"))
     best = {}
     for r in df.select("n", *[F.xxhash64(F.lit(i), "x", "p").alias(f"h{i}") for i in (1, 2, 3)]).collect():
@@ -88,6 +88,26 @@ def test_slots_equal_brute_force(spark):
         assert slot == want or i in best and abs(int(slot, 16) - int(want, 16)) <= 1
 
 
+@pytest.mark.parametrize("words", [2, 5, 10, 40, 200])
+def test_collision_rate_is_the_similarity_at_every_length(spark, words):
+    """Mean error over 2,000 pairs of texts with repeated words, the second an edit of the first."""
+    r, pairs = random.Random(words), []
+    for i in range(2000):
+        a = [f"x{i}w{int(r.paretovariate(0.7)) % (2 * words)}" for _ in range(words)]
+        b = [w if r.random() < 0.7 else f"x{i}w{r.randrange(2 * words)}" for w in a][:r.randrange(max(1, words // 2), words + 1)]
+        pairs.append((" ".join(a), " ".join(b)))
+    df = cws.with_fingerprints(spark.createDataFrame(pairs, "a string, b string").repartition(8), {"f": "a", "g": "b"})
+    off = [x.s - jaccard(x.a, x.b) for x in df.select("a", "b", cws.likeness(F.col("f"), F.col("g")).alias("s")).collect()]
+    assert len(off) == 2000 and abs(sum(off) / len(off)) < 0.02
+
+
+def test_few_words_with_repeats_are_exact_but_for_shared_bins(spark):
+    rows = [("w w v", "w w", 2 / 3), ("w w w", "w", 1 / 3), ("a", "b", 0.0), ("a a a a", "a a a a", 1.0)]
+    df = cws.with_fingerprints(spark.createDataFrame(rows, "a string, b string, want double"), {"f": "a", "g": "b"})
+    for x in df.select("want", cws.likeness(F.col("f"), F.col("g")).alias("s")).collect():
+        assert abs(x.s - x.want) < 0.2
+
+
 @pytest.mark.parametrize("per_range", [3, 1000])
 def test_successors(spark, per_range):
     ids = [5, None, -3, 40, 12, 7, 100]
