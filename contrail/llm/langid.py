@@ -34,7 +34,10 @@ MAX_LABELLED = 8_000
 MAX_EVIDENCE = 40.0
 UNKNOWN = "und"
 _CHUNK = 1 << 20
-_MARKUP = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
+_HIDDEN = re.compile(r"<(script|style)\b", re.I)
+_CLOSE = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style")}
+#: Languages that a text model knows at most: those with the most rows of the sample.
+MAX_LANGS = 256
 
 
 def trigrams(text: str) -> Iterator[np.ndarray]:
@@ -50,8 +53,31 @@ def trigrams(text: str) -> Iterator[np.ndarray]:
 
 
 def visible_text(html: str | None) -> str:
-    """Text of a page: scripts, styles, comments and tags cut out, entities resolved."""
-    return html_lib.unescape(_MARKUP.sub(" ", html or ""))
+    """Text of a page: scripts, styles, comments and tags cut out, entities resolved.
+
+    One pass: what opens without an end is looked for once, and from then on taken as a tag, or as text without a ``>``.
+    """
+    html, at, out, endless = html or "", 0, [], set()
+    while (i := html.find("<", at)) >= 0:
+        end = -1
+        hidden = _HIDDEN.match(html, i)
+        kind = hidden[1].lower() if hidden else "<!--" if html.startswith("<!--", i) else None
+        if kind and kind not in endless:
+            if hidden:
+                close = _CLOSE[kind].search(html, hidden.end())
+                end = close.end() if close else -1
+            else:
+                end = html.find("-->", i + 4) + 3 if html.find("-->", i + 4) >= 0 else -1
+            if end < 0:
+                endless.add(kind)
+        if end < 0:
+            end = html.find(">", i) + 1
+        if end <= 0:
+            break
+        out += (html[at:i], " ")
+        at = end
+    out.append(html[at:])
+    return html_lib.unescape("".join(out))
 
 
 @dataclass
@@ -69,14 +95,18 @@ class TextModel:
         return total * (min(n, MAX_EVIDENCE) / n if n else 0.0)
 
 
-def fit_text(docs: DataFrame, max_labelled: int = MAX_LABELLED) -> TextModel:
-    """Trigram counts by language of at most about ``max_labelled`` rows (text, lang), chosen by hash.
+def fit_text(docs: DataFrame, max_labelled: int = MAX_LABELLED, max_langs: int = MAX_LANGS) -> TextModel:
+    """Trigram counts by language of at most about ``max_labelled`` rows (doc_id, text, lang), chosen by a hash of id and text.
 
-    Rows without a text or language are left out. Counts are summed in each partition, then by Spark; at
-    most BUCKETS x languages numbers reach the driver. Without any row only ``und`` is known.
+    Rows without a text or language are left out, as are languages beyond the ``max_langs`` with the most
+    rows of the sample (ties by name). Counts are summed in each partition, then by Spark; at most BUCKETS x ``max_langs``
+    numbers reach the driver. Without any row only ``und`` is known.
     """
-    known = docs.select(F.col("text").alias("text"), F.lower("lang").alias("lang")).filter("text <> '' and lang <> ''")
-    rows = sample_by_hash(known, "text", max_labelled).repartition(docs.sparkSession.sparkContext.defaultParallelism)
+    key = F.xxhash64("doc_id", "text") if "doc_id" in docs.columns else F.xxhash64("text")
+    known = docs.select(key.alias("key"), F.col("text").alias("text"), F.lower("lang").alias("lang")).filter("text <> '' and lang <> ''")
+    rows = sample_by_hash(known, "key", max_labelled).select("text", "lang")
+    common = [r.lang for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()]
+    rows = rows.filter(F.col("lang").isin(common)).repartition(docs.sparkSession.sparkContext.defaultParallelism)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -160,9 +190,10 @@ def fuse(records: DataFrame, langs: list[str], host_weight: float = 10.0, domain
         n = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
         return F.zip_with(counts, above, lambda c, q: (c + weight * q) / (n + weight))
 
-    hosts = own.groupBy("domain", "host").agg(*_sums("p", k)).select("domain", "host", _array(k).alias("hc"))
-    domains = (hosts.groupBy("domain").agg(*_sums("hc", k))
-               .select("domain", smoothed(_array(k), prior, domain_weight).alias("dp")))
+    # both written first: the join then stands alone, and Spark can split a domain with very many hosts
+    hosts = stash(own.groupBy("domain", "host").agg(*_sums("p", k)).select("domain", "host", _array(k).alias("hc")), "host-sums")
+    domains = stash(hosts.groupBy("domain").agg(*_sums("hc", k))
+                    .select("domain", smoothed(_array(k), prior, domain_weight).alias("dp")), "domain-sums")
     hosts = stash(hosts.join(domains, "domain").select("domain", "host", smoothed(F.col("hc"), F.col("dp"), host_weight).alias("hp")), "host-priors")
 
     def channel(name: str) -> DataFrame:

@@ -88,3 +88,28 @@ def test_empty_and_unlabelled_tables(spark, tmp_path):
     assert [r.lang for r in queries.op9_language_id(spark, str(tmp_path)).collect()] == ["und"] * 3
     records = spark.createDataFrame([], "id int, text_ll array<double>, declared string, suffix string, host string, domain string")
     assert langid.identify(records, ["a", "und"]).count() == 0
+
+
+def test_markup_is_cut_as_by_one_pattern_and_in_linear_time():
+    import html as entities
+    import random
+    import re
+    import time
+    pattern = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
+    r = random.Random(2)
+    bits = ["<", ">", "<!--", "-->", "-", "<script>", "</script >", "<STYLE a", "</style>", "<scripted>", "a", "é&amp;", "\n", "<b>", "</script"]
+    for _ in range(3000):
+        page = "".join(r.choice(bits) for _ in range(r.randrange(14)))
+        assert langid.visible_text(page) == entities.unescape(pattern.sub(" ", page)), page
+    for bit in ("<!--", "<", "<script>", "<style>a", "<script></style>", "</script"):
+        began = time.time()
+        langid.visible_text(bit * (1_000_000 // len(bit)))
+        assert time.time() - began < 2, bit
+
+
+def test_sample_and_languages_are_bounded(spark):
+    rows = [(i, "the same text in every row", "en", "s", 1) for i in range(3000)] + [(i, f"words {i} here", f"l{i % 40:02d}", "s", 1) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    assert langid.fit_text(docs, max_langs=3).langs == ["en", "l00", "l01", "und"]
+    from contrail.llm.common import sample_by_hash
+    assert sample_by_hash(docs.withColumn("key", F.xxhash64("doc_id", "text")), "key", 300).count() < 420
