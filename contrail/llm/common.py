@@ -29,6 +29,17 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with underscores before it until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with the value computed once for each row, also where body's lambdas use it often."""
     return F.get(F.transform(F.array(value), body), 0)

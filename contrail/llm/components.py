@@ -20,7 +20,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         sides = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     else:
         sides = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = sides.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = stash(sides.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "cc-least")
+    # written first: the join then stands alone, and Spark can split a node with very many neighbours
     hung = sides.join(least, "a")
     if large:
         out = hung.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))

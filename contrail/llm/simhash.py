@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import stash
+from contrail.llm.common import fresh, stash
 from contrail.llm.components import connected_components
 
 SEED = 42
@@ -103,6 +103,22 @@ def near_links(fps: DataFrame, max_bits: int = 2, bucket_cap: int = 64) -> DataF
     return pairs.unionByName(stars).distinct()
 
 
+def _grouped(docs: DataFrame, shingle: int, max_bits: int, bucket_cap: int) -> DataFrame:
+    """(doc_id, hash, fp, root, component_id) for each row of ``docs``: ``root`` is the same for all rows of a group.
+
+    ``hash`` is of the text: with the doc_id it finds a row again.
+    """
+    marked = stash(docs.select(F.col("doc_id").alias("doc_id"), F.xxhash64("text").alias("hash"), fingerprint(F.col("text"), shingle).alias("fp")), "fp")
+    reps = stash(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "reps")
+    roots = connected_components(near_links(reps.select("fp"), max_bits, bucket_cap))
+    linked = roots.join(reps, roots.node == reps.fp).select("fp", "root", "least")
+    moved = (linked.join(stash(linked.groupBy("root").agg(F.min("least").alias("component_id")), "moved"), "root")
+             .select("fp", "root", "component_id"))
+    # written first: the join below then stands alone, and Spark can split a fingerprint with very many documents
+    whole = stash(reps.join(moved, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "least").alias("component_id")), "whole")
+    return marked.join(whole, "fp").select("doc_id", "hash", "fp", "root", "component_id")
+
+
 def near_components(docs: DataFrame, shingle: int = 3, max_bits: int = 2, bucket_cap: int = 64) -> DataFrame:
     """(doc_id, text, ...) -> (doc_id, fp, component_id), one row for each row of ``docs``.
 
@@ -111,38 +127,26 @@ def near_components(docs: DataFrame, shingle: int = 3, max_bits: int = 2, bucket
     other; a null doc_id never is a component_id unless its whole component has none; repeated rows are
     kept and share a component. Only doc_id and text are read, so other columns may have any name.
     """
-    marked = stash(docs.select(F.col("doc_id").alias("doc_id"), fingerprint(F.col("text"), shingle).alias("fp")), "fp")
-    reps = stash(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "reps")
-    roots = connected_components(near_links(reps.select("fp"), max_bits, bucket_cap))
-    linked = roots.join(reps, roots.node == reps.fp).select("fp", "root", "least")
-    moved = (linked.join(linked.groupBy("root").agg(F.min("least").alias("component_id")), "root")
-             .select("fp", "component_id"))
-    # written first: the join below then stands alone, and Spark can split a fingerprint with very many documents
-    whole = stash(reps.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id")), "whole")
-    return marked.join(whole, "fp").select("doc_id", "fp", "component_id")
+    return _grouped(docs, shingle, max_bits, bucket_cap).select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2, bucket_cap: int = 64) -> DataFrame:
-    """The rows of ``docs`` with one document of each near-duplicate group: that with the smallest doc_id.
+    """The rows of ``docs`` with one row of each near-duplicate group: that with the smallest doc_id.
 
-    Of rows that repeat that doc_id, one stays (that with the smallest text); rows whose whole group has
-    no doc_id count as one document for each group.
+    A group without any doc_id, or with several texts under that id, keeps the text with the smallest hash; of
+    rows that repeat id and text, the smallest in the order of their columns stays. An id or a null that occurs in
+    several groups is judged in each by itself.
     """
-    found = stash(near_components(docs, shingle, max_bits, bucket_cap), "components")
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    ids = kept.groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__n"))
-    repeated = ids.agg(F.max("__n")).first()[0] or 0
-    out = docs.join(ids.filter("__id is not null"), F.col("doc_id") == F.col("__id"), "left_semi")
-    if not repeated > 1:
-        nameless = docs.filter("doc_id is null") if ids.filter("__id is null").count() else None
-        return out if nameless is None else out.unionByName(nameless)
-    nameless = docs.filter("doc_id is null").withColumn("__fp", fingerprint(F.col("text"), shingle))
-    lone = kept.filter("doc_id is null").select(F.col("fp").alias("__fp")).distinct()
-    first = [c for c in docs.columns if c not in ("doc_id", "text")]
-
-    def one(rows: DataFrame, key: str) -> DataFrame:
-        best = rows.groupBy(key).agg(F.min(F.struct("text", *first)).alias("__r"))
-        return best.select(*[F.col(key).alias("doc_id") if c == "doc_id" and key == "doc_id"
-                             else F.lit(None).cast("bigint").alias("doc_id") if c == "doc_id"
-                             else F.col(f"__r.{c}").alias(c) for c in docs.columns])
-    return one(out, "doc_id").unionByName(one(nameless.join(lone, "__fp", "left_semi"), "__fp"))
+    found = stash(_grouped(docs, shingle, max_bits, bucket_cap), "components")
+    first = (found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")).alias("f")).select("f.doc_id", "f.hash"))
+    times = found.groupBy("doc_id", "hash").agg(F.count("*").alias("n"))
+    at, text, n = fresh(docs, "kept_id", "kept_hash", "kept_n")
+    chosen = stash(first.join(times, first.doc_id.eqNullSafe(times.doc_id) & (first.hash == times.hash))
+                   .select(first.doc_id.alias(at), first.hash.alias(text), F.col("n").alias(n)), "chosen")
+    same = F.col("doc_id").eqNullSafe(F.col(at)) & (F.xxhash64("text") == F.col(text))
+    out = docs.join(chosen.filter(F.col(n) == 1), same, "left_semi")
+    repeated = chosen.filter(F.col(n) > 1)
+    if repeated.isEmpty():
+        return out
+    again = docs.join(repeated, same).groupBy(at, text).agg(F.min(F.struct(*docs.columns)).alias(n))
+    return out.unionByName(again.select(*[F.col(n)[c].alias(c) for c in docs.columns]))

@@ -103,3 +103,30 @@ def test_keep_one(spark):
     assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == [("2", BASE), ("6", ""), ("9", "lone"), ("None", "nameless")]
     assert simhash.keep_one(df.limit(0)).count() == 0
     assert simhash.near_components(df.filter(F.lit(False))).count() == 0
+
+
+def test_keep_one_against_brute_force(spark):
+    """Random rows with null and repeated ids, null and repeated texts, near texts, and clashing column names."""
+    import random
+    r = random.Random(11)
+    base = [f"the quick brown fox number {k} jumps over the lazy dog and runs away " * 12 for k in range(4)]
+    texts = [None, "", "x", "y z", *base, *[b + "again" for b in base], *[b.replace("lazy", "idle", 1) for b in base]]
+    rows = [(r.choice([None, None, *range(12)]), r.choice(texts)) for _ in range(90)]
+    df = documents(spark, rows, root=1, kept_id=2, _kept_id="x", kept_hash=None, kept_n=0, fp=3, hash="h").repartition(3)
+    got = [(x.doc_id, x.text) for x in simhash.keep_one(df.withColumn("kept_hash", F.lit(5))).collect()]
+    prints = {t: simhash.simhash64(t) for t in texts}
+    groups = []
+    for f in set(prints[t] for _, t in rows):
+        near = [g for g in groups if any((f ^ o).bit_count() <= 2 for o in g)]
+        groups = [g for g in groups if g not in near] + [set().union({f}, *near)]
+    assert len(got) == len(groups)
+    for g in groups:
+        own = [(i, t) for i, t in rows if prints[t] in g]
+        (kept,) = [x for x in got if prints[x[1]] in g]
+        ids = [i for i, _ in own if i is not None]
+        assert kept in own and kept[0] == (min(ids) if ids else None)
+
+
+def test_keep_one_of_nameless_rows(spark):
+    df = documents(spark, [(2, BASE), (None, BASE), (None, "other words here"), (None, BASE + " more"), (None, BASE + " more")])
+    assert sorted(str(x.doc_id) for x in simhash.keep_one(df).collect()) == sorted(["2", "None"] + (["None"] if (simhash.simhash64(BASE) ^ simhash.simhash64(BASE + " more")).bit_count() > 2 else []))
