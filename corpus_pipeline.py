@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.llm import langid, packing, secrets, simhash, toxicity
-from contrail.llm.common import read_table, stash
+from contrail.llm.common import fresh, read_table, stash
 from contrail.session import scratch_dir
 
 
@@ -35,9 +35,10 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     found = langid.identify(records, model.langs).filter(F.exists("text_ll", lambda x: x != 0))
     if model.langs != [langid.UNKNOWN]:  # else no document says its language, and none can be rejected for it
         found = found.filter(F.col("lang") != langid.UNKNOWN)
-    found = found.groupBy(F.col("key").alias("__key")).agg(F.min("lang").alias("__lang"))
-    columns = [F.col("__lang").alias("lang") if c == "lang" else F.col(c) for c in docs.columns]
-    return docs.join(found, key.eqNullSafe(F.col("__key"))).select(*columns)
+    at, lang = fresh(docs, "found_key", "found_lang")
+    found = found.groupBy(F.col("key").alias(at)).agg(F.min("lang").alias(lang))
+    columns = [F.col(lang).alias("lang") if c == "lang" else F.col(c) for c in docs.columns]
+    return docs.join(found, key.eqNullSafe(F.col(at))).select(*columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,12 +51,12 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     ledger = scratch_dir(spark, "pipeline-secret-ledger")
     secrets.scan(docs, ["doc_id"], ledger)
     found = stash(secrets.findings(spark, ledger), "secret-findings")
-    held = docs.withColumn("__blob", secrets.blob_of(F.col("text"))).join(
-        found.select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans")), "__blob", "left")
-    clean = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(secrets.redact(F.col("text"), F.col("__spans")))
-    held = held.withColumn("__clean", clean)
-    n = F.when(F.col("__spans").isNull(), F.col("n_chars")).otherwise(F.length("__clean").cast("bigint"))
-    return held.select(*[F.col("__clean").alias("text") if c == "text" else n.alias("n_chars") if c == "n_chars" else F.col(c)
+    blob, spans, clean = fresh(docs, "found_blob", "found_spans", "clean_text")
+    held = docs.withColumn(blob, secrets.blob_of(F.col("text"))).join(
+        found.select(F.col("blob").alias(blob), F.col("spans").alias(spans)), blob, "left")
+    held = held.withColumn(clean, F.when(F.col(spans).isNull(), F.col("text")).otherwise(secrets.redact(F.col("text"), F.col(spans))))
+    n = F.when(F.col(spans).isNull(), F.col("n_chars")).otherwise(F.length(clean).cast("bigint"))
+    return held.select(*[F.col(clean).alias("text") if c == "text" else n.alias("n_chars") if c == "n_chars" else F.col(c)
                          for c in docs.columns])
 
 
