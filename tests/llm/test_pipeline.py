@@ -61,7 +61,8 @@ def test_odd_rows_pass_every_stage(spark, tmp_path):
     write_table(spark.createDataFrame([], "doc_id bigint, quality int, toxic int"), tmp_path, "labels")
     secret = "my token = abcdefghijklmnopqrst is here and it is safe with me"
     rows = [(1, None), (2, ""), (3, secret), (3, secret), (None, "nobody owns this small text about a dog"), (4, "nobody owns this small text about a dog and a cat " * 3000), (5, "### 123")]
-    docs = documents(spark, rows, spans="clash", blob="clash", fp=1, key=2, score=0.5)
+    docs = documents(spark, rows, spans="clash", blob="clash", fp=1, key=2, score=0.5,
+                     found_key="k", _found_key=1, found_lang=2, found_blob="b", Found_Spans="s", clean_text="c", kept_id=5, kept_hash=6, hash=7, root=8)
     for k, (_, stage) in enumerate(cp.STAGES[:-1]):
         docs.limit(0).write.parquet(str(tmp_path / f"empty{k}"))
         assert stage(spark, spark.read.parquet(str(tmp_path / f"empty{k}")), str(tmp_path)).count() == 0
