@@ -22,6 +22,7 @@ from contrail.operators.aggregate import country_window_agg
 from contrail.operators.clustered import ClusteredTable
 from contrail.operators.enrich import enrich, fan_out_by_dimension, join_strategy, rapid_descent, with_event_time
 from contrail.plans import panels
+from contrail.plans.incremental import LiveDashboard
 from contrail.plans.tables import alert_pairs, alerts_then_enrich, latest_then_enrich, with_agg_key
 from contrail.schemas import DIMENSION_COLUMNS, ENRICHED_COLUMNS, FLIGHT_FIELDS, LIVE_COLUMNS
 from contrail.session import ensure_utc, scratch_dir
@@ -369,6 +370,23 @@ def q_stream_pane_windows(spark, sf):
     return ResultTables.at(out).windows(spark).drop("country_key", "row_key")
 
 
+def q_incremental_kpis(spark, sf):
+    """The KPIs of a dashboard that was refreshed after each of the stream's batches, reading what each one added."""
+    board = []
+
+    def start(source, dim, out, ck, strategy):
+        for q in start_pipeline(report_stream(source), out, ck, aircraft=dim, strategy=strategy, trigger=AVAILABLE_NOW, panes=True).values():
+            q.awaitTermination()
+            if q.exception() is not None:
+                raise q.exception()
+        if not board:
+            board.append(LiveDashboard(spark, ResultTables.at(out)))
+        board[0].refresh()
+        return {}
+    out = _stream_run(spark, sf, "refreshes", start)
+    return (board[0] if board else LiveDashboard(spark, ResultTables.at(out))).refresh()["kpi_summary"]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_decode": q_json_decode,
     "src_snapshot_decode": q_src_snapshot_decode,
@@ -416,6 +434,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_enrich": q_stream_enrich,
     "stream_country_window_agg": q_stream_country_window_agg,
     "stream_pane_windows": q_stream_pane_windows,
+    "incremental_kpis": q_incremental_kpis,
     "stream_live_snapshot": q_stream_live_snapshot,
     "stream_pipeline_alerts": q_stream_pipeline_alerts,
 }

@@ -245,6 +245,7 @@ FROM alert_frame HAVING count(*) > 0"""),
     "stream_live_snapshot": _with(LIVE_SELECT),
     "stream_pipeline_alerts": _with("SELECT * FROM alerts"),
 }
+ORACLE["incremental_kpis"] = ORACLE["kpi_summary"]
 
 
 def oracle_sql() -> dict[str, str]:

@@ -62,13 +62,18 @@ def write_panes(table: KeyedTable, batch: DataFrame, batch_id: int, delay: str =
     table.write_batch(panes.withColumn("closed", closed), batch_id)
 
 
+def windows_of_view(panes: DataFrame) -> DataFrame:
+    """The window aggregate from a current view of the panes."""
+    return windows_of_panes(panes, closed="closed")
+
+
 def windows(spark: SparkSession, table: KeyedTable, since: dt.date | None = None, until: dt.date | None = None) -> DataFrame:
     """The window aggregate from the panes, of the columns of ``country_window_agg``.
 
     ``since`` and ``until`` (inclusive) bound the dates on which windows start; a window reaches into the next date's panes.
     """
     day = dt.timedelta(days=1)
-    found = windows_of_panes(table.current(spark, since, until and until + day), closed="closed")
+    found = windows_of_view(table.current(spark, since, until and until + day))
     start = F.to_date(F.timestamp_seconds("window_start"))
     if since is not None:
         found = found.where(start >= F.lit(since))

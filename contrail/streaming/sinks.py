@@ -181,7 +181,7 @@ class KeyedTable:
         if len(old) <= 1:
             return newest
         n = max(e[1] for e in old)
-        log = self._read(spark, old)
+        log = self.read(spark, old)
         cols = [c for c in log.columns if c not in (BATCH_COLUMN, DATE_COLUMN)]
         self._commit(spark, self._write(self._reduced(log).select(*cols), n, known_rows=True, kind="fold"), old, tidy=True)
         return n
@@ -204,7 +204,8 @@ class KeyedTable:
 
     # --- reading ---
 
-    def _read(self, spark: SparkSession, entries: list[list]) -> DataFrame:
+    def read(self, spark: SparkSession, entries: Sequence[Sequence]) -> DataFrame:
+        """The rows of some folders of a version, with their ``batch_id`` and, in a dated table, ``date``."""
         paths = [f"{self._data}/{e[3]}" for e in entries]
         return spark.read.option("basePath", self._data).parquet(*paths).drop("attempt")
 
@@ -220,7 +221,7 @@ class KeyedTable:
             if self.date_from:
                 fields.append(StructField(DATE_COLUMN, DateType(), True))
             return spark.createDataFrame([], StructType(fields))
-        log = self._read(spark, entries)
+        log = self.read(spark, entries)
         if since is not None and self.date_from:
             log = log.where(F.col(DATE_COLUMN) >= F.lit(since))
         if until is not None and self.date_from:

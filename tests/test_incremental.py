@@ -1,0 +1,96 @@
+"""Kept views and panels against full refreshes, after inserts, replays and folds, and what they read."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from contrail.operators.enrich import with_event_time
+from contrail.plans.dashboard import panel_frames
+from contrail.plans.incremental import KeptView, LiveDashboard
+from contrail.streaming.panes import pane_table, write_panes
+from contrail.streaming.pipeline import ResultTables
+from contrail.streaming.sinks import KeyedTable
+from tests.helpers import flights_df
+
+DAY = 86400
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.select(*sorted(df.columns)).collect()), key=str)
+
+
+def batch(spark, r, day):
+    return flights_df(spark, [dict(icao24=f"a{r.randrange(9)}", origin_country=r.choice(["X", "Y"]), last_contact=d * DAY + r.randrange(600), baro_altitude=r.uniform(0, 9e3))
+                              for d in (day, max(0, day - 1)) for _ in range(8)])
+
+
+@pytest.mark.parametrize("kind", ["plain", "dated", "panes"])
+def test_view_equals_the_table_after_every_kind_of_step(spark, scratch, kind):
+    r = random.Random(kind)
+    if kind == "panes":
+        table = pane_table(f"{scratch}/t")
+        write = lambda df, b: write_panes(table, with_event_time(df), b)
+    else:
+        table = KeyedTable(f"{scratch}/t", ["icao24", "last_contact"] if kind == "dated" else ["icao24"], ("last_contact",),
+                           ["icao24", "last_contact", "baro_altitude"], date_from="last_contact" if kind == "dated" else None)
+        write = table.write_batch
+    kept, folders = KeptView(table), 0
+    steps = ["add", "none", "add", "add add", "fold", "add", "replay", "add fold", "add add fold", "none", "add", "fold add"]
+    b = 0
+    for step in steps:
+        for part in step.split():
+            if part == "add":
+                write(batch(spark, r, b // 3), b)
+                b += 1
+            elif part == "replay":
+                write(batch(spark, r, b // 3), b - 1)  # with other rows
+            elif part == "fold":
+                table.compact_in_place(spark)
+        changed = kept.refresh(spark)
+        assert rows_of(kept.view(spark)) == rows_of(table.current(spark)), step
+        if step == "none":
+            assert not changed and kept.read_folders == []
+        if step == "fold":
+            assert not changed and kept.read_folders == []  # the rows were known
+        if step == "add":
+            assert changed and all(f"batch_id={b - 1}/" in f for f in kept.read_folders)
+        folders += len(kept.read_folders)
+    assert not KeptView(pane_table(f"{scratch}/none")).refresh(spark)
+
+
+def test_a_date_that_a_replay_leaves_goes(spark, scratch):
+    table = KeyedTable(f"{scratch}/t", ["last_contact"], (), ["icao24", "last_contact"], date_from="last_contact")
+    kept = KeptView(table)
+    for day in (0, 5):
+        table.write_batch(flights_df(spark, [dict(icao24="a", last_contact=day * DAY)]), 0)
+        assert kept.refresh(spark) and rows_of(kept.view(spark)) == rows_of(table.current(spark))
+    table.write_batch(flights_df(spark, []), 0)
+    assert kept.refresh(spark) and kept._parts == {}
+
+
+def test_dashboard_derives_the_panels_that_changed(spark, scratch):
+    tables = ResultTables.at(f"{scratch}/out")
+    live = spark.createDataFrame([], tables.live.schema)
+    alerts = spark.createDataFrame([], tables.alerts.schema)
+    board = LiveDashboard(spark, tables)
+    assert board.refresh()["kpi_summary"].first().airborne == 0 and board.derived == set(board.panels)
+    assert board.refresh() and board.derived == set()
+
+    def row(schema, **kw):
+        return spark.createDataFrame([tuple(kw.get(f.name) for f in schema.fields)], schema)
+    tables.live.write_batch(row(live.schema, icao24="a", latitude=1.0, longitude=2.0, baro_altitude=5000.0, on_ground=False, last_contact=5, ingestion_ts=10), 0)
+    p = board.refresh()
+    assert p["kpi_summary"].first().airborne == 1 and "live_airborne" in board.derived and not {"alert_log", "top_countries"} & board.derived
+    tables.alerts.write_batch(row(alerts.schema, icao24="a", ingestion_ts=10, vrate=-40.0, country="X", ts=10, row_key="a|1", last_contact=5), 0)
+    p = board.refresh()
+    assert board.derived == {"kpi_summary", "alert_log", "worst_descent", "descent_histogram", "alerts_by_country"}
+    assert p["kpi_summary"].first().alerts == 1 and p["live_airborne"].count() == 1
+    write_panes(tables.panes, with_event_time(flights_df(spark, [dict(icao24="a", origin_country="X", last_contact=600)])), 0)
+    board = LiveDashboard(spark, tables)
+    full = panel_frames(tables.live.current(spark), tables.windows(spark), tables.alerts.current(spark))
+    got = board.refresh()
+    assert sorted(got) == sorted(full)
+    for name, df in full.items():
+        assert rows_of(got[name]) == rows_of(df), name
+    assert got["top_countries"].count() == 1
