@@ -28,9 +28,11 @@ from contrail.schemas import DIMENSION_COLUMNS, ENRICHED_COLUMNS, FLIGHT_FIELDS,
 from contrail.session import ensure_utc, scratch_dir
 from contrail.sources.dimension import read_aircraft_csv, write_aircraft_csv
 from contrail.sources.messages import decode_messages, read_message_files, to_messages
+from contrail.sources.polls import decode_polls, poll_stream, record_polls
 from contrail.sources.snapshot import decode_replay, decode_snapshot, snapshot_documents
+from contrail.streaming.metrics import BatchMetrics, read_metrics
 from contrail.streaming.pipeline import (
-    ResultTables, enriched_stream, replay_in_batches, report_stream, start_archive, start_pipeline,
+    ResultTables, await_all, enriched_stream, replay_in_batches, report_stream, start_archive, start_pipeline,
 )
 from contrail.streaming.sinks import KeyedTable, read_archive
 
@@ -387,6 +389,43 @@ def q_incremental_kpis(spark, sf):
     return (board[0] if board else LiveDashboard(spark, ResultTables.at(out))).refresh()["kpi_summary"]
 
 
+def q_src_poll_feed(spark, sf):
+    """A recorded feed of which polls are broken or absent, read poll by poll with the replay in their place."""
+    root = scratch_dir(spark, "polls")
+    f = fixtures.reports(spark, sf)
+    number = F.expr(f"(ingestion_ts - {fixtures.EPOCH0}) div {fixtures.POLL_SECONDS}")
+    first, last = f.agg(F.min(number), F.max(number)).first()
+    if first is None:
+        return flights(spark, sf)
+    record_polls(f.where(number % 9 != 6), f"{root}/feed", damaged=number % 9 == 3)
+    record_polls(f.where(number == first), f"{root}/replay", bare=True)
+    polls = poll_stream(spark, f"{root}/feed", replay=f"{root}/replay/{first:012d}.json", first=first, until=last + 1)
+    start_archive(decode_polls(polls), f"{root}/out", f"{root}/ck", AVAILABLE_NOW).awaitTermination()
+    return read_archive(spark, f"{root}/out").select(*FLIGHT_FIELDS)
+
+
+def q_stream_batch_metrics(spark, sf):
+    """Rows, rejects and late reports of every micro-batch, counted while the stream runs over damaged messages."""
+    root = scratch_dir(spark, "metered")
+    f = flights(spark, sf).withColumn("last_contact", F.when(F.col("last_contact") % 10 == 3, F.col("last_contact") - 1200)
+                                      .when(F.col("last_contact") % 10 == 4, F.lit(None)).otherwise(F.col("last_contact")))
+    metrics = BatchMetrics(spark, f"{root}/metrics")
+
+    def run_once():
+        source = read_message_files(spark, f"{root}/landing", recursive=True)
+        # one message in ten is cut short
+        broken = F.when(F.get_json_object("value", "$.time_position") % 10 == 7, F.substring("value", 1, 40)).otherwise(F.col("value"))
+        reports = report_stream(source.withColumn("value", broken))
+        await_all(start_pipeline(reports, f"{root}/out", f"{root}/ck", queries=("agg",), panes=True, trigger=AVAILABLE_NOW, metrics=metrics))
+    try:
+        replay_in_batches(spark, f, f"{root}/landing", STREAM_BATCHES, run_once, by="time_position")
+        # the listener is told of a batch after the query has ended
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        metrics.stop()
+    return read_metrics(spark, f"{root}/metrics").select("batch_id", "rows", "rejected", "untimed", "late", "partly_late")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_decode": q_json_decode,
     "src_snapshot_decode": q_src_snapshot_decode,
@@ -430,10 +469,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_alerts_limit": q_scan_alerts_limit,
     "clustered_first_alerts": q_clustered_first_alerts,
     "clustered_country_windows": q_clustered_country_windows,
+    "src_poll_feed": q_src_poll_feed,
     "src_stream_files": q_src_stream_files,
     "stream_enrich": q_stream_enrich,
     "stream_country_window_agg": q_stream_country_window_agg,
     "stream_pane_windows": q_stream_pane_windows,
+    "stream_batch_metrics": q_stream_batch_metrics,
     "incremental_kpis": q_incremental_kpis,
     "stream_live_snapshot": q_stream_live_snapshot,
     "stream_pipeline_alerts": q_stream_pipeline_alerts,

@@ -238,6 +238,14 @@ FROM alert_frame HAVING count(*) > 0"""),
     "scan_alerts_limit": _with("SELECT * FROM alert_frame ORDER BY row_key LIMIT 200"),
     "clustered_first_alerts": _with("SELECT * FROM alert_frame ORDER BY row_key LIMIT 200"),
     "clustered_country_windows": _with("SELECT * FROM agg WHERE starts_with(row_key, 'NATION_3|') ORDER BY row_key LIMIT 100"),
+    "src_poll_feed": f"""
+WITH f AS (SELECT *, (ingestion_ts - 1704067200) // 10 AS poll FROM ({FLIGHTS_SQL})),
+polls AS (SELECT unnest(range(min(poll), max(poll) + 1)) AS poll FROM f),
+recorded AS (SELECT * FROM f WHERE poll = (SELECT min(poll) FROM f))
+SELECT {FLIGHT_COLS} FROM f WHERE poll % 9 NOT IN (3, 6)
+UNION ALL
+SELECT {FLIGHT_COLS.replace("ingestion_ts", "1704067200 + 10 * p.poll AS ingestion_ts")}
+FROM recorded CROSS JOIN polls p WHERE p.poll % 9 IN (3, 6)""",
     "src_stream_files": f"SELECT {FLIGHT_COLS} FROM ({FLIGHTS_SQL})",
     "stream_enrich": _with(ENRICHED_SELECT),
     "stream_country_window_agg": _with(AGG_SELECT),

@@ -1,10 +1,10 @@
 """Polls of a snapshot feed as a stream: one row a poll, live or replayed, and no poll twice.
 
-A recorder lays the document of each poll down as ``<folder>/<poll number>.json``. The stream's offset is the number of
-polls read, so a restart goes on after the last one committed; the number of a poll also gives its stamp, which all its
+A recorder lays the document of each poll down as ``<folder>/<poll number>.json`` (twelve digits). The stream's offset is the
+number of polls read, so a restart goes on after the last one committed (a document that comes later is too late); the number of a poll also gives its stamp, which all its
 states share and which a retry gives again. Poll by poll, a document that is absent or broken is replaced by the
 recorded replay; a poll whose ``states`` are null or missing has none, and without a replay file a failed poll has none
-either. Files are listed and read through Spark, so any file system will do.
+either. Files are reached through Arrow's file systems (``file``, ``hdfs``, ``s3``, ``gs``), also from the executors.
 
     feed = poll_stream(spark, folder, replay=path)      # poll, ingestion_ts, kind ("live", "replay", "none"), doc
     reports = decode_polls(feed)                        # the 15 message fields
@@ -14,15 +14,20 @@ from __future__ import annotations
 
 import json
 import re
+import sys
+import uuid
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 from contrail.fixtures import EPOCH0, POLL_SECONDS
-from contrail.sources.snapshot import _states_to_rows
-from contrail.schemas import REPLAY_SCHEMA
+from contrail.sources.snapshot import decode_replay, state_vectors
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of this package
 
 SCHEMA = "poll bigint, ingestion_ts bigint, kind string, doc string"
 #: Polls of one task.
@@ -41,6 +46,19 @@ def states_of(text: str | None) -> str | None:
         return None
 
 
+def _place(path: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a folder or file; a URI with one slash, as Hadoop writes it, is also taken."""
+    return fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", path))
+
+
+def _text(store: fs.FileSystem, path: str) -> str | None:
+    try:
+        with store.open_input_file(path) as file:
+            return file.read().decode()
+    except (FileNotFoundError, UnicodeDecodeError):
+        return None
+
+
 class _Polls(InputPartition):
     def __init__(self, first: int, end: int):
         super().__init__((first, end))
@@ -51,21 +69,20 @@ class PollReader(DataSourceStreamReader):
     """Offsets are poll numbers: ``{"next": n}`` means that polls before n are done."""
 
     def __init__(self, options: dict):
-        from pyarrow import fs
-        self.store, self.folder = fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", options["path"]))
+        self.path = options["path"]
         self.replay = options.get("replay")
         self.first, self.start = int(options.get("first", 0)), int(options.get("start", EPOCH0))
-        self.seconds, self.most = int(options.get("seconds", POLL_SECONDS)), int(options.get("maxpolls", 0))
+        self.seconds = int(options.get("seconds", POLL_SECONDS))
         self.until = int(options["until"]) if "until" in options else None
-        self.at = self.first
 
     def initialOffset(self) -> dict:
         return {"next": self.first}
 
     def latestOffset(self) -> dict:
         """One past the newest poll that left a document (or ``until``): the polls before it that left none have failed."""
-        from pyarrow import fs
-        names = (_NAME.fullmatch(f.base_name) for f in self.store.get_file_info(fs.FileSelector(self.folder, allow_not_found=True)))
+        store, folder = _place(self.path)
+        # the only listing: names, once a trigger
+        names = (_NAME.fullmatch(f.base_name) for f in store.get_file_info(fs.FileSelector(folder, allow_not_found=True)))
         newest = max([int(m[1]) + 1 for m in names if m], default=self.first)
         return {"next": max(newest, self.first) if self.until is None else max(self.until, self.first)}
 
@@ -75,18 +92,12 @@ class PollReader(DataSourceStreamReader):
     def commit(self, end: dict) -> None:
         """Nothing to keep: the offset says it all."""
 
-    def _text(self, path: str, store) -> str | None:
-        try:
-            with store.open_input_file(path) as file:
-                return file.read().decode()
-        except (FileNotFoundError, UnicodeDecodeError):
-            return None
-
     def read(self, partition: _Polls) -> Iterator[tuple]:
+        store, folder = _place(self.path)
         recorded = None
         for n in range(partition.first, partition.end):
             stamp = self.start + n * self.seconds
-            states, kind = states_of(self._text(f"{self.folder}/{n:012d}.json", self.store)), "live"
+            states, kind = states_of(_text(store, f"{folder}/{n:012d}.json")), "live"
             if states is None:
                 if recorded is None:
                     recorded = self._recorded()
@@ -95,12 +106,10 @@ class PollReader(DataSourceStreamReader):
 
     def _recorded(self) -> str:
         """The replay file's list, read once a task that needs it; empty text without one."""
-        from pyarrow import fs
         if not self.replay:
             return ""
-        store, path = fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", self.replay))
         try:
-            held = json.loads(self._text(path, store) or "")
+            held = json.loads(_text(*_place(self.replay)) or "")
             return json.dumps(held) if isinstance(held, list) else ""
         except ValueError:
             return ""
@@ -137,28 +146,29 @@ def _uri(path: str) -> str:
 
 def decode_polls(polls: DataFrame, all_fields: bool = False) -> DataFrame:
     """The states of polls as flight rows, each with its poll's stamp."""
-    states = F.from_json("doc", REPLAY_SCHEMA)
-    return _states_to_rows(polls.select(F.col("ingestion_ts").alias("t"), F.explode(states).alias("s")), all_fields)
+    return decode_replay(polls, ingestion_ts=F.col("ingestion_ts"), all_fields=all_fields)
 
 
-def record_polls(reports: DataFrame, folder: str, start: int = EPOCH0, seconds: int = POLL_SECONDS) -> None:
-    """Lay reports down as a recorder would: one snapshot document for each poll, by ``ingestion_ts``.
+def record_polls(reports: DataFrame, folder: str, start: int = EPOCH0, seconds: int = POLL_SECONDS, *, bare: bool = False,
+                 damaged: Column | None = None) -> None:
+    """Lay reports down as a recorder would: one document for each poll, by ``ingestion_ts``; ``bare`` writes replay files.
 
-    A document is one file, as a feed answers a poll; the tasks write them side by side.
+    A document is one file, as a feed answers a poll with one; the tasks write them side by side. Polls whose
+    reports are ``damaged`` lose the end of their document.
     """
-    from contrail.sources.snapshot import state_vectors
     number = F.expr(f"(ingestion_ts - {start}) div {seconds}")
-    docs = state_vectors(reports).groupBy(number.alias("poll")).agg(F.concat_ws(",", F.collect_list("state_json")).alias("s"))
+    cut = F.lit(False) if damaged is None else damaged
+    docs = (state_vectors(reports).groupBy(number.alias("poll"))
+            .agg(F.concat_ws(",", F.collect_list("state_json")).alias("s"), F.bool_or(cut).alias("cut")))
     target = _uri(folder)
 
     def write(rows: Iterator) -> None:
-        from pyarrow import fs
-        store, base = fs.FileSystem.from_uri(target)
+        store, base = _place(target)
         store.create_dir(base, recursive=True)
         for r in rows:
-            # a file appears under its name as a whole
-            part = f"{base}/.{r.poll}.{id(r)}"
+            text = f"[{r.s}]" if bare else '{"time":%d,"states":[%s]}' % (start + r.poll * seconds, r.s)
+            part = f"{base}/.{r.poll}-{uuid.uuid4().hex}"  # a file appears under its name as a whole
             with store.open_output_stream(part) as out:
-                out.write(('{"time":%d,"states":[%s]}' % (start + r.poll * seconds, r.s)).encode())
+                out.write((text[:-2] if r.cut else text).encode())
             store.move(part, f"{base}/{r.poll:012d}.json")
     docs.foreachPartition(write)

@@ -14,8 +14,9 @@ back from the newest date's panes, and only from batches before the one at hand,
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -48,8 +49,12 @@ def seen_before(spark: SparkSession, table: KeyedTable, batch_id: int) -> int |
     return newest.where(F.col(BATCH_COLUMN) < batch_id).agg(F.max("seen")).first()[0]
 
 
-def write_panes(table: KeyedTable, batch: DataFrame, batch_id: int, delay: str = DEFAULT_WATERMARK) -> None:
-    """Append the panes of a micro-batch of reports with ``event_time`` (a sink for ``foreachBatch``)."""
+def write_panes(table: KeyedTable, batch: DataFrame, batch_id: int, delay: str = DEFAULT_WATERMARK,
+                late_rows: Callable[[int, int, int], None] | None = None) -> None:
+    """Append the panes of a micro-batch of reports with ``event_time`` (a sink for ``foreachBatch``).
+
+    ``late_rows`` is told the batch id, the reports that no window took and those that some windows did not take.
+    """
     size, step = seconds_of(WINDOW_LENGTH), seconds_of(WINDOW_SLIDE)
     # reports without a country are in no window, and as in the stateful stream their time does not count
     panes = country_panes(batch, extra=[F.max(F.unix_timestamp("event_time")).alias("seen")])
@@ -57,9 +62,18 @@ def write_panes(table: KeyedTable, batch: DataFrame, batch_id: int, delay: str =
     closed = F.lit(None).cast("bigint")
     if seen is not None:
         late = seen - seconds_of(delay)
-        panes = panes.where(F.col("pane_start") + size > late)
+        gone = F.col("pane_start") + size <= late
         closed = F.when(F.col("pane_start") + step <= late, F.lit(late).cast("bigint"))
+        if late_rows:
+            lost = F.sum(F.when(gone, F.col("n")))
+            counted = Observation()
+            panes = panes.observe(counted, F.coalesce(lost, F.lit(0)).alias("late"),
+                                  F.coalesce(F.sum(F.when(~gone & closed.isNotNull(), F.col("n"))), F.lit(0)).alias("partly"))
+        panes = panes.where(F.col("pane_start") + size > late)
     table.write_batch(panes.withColumn("closed", closed), batch_id)
+    if late_rows:
+        told = counted.get if seen is not None else {"late": 0, "partly": 0}
+        late_rows(batch_id, told["late"], told["partly"])
 
 
 def windows_of_view(panes: DataFrame) -> DataFrame:

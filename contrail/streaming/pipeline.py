@@ -33,6 +33,7 @@ from contrail.plans.tables import (
 from contrail.session import session_conf, stream_partitions
 from contrail.schemas import AGG_COLUMNS, ALERT_COLUMNS, ENRICHED_COLUMNS, LIVE_COLUMNS, table_schema
 from contrail.sources.messages import decode_messages, to_messages
+from contrail.streaming.metrics import BatchMetrics, observe_reports
 from contrail.streaming.panes import pane_table, windows as pane_windows, write_panes
 from contrail.streaming.sinks import KeyedTable, append_batch, file_system
 
@@ -116,7 +117,7 @@ def _latest_in_batch(table: KeyedTable):
 
 
 def _stateless_sink(tables: ResultTables, names: Sequence[str], order: Sequence[str],
-                    aircraft: DataFrame | None, strategy: str, panes: bool = False):
+                    aircraft: DataFrame | None, strategy: str, panes: bool = False, late_rows=None):
     """``foreachBatch`` sink of the live, alerts and enriched tables (any of them), and with ``panes`` of the panes.
 
     With ``aircraft`` the batch holds bare reports: they are reduced to one per key first and only those
@@ -154,7 +155,7 @@ def _stateless_sink(tables: ResultTables, names: Sequence[str], order: Sequence[
             if descending and "alerts" in names:
                 tables.alerts.write_batch(alerts(cached), batch_id, known_rows=True)
             if n and panes:
-                write_panes(tables.panes, counted(cached) if counted else cached, batch_id)
+                write_panes(tables.panes, counted(cached) if counted else cached, batch_id, late_rows=late_rows)
         finally:
             if last is not None:
                 last.unpersist()
@@ -170,7 +171,7 @@ def start_pipeline(reports: DataFrame, out_root: str, checkpoint_root: str, *,
                    state_partitions: int | None = None,
                    compact_every: int | None = COMPACT_EVERY,
                    agg_input: DataFrame | None = None,
-                   panes: bool = False) -> dict[str, StreamingQuery]:
+                   panes: bool = False, metrics: BatchMetrics | None = None) -> dict[str, StreamingQuery]:
     """Start the selected queries; returns them by name.
 
     ``reports`` with ``aircraft``: bare reports (see ``report_stream``); each micro-batch is reduced before
@@ -187,8 +188,11 @@ def start_pipeline(reports: DataFrame, out_root: str, checkpoint_root: str, *,
     ``agg_input`` (see ``counted_stream``) feeds the window aggregate instead.
     ``panes`` keeps the window aggregate as panes (see ``streaming.panes``; read it by ``ResultTables.windows``):
     the fan-out writes them too, so that all four queries read the source once and none has state.
+    ``metrics`` counts every batch (see ``streaming.metrics``).
     """
     tables = ResultTables.at(out_root, order, compact_every)
+    if metrics is not None:
+        reports = observe_reports(reports)
     trig = trigger or DEFAULT_TRIGGER
     ck = checkpoint_root.rstrip("/")
     started: dict[str, StreamingQuery] = {}
@@ -218,7 +222,8 @@ def start_pipeline(reports: DataFrame, out_root: str, checkpoint_root: str, *,
     groups = {"fanout": stateless} if fan_out and len(stateless) > 1 else {q: [q] for q in stateless}
     for name, members in groups.items():
         if members:
-            _start(name, reports, _stateless_sink(tables, members, order, aircraft, strategy, "panes" in members))
+            _start(name, reports, _stateless_sink(tables, members, order, aircraft, strategy, "panes" in members,
+                                                   metrics.late(name) if metrics is not None else None))
     return started
 
 
@@ -262,7 +267,7 @@ def time_chunks(df: DataFrame, n: int, col: str = "last_contact", rows_per_chunk
     return [(lo + i * step, min(hi + 1, lo + (i + 1) * step)) for i in range(n) if lo + i * step <= hi]
 
 
-def replay_in_batches(spark: SparkSession, flights: DataFrame, landing: str, n_batches: int, run_once) -> None:
+def replay_in_batches(spark: SparkSession, flights: DataFrame, landing: str, n_batches: int, run_once, by: str = "last_contact") -> None:
     """Land ``flights`` as JSON messages in time-ordered chunks and run the stream after each.
 
     All chunks are written in one parallel pass, partitioned by chunk number,
@@ -272,12 +277,13 @@ def replay_in_batches(spark: SparkSession, flights: DataFrame, landing: str, n_b
     ``read_message_files(..., recursive=True)``. ``run_once()`` runs the query with an
     ``availableNow`` trigger from its checkpoint, so chunk k is micro-batch k and
     the watermark advances exactly as a live feed of the same data would.
+    ``by``: the column that orders the chunks.
     """
-    bounds = time_chunks(flights, n_batches)
+    bounds = time_chunks(flights, n_batches, by)
     if not bounds:
         return
     lo, step = bounds[0][0], bounds[0][1] - bounds[0][0]
-    lc = F.col("last_contact")
+    lc = F.col(by)
     # reports without a time ride along with the first chunk
     chunk = F.when(lc.isNull(), F.lit(0)).otherwise(F.floor((lc - F.lit(lo)) / F.lit(step))).cast("int")
     staged = f"{landing.rstrip('/')}-staged"
