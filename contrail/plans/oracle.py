@@ -251,6 +251,17 @@ FROM recorded CROSS JOIN polls p WHERE p.poll % 9 IN (3, 6)""",
     "stream_country_window_agg": _with(AGG_SELECT),
     "stream_pane_windows": _with(AGG_SELECT),
     "stream_live_snapshot": _with(LIVE_SELECT),
+    "stream_batch_metrics": f"""
+WITH f AS (SELECT time_position AS t FROM ({FLIGHTS_SQL})),
+size AS (SELECT min(t) AS lo, max(t) - min(t) + 1 AS span, greatest(5, (count(*) + 4999999) // 5000000) AS n FROM f),
+m AS (SELECT (t - lo) // ((span + n - 1) // n) AS batch_id, t % 10 = 7 AS bad,
+        CASE t % 10 WHEN 3 THEN t - 1200 WHEN 4 THEN NULL WHEN 7 THEN NULL ELSE t END AS lc FROM f, size),
+per AS (SELECT batch_id, max(lc) AS seen FROM m GROUP BY batch_id),
+marks AS (SELECT batch_id, max(seen) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 120 AS mark FROM per)
+SELECT batch_id, count(*) AS rows, count(*) FILTER (WHERE bad) AS rejected, count(*) FILTER (WHERE NOT bad AND lc IS NULL) AS untimed,
+  count(*) FILTER (WHERE lc // 60 * 60 + 300 <= mark) AS late,
+  count(*) FILTER (WHERE lc // 60 * 60 + 300 > mark AND lc // 60 * 60 + 60 <= mark) AS partly_late
+FROM m JOIN marks USING (batch_id) GROUP BY batch_id""",
     "stream_pipeline_alerts": _with("SELECT * FROM alerts"),
 }
 ORACLE["incremental_kpis"] = ORACLE["kpi_summary"]

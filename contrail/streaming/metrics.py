@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 from contrail.functions.scalars import out_of_units
-from contrail.schemas import MESSAGE_FIELDS
+from contrail.schemas import FLIGHT_FIELDS
 from contrail.streaming.sinks import file_system
 
 NAME = "reports"
@@ -26,7 +26,7 @@ _COUNTS = ("rows", "rejected", "untimed", "out_of_range")
 
 def rejected_message() -> Column:
     """A message of which nothing could be read: bad JSON, or none of the fields in it."""
-    return F.coalesce(*[F.col(f).cast("string") for f in MESSAGE_FIELDS]).isNull()
+    return F.coalesce(*[F.col(f).cast("string") for f in FLIGHT_FIELDS]).isNull()
 
 
 def observe_reports(reports: DataFrame) -> DataFrame:
