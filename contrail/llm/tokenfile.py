@@ -26,6 +26,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import regex
+import tokenizers
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -51,16 +52,32 @@ def _place(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", path))
 
 
+class _Memory(dict):
+    """Results of the function ``work`` by key, for up to ``size`` keys of at most ``LONG_WORD`` characters; a full memory is emptied."""
+
+    def __init__(self, size: int):
+        self.size = size
+
+    def __missing__(self, key: str) -> bytes:
+        found = self.work(key)
+        if len(key) <= LONG_WORD:
+            if len(self) >= self.size:
+                self.clear()
+            self[key] = found
+        return found
+
+
 class Encoder:
     """Ids of a text by a vocabulary file of the tokenizers library that drops white space, without special tokens.
 
     As white space parts pre-tokens and is dropped, a text's ids are those of its words, one after the other. A worker
-    remembers the ids of up to ``remember`` words, and of twice as many pre-tokens, of at most ``LONG_WORD`` characters;
-    a full memory is emptied. A new word of characters below U+0300, which no normal form changes, is lower-cased and
-    cut into pre-tokens here and each new one goes through the library's model; any other word goes through the library whole.
+    remembers the ids of up to ``remember`` words, from one task to the next. So that there are fewer different ones, a text
+    of Latin-1 characters is lower-cased first. A new word of characters below U+0300, which no normal form changes, is
+    cut into pre-tokens here, of which those that are new go through the library's model; any other word goes through the
+    library whole.
     """
 
-    def __init__(self, path: str, remember: int = 500_000):
+    def __init__(self, path: str, remember: int = 1_000_000):
         self.path, self.remember = path, remember
         self._tokenizer: Tokenizer | None = None
 
@@ -71,38 +88,30 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(self.path)
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.dtype = np.dtype("<u2" if self._tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self._words: dict[str, bytes] = {}
-        self._parts: dict[str, bytes] = {}
+        # a worker's tasks each get a copy of this module: what is to outlive them hangs on one that all of them import
+        kept = tokenizers.__dict__.setdefault("_remembered_words", {})
+        self._words = kept.setdefault((self.path, self.remember), _Memory(self.remember))
+        self._words.work = self._word
         parser = _pattern_of(self._tokenizer)
         self._cut = regex.compile(parser).findall if parser else None
         shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # bytes that stand for themselves in a byte-level vocabulary
         hidden = [b for b in range(256) if b not in shown]
         self._shown = {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hidden)}
 
-    def _whole(self, word: str) -> bytes:
-        return np.array(self._tokenizer.encode(word, add_special_tokens=False).ids, self.dtype).tobytes()
-
     def _part(self, part: str) -> bytes:
-        found = self._parts.get(part)
-        if found is None:
-            spelled = part.encode().decode("latin-1").translate(self._shown)
-            found = np.array([t.id for t in self._tokenizer.model.tokenize(spelled)], self.dtype).tobytes()
-            if len(part) <= LONG_WORD:
-                if len(self._parts) >= 2 * self.remember:
-                    self._parts.clear()
-                self._parts[part] = found
-        return found
+        spelled = part.encode().decode("latin-1").translate(self._shown)
+        return np.array([t.id for t in self._tokenizer.model.tokenize(spelled)], self.dtype).tobytes()
 
     def _word(self, word: str) -> bytes:
-        if self._cut is None or not word.isascii() and max(word) >= "̀":
-            found = self._whole(word)
-        else:
-            found = b"".join([self._part(p) for p in self._cut(word.lower())])
-        if len(word) <= LONG_WORD:
-            if len(self._words) >= self.remember:
-                self._words.clear()
-            self._words[word] = found
-        return found
+        if self._cut is None or not word.isascii() and max(word) >= "\u0300":
+            return np.array(self._tokenizer.encode(word, add_special_tokens=False).ids, self.dtype).tobytes()
+        low = word.lower()
+        if low.isalpha():
+            return self._part(low)
+        if low[-1] in ".,;:!?" and low[:-1].isalpha():  # two pre-tokens
+            return self._words[low[:-1]] + self._words[low[-1]]
+        parts = self._cut(low)
+        return self._part(low) if parts == [low] else b"".join(map(self._words.__getitem__, parts))
 
     def pieces(self, text: str | None) -> Iterator[bytes]:
         """The ids of a text as little-endian bytes of ``dtype``, some at a time; null and empty have none."""
@@ -113,9 +122,10 @@ class Encoder:
             gap = _GAP.search(text, at + SLICE) if len(text) - at > SLICE else None
             end = gap.start() if gap else len(text)
             some = text[at:end] if at or gap else text
+            if self._cut is not None and _is_latin(some):
+                some = some.lower()
             words = _WORD.findall(some) if any(c in some for c in _SEPARATORS) else some.split()
-            known = self._words.get
-            yield b"".join([known(w) or self._word(w) for w in words])
+            yield b"".join(map(self._words.__getitem__, words))
             at = end
 
     def n_bytes(self) -> int:
@@ -124,6 +134,14 @@ class Encoder:
         return self.dtype.itemsize
 
 
+def _is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 def _pattern_of(tokenizer: Tokenizer) -> str | None:
     """The pre-token pattern of a vocabulary of words that are normalised by NFC, blanks and lower case; else None."""
     told = json.loads(tokenizer.to_str())

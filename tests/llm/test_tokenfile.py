@@ -71,9 +71,9 @@ def test_random_texts_and_full_memory(library):
     r = random.Random(3)
     encoder = tokenfile.Encoder(PATH, remember=5)
     for _ in range(300):
-        text = "".join(r.choice(" \n\t\x1d  'sStT.,09éÉßΣ́ı中ﬁ") for _ in range(r.randrange(40)))
+        text = "".join(r.choice(" \n\t\x1d  'sStT..,,!09éÉßΣ́ı中ﬁµ") for _ in range(r.randrange(40)))
         assert np.frombuffer(b"".join(encoder.pieces(text)), "<u2").tolist() == library(text), repr(text)
-    assert len(encoder._words) <= 5 and len(encoder._parts) <= 10
+    assert 0 < len(encoder._words) <= 5
 
 
 def test_long_text_is_cut_at_gaps_only(monkeypatch, library):
