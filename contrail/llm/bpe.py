@@ -5,13 +5,15 @@ the vocabulary resolves pre-tokens that are one token; the others are merged fro
 list of parts with a heap of the pairs that can merge, lowest rank and then leftmost first.
 
 Ids travel as little-endian unsigned 32-bit integers in one binary value. The vocabulary is a broadcast,
-bounded by its file; each Python worker builds its tables once and keeps a bounded memo of pre-tokens.
+bounded by its file; each Python worker builds its tables once and keeps a bounded memo of pre-tokens. A pre-token
+may be a whole text (unbroken letters): it is not remembered, and merging it holds some 55 bytes for each of its own.
 """
 
 from __future__ import annotations
 
 import base64
 import struct
+from array import array
 from collections.abc import Callable
 from heapq import heapify, heappop, heappush
 
@@ -23,7 +25,9 @@ from pyspark import Broadcast
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+#: Pre-tokens remembered in each of two generations, and the longest worth remembering: together they bound the bytes.
 MEMO = 100_000
+MEMO_CHARS = 64
 SLICE = 256
 
 
@@ -74,7 +78,8 @@ class PerfectHash:
 class Codec(dict):
     """Encoder and decoder; as a dict, the memo from pre-token to packed ids.
 
-    The memo has two generations of MEMO entries: what was used since the last turn survives it.
+    The memo has two generations of MEMO entries of at most MEMO_CHARS characters: what was used since the
+    last turn survives it.
     """
 
     def __init__(self, tokens: list[bytes], pattern: str):
@@ -88,40 +93,49 @@ class Codec(dict):
         self.before: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
+        if len(piece) > MEMO_CHARS:
+            return self.packed(piece)
         if len(self) >= MEMO:
             self.before = dict(self)
             self.clear()
         packed = self.before.get(piece)
         if packed is None:
-            ids = self.piece_ids(piece.encode("utf-8", "replace"))
-            packed = struct.pack(f"<{len(ids)}I", *ids)
+            packed = self.packed(piece)
         self[piece] = packed
         return packed
 
+    def packed(self, piece: str) -> bytes:
+        ids = self.piece_ids(piece.encode("utf-8", "replace"))
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def piece_ids(self, piece: bytes) -> list[int]:
         whole = self.find(piece)
         return [whole] if self.tokens[whole] == piece else self.merged(piece)
 
     def merged(self, piece: bytes) -> list[int]:
-        """Merge the bytes of a pre-token that is not a token."""
+        """Merge the bytes of a pre-token that is not a token.
+
+        A heap entry is one number, the rank above 32 bits of place; it is stale unless the pair there still has that rank.
+        """
         pairs, n = self.pairs, len(piece)
         ids = [self.byte_ids[b] for b in piece]
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := pairs.get(ids[i] << 32 | ids[i + 1])) is not None]
+        after, before = array("i", range(1, n + 1)), array("i", range(-1, n - 1))
+        heap = [r << 32 | i for i in range(n - 1) if (r := pairs.get(ids[i] << 32 | ids[i + 1])) is not None]
         heapify(heap)
         while heap:
-            r, i, left, right = heappop(heap)
+            entry = heappop(heap)
+            r, i = entry >> 32, entry & 0xFFFFFFFF
             j = after[i]
-            if ids[i] != left or j >= n or ids[j] != right:
+            if j >= n or ids[i] < 0 or pairs.get(ids[i] << 32 | ids[j]) != r:
                 continue  # one of the two was merged meanwhile
             ids[i], ids[j] = r, -1
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
                 if (s := pairs.get(r << 32 | ids[k])) is not None:
-                    heappush(heap, (s, i, r, ids[k]))
+                    heappush(heap, s << 32 | i)
             if (h := before[i]) >= 0 and (s := pairs.get(ids[h] << 32 | r)) is not None:
-                heappush(heap, (s, h, ids[h], r))
+                heappush(heap, s << 32 | h)
         return [x for x in ids if x >= 0]
 
     def encode(self, text: str) -> bytes:

@@ -73,3 +73,12 @@ def test_query(spark, library, tmp_path):
 def test_empty_table(spark, tmp_path):
     write_table(documents(spark, []), tmp_path, "documents")
     assert queries.op4_byte_bpe(spark, str(tmp_path)).count() == 0
+
+
+def test_long_pre_tokens_are_merged_whole_and_not_remembered(codec, library):
+    """Unbroken letters are one pre-token however long they are."""
+    r = random.Random(8)
+    for text in ("ab" * 150_000, "".join(r.choice("etaoinshr") for _ in range(200_000)), "漢字" * 50_000, "z" * 65):
+        before = len(codec) + len(codec.before)
+        assert np.frombuffer(codec.encode(text), "<u4").tolist() == library.encode_ordinary(text)
+        assert len(codec) + len(codec.before) == before
