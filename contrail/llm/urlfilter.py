@@ -4,7 +4,8 @@ List entries are dated additions and removals of domains under a category. Each
 validity interval that ends at the next entry for the same domain and category; an entry for a domain
 covers its subdomains. The as-of join evaluates the distinct (host, day) pairs of the captures, not the
 captures: pairs are reduced map-side, joined with the intervals on host suffix and date range, and the
-verdicts joined back. A host with a third of all captures is one pair a day.
+verdicts joined back. A host with a third of all captures is one pair a day. The list and the verdicts are written before
+their joins, which then stand alone, so that Spark can split a suffix of very many hosts and a (host, day) of very many captures.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from contrail.llm.common import stash
+
 FOREVER = "9999-12-31"
 
 
@@ -51,11 +54,12 @@ def evaluate(captures: DataFrame, listed: DataFrame, keep: list[str]) -> DataFra
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
     keys = pairs.select("host", "day", F.explode(suffixes).alias("domain"))
     in_force = (F.col("valid_from") <= F.col("day")) & (F.col("day") < F.col("valid_to"))
-    met = keys.join(listed, "domain").filter(in_force)
+    met = keys.join(stash(listed, "intervals"), "domain").filter(in_force)
     order = F.struct((-F.length("domain")).alias("l"), F.datediff(F.lit(FOREVER).cast("date"), "valid_from").alias("age"),
                      F.coalesce("category", F.lit("")).alias("c"))
     entry = F.struct("domain", "category", "valid_from")
     verdict = met.groupBy("host", "day").agg(F.count("*").alias("n_active"), F.min_by(entry, order).alias("e"))
+    verdict = stash(verdict, "verdicts")
     same = (F.col("host") == F.col("__host")) & (F.col("__day") == F.col("day"))
     joined = rows.join(verdict.withColumnRenamed("host", "__host"), same, "left")
     return joined.select(*keep, "host", F.coalesce("n_active", F.lit(0)).cast("bigint").alias("n_active"),
