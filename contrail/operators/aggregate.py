@@ -21,11 +21,12 @@ ALTITUDE_EDGES = [0, 3000, 6000, 9000, 10000, 11000, 12000, 14000]
 ALTITUDE_LABELS = ["<3k", "3-6k", "6-9k", "9-10k", "10-11k", "11-12k", ">12k"]
 
 
-#: Partial sums of a group of reports, in the order of ``_sums``; every one adds up or is a maximum.
+#: Partial sums of a group of reports, in the order of ``pane_sums``; every one adds up or is a maximum.
 PANE_SUMS = ["n", "alt_hi", "alt_lo", "alt_n", "alt_max", "vel_hi", "vel_lo", "vel_n"]
 
 
-def _sums() -> list[Column]:
+def pane_sums() -> list[Column]:
+    """Aggregates of reports that make their partial sums."""
     return [F.count(F.lit(1)).alias("n"), *unit_sums("baro_altitude", "alt"), F.max(in_units("baro_altitude")).alias("alt_max"),
             *unit_sums("velocity", "vel")]
 
@@ -54,7 +55,7 @@ def country_panes(df: DataFrame, slide: str = WINDOW_SLIDE, extra: Sequence[Colu
     ``extra``: further aggregates.
     """
     agg = (df.where(F.col("origin_country").isNotNull())
-           .groupBy(F.window("event_time", slide).alias("w"), F.col("origin_country").alias("country")).agg(*extra, *_sums()))
+           .groupBy(F.window("event_time", slide).alias("w"), F.col("origin_country").alias("country")).agg(*extra, *pane_sums()))
     return agg.withColumn("pane_start", epoch_seconds(F.col("w.start"))).drop("w")
 
 
@@ -82,7 +83,7 @@ def country_window_agg(df: DataFrame, length: str = WINDOW_LENGTH, slide: str =
     if not df.isStreaming and seconds_of(length) % seconds_of(slide) == 0:
         return windows_of_panes(country_panes(df, slide), length, slide)
     agg = (df.where(F.col("origin_country").isNotNull())
-           .groupBy(F.window("event_time", length, slide).alias("w"), F.col("origin_country").alias("country")).agg(*_sums()))
+           .groupBy(F.window("event_time", length, slide).alias("w"), F.col("origin_country").alias("country")).agg(*pane_sums()))
     return _shown(agg, epoch_seconds(F.col("w.start")), epoch_seconds(F.col("w.end")))
 
 

@@ -21,6 +21,7 @@ from contrail.functions.scalars import (
 from contrail.operators.aggregate import country_window_agg
 from contrail.operators.clustered import ClusteredTable
 from contrail.operators.enrich import enrich, fan_out_by_dimension, join_strategy, rapid_descent, with_event_time
+from contrail.operators.rollup import RollupTable
 from contrail.plans import panels
 from contrail.plans.incremental import LiveDashboard
 from contrail.plans.tables import alert_pairs, alerts_then_enrich, latest_then_enrich, with_agg_key
@@ -298,6 +299,23 @@ def q_clustered_country_windows(spark, sf):
     return table.prefix(spark, "NATION_3|", 100)
 
 
+def rolled_up(spark, sf) -> RollupTable:
+    """Roll-ups by hour, added in two batches that share their hours."""
+    table, reports = RollupTable(scratch_dir(spark, "rollup"), "hour"), enriched(spark, sf)
+    late = F.col("ingestion_ts") / fixtures.POLL_SECONDS % 2 == 1
+    return table.add(reports.where(~late), 0).add(reports.where(late), 1)
+
+
+def q_rollup_summary(spark, sf):
+    """Countries over all hours, put together from the roll-ups of each."""
+    return rolled_up(spark, sf).summary(spark)
+
+
+def q_rollup_quantiles(spark, sf):
+    """Median and upper tail of altitude and velocity by country, from bucket counts."""
+    return rolled_up(spark, sf).quantiles(spark, (0.5, 0.9, 0.99))
+
+
 # --- streaming ---------------------------------------------------------------------
 
 def _stream_run(spark, sf, name, build_and_start):
@@ -469,6 +487,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_alerts_limit": q_scan_alerts_limit,
     "clustered_first_alerts": q_clustered_first_alerts,
     "clustered_country_windows": q_clustered_country_windows,
+    "rollup_summary": q_rollup_summary,
+    "rollup_quantiles": q_rollup_quantiles,
     "src_poll_feed": q_src_poll_feed,
     "src_stream_files": q_src_stream_files,
     "stream_enrich": q_stream_enrich,

@@ -238,6 +238,27 @@ FROM alert_frame HAVING count(*) > 0"""),
     "scan_alerts_limit": _with("SELECT * FROM alert_frame ORDER BY row_key LIMIT 200"),
     "clustered_first_alerts": _with("SELECT * FROM alert_frame ORDER BY row_key LIMIT 200"),
     "clustered_country_windows": _with("SELECT * FROM agg WHERE starts_with(row_key, 'NATION_3|') ORDER BY row_key LIMIT 100"),
+    # the sketch of aircraft counts a few hundred exactly, as at this size; beyond, tests hold it to its bound
+    "rollup_summary": _with(f"""
+, r AS (SELECT *, CASE WHEN abs(baro_altitude) < 9e10 THEN baro_altitude END AS a, CASE WHEN abs(velocity) < 9e10 THEN velocity END AS v
+        FROM enriched WHERE origin_country IS NOT NULL AND last_contact IS NOT NULL),
+ops AS (SELECT origin_country, operator, count(*) AS n FROM r WHERE operator <> '' GROUP BY origin_country, operator
+        QUALIFY row_number() OVER (PARTITION BY origin_country ORDER BY n DESC, operator) <= 3),
+tops AS (SELECT origin_country, string_agg(operator || ':' || n, ',' ORDER BY n DESC, operator) AS top FROM ops GROUP BY origin_country)
+SELECT origin_country AS country, count(*) AS reports, count(DISTINCT icao24) AS aircraft,
+  {_half_up("sum(CAST(floor(a * 1e8 + 0.5) AS HUGEINT))", "count(a)")} AS avg_alt,
+  {_half_up("CAST(floor(max(a) * 1e8 + 0.5) AS HUGEINT)", "least(count(a), 1)")} AS max_alt,
+  {_half_up("sum(CAST(floor(v * 1e8 + 0.5) AS HUGEINT))", "count(v)")} AS avg_velocity, COALESCE(any_value(top), '') AS top_operators
+FROM r LEFT JOIN tops USING (origin_country) GROUP BY origin_country"""),
+    # the exact quantile, then the middle of its bucket of 64 to a doubling
+    "rollup_quantiles": _with("""
+, m AS (SELECT origin_country AS country, unnest(['baro_altitude', 'velocity']) AS measure, unnest([baro_altitude, velocity]) AS x
+        FROM enriched WHERE origin_country IS NOT NULL AND last_contact IS NOT NULL),
+u AS (SELECT country, measure, CAST(floor(x * 1e8 + 0.5) AS BIGINT) AS u, row_number() OVER (PARTITION BY country, measure ORDER BY x) AS place,
+        count(*) OVER (PARTITION BY country, measure) AS total FROM m WHERE abs(x) < 9e10),
+p AS (SELECT *, CAST(pow(2, greatest(CASE WHEN u = 0 THEN 1 ELSE length(ltrim(bin(abs(u)), '0')) END - 7, 0)) AS BIGINT) AS width
+      FROM u, (SELECT unnest([0.5, 0.9, 0.99]) AS q) WHERE place = greatest(ceil(CAST(q AS DOUBLE) * total), 1))
+SELECT country, measure, CAST(q AS DOUBLE) AS q, (sign(u) * (abs(u) // width * width) + sign(u) * (width - 1) / 2) / 1e8 AS value FROM p"""),
     "src_poll_feed": f"""
 WITH f AS (SELECT *, (ingestion_ts - 1704067200) // 10 AS poll FROM ({FLIGHTS_SQL})),
 polls AS (SELECT unnest(range(min(poll), max(poll) + 1)) AS poll FROM f),

@@ -1,0 +1,104 @@
+"""Roll-ups of any range of periods against exact figures, in any order of merging."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from contrail.operators.rollup import BUCKET_BITS, RollupTable, bucket_middle, bucket_of
+
+T0 = 1_704_067_200
+DAYS = 6
+
+
+def reports(n=40_000, seed=4):
+    r = random.Random(seed)
+    rows = []
+    for i in range(n):
+        rows.append((r.choice([None, "", *(f"{r.randrange(9000):06x}" for _ in range(40))]), r.choice([None, "A", "A", "A", "B", "C"]),
+                     r.choice([None, *[T0 + r.randrange(DAYS * 86400) for _ in range(30)]]), r.choice([None, 0.0, -50.5, *(r.expovariate(1 / 5000) for _ in range(9))]),
+                     r.choice([None, float("nan"), 1e300, *(round(r.uniform(0, 300), 2) for _ in range(9))]), r.choice([None, "", "X", "X", "Y", f"op{r.randrange(30)}"])))
+    return rows
+
+
+SCHEMA = "icao24 string, origin_country string, last_contact bigint, baro_altitude double, velocity double, operator string"
+
+
+@pytest.fixture(scope="module")
+def table(spark, tmp_path_factory):
+    rows = reports()
+    t = RollupTable(str(tmp_path_factory.mktemp("roll")))
+    order = [2, 0, 1]
+    for b in order:
+        t.add(spark.createDataFrame(rows[b::3], SCHEMA), b)
+    t.add(spark.createDataFrame(rows[1::3], SCHEMA), 1)  # a replay
+    return rows, t
+
+
+def exact(rows, since, until):
+    out = {}
+    for key, country, t, alt, vel, op in rows:
+        if country is not None and t is not None and since <= t < until:
+            out.setdefault(country, []).append((key, alt, vel, op))
+    return out
+
+
+@pytest.mark.parametrize("days", [(0, DAYS), (2, 3), (1, 5)])
+def test_ranges_equal_the_exact_figures_within_the_stated_bounds(spark, table, days):
+    rows, t = table
+    since, until = T0 + days[0] * 86400, T0 + days[1] * 86400
+    want = exact(rows, since, until)
+    got = {r.country: r for r in t.summary(spark, since, until).collect()}
+    assert set(got) == set(want)
+    for c, seen in want.items():
+        g = got[c]
+        keys = {k for k, *_ in seen if k}  # the sketch passes over empty addresses
+        alts = [a for _, a, _, _ in seen if a is not None]
+        vels = [v for _, _, v, _ in seen if v is not None and abs(v) < 9e10]
+        ops = {}
+        for *_, op in seen:
+            if op:
+                ops[op] = ops.get(op, 0) + 1
+        assert g.reports == len(seen)
+        assert abs(g.aircraft - len(keys)) <= 4 * 1.04 / 64 * len(keys) + 1
+        assert g.avg_alt == pytest.approx(sum(alts) / len(alts), abs=0.006) and g.max_alt == pytest.approx(max(alts), abs=0.006)
+        assert g.avg_velocity == pytest.approx(sum(vels) / len(vels), abs=0.006)
+        assert g.top_operators == ",".join(f"{o}:{n}" for o, n in sorted(ops.items(), key=lambda x: (-x[1], x[0]))[:3])
+    for q in t.quantiles(spark, (0.0, 0.5, 0.9, 1.0), since, until).collect():
+        vals = sorted(x for s in want[q.country] if (x := s[1 if q.measure == "baro_altitude" else 2]) is not None and abs(x) < 9e10)
+        true = vals[max(1, -int(-q.q * len(vals) // 1)) - 1]
+        assert abs(q.value - true) <= abs(true) / 2 ** (BUCKET_BITS + 1) + 1e-8
+
+
+def test_order_and_grouping_of_partials_do_not_matter(spark, table, scratch):
+    rows, t = table
+    once = RollupTable(f"{scratch}/once").add(spark.createDataFrame(rows, SCHEMA), 0)
+    for by in (("country",), (), ("period", "country")):
+        a, b = (sorted(map(tuple, x.summary(spark, by=by).collect())) for x in (once, t))
+        at = len(by) + 1  # the place of ``aircraft``
+        assert [x[:at] + x[at + 1:] for x in a] == [x[:at] + x[at + 1:] for x in b]
+        assert all(abs(x[at] - y[at]) <= 0.1 * y[at] for x, y in zip(a, b))
+        assert sorted(map(tuple, once.quantiles(spark, (0.25, 0.99), by=by).collect())) == sorted(map(tuple, t.quantiles(spark, (0.25, 0.99), by=by).collect()))
+
+
+def test_only_the_folders_of_the_range_are_read(spark, table):
+    _, t = table
+    files = t._partials(spark, "sums", T0 + 86400, T0 + 2 * 86400).select(F.col("_metadata.file_path")).distinct()
+    assert {f[0].split("period=")[1].split("/")[0] for f in files.collect()} == {str(T0 + 86400)}
+
+
+def test_buckets_hold_their_values_at_every_size(spark):
+    r = random.Random(2)
+    values = [0.0, 1e-8, -1e-8, 1.27e-6, 1.28e-6, 8.9e10, -8.9e10, *[r.choice([1, -1]) * 10 ** r.uniform(-8, 10) for _ in range(2000)]]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for row in df.select("x", bucket_middle(bucket_of("x")).alias("m")).collect():
+        assert abs(row.m - row.x) <= abs(row.x) / 2 ** (BUCKET_BITS + 1) + 1e-8
+    assert df.select(bucket_of(F.lit(float("nan"))).alias("b")).first().b is None
+
+
+def test_empty_batch(spark, table, scratch):
+    rows, _ = table
+    t = RollupTable(f"{scratch}/e").add(spark.createDataFrame(rows[:50], SCHEMA), 0)
+    before = sorted(map(tuple, t.summary(spark).collect()))
+    t.add(spark.createDataFrame([], SCHEMA), 1)
+    assert sorted(map(tuple, t.summary(spark).collect())) == before
