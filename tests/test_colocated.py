@@ -1,0 +1,78 @@
+"""The bucketed join: no exchange on either side, equal to the salted join, and a hot key parted."""
+
+import io
+import random
+from contextlib import redirect_stdout
+
+import pytest
+from pyspark.sql import functions as F
+
+from contrail.operators.colocated import SALT, ColocatedTables
+from contrail.operators.enrich import salted_left_join
+
+DIM = "icao24 string, operator string"
+
+
+def rows(n=9000, seed=1):
+    r = random.Random(seed)
+    return [(r.choice(["hot", None, f"k{r.randrange(400)}", f"k{r.randrange(400)}"]), i, r.choice([None, 1.5, 2.5])) for i in range(n)]
+
+
+@pytest.fixture(scope="module")
+def laid_out(spark, tmp_path_factory):
+    reports = spark.createDataFrame(rows(), "icao24 string, last_contact bigint, velocity double")
+    dim = spark.createDataFrame([("hot", "H"), ("hot", "H2"), (None, "nobody"), *[(f"k{i}", f"O{i % 7}") for i in range(0, 500, 2)]], DIM)
+    tables = ColocatedTables(str(tmp_path_factory.mktemp("co")), buckets=16).write(reports, dim, min_rows=100)
+    return reports, dim, tables
+
+
+def canon(df):
+    return sorted(map(str, df.select(sorted(df.columns)).collect()))
+
+
+def test_join_equals_the_salted_join(spark, laid_out):
+    reports, dim, tables = laid_out
+    assert canon(tables.joined(spark)) == canon(salted_left_join(reports, dim, "icao24", min_rows=100))
+
+
+def test_no_exchange_in_the_plan_and_every_bucket_read_alone(spark, laid_out):
+    out = io.StringIO()
+    with redirect_stdout(out):
+        laid_out[2].joined(spark).explain()
+    text = out.getvalue()
+    assert "Exchange" not in text and text.count("Bucketed: true") == 2 and "SortMergeJoin" in text
+
+
+def test_hot_and_null_keys_are_parted(spark, laid_out):
+    reports, _, tables = laid_out
+    held = [r.n for r in spark.read.parquet(tables._at("reports")).groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n")).collect()]
+    assert sum(held) == reports.count() and max(held) < 3 * sum(held) / tables.buckets
+    assert spark.read.parquet(tables._at("hot")).count() == 1
+    copies = spark.read.parquet(tables._at("dimension")).where("icao24 = 'hot'")
+    assert copies.select(SALT).distinct().count() * 2 == copies.count() > 4
+
+
+def test_appended_reports_join_too_and_a_new_session_can_open_them(spark, laid_out, scratch):
+    reports, dim, _ = laid_out
+    tables = ColocatedTables(f"{scratch}/t", buckets=8).write(reports.where("last_contact < 6000"), dim, min_rows=100)
+    tables.add(reports.where("last_contact >= 6000"))
+    want = canon(laid_out[2].joined(spark))
+    assert canon(tables.joined(spark)) == want
+    other = spark.newSession()
+    for part in ("reports", "dimension"):
+        spark.sql(f"DROP TABLE {tables._name(part)}")  # external: the files stay
+    tables.open(other)
+    out = io.StringIO()
+    with redirect_stdout(out):
+        tables.joined(other).explain()
+    assert "Exchange" not in out.getvalue() and canon(tables.joined(other)) == want
+    some = tables.joined(other, F.col("velocity") > 2)
+    assert some.count() == laid_out[2].joined(spark).where("velocity > 2").count()
+
+
+def test_empty_tables(spark, laid_out, scratch):
+    reports, dim, _ = laid_out
+    none = ColocatedTables(f"{scratch}/a", buckets=4).write(reports.limit(0), dim)
+    assert none.joined(spark).count() == 0
+    bare = ColocatedTables(f"{scratch}/b", buckets=4).write(reports, dim.limit(0))
+    assert bare.joined(spark).where("operator is null").count() == reports.count()
