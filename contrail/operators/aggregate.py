@@ -119,11 +119,11 @@ def altitude_band_counts(df: DataFrame, col: str = "altitude") -> DataFrame:
 
 
 def equal_width_histogram(df: DataFrame, col: str, bins: int = 30, count_name: str = "count") -> DataFrame:
-    """``bins`` equal-width bins between min and max of ``col`` (non-empty bins only).
+    """``bins`` equal-width bins between min and max of ``col``, those without a value too (0).
 
-    min and max come from one scalar subquery (``DataFrame.scalar``, run once
-    however often it is referenced), so the whole thing is one lazy plan: two
-    aggregates, no driver round trip, no join.
+    No value gives no bin; values that are all equal give one bin of no width. min and max come from one scalar
+    subquery (``DataFrame.scalar``, run once however often it is referenced), so the whole thing is one lazy plan:
+    two aggregates, no driver round trip, and a join of at most ``bins`` counts with the ``bins`` numbers.
     """
     x = F.col(col)
     vals = df.where(x.isNotNull()).select(x.alias("x"))
@@ -133,9 +133,11 @@ def equal_width_histogram(df: DataFrame, col: str, bins: int = 30, count_name: s
     raw = F.floor(F.try_divide(F.col("x") - lo, width))
     b = F.when(hi == lo, F.lit(0)).otherwise(F.least(raw, F.lit(bins - 1))).cast("int")
     counted = vals.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias(count_name))
-    return counted.select(
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")).where((hi > lo) | ((hi == lo) & (F.col("bin") == 0)))
+    # at most ``bins`` rows on the build side: a broadcast of proven size
+    return every.join(F.broadcast(counted), "bin", "left").select(
         "bin",
         (lo + F.col("bin") * width).alias("bin_lo"),
         (lo + (F.col("bin") + 1) * width).alias("bin_hi"),
-        count_name,
+        F.coalesce(count_name, F.lit(0)).cast("long").alias(count_name),
     )

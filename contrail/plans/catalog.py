@@ -20,6 +20,7 @@ from contrail.functions.scalars import (
 )
 from contrail.operators.aggregate import country_window_agg
 from contrail.operators.clustered import ClusteredTable
+from contrail.operators.colocated import ColocatedTables
 from contrail.operators.enrich import enrich, fan_out_by_dimension, join_strategy, rapid_descent, with_event_time
 from contrail.operators.rollup import RollupTable
 from contrail.plans import panels
@@ -31,11 +32,13 @@ from contrail.sources.dimension import read_aircraft_csv, write_aircraft_csv
 from contrail.sources.messages import decode_messages, read_message_files, to_messages
 from contrail.sources.polls import decode_polls, poll_stream, record_polls
 from contrail.sources.snapshot import decode_replay, decode_snapshot, snapshot_documents
+from contrail.sources.tolerant import decode_states, decode_tolerant, readable, start_tolerant_archive
 from contrail.streaming.metrics import BatchMetrics, read_metrics
 from contrail.streaming.pipeline import (
     ResultTables, await_all, enriched_stream, replay_in_batches, report_stream, start_archive, start_pipeline,
 )
 from contrail.streaming.sinks import KeyedTable, read_archive
+from contrail.streaming.state import read_latest_state, start_latest
 
 STREAM_BATCHES = 5
 ENRICHED_FIELDS = FLIGHT_FIELDS + DIMENSION_COLUMNS
@@ -299,6 +302,12 @@ def q_clustered_country_windows(spark, sf):
     return table.prefix(spark, "NATION_3|", 100)
 
 
+def q_colocated_enrich(spark, sf):
+    """Every report with its metadata by a join of two tables that are bucketed alike."""
+    tables = ColocatedTables(scratch_dir(spark, "colocated"), buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return tables.write(flights(spark, sf), aircraft(spark, sf)).joined(spark).select(*ENRICHED_FIELDS)
+
+
 def rolled_up(spark, sf) -> RollupTable:
     """Roll-ups by hour, added in two batches that share their hours."""
     table, reports = RollupTable(scratch_dir(spark, "rollup"), "hour"), enriched(spark, sf)
@@ -422,6 +431,61 @@ def q_src_poll_feed(spark, sf):
     return read_archive(spark, f"{root}/out").select(*FLIGHT_FIELDS)
 
 
+STATE_COLUMNS = [c for c in LIVE_COLUMNS if c not in DIMENSION_COLUMNS]
+
+
+def q_stream_state_latest(spark, sf):
+    """The latest report of each aircraft, read from the state store of a query that was restarted for every batch."""
+    checkpoints = []
+
+    def start(source, dim, out, ck, strategy):
+        checkpoints[:] = [f"{ck}/state"]
+        table = KeyedTable(f"{out}/latest", ["icao24"], ("ingestion_ts", "last_contact"))
+        return start_latest(report_stream(source), table, checkpoints[0], STATE_COLUMNS, trigger=AVAILABLE_NOW)
+    _stream_run(spark, sf, "state", start)
+    if not checkpoints:
+        return flights(spark, sf).select(*STATE_COLUMNS)
+    return read_latest_state(spark, checkpoints[0], STATE_COLUMNS)
+
+
+def damaged(messages: DataFrame) -> DataFrame:
+    """Messages (``value``) of which six in ten are spoilt, each in its own way, by their time."""
+    value = F.col("value")
+    way = F.get_json_object(value, "$.time_position").cast("bigint") % 10
+    return messages.withColumn("value", (
+        F.when(way == 0, F.regexp_replace(value, '"velocity":[^,}]+', '"velocity":"fast"'))
+        .when(way == 1, F.regexp_replace(value, '"last_contact":[^,}]+', '"last_contact":12.5'))
+        .when(way == 2, F.substring(value, 1, 40))
+        .when(way == 3, F.concat(F.lit("["), value, F.lit("]")))
+        .when(way == 4, F.regexp_replace(value, '"baro_altitude":([0-9.E+-]+)', '"baro_altitude":"$1"'))
+        .when(way == 5, F.lit(None)).otherwise(value)))
+
+
+def q_src_tolerant_decode(spark, sf):
+    """Spoilt messages field by field: what can be read, and what could not with its reason."""
+    told = F.array_join(F.transform("faults", lambda f: F.concat_ws(":", f["reason"], f["field"])), ",")
+    return decode_tolerant(damaged(to_messages(flights(spark, sf)))).select(*FLIGHT_FIELDS, told.alias("faults"))
+
+
+def q_src_tolerant_states(spark, sf):
+    """Snapshots of which some have longer vectors, vectors that are none, or stop midway; the rows that can be read."""
+    poll = F.expr(f"ingestion_ts div {fixtures.POLL_SECONDS}") % 7
+    doc = (F.when(poll == 0, F.regexp_replace("doc", r"\](?=,\[|\]\})", ",3]"))
+           .when(poll == 1, F.regexp_replace("doc", r'"states":\[', '"states":[{"x":1},["",1],'))
+           .when(poll == 2, F.substring("doc", 1, 30)).otherwise(F.col("doc")))
+    docs = snapshot_documents(fixtures.reports(spark, sf)).withColumn("doc", doc)
+    rows = readable(decode_states(docs, ingestion_ts=F.col("ingestion_ts")))
+    return rows.withColumn("sensors", F.to_json("sensors"))
+
+
+def q_stream_quarantine(spark, sf):
+    """Faults by reason and field in the table that a tolerant archive sets aside while it runs."""
+    def start(source, dim, out, ck, strategy):
+        return start_tolerant_archive(decode_tolerant(damaged(source)), f"{out}/reports", f"{out}/faults", f"{ck}/tolerant", AVAILABLE_NOW)
+    out = _stream_run(spark, sf, "tolerant", start)
+    return read_archive(spark, f"{out}/faults").groupBy("reason", "field").agg(F.count(F.lit(1)).alias("faults"))
+
+
 def q_stream_batch_metrics(spark, sf):
     """Rows, rejects and late reports of every micro-batch, counted while the stream runs over damaged messages."""
     root = scratch_dir(spark, "metered")
@@ -489,7 +553,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clustered_country_windows": q_clustered_country_windows,
     "rollup_summary": q_rollup_summary,
     "rollup_quantiles": q_rollup_quantiles,
+    "colocated_enrich": q_colocated_enrich,
     "src_poll_feed": q_src_poll_feed,
+    "src_tolerant_decode": q_src_tolerant_decode,
+    "src_tolerant_states": q_src_tolerant_states,
+    "stream_quarantine": q_stream_quarantine,
+    "stream_state_latest": q_stream_state_latest,
     "src_stream_files": q_src_stream_files,
     "stream_enrich": q_stream_enrich,
     "stream_country_window_agg": q_stream_country_window_agg,

@@ -20,6 +20,12 @@ def _half_up(units: str, n: str) -> str:
     return f"CASE WHEN {n} > 0 THEN sign({units}) * CAST((2 * abs({units}) + {d}) // (2 * {d}) AS DOUBLE) / 100 + 0.0 ELSE 0.0 END"
 
 
+def _mean(c: str) -> str:
+    """The exact sum of the values in whole 1e-8 units, divided once; null if there is none."""
+    x = f"CASE WHEN abs({c}) < 9e10 THEN {c} END"
+    return f"CAST(sum(CAST(floor({x} * 1e8 + 0.5) AS HUGEINT)) AS DOUBLE) / 1e8 / NULLIF(count({x}), 0)"
+
+
 BASE = f"""
 flights AS ({FLIGHTS_SQL}),
 aircraft AS ({AIRCRAFT_SQL}),
@@ -102,8 +108,9 @@ hs AS (SELECT min(x) AS lo, max(x) AS hi FROM hv),
 hb AS (SELECT CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((x - lo) / ((hi - lo) / 30.0)), 29) END AS INTEGER) AS bin
        FROM hv, hs)
 SELECT bin, lo + bin * ((hi - lo) / 30.0) AS bin_lo, lo + (bin + 1) * ((hi - lo) / 30.0) AS bin_hi,
-  count(*) AS {count_name}{extra}
-FROM hb, hs GROUP BY bin, lo, hi
+  COALESCE(n, 0) AS {count_name}{extra}
+FROM hs, (SELECT CAST(unnest(range(30)) AS INTEGER) AS bin) LEFT JOIN (SELECT bin, count(*) AS n FROM hb GROUP BY bin) USING (bin)
+WHERE hi > lo OR (hi = lo AND bin = 0)
 """
 
 
@@ -172,10 +179,10 @@ FROM c"""),
     "alerts_table": _with("SELECT * FROM alerts"),
     "scan_live": _with(LIVE_SELECT),
     "live_airborne": _with("SELECT * FROM airborne"),
-    "kpi_summary": _with("""
+    "kpi_summary": _with(f"""
 , k AS (SELECT count(*) AS airborne, count(DISTINCT country) AS countries,
-          COALESCE(round_even(avg(altitude), 0), 0.0) AS avg_altitude,
-          COALESCE(round_even(avg(velocity), 1), 0.0) AS avg_velocity,
+          COALESCE(round_even({_mean("altitude")}, 0), 0.0) AS avg_altitude,
+          COALESCE(round_even({_mean("velocity")}, 1), 0.0) AS avg_velocity,
           CAST(count(*) FILTER (WHERE operator <> '') AS BIGINT) AS enriched FROM airborne),
   n AS (SELECT count(*) AS alerts_total FROM alerts)
 SELECT airborne, countries, avg_altitude, avg_velocity, round_even(avg_velocity * 1.944, 0) AS avg_velocity_kt,
@@ -285,6 +292,25 @@ SELECT batch_id, count(*) AS rows, count(*) FILTER (WHERE bad) AS rejected, coun
 FROM m JOIN marks USING (batch_id) GROUP BY batch_id""",
     "stream_pipeline_alerts": _with("SELECT * FROM alerts"),
 }
+# spoilt messages by the last digit of their time: 0 velocity, 1 last_contact, 2 cut, 3 in a list, 4 a quoted number, 5 null
+_SPOILT = f"""
+SELECT """ + ", ".join("CASE WHEN time_position % 10 IN (2, 3, 5{}) THEN NULL ELSE {} END AS {}".format(
+    {"velocity": ", 0", "last_contact": ", 1"}.get(c, ""), c, c) for c in FLIGHT_COLS.split(", ")) + f""",
+  CASE time_position % 10 WHEN 0 THEN 'bad field:velocity' WHEN 1 THEN 'bad field:last_contact' WHEN 2 THEN 'not json'
+    WHEN 3 THEN 'not an object' WHEN 5 THEN 'absent' ELSE '' END AS faults
+FROM ({FLIGHTS_SQL})"""
+ORACLE["src_tolerant_decode"] = _SPOILT
+ORACLE["stream_quarantine"] = f"""
+SELECT split_part(told, ':', 1) AS reason, NULLIF(split_part(told, ':', 2), '') AS field, count(*) AS faults
+FROM (SELECT faults AS told FROM ({_SPOILT})) WHERE told <> '' GROUP BY ALL"""
+ORACLE["src_tolerant_states"] = f"""
+SELECT {FLIGHT_COLS}, CAST(to_json(sensors) AS VARCHAR) AS sensors, spi, position_source,
+  CAST(CASE WHEN (ingestion_ts // 10) % 7 = 0 THEN 3 END AS BIGINT) AS category
+FROM ({REPORTS_SQL}) WHERE (ingestion_ts // 10) % 7 <> 2"""
+ORACLE["colocated_enrich"] = ORACLE["enrich_left_join"]
+ORACLE["stream_state_latest"] = _with(
+    "SELECT icao24, callsign, origin_country, latitude, longitude, baro_altitude, geo_altitude, velocity, true_track, "
+    "vertical_rate, on_ground, last_contact, ingestion_ts FROM live")
 ORACLE["incremental_kpis"] = ORACLE["kpi_summary"]
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from contrail.functions.scalars import (
     blank, clean_callsign, gauge_band, GAUGE_MARKER, key_head, point_label, severity,
-    to_feet, to_fpm, to_knots,
+    to_feet, to_fpm, to_knots, unit_sums, units_of, UNITS,
 )
 from contrail.operators.aggregate import altitude_band_counts, equal_width_histogram, value_counts
 from contrail.operators.rank import key_ordered_scan, latest_by_key, with_rank
@@ -63,21 +63,22 @@ def live_airborne(live: DataFrame) -> DataFrame:
 def kpi_summary(airborne: DataFrame, alerts: DataFrame, alert_cap: int | None = None) -> DataFrame:
     """One row: airborne, countries, mean altitude/velocity, knots, enriched, alerts.
 
+    Means are those of exact sums in whole 1e-8 units, so no order of rows can move them.
     ``alert_cap`` bounds ``alerts`` as the dashboard's limited scan does; ``alerts_total`` never is.
     """
     a = airborne.agg(
         F.count(F.lit(1)).alias("airborne"),
         F.count_distinct("country").alias("countries"),
-        F.avg("altitude").alias("_alt"),
-        F.avg("velocity").alias("_vel"),
+        *unit_sums("altitude", "alt"), *unit_sums("velocity", "vel"),
         F.count_if(F.col("operator") != "").alias("enriched"),
     )
     alerts_total = alerts.select(F.count(F.lit(1))).scalar()
-    avg_vel = F.coalesce(F.bround("_vel", 1), F.lit(0.0))
+    alt, vel = (units_of(c).cast("double") / float(UNITS) / F.nullif(F.col(f"{c}_n"), F.lit(0)) for c in ("alt", "vel"))
+    avg_vel = F.coalesce(F.bround(vel, 1), F.lit(0.0))
     n_alerts = alerts_total if alert_cap is None else F.least(alerts_total, F.lit(alert_cap))
     return a.select(
         "airborne", "countries",
-        F.coalesce(F.bround("_alt", 0), F.lit(0.0)).alias("avg_altitude"),
+        F.coalesce(F.bround(alt, 0), F.lit(0.0)).alias("avg_altitude"),
         avg_vel.alias("avg_velocity"),
         to_knots(avg_vel).alias("avg_velocity_kt"),
         F.col("enriched").cast("long").alias("enriched"),
