@@ -15,6 +15,7 @@ import base64
 import struct
 from array import array
 from collections.abc import Callable
+from functools import partial
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -28,6 +29,8 @@ from pyspark.sql import functions as F
 #: Pre-tokens remembered in each of two generations, and the longest worth remembering: together they bound the bytes.
 MEMO = 100_000
 MEMO_CHARS = 64
+#: Pre-tokens from so many bytes on keep their links in arrays, which are slower and smaller than lists.
+LONG = 1 << 16
 SLICE = 256
 
 
@@ -93,21 +96,18 @@ class Codec(dict):
         self.before: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        if len(piece) > MEMO_CHARS:
-            return self.packed(piece)
         if len(self) >= MEMO:
             self.before = dict(self)
             self.clear()
         packed = self.before.get(piece)
         if packed is None:
-            packed = self.packed(piece)
+            ids = self.piece_ids(piece.encode("utf-8", "replace"))
+            packed = struct.pack(f"<{len(ids)}I", *ids)
+            if len(piece) > MEMO_CHARS:
+                return packed
         self[piece] = packed
         return packed
 
-    def packed(self, piece: str) -> bytes:
-        ids = self.piece_ids(piece.encode("utf-8", "replace"))
-        return struct.pack(f"<{len(ids)}I", *ids)
-
     def piece_ids(self, piece: bytes) -> list[int]:
         whole = self.find(piece)
         return [whole] if self.tokens[whole] == piece else self.merged(piece)
@@ -117,25 +117,34 @@ class Codec(dict):
 
         A heap entry is one number, the rank above 32 bits of place; it is stale unless the pair there still has that rank.
         """
-        pairs, n = self.pairs, len(piece)
+        rank, n = self.pairs.get, len(piece)
+        hold = list if n < LONG else partial(array, "i")
         ids = [self.byte_ids[b] for b in piece]
-        after, before = array("i", range(1, n + 1)), array("i", range(-1, n - 1))
-        heap = [r << 32 | i for i in range(n - 1) if (r := pairs.get(ids[i] << 32 | ids[i + 1])) is not None]
+        ranks = [rank(a << 32 | b, -1) for a, b in zip(ids, ids[1:])] + [-1]
+        after, before = hold(range(1, n + 1)), hold(range(-1, n - 1))
+        heap = [r << 32 | i for i, r in enumerate(ranks) if r >= 0]
         heapify(heap)
         while heap:
             entry = heappop(heap)
-            r, i = entry >> 32, entry & 0xFFFFFFFF
-            j = after[i]
-            if j >= n or ids[i] < 0 or pairs.get(ids[i] << 32 | ids[j]) != r:
+            i = entry & 0xFFFFFFFF
+            r = ranks[i]
+            if r != entry >> 32:
                 continue  # one of the two was merged meanwhile
-            ids[i], ids[j] = r, -1
+            j = after[i]
+            ids[i], ids[j], ranks[j] = r, -1, -1
             after[i] = k = after[j]
+            s = -1
             if k < n:
                 before[k] = i
-                if (s := pairs.get(r << 32 | ids[k])) is not None:
+                s = rank(r << 32 | ids[k], -1)
+                if s >= 0:
                     heappush(heap, s << 32 | i)
-            if (h := before[i]) >= 0 and (s := pairs.get(ids[h] << 32 | r)) is not None:
-                heappush(heap, s << 32 | h)
+            ranks[i] = s
+            h = before[i]
+            if h >= 0:
+                ranks[h] = s = rank(ids[h] << 32 | r, -1)
+                if s >= 0:
+                    heappush(heap, s << 32 | h)
         return [x for x in ids if x >= 0]
 
     def encode(self, text: str) -> bytes:
