@@ -18,6 +18,7 @@ import sys
 import uuid
 from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark import cloudpickle
@@ -25,13 +26,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 from contrail.fixtures import EPOCH0, POLL_SECONDS
+from contrail.session import stream_partitions
 from contrail.sources.snapshot import decode_replay, state_vectors
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of this package
 
 SCHEMA = "poll bigint, ingestion_ts bigint, kind string, doc string"
-#: Polls of one task.
+#: Tasks of one batch at most, unless ``poll_stream`` is told otherwise: more polls make longer tasks, not more of them.
+TASKS = 200
+#: The fewest polls of a task.
 POLLS_PER_TASK = 16
+#: A task hands its polls on when their documents have this many characters, or at this many polls.
+HANDED_ON_CHARS, HANDED_ON_POLLS = 4 << 20, 1000
 _NAME = re.compile(r"(\d+)\.json")
 
 
@@ -65,6 +71,11 @@ class _Polls(InputPartition):
         self.first, self.end = first, end
 
 
+def _batch(rows: Sequence[tuple]) -> pa.RecordBatch:
+    kinds = [("poll", pa.int64()), ("ingestion_ts", pa.int64()), ("kind", pa.string()), ("doc", pa.string())]
+    return pa.RecordBatch.from_arrays([pa.array(column, kind) for column, (_, kind) in zip(zip(*rows), kinds)], schema=pa.schema(kinds))
+
+
 class PollReader(DataSourceStreamReader):
     """Offsets are poll numbers: ``{"next": n}`` means that polls before n are done."""
 
@@ -74,25 +85,41 @@ class PollReader(DataSourceStreamReader):
         self.first, self.start = int(options.get("first", 0)), int(options.get("start", EPOCH0))
         self.seconds = int(options.get("seconds", POLL_SECONDS))
         self.until = int(options["until"]) if "until" in options else None
+        self.tasks = max(1, int(options.get("tasks", TASKS)))
 
     def initialOffset(self) -> dict:
         return {"next": self.first}
 
     def latestOffset(self) -> dict:
         """One past the newest poll that left a document (or ``until``): the polls before it that left none have failed."""
+        if self.until is not None:
+            return {"next": max(self.until, self.first)}
         store, folder = _place(self.path)
         # the only listing: names, once a trigger
         names = (_NAME.fullmatch(f.base_name) for f in store.get_file_info(fs.FileSelector(folder, allow_not_found=True)))
         newest = max([int(m[1]) + 1 for m in names if m], default=self.first)
-        return {"next": max(newest, self.first) if self.until is None else max(self.until, self.first)}
+        return {"next": max(newest, self.first)}
 
     def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
-        return [_Polls(n, min(n + POLLS_PER_TASK, end["next"])) for n in range(start["next"], end["next"], POLLS_PER_TASK)]
+        each = max(POLLS_PER_TASK, -(-(end["next"] - start["next"]) // self.tasks))
+        return [_Polls(n, min(n + each, end["next"])) for n in range(start["next"], end["next"], each)]
 
     def commit(self, end: dict) -> None:
         """Nothing to keep: the offset says it all."""
 
-    def read(self, partition: _Polls) -> Iterator[tuple]:
+    def read(self, partition: _Polls) -> Iterator[pa.RecordBatch]:
+        """The polls in batches that are bounded in characters, so that a task holds few documents however many it reads."""
+        held, chars = [], 0
+        for row in self._rows(partition):
+            held.append(row)
+            chars += len(row[3])
+            if chars >= HANDED_ON_CHARS or len(held) == HANDED_ON_POLLS:
+                yield _batch(held)
+                held, chars = [], 0
+        if held:
+            yield _batch(held)
+
+    def _rows(self, partition: _Polls) -> Iterator[tuple]:
         store, folder = _place(self.path)
         recorded = None
         for n in range(partition.first, partition.end):
@@ -135,6 +162,7 @@ def poll_stream(spark: SparkSession, folder: str, *, replay: str | None = None,
     """
     spark.dataSource.register(PollSource)
     reader = spark.readStream.format("polls").option("path", _uri(folder)).option("first", first).option("start", start).option("seconds", seconds)
+    reader = reader.option("tasks", stream_partitions(spark))
     if replay is not None:
         reader = reader.option("replay", _uri(replay))
     return (reader if until is None else reader.option("until", until)).load()

@@ -6,7 +6,8 @@ import random
 
 import pytest
 
-from contrail.sources.polls import decode_polls, poll_stream, record_polls, states_of
+from contrail.sources import polls
+from contrail.sources.polls import PollReader, decode_polls, poll_stream, record_polls, states_of
 from contrail.streaming.pipeline import start_archive
 from contrail.streaming.sinks import read_archive
 from tests.helpers import flights_df
@@ -85,3 +86,24 @@ def test_documents(spark, scratch):
     assert sorted(os.listdir(f"{scratch}/feed")) == [f"{n:012d}.json" for n in range(3)]
     got = run(spark, scratch)
     assert sorted((s[0], p) for p, _, _, doc in got for s in json.loads(doc)) == sorted((f"a{i}", i % 3) for i in range(9))
+
+
+@pytest.mark.parametrize("tasks", [8, None])
+def test_more_polls_make_longer_tasks_not_more(scratch, tasks):
+    reader = PollReader({"path": f"file://{scratch}", "until": "3600000", **({"tasks": tasks} if tasks else {})})
+    assert reader.latestOffset() == {"next": 3600000}  # without a listing
+    parts = reader.partitions({"next": 7}, {"next": 3600000})
+    assert len(parts) <= (tasks or 200)
+    assert [p.first for p in parts] == [7, *(p.end for p in parts[:-1])] and parts[-1].end == 3600000
+    assert len(reader.partitions({"next": 0}, {"next": 40})) == 3  # a few polls are not cut small
+
+
+def test_a_task_holds_few_documents(scratch, monkeypatch):
+    os.makedirs(f"{scratch}/feed")
+    for n in range(9):
+        with open(f"{scratch}/feed/{n:012d}.json", "w") as out:
+            json.dump({"states": [["a" * 400 * (n % 3)]]}, out)
+    monkeypatch.setattr(polls, "HANDED_ON_CHARS", 500)
+    reader = PollReader({"path": f"file://{scratch}/feed"})
+    batches = list(reader.read(reader.partitions({"next": 0}, {"next": 9})[0]))
+    assert [b["poll"].to_pylist() for b in batches] == [[0, 1, 2], [3, 4, 5], [6, 7, 8]]
