@@ -46,15 +46,19 @@ def _fault(reason: str, field: Column, text: Column) -> Column:
     return F.struct(F.lit(reason).alias("reason"), field.cast("string").alias("field"), text.alias("text"))
 
 
-def _fields(doc: str, paths: dict[str, str], fields: Sequence[StructField]) -> tuple[list[Column], Column]:
-    """(a column for each field of the VARIANT column ``doc``, the array of its field faults)."""
+def _fields(df: DataFrame, doc: str, paths: dict[str, str], fields: Sequence[StructField]) -> tuple[DataFrame, list[Column], Column]:
+    """(``df`` with working columns, a column for each field of the VARIANT column ``doc``, the array of its field faults).
+
+    Each text and each value is a column of its own, so that it is read once and not again wherever it is named.
+    """
+    texts = df.select("*", *[F.try_variant_get(doc, paths[f.name], "string").alias(f"__text_{f.name}") for f in fields])
+    read = texts.select("*", *[_value(F.col(f"__text_{f.name}"), f.dataType).alias(f"__value_{f.name}") for f in fields])
     values, faults = [], []
     for f in fields:
-        text = F.try_variant_get(doc, paths[f.name], "string")
-        value = _value(text, f.dataType)
+        text, value = F.col(f"__text_{f.name}"), F.col(f"__value_{f.name}")
         values.append(value.alias(f.name))
         faults.append(F.when(text.isNotNull() & value.isNull(), _fault("bad field", F.lit(f.name), text)))
-    return values, F.array_compact(F.array(*faults))
+    return read, values, F.array_compact(F.array(*faults))
 
 
 def decode_tolerant(df: DataFrame, value_col: str = "value", *, keep: Sequence[str] = (), extra: bool = False) -> DataFrame:
@@ -66,7 +70,7 @@ def decode_tolerant(df: DataFrame, value_col: str = "value", *, keep: Sequence[s
     fields = FLIGHT_SCHEMA.fields + (EXTRA_SCHEMA.fields if extra else [])
     raw = F.col(value_col).cast("string")
     parsed = df.select(*keep, raw.alias("raw"), F.try_parse_json(raw).alias("doc"))
-    values, bad = _fields("doc", {f.name: f"$.{f.name}" for f in fields}, fields)
+    parsed, values, bad = _fields(parsed, "doc", {f.name: f"$.{f.name}" for f in fields}, fields)
     whole = F.schema_of_variant("doc").startswith("OBJECT")
     faults = (F.when(F.col("raw").isNull(), F.array(_fault("absent", F.lit(None), F.lit(None).cast("string"))))
               .when(F.col("doc").isNull(), F.array(_fault("not json", F.lit(None), F.col("raw"))))
@@ -92,7 +96,7 @@ def decode_states(df: DataFrame, doc_col: str = "doc", ingestion_ts: Column | No
     rows = docs.withColumn("unread", unread).select(*keep, "text", "t", "unread", F.explode(F.when(F.col("unread").isNotNull(), one).otherwise(states)).alias("s"))
     fields = [f for f in FLIGHT_SCHEMA.fields + EXTRA_SCHEMA.fields + [CATEGORY] if f.name != "ingestion_ts"]
     slots = {**{name: f"$[{i}]" for name, i in STATE_SLOTS.items()}, "category": f"$[{CATEGORY_SLOT}]"}
-    values, bad = _fields("s", slots, fields)
+    rows, values, bad = _fields(rows, "s", slots, fields)
     raw = F.when(F.col("unread").isNotNull(), F.col("text")).otherwise(F.to_json("s"))
     faults = F.when(F.col("unread").isNotNull(), F.array(F.struct(F.col("unread").alias("reason"), F.lit(None).cast("string").alias("field"), F.col("text").alias("text"))))
     faults = (faults.when(~F.schema_of_variant("s").startswith("ARRAY"), F.array(_fault("not a list", F.lit(None), raw)))

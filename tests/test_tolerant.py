@@ -6,6 +6,8 @@ import random
 
 from pyspark.sql import functions as F
 
+from contrail import fixtures
+from contrail.plans import catalog
 from contrail.schemas import EXTRA_SCHEMA, FLIGHT_FIELDS, FLIGHT_SCHEMA, MESSAGE_FIELDS
 from contrail.sources.messages import decode_messages, read_message_files
 from contrail.sources.tolerant import decode_states, decode_tolerant, quarantine, readable, start_tolerant_archive
@@ -106,3 +108,18 @@ def test_archive_and_quarantine_together_hold_every_message_once_after_restarts(
     assert sorted((r.icao24, r.velocity) for r in read_archive(spark, f"{scratch}/good").collect()) == sorted([("a", 1.0), ("b", None)] * 3, key=str)
     bad = sorted((r.reason, r.field, r.text, r.raw) for r in read_archive(spark, f"{scratch}/bad").fillna("").collect())
     assert bad == sorted([("bad field", "velocity", "x", lines[1]), ("not json", "", "{", "{"), ("no address", "icao24", "", lines[3])] * 3)
+
+
+def test_a_table_of_one_row_group_is_decoded_by_many_tasks(spark, scratch):
+    events = spark.range(4000).selectExpr("id AS event_id", "id % 7 AS user_id", "'signup' AS event_type", "CAST(id AS DOUBLE) AS value")
+    events.coalesce(1).write.parquet(f"{scratch}/events.parquet")
+    decoded = catalog.queries()["src_tolerant_decode"](spark, scratch)
+    sizes = decoded.rdd.glom().map(len).collect()
+    assert sum(sizes) == 4000 and len(sizes) > 1 and max(sizes) < 4000
+    ordered = fixtures.spread_flights(spark, scratch).rdd.glom().map(lambda rows: [r.last_contact for r in rows]).collect()
+    assert len(ordered) > 1 and all(max(a) < min(b) for a, b in zip(ordered, ordered[1:]))
+
+
+def test_each_field_is_read_from_the_message_once(spark):
+    plan = decode_tolerant(spark.createDataFrame([("{}",)], "value string"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("$.velocity") == 1
