@@ -9,8 +9,9 @@ folders that it was made from. A refresh compares that list with the table's new
 * anything else (a replayed batch, a fold that also holds unknown batches of a table whose rows add up): the date is
   read again as a whole.
 
-So the rows read follow the change, and a view equals the table's own at every step. The panels of a dashboard are
-derived again only where a view that they read has changed.
+All dates that changed are brought up to date by one job, since a table may have many. So the rows read follow the change,
+and a view equals the table's own at every step. The panels of a dashboard are derived again only where a view that they read
+has changed.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from contrail.session import scratch_dir
 from contrail.streaming.panes import windows_of_view
 from contrail.streaming.pipeline import ResultTables
 from contrail.plans.tables import with_agg_key
-from contrail.streaming.sinks import BATCH_COLUMN, DATE_COLUMN, KeyedTable, file_system
+from contrail.streaming.sinks import BATCH_COLUMN, DATE_COLUMN, KeyedTable, file_system, together, with_date_partition
 
 #: The views that each panel reads; all others read the live view.
 READS = {"kpi_summary": ("live", "alerts"), **dict.fromkeys(("alert_log", "worst_descent", "descent_histogram", "alerts_by_country"), ("alerts",)),
@@ -51,6 +52,7 @@ class KeptView:
             now.setdefault(e[2], set()).add(tuple(e))
         newest = max((e[1] for part in self._seen.values() for e in part), default=-1)  # every batch up to it was seen
         self.read_folders, changed, old = [], False, []
+        todo: dict[str | None, tuple[list[tuple], str | None]] = {}
         for date in {*now, *self._seen}:
             had, has = self._seen.get(date, set()), now.get(date, set())
             if had == has:
@@ -68,12 +70,13 @@ class KeptView:
             if not has:
                 changed = True
                 continue
-            self.read_folders += [e[3] for e in fresh]
-            rows = self._rows(spark, fresh, None if whole else self._parts.get(date))
-            path = scratch_dir(spark, "kept-view")
-            rows.write.parquet(path)
-            old += [self._parts[date]] if date in self._parts else []
-            self._parts[date], changed = path, True
+            todo[date] = fresh, None if whole else self._parts.get(date)
+        if todo:
+            self.read_folders = [e[3] for fresh, _ in todo.values() for e in fresh]
+            old += [self._parts.pop(date) for date in todo if date in self._parts]
+            self._parts |= self._store(spark, self._rows(spark, [e for fresh, _ in todo.values() for e in fresh],
+                                                         [kept for _, kept in todo.values() if kept is not None]))
+            changed = True
         self._seen = now
         if changed:  # what the view before this one was made of stays until the next change
             for path in self._replaced:
@@ -82,12 +85,24 @@ class KeptView:
             self._replaced = old
         return changed
 
-    def _rows(self, spark: SparkSession, entries: Sequence[tuple], kept: str | None) -> DataFrame:
+    def _store(self, spark: SparkSession, rows: DataFrame) -> dict[str | None, str]:
+        """Write rows to a new folder; the path of each date in it (of an undated table: one)."""
+        path = scratch_dir(spark, "kept-view")
+        if not self.table.date_from:
+            rows.write.parquet(path)
+            return {None: path}
+        dated = with_date_partition(rows, self.table.date_from)
+        together(dated, [DATE_COLUMN, *self.table.keys]).write.partitionBy(DATE_COLUMN).parquet(path)
+        fs, root = file_system(spark, path)
+        names = [st.getPath().getName() for st in fs.listStatus(root)]
+        return {n.split("=", 1)[1]: f"{path}/{n}" for n in names if n.startswith(f"{DATE_COLUMN}=")}
+
+    def _rows(self, spark: SparkSession, entries: Sequence[tuple], kept: Sequence[str]) -> DataFrame:
         """The reduced rows of some folders and of the rows kept so far; each with the batch that it came from."""
         t = self.table
         rows = t.read(spark, entries).drop(DATE_COLUMN).withColumn(_NEWEST, F.col(BATCH_COLUMN).cast("bigint")).drop(BATCH_COLUMN)
-        if kept is not None:
-            rows = rows.unionByName(spark.read.parquet(kept))
+        if kept:
+            rows = rows.unionByName(spark.read.parquet(*kept))
         if t.merge is not None:
             return rows.groupBy(*t.keys).agg(*t.merge(), F.max(_NEWEST).alias(_NEWEST))
         return latest_by_key(rows, list(t.keys), [_NEWEST, *t.order], [c for c in rows.columns if c not in t.keys])

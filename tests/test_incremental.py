@@ -1,5 +1,6 @@
 """Kept views and panels against full refreshes, after inserts, replays and folds, and what they read."""
 
+import os
 import random
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from contrail.operators.enrich import with_event_time
 from contrail.plans.dashboard import panel_frames
 from contrail.plans.incremental import KeptView, LiveDashboard
+from contrail.session import stream_partitions
 from contrail.streaming.panes import pane_table, write_panes
 from contrail.streaming.pipeline import ResultTables
 from contrail.streaming.sinks import KeyedTable
@@ -94,3 +96,32 @@ def test_dashboard_derives_the_panels_that_changed(spark, scratch):
     for name, df in full.items():
         assert rows_of(got[name]) == rows_of(df), name
     assert got["top_countries"].count() == 1
+
+
+def dated(spark, scratch, name, days):
+    table = KeyedTable(f"{scratch}/{name}", ["icao24", "last_contact"], (), ["icao24", "last_contact"], date_from="last_contact")
+    rows = spark.range(0, 20 * days, 1, 8).selectExpr("concat('a', id) AS icao24", f"(id * 7919) % {days} * {DAY} AS last_contact")
+    table.write_batch(rows, 0)
+    return table
+
+
+def test_a_refresh_takes_as_many_jobs_for_many_dates_as_for_few(spark, scratch):
+    jobs = {}
+    for days in (2, 12):
+        table = dated(spark, scratch, f"t{days}", days)
+        kept = KeptView(table)
+        spark.sparkContext.setJobGroup(f"refresh-{days}", "")
+        try:
+            assert kept.refresh(spark)
+        finally:
+            spark.sparkContext._jsc.clearJobGroup()
+        jobs[days] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"refresh-{days}"))
+        assert rows_of(kept.view(spark)) == rows_of(table.current(spark)) and len(kept.read_folders) == days
+    assert jobs[12] <= jobs[2] + 2  # not one more for every date
+
+
+def test_a_date_is_written_by_few_tasks(spark, scratch):
+    table = dated(spark, scratch, "t", 12)
+    files = [f for _, _, names in os.walk(f"{scratch}/t/data") for f in names if f.endswith(".parquet")]
+    tasks = stream_partitions(spark)
+    assert len(files) <= 12 + tasks and table.current(spark).count() == 240
