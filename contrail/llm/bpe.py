@@ -16,7 +16,7 @@ import struct
 from array import array
 from collections.abc import Callable
 from functools import partial
-from heapq import heapify, heappop, heappush
+from heapq import heapify, heappop, heappush, heapreplace
 
 import numpy as np
 import pyarrow as pa
@@ -93,6 +93,7 @@ class Codec(dict):
         self.byte_ids = [rank[bytes([b])] for b in range(256)]
         self.pairs = {rank[t[:i]] << 32 | rank[t[i:]]: r for r, t in enumerate(tokens)
                       for i in range(1, len(t)) if t[:i] in rank and t[i:] in rank}
+        self.of_bytes = [[self.pairs.get(a << 32 | b, -1) for b in self.byte_ids] for a in self.byte_ids]
         self.before: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
@@ -116,30 +117,34 @@ class Codec(dict):
         """Merge the bytes of a pre-token that is not a token.
 
         A heap entry is one number, the rank above 32 bits of place; it is stale unless the pair there still has that rank.
+        The least entry stays until the pair that its merge makes with the next part can take its place in one step.
         """
-        rank, n = self.pairs.get, len(piece)
+        rank, first, n = self.pairs.get, self.of_bytes, len(piece)
         hold = list if n < LONG else partial(array, "i")
         ids = [self.byte_ids[b] for b in piece]
-        ranks = [rank(a << 32 | b, -1) for a, b in zip(ids, ids[1:])] + [-1]
-        after, before = hold(range(1, n + 1)), hold(range(-1, n - 1))
+        ranks = [first[a][b] for a, b in zip(piece, piece[1:])]
         heap = [r << 32 | i for i, r in enumerate(ranks) if r >= 0]
+        ranks.append(-1)
+        after, before = hold(range(1, n + 1)), hold(range(-1, n - 1))
         heapify(heap)
         while heap:
-            entry = heappop(heap)
-            i = entry & 0xFFFFFFFF
-            r = ranks[i]
-            if r != entry >> 32:
-                continue  # one of the two was merged meanwhile
+            entry = heap[0]
+            i, r = entry & 0xFFFFFFFF, entry >> 32
+            if ranks[i] != r:
+                heappop(heap)  # one of the two was merged meanwhile
+                continue
             j = after[i]
-            ids[i], ids[j], ranks[j] = r, -1, -1
             after[i] = k = after[j]
+            ids[i], ids[j], ranks[j] = r, -1, -1
             s = -1
             if k < n:
                 before[k] = i
                 s = rank(r << 32 | ids[k], -1)
-                if s >= 0:
-                    heappush(heap, s << 32 | i)
             ranks[i] = s
+            if s >= 0:
+                heapreplace(heap, s << 32 | i)
+            else:
+                heappop(heap)
             h = before[i]
             if h >= 0:
                 ranks[h] = s = rank(ids[h] << 32 | r, -1)

@@ -82,3 +82,26 @@ def test_long_pre_tokens_are_merged_whole_and_not_remembered(codec, library):
         before = len(codec) + len(codec.before)
         assert np.frombuffer(codec.encode(text), "<u4").tolist() == library.encode_ordinary(text)
         assert len(codec) + len(codec.before) == before
+
+
+def test_merging_looks_up_only_the_pairs_that_merges_make(codec, library, monkeypatch):
+    """Pairs of bytes come from a table, and a merge that makes a pair with the next part moves the heap once."""
+    class Counted(dict):
+        gets = 0
+
+        def get(self, *a):
+            self.gets += 1
+            return super().get(*a)
+    pairs, steps = Counted(codec.pairs), []
+    monkeypatch.setattr(codec, "pairs", pairs)
+    for name in ("heappop", "heappush", "heapreplace"):
+        f = getattr(bpe, name)
+        monkeypatch.setattr(bpe, name, lambda *a, f=f: (steps.append(1), f(*a))[1])
+    pieces = [b" andonlythere", b"thesbleorand", "漢字かな".encode(), b"\xff\xfe\x00" * 5, b"q", b"etaoinshr" * 40]
+    for piece in pieces:
+        pairs.gets, before = 0, len(steps)
+        ids = codec.merged(piece)
+        merges = len(piece) - len(ids)
+        assert b"".join(TOKENS[i] for i in ids) == piece
+        assert pairs.gets <= 2 * merges and len(steps) - before <= len(piece) - 1 + 2 * merges
+    assert codec.merged(b" andonlythere") == library.encode_ordinary(" andonlythere")
