@@ -5,8 +5,9 @@ the vocabulary resolves pre-tokens that are one token; the others are merged fro
 list of parts with a heap of the pairs that can merge, lowest rank and then leftmost first.
 
 Ids travel as little-endian unsigned 32-bit integers in one binary value. The vocabulary is a broadcast,
-bounded by its file; each Python worker builds its tables once and keeps a bounded memo of pre-tokens. A pre-token
-may be a whole text (unbroken letters): it is not remembered, and merging it holds some 55 bytes for each of its own.
+bounded by its file, and the hash made from it once for all; each Python worker builds its other tables once and keeps a
+bounded memo of pre-tokens. A pre-token may be a whole text (unbroken letters): it is not remembered, and merging it
+holds some 75 bytes for each of its own.
 """
 
 from __future__ import annotations
@@ -27,11 +28,15 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 #: Pre-tokens remembered in each of two generations, and the longest worth remembering: together they bound the bytes.
-MEMO = 100_000
+MEMO = 170_000
 MEMO_CHARS = 64
+#: Links of the parts next to each other, copied for a pre-token of no more bytes than this has.
+LINKS = list(range(-1, 4 * MEMO_CHARS + 1))
 #: Pre-tokens from so many bytes on keep their links in arrays, which are slower and smaller than lists.
 LONG = 1 << 16
 SLICE = 256
+#: What looks up the pairs of a token that begins none.
+NO_PAIRS = {}.get
 
 
 def load_ranks(path: str) -> list[bytes]:
@@ -85,15 +90,20 @@ class Codec(dict):
     last turn survives it.
     """
 
-    def __init__(self, tokens: list[bytes], pattern: str):
+    def __init__(self, tokens: list[bytes], pattern: str, find: PerfectHash | None = None):
         super().__init__()
         self.tokens, self.pieces = tokens, regex.compile(pattern)
-        self.find = PerfectHash(tokens)
+        self.find = find or PerfectHash(tokens)
+        self.packed = [struct.pack("<I", i) for i in range(len(tokens))]
         rank = {t: i for i, t in enumerate(tokens)}
         self.byte_ids = [rank[bytes([b])] for b in range(256)]
-        self.pairs = {rank[t[:i]] << 32 | rank[t[i:]]: r for r, t in enumerate(tokens)
-                      for i in range(1, len(t)) if t[:i] in rank and t[i:] in rank}
-        self.of_bytes = [[self.pairs.get(a << 32 | b, -1) for b in self.byte_ids] for a in self.byte_ids]
+        follow: dict[int, dict[int, int]] = {}
+        for r, t in enumerate(tokens):
+            for i in range(1, len(t)):
+                if t[:i] in rank and t[i:] in rank:
+                    follow.setdefault(rank[t[:i]], {})[rank[t[i:]]] = r
+        self.pairs = {left: ranks.get for left, ranks in follow.items()}
+        self.of_bytes = [[self.pairs.get(a, NO_PAIRS)(b, -1) for b in self.byte_ids] for a in self.byte_ids]
         self.before: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
@@ -102,8 +112,7 @@ class Codec(dict):
             self.clear()
         packed = self.before.get(piece)
         if packed is None:
-            ids = self.piece_ids(piece.encode("utf-8", "replace"))
-            packed = struct.pack(f"<{len(ids)}I", *ids)
+            packed = b"".join(map(self.packed.__getitem__, self.piece_ids(piece.encode("utf-8", "replace"))))
             if len(piece) > MEMO_CHARS:
                 return packed
         self[piece] = packed
@@ -116,41 +125,56 @@ class Codec(dict):
     def merged(self, piece: bytes) -> list[int]:
         """Merge the bytes of a pre-token that is not a token.
 
-        A heap entry is one number, the rank above 32 bits of place; it is stale unless the pair there still has that rank.
-        The least entry stays until the pair that its merge makes with the next part can take its place in one step.
+        A heap entry is one number, the rank above as many bits of place as the pre-token needs, so that of a short one it
+        is a small number; it is stale unless it is still the entry of its place. The least entry stays until the pair
+        that its merge makes with the next part can take its place in one step. Behind the last part stands an id that
+        makes no pair.
         """
-        rank, first, n = self.pairs.get, self.of_bytes, len(piece)
-        hold = list if n < LONG else partial(array, "i")
+        follow, first, n = self.pairs.get, self.of_bytes, len(piece)
+        bits = n.bit_length()
+        mask = (1 << bits) - 1
         ids = [self.byte_ids[b] for b in piece]
-        ranks = [first[a][b] for a, b in zip(piece, piece[1:])]
-        heap = [r << 32 | i for i, r in enumerate(ranks) if r >= 0]
-        ranks.append(-1)
-        after, before = hold(range(1, n + 1)), hold(range(-1, n - 1))
+        ids.append(-1)
+        entries = [first[a][b] << bits | i for i, (a, b) in enumerate(zip(piece, piece[1:]))]
+        heap = [e for e in entries if e >= 0]
+        entries.append(-1)
+        if n + 2 <= len(LINKS):
+            after, before = LINKS[2:n + 2], LINKS[:n + 1]
+        else:
+            hold = list if n < LONG else partial(array, "i")
+            after, before = hold(range(1, n + 1)), hold(range(-1, n))
         heapify(heap)
         while heap:
             entry = heap[0]
-            i, r = entry & 0xFFFFFFFF, entry >> 32
-            if ranks[i] != r:
+            i = entry & mask
+            if entries[i] != entry:
                 heappop(heap)  # one of the two was merged meanwhile
                 continue
             j = after[i]
             after[i] = k = after[j]
-            ids[i], ids[j], ranks[j] = r, -1, -1
-            s = -1
-            if k < n:
-                before[k] = i
-                s = rank(r << 32 | ids[k], -1)
-            ranks[i] = s
-            if s >= 0:
-                heapreplace(heap, s << 32 | i)
-            else:
+            before[k] = i
+            ids[i] = r = entry >> bits
+            entries[j] = -1
+            s = follow(r, NO_PAIRS)(ids[k])
+            if s is None:
+                entries[i] = -1
                 heappop(heap)
+            else:
+                entries[i] = s = s << bits | i
+                heapreplace(heap, s)
             h = before[i]
             if h >= 0:
-                ranks[h] = s = rank(ids[h] << 32 | r, -1)
-                if s >= 0:
-                    heappush(heap, s << 32 | h)
-        return [x for x in ids if x >= 0]
+                s = follow(ids[h], NO_PAIRS)(r)
+                if s is None:
+                    entries[h] = -1
+                else:
+                    entries[h] = s = s << bits | h
+                    heappush(heap, s)
+        merged, i = [], 0
+        while i < n:
+            merged.append(ids[i])
+            i = after[i]
+        return merged
 
     def encode(self, text: str) -> bytes:
         if len(text) < 1 << 20:
@@ -171,7 +195,7 @@ class Tokenizer:
     """
 
     def __init__(self, spark: SparkSession, tokens: list[bytes], pattern: str):
-        self.shared, self.pattern = spark.sparkContext.broadcast(tokens), pattern
+        self.shared, self.pattern = spark.sparkContext.broadcast((tokens, PerfectHash(tokens))), pattern
 
     def encode(self, text: Column) -> Column:
         """binary: the ids as little-endian unsigned 32-bit integers."""
@@ -188,7 +212,7 @@ class Tokenizer:
 
         @F.arrow_udf("binary")
         def run(packed: pa.Array) -> pa.Array:
-            tokens = shared.value
+            tokens, _ = shared.value
             return _sliced(lambda ids: unpack(ids, tokens), packed)
         return run(F.coalesce(ids, F.lit(b"")))
 
@@ -210,5 +234,6 @@ def n_tokens(ids: Column) -> Column:
 def _codec(shared: Broadcast, pattern: str) -> Codec:
     """The worker's codec, kept with its copy of the broadcast from task to task."""
     if getattr(shared, "codec", None) is None:
-        shared.codec = Codec(shared.value, pattern)
+        tokens, find = shared.value
+        shared.codec = Codec(tokens, pattern, find)
     return shared.codec

@@ -105,3 +105,32 @@ def test_merging_looks_up_only_the_pairs_that_merges_make(codec, library, monkey
         assert b"".join(TOKENS[i] for i in ids) == piece
         assert pairs.gets <= 2 * merges and len(steps) - before <= len(piece) - 1 + 2 * merges
     assert codec.merged(b" andonlythere") == library.encode_ordinary(" andonlythere")
+
+
+def test_heap_entries_of_a_short_pre_token_are_small_numbers(codec, library, monkeypatch):
+    entries = []
+    for name in ("heappush", "heapreplace"):
+        f = getattr(bpe, name)
+        monkeypatch.setattr(bpe, name, lambda heap, e, f=f: (entries.append(e), f(heap, e))[1])
+    for text in (" andonlythere", "漢字かな", "etaoinshr" * 40):
+        entries.clear()
+        assert codec.merged(text.encode()) == library.encode_ordinary(text)
+        assert entries and max(entries) < len(TOKENS) << len(text.encode()).bit_length()
+
+
+def test_links_of_every_length(codec, library):
+    """Up to a length the links are copies, beyond it they are made."""
+    for n in (1, 2, len(bpe.LINKS) - 3, len(bpe.LINKS) - 2, len(bpe.LINKS) - 1, len(bpe.LINKS)):
+        text = ("thesbleorand" * n)[:n]
+        assert codec.merged(text.encode()) == library.encode_ordinary(text)
+    assert bpe.LINKS == list(range(-1, 4 * bpe.MEMO_CHARS + 1))
+
+
+def test_workers_get_the_hash_made(spark, monkeypatch):
+    made, init = [], bpe.PerfectHash.__init__
+    monkeypatch.setattr(bpe.PerfectHash, "__init__", lambda self, keys: (made.append(1), init(self, keys))[1])
+    shared = bpe.Tokenizer(spark, TOKENS[:300], P.PATTERN).shared
+    codec = bpe._codec(shared, P.PATTERN)
+    assert len(made) == 1 and bpe._codec(shared, P.PATTERN) is codec
+    assert [codec.find(t) for t in TOKENS[:300]] == list(range(300))
+    shared.destroy()
